@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimforge.llm import bpe, exact_dedup, languages, secrets, token_files
+from claimforge.llm import bpe, chats, exact_dedup, languages, secrets, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,10 +14,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_token_files": token_files.op2_token_files,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+        "op5_chat_format": chats.op5_chat_format,
+        "op6_warc": warc.op6_warc,
         "op7_language_id": languages.op7_language_id,
         "op9_bpe": bpe.op9_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.OP4_SQL}
+    return {
+        "op4_exact_dedup": exact_dedup.OP4_SQL,
+        "op5_chat_format": chats.OP5_SQL,
+        "op6_warc": warc.OP6_SQL,
+    }
