@@ -6,18 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimforge.llm import bpe, chats, exact_dedup, languages, secrets, token_files, warc
+from claimforge.llm import bpe, chats, decontaminate, exact_dedup, languages, licenses, secrets, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": secrets.op1_secret_scan,
         "op2_token_files": token_files.op2_token_files,
+        "op3_license_scan": licenses.op3_license_scan,
         "op4_exact_dedup": exact_dedup.op4_exact_dedup,
         "op5_chat_format": chats.op5_chat_format,
         "op6_warc": warc.op6_warc,
         "op7_language_id": languages.op7_language_id,
         "op9_bpe": bpe.op9_bpe,
+        "op10_decontaminate": decontaminate.op10_decontaminate,
     }
 
 
@@ -26,4 +28,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_dedup": exact_dedup.OP4_SQL,
         "op5_chat_format": chats.OP5_SQL,
         "op6_warc": warc.OP6_SQL,
+        "op10_decontaminate": decontaminate.OP10_SQL,
     }
