@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimforge.llm import bpe, chats, decontaminate, exact_dedup, languages, licenses, secrets, token_files, warc
+from claimforge.llm import bpe, chats, decontaminate, exact_dedup, jaccard_join, languages, licenses, secrets, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_format": chats.op5_chat_format,
         "op6_warc": warc.op6_warc,
         "op7_language_id": languages.op7_language_id,
+        "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_bpe": bpe.op9_bpe,
         "op10_decontaminate": decontaminate.op10_decontaminate,
     }
