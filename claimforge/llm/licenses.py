@@ -55,7 +55,7 @@ NOTICES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
-CUE = re.compile(r"licen[cs]ed? |licen[cs]es?\b|permission (?:is hereby|to use)|free software|SPDX-License-Identifier", re.IGNORECASE)
+CUE = re.compile(r"licen[cs]ed? |(?:released|distributed) under|licen[cs]es?\b|permission (?:is hereby|to use)|free software|SPDX-License-Identifier", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 
 
