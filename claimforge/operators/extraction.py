@@ -60,8 +60,8 @@ def _header(line: Column) -> Column:
 
 def _block(lines: Column, raw: Column) -> Column:
     """A block's fields: number, name, address from the next two lines, first amount, entity."""
-    number = places.found(lines[0], r"^([0-9]+)\.?\s+")
-    name = F.trim(F.regexp_replace(lines[0], r"^[0-9]+\.?\s+", ""))
+    number = places.found(F.get(lines, F.lit(0)), r"^([0-9]+)\.?\s+")
+    name = F.trim(F.regexp_replace(F.get(lines, F.lit(0)), r"^[0-9]+\.?\s+", ""))
     address = F.when(F.size(lines) > 1, F.concat_ws(", ", F.slice(lines, 2, 2)))
     amount = money.safe_numeric(F.regexp_extract(raw, AMOUNT, 1))
     return F.struct(
@@ -74,7 +74,7 @@ def creditor_blocks(docs: DataFrame, id_col: str = "filing_id", text_col: str =
     """Creditors of texts whose blocks are set apart by blank lines."""
     raw = docs.select(id_col, F.posexplode(F.split(F.coalesce(text_col, F.lit("")), r"\n{2,}")).alias("block", "raw"))
     lines = F.filter(F.transform(F.split("raw", "\n"), lambda x: F.trim(x)), lambda x: x != "")
-    able = raw.withColumn("lines", lines).where((F.size("lines") > 0) & (F.length(F.col("lines")[0]) >= 3) & ~_header(F.col("lines")[0]))
+    able = raw.withColumn("lines", lines).where((F.size("lines") > 0) & (F.length(F.get("lines", F.lit(0))) >= 3) & ~_header(F.get("lines", F.lit(0))))
     rows = able.select(id_col, "block", "raw", F.size("lines").alias("n"), _block(F.col("lines"), F.col("raw")).alias("r"))
     keep = F.col("r.line_number").isNotNull() | (F.col("n") >= 2) | F.contains("raw", F.lit("$"))
     return rows.where(keep & ~names.is_junk_name(F.col("r.name"))).select(id_col, "block", "r.*")
@@ -88,14 +88,14 @@ def numbered_creditors(docs: DataFrame, id_col: str = "filing_id", text_col: str
         lines.where("line <> ''").withColumn("block", F.sum(F.col("line").rlike(r"^[0-9]+\.\s+").cast("int")).over(w)).where("block > 0")
         .groupBy(id_col, "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x.line).alias("lines"))
     )
-    able = blocks.where((F.length(F.col("lines")[0]) >= 3) & ~_header(F.col("lines")[0]))
+    able = blocks.where((F.length(F.get("lines", F.lit(0))) >= 3) & ~_header(F.get("lines", F.lit(0))))
     rows = able.select(id_col, F.col("block").cast("int").alias("block"), _block(F.col("lines"), F.concat_ws("\n", "lines")).alias("r"))
     return rows.where((F.col("r.name") != "") & ~names.is_junk_name(F.col("r.name"))).select(id_col, "block", "r.*")
 
 
 def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
     """Creditors of extracted tables ``array<array<array<string>>>`` that have a creditor or name heading."""
-    heads = F.lower(F.concat_ws(" ", F.transform(F.col("t")[0], lambda c: F.coalesce(c, F.lit("")))))
+    heads = F.lower(F.concat_ws(" ", F.transform(F.get("t", F.lit(0)), lambda c: F.coalesce(c, F.lit("")))))
     rows = (
         tables.select(id_col, F.posexplode(col).alias("table", "t")).where(heads.rlike("creditor|name"))
         .select(id_col, "table", F.posexplode(F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))).alias("row", "cells"))
@@ -116,7 +116,7 @@ def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "table
 def schedule_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
     """The same for schedule tables, whose heading may stand in the second row below a title."""
     titled = F.transform(
-        col, lambda t: F.when(F.size(t) > 1, F.when(F.lower(F.concat_ws(" ", t[0])).rlike("^schedule"), F.slice(t, 2, 10_000_000)).otherwise(t)).otherwise(t)
+        col, lambda t: F.when(F.size(t) > 1, F.when(F.lower(F.concat_ws(" ", F.get(t, F.lit(0)))).rlike("^schedule"), F.slice(t, 2, 10_000_000)).otherwise(t)).otherwise(t)
     )
     return table_creditors(tables.withColumn(col, titled), id_col, col)
 
