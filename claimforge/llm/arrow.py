@@ -6,6 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+BATCH_ROWS = 1000
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, of which Python tasks get at most ``BATCH_ROWS`` rows at a time.
+
+    Spark has one setting for this a session; it is lowered, never raised. Texts
+    are far longer than the rows that its default of 10,000 was made for.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

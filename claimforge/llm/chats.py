@@ -103,7 +103,7 @@ def format_conversations(turns: DataFrame, folder: str, shards: int | None = Non
 
     schema = "conv_id long, turn long, place long, formatted string, loss_from long, loss_to long"
     ordered = (
-        turns.select(
+        arrow.in_small_batches(turns).select(
             F.col("conv_id").cast("long"), F.col("turn").cast("long"),
             F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
         )

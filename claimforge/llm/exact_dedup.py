@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimforge.llm import arrow
 from claimforge.session import materialize
 
 # The white space that does not count.
@@ -112,7 +113,7 @@ def _read(f) -> Iterator[tuple]:
 
 
 def exact_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_budget: int = 48 << 20, shards: int | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_budget: int = 32 << 20, shards: int | None = None
 ) -> DataFrame:
     """One row per input row: id, ``keep_id, group_size, kept, text_sha256``.
 
@@ -145,7 +146,7 @@ def exact_duplicates(
 
         yield from _batches((row(*g) for g in enumerate(grace_groups(records(), task_budget))), _LOCAL)
 
-    source = docs.select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")))
+    source = arrow.in_small_batches(docs).select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")))
     found = materialize(source.mapInArrow(local, _LOCAL_SQL), "exact-local")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

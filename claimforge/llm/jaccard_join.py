@@ -105,7 +105,7 @@ def jaccard_components(
     have a null component and link nothing, other columns are ignored. Only the order of shingles depends on
     ``ranked_shingles`` (the commonest known, which rank last), not the result.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    source = arrow.in_small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     common = _common_shingles(source, width, percent, ranked_shingles)
     sets = materialize(_ranked_sets(source, width, percent, common), "sets")
     able = sets.where("n > 0 AND id IS NOT NULL")

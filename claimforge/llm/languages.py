@@ -94,7 +94,7 @@ def train(
     """
     able = docs.where(is_train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = [r[0] for r in able.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample_docs).collect()]
-    sample = able.where(F.col(id_col).isin(chosen)).select(F.col(lang_col), F.col(text_col))
+    sample = arrow.in_small_batches(able).where(F.col(id_col).isin(chosen)).select(F.col(lang_col), F.col(text_col))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -169,7 +169,7 @@ def identify_languages(
             more = [pa.array(named, pa.string()), pa.array(score, pa.float64()), pa.array(unclear, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return arrow.in_small_batches(docs).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimforge.llm import arrow
+
 # Names of licenses as short statements write them.
 NAMES = {
     "Apache-2.0": "Apache License, Version 2.0",
@@ -173,7 +175,7 @@ def scan_licenses(
             )
 
     schema = f"`{id_col}` long, n_licenses long, licenses string, spans string"
-    return docs.select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit(""))).mapInArrow(run, schema)
+    return arrow.in_small_batches(docs).select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit(""))).mapInArrow(run, schema)
 
 
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:

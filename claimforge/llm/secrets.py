@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimforge.llm import arrow
+
 Transitions = list[dict[int, int]]
 
 
@@ -266,7 +268,7 @@ def scan_secrets(
             )
 
     schema = f"`{id_col}` long, " + "".join(f"n_{r.kind} long, " for r in rules) + "base_sha256 string, spans string"
-    return docs.select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit(""))).mapInArrow(run, schema)
+    return arrow.in_small_batches(docs).select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit(""))).mapInArrow(run, schema)
 
 
 def op1_secret_scan(spark, sf_dir: str) -> DataFrame:

@@ -173,7 +173,7 @@ def write_shards(
 
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
-        docs.select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")))
+        arrow.in_small_batches(docs).select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")))
         .toDF("id", "text").repartitionByRange(n, "id").sortWithinPartitions("id")
     )
     return materialize(ordered.mapInArrow(write, _SHARD), "token-shards"), folder

@@ -20,6 +20,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimforge.llm import arrow
 from claimforge.session import materialize, shared_folder
 
 # Fixed values of the format.
@@ -76,7 +77,7 @@ def write_archives(
     """
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
-    rows = pages.select(
+    rows = arrow.in_small_batches(pages).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(url_col, F.lit("")).alias("url"),
         F.coalesce(html_col, F.lit("")).alias("html"),
     ).withColumn("payload_key", F.sha2("html", 256))
