@@ -588,3 +588,18 @@ def _(t):
     raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
     sums = raw.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
     return streams.run_available(sums, "exposure", "complete").select("user_id", "n", "total")
+
+
+@query("s1_claim_feed", "SELECT count(*) AS n, count(DISTINCT nullif(case_number, '')) AS cases, count(DISTINCT debtor) AS debtors FROM feed")
+def _(t):
+    from claimforge.session import shared_folder
+
+    path = shared_folder(t.spark, "feed")
+    names = {
+        "filed": "Date Filed", "creditor": "Impacted Business", "city": "City", "state": "State", "case_number": "Case Number", "debtor": "Corporate Bankruptcy", "loss": "Loss",
+    }
+    t.feed.select(*(F.col(c).alias(n) for c, n in names.items())).write.option("header", True).csv(path)
+    rows = feeds.read_claim_feed(t.spark, path)
+    return rows.where(F.col("line_number") > 1).agg(
+        F.count("*").alias("n"), F.countDistinct(F.nullif("Case Number", F.lit(""))).alias("cases"), F.countDistinct("Corporate Bankruptcy").alias("debtors")
+    )
