@@ -53,12 +53,13 @@ def keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("key", names.dedup_key(F.col("name"), F.col("address")))
 
 
-def candidate_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", most: int = 50) -> DataFrame:
-    """Pairs of rows of one group that share a token or, without one, the first three letters of their keys.
+def candidate_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", most: int = 500) -> DataFrame:
+    """Pairs of rows of one group that may be alike: ``left_id < right_id``.
 
     Groups of at most ``most`` rows give all their pairs, as the likeness of such groups
-    was defined; larger ones are blocked by shared tokens, of which very common ones
-    (more than ``most`` rows of the group) count only together with a second token.
+    is defined. Larger ones are blocked: by tokens that at most ``most`` rows of the group
+    have, by the first two of a row's commoner tokens, and by the first three letters of the
+    key. A pair of a large group that shares none of these is not compared.
     """
     sized = rows.join(rows.groupBy(by).agg(F.count("*").alias("_n")), by).select(by, identity, "key", "_n")
     side = lambda df, s: df.select(by, F.col(identity).alias(s), *([F.col("_b")] if "_b" in df.columns else []))
