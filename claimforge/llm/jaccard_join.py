@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from claimforge.llm import arrow
 from claimforge.llm.pretokens import mix, span_hashes
+from claimforge.llm.sampling import at_least
 from claimforge.operators.components import connected_components
 from claimforge.session import materialize
 
@@ -136,7 +137,7 @@ def jaccard_components(
 
 
 def _common_shingles(source: DataFrame, width: int, percent: int, most: int) -> dict[int, int]:
-    """Document counts, over all documents, of the ``most`` commonest shingles among the first by hash."""
+    """Document counts, over all documents, of up to ``most`` of the commonest shingles among the first by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,7 +146,8 @@ def _common_shingles(source: DataFrame, width: int, percent: int, most: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(n.astype(np.int64))], ["s", "n"])
 
     counts = source.select("text").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    top = counts.where("n >= 8").orderBy(F.desc("n"), "s").limit(most).collect()
+    often = materialize(counts.where("n >= 8"), "common")
+    top = often.where(F.col("n") >= at_least(often, "n", 8, most)).collect()
     return {r.s & 0xFFFFFFFFFFFFFFFF: r.n for r in top}
 
 

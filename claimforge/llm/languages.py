@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from claimforge.llm import arrow
 from claimforge.llm.pretokens import mix
+from claimforge.llm.sampling import sample_ids
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -86,15 +87,16 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 def train(
     docs: DataFrame, is_train: Column, id_col: str, text_col: str, lang_col: str, sample_docs: int = 4096, hash_bits: int = 15
 ) -> Model | None:
-    """Fit on at most ``sample_docs`` labelled training rows, those of least id hash.
+    """Fit on the labelled training rows of at most ``sample_docs`` ids, those of least hash.
 
-    ``sample_docs`` is the bound of the training sample; its texts are used whole.
+    ``sample_docs`` is the bound of the training sample; its texts are used whole, rows
+    without a text are passed over.
     N-gram counts per language are summed by Spark; the driver gets one row per
     language and hash bucket. None if no row has a label and a text.
     """
-    able = docs.where(is_train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    chosen = [r[0] for r in able.select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample_docs).collect()]
-    sample = arrow.in_small_batches(able).where(F.col(id_col).isin(chosen)).select(F.col(lang_col), F.col(text_col))
+    able = docs.where(is_train & F.col(lang_col).isNotNull())
+    chosen = sample_ids(able, id_col, sample_docs)
+    sample = arrow.in_small_batches(able).where(F.col(id_col).isin(chosen) & F.col(text_col).isNotNull()).select(F.col(lang_col), F.col(text_col))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}

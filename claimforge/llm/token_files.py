@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimforge.llm import arrow, pretokens
+from claimforge.llm.sampling import sample_ids
 from claimforge.session import materialize, shared_folder
 
 MAGIC = b"CFIDS1\0\0"
@@ -82,11 +83,7 @@ def train_dictionary(
 
     With too little to learn from, an empty dictionary. The dictionary only affects file size.
     """
-    chosen = [
-        r[0]
-        for r in docs.select(id_col).where(F.col(id_col).isNotNull())
-        .orderBy(F.xxhash64(id_col), id_col).limit(sample_docs).collect()
-    ]
+    chosen = sample_ids(docs, id_col, sample_docs)
     rows = docs.where(F.col(id_col).isin(chosen)).select(F.coalesce(text_col, F.lit("")).alias("t"))
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
