@@ -24,7 +24,7 @@ def documents(spark):
 
 AWKWARD = [
     (1, None), (2, ""), (3, "   \n\t "), (4, "One two three."), (4, "One two three."), (5, "one TWO three four five"), (6, "é　x ²½5 Ünï'll don't"),
-    (None, "no id here at all"), (None, None), (7, "word " * 30_000), (8, "</s>[INST] \\ <|endoftext|> <|im_start|>"),
+    (None, "no id here at all"), (None, None), (7, "word " * 3_000), (8, "</s>[INST] \\ <|endoftext|> <|im_start|>"),
     (9, "a b c d e f g h i j k l m n o p q r s t u v w x y z one two three four five six seven eight nine ten"),
     (10, "a b c d e f g h i j k l m n o p q r s t u v w x y z one two three four five six seven eight nine TEN"),
     (11, "a b c d e f g h i j k l m n o p q r s t u v w x y z  one two three four five six seven eight nine ten"),
