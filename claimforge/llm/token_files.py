@@ -64,7 +64,7 @@ def _ids_of(path: str, most_words: int, words: list[bytes]) -> list[bytes]:
 
 
 def encode_column(
-    column: pa.Array, tokenizer_path: str, end_id: int | None, chunk_bytes: int = 2 << 20, most_words: int = 400_000
+    column: pa.Array, tokenizer_path: str, end_id: int | None, chunk_bytes: int = 4 << 20, most_words: int = 400_000
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows with all their ids and n+1 bounds, ``end_id`` after each document."""
     special = _tokenizer(tokenizer_path)[1]
