@@ -12,7 +12,7 @@ triangle inequality around any pivot. The join goes through regions of three kin
    bound the symmetric difference from below by the triangle inequality; pairs
    beyond it are dropped. What is left joins documents into blocks: no link crosses
    two blocks.
-3. A block that is too large for a task is dealt to the Voronoi cells of pivot
+3. A block that is too large for a task, by shingles or by documents, is dealt to the Voronoi cells of pivot
    documents. A document also enters each cell whose pivot is at most twice the
    radius farther than its own; documents far from all pivots form a cell of their
    own, which near ones enter by the same window. Cells are split again until they
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimforge.llm import arrow
@@ -96,6 +96,7 @@ def jaccard_components(
     ranked_shingles: int = 50_000,
     small_region: int = 16,
     block_shingles: int = 2_000_000,
+    block_docs: int = 20_000,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per row ``n_shingles`` and ``component_id``: the least id reachable over links, its own included.
@@ -115,7 +116,7 @@ def jaccard_components(
     pairs = materialize(_candidates(reps, percent, small_region), "pairs")
     edges = materialize(_near(pairs, reps, percent), "near")
     blocks = materialize(connected_components(edges), "blocks")
-    links = _join_blocks(source, blocks, reps, width, percent, block_shingles, broadcast_rows)
+    links = _join_blocks(source, blocks, reps, width, percent, block_shingles, block_docs, broadcast_rows)
     roots = materialize(connected_components(links), "roots")
     least = (
         same.join(roots, F.col("rep") == F.col("node"), "left")
@@ -262,54 +263,82 @@ def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return tested.union(pairs.where("sure").select("u", "v"))
 
 
-def roots_within(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For sets of one cell: the place of the first set of each one's link component. Exact, all pairs."""
-    m = len(sets)
+def roots_within(sets: list[np.ndarray], percent: int, pairs: int = 4_000_000) -> np.ndarray:
+    """For sets of one cell: the place of the first set of each one's link component. Exact, all pairs.
+
+    Overlaps are counted for a slice of rows at a time, of at most ``pairs`` pairs or one row.
+    """
+    root = np.arange(len(sets))
     size = np.array([len(s) for s in sets], np.int64)
-    common = np.zeros((m, m), np.float32)
     _, kind, n = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(m), size)
-    order = np.argsort(kind, kind="stable")
-    owner, n_of = owner[order], n[kind[order]]
-    for k in np.unique(n[(n > 1) & (n <= 32)]).tolist():  # rare shingles: count their pairs
-        rows = owner[n_of == k].reshape(-1, k)
-        for i in range(k):
-            for j in range(i + 1, k):
-                np.add.at(common, (rows[:, i], rows[:, j]), 1)
-    common += common.T
-    many = np.flatnonzero(n > 32)
-    if len(many):  # frequent ones: count by matrix product, some columns at a time
-        name = np.full(len(n), -1)
-        name[many] = np.arange(len(many))
-        col = name[kind[order]]
-        for a in range(0, len(many), 2048):
-            mine = (col >= a) & (col < a + 2048)
-            x = np.zeros((m, min(2048, len(many) - a)), np.float32)
-            x[owner[mine], col[mine] - a] = 1
-            common += x @ x.T
-    adjacent = linked(common.astype(np.int64), size[:, None], size[None, :], percent)
-    root = np.full(m, -1)
-    for k in range(m):
-        if root[k] < 0:
-            todo = np.array([k])
-            while len(todo):
-                root[todo] = k
-                todo = np.flatnonzero(adjacent[todo].any(axis=0) & (root < 0))
+    owner = np.repeat(root, size)
+    shared = n[kind] > 1
+    # A set links to none unless others hold ``percent`` of its shingles.
+    live = np.flatnonzero(100 * np.bincount(owner[shared], minlength=len(sets)) >= percent * size)
+    place = np.full(len(sets), -1)
+    place[live] = np.arange(len(live))
+    shared &= place[owner] >= 0
+    if not shared.any():
+        return root
+    owner, size, m = place[owner[shared]], size[live], len(live)
+    _, kind, n = np.unique(kind[shared], return_inverse=True, return_counts=True)
+    by = np.argsort(n, kind="stable")  # shingles by how many sets hold them
+    rank = np.empty(len(n), np.int64)
+    rank[by] = np.arange(len(n))
+    kind, n = rank[kind], n[by]
+    holders = owner[np.argsort(kind, kind="stable")]
+    start = np.append(0, np.cumsum(n))
+    rare = int(np.searchsorted(n, 33))
+    few = kind < rare
+    owner, kind = owner[few], kind[few]
+    work = np.cumsum(m + np.bincount(owner, n[kind], m).astype(np.int64))
+    label, a = np.arange(m), 0
+    while a < m and (label[a:] != label[a]).any():
+        b = max(a + 1, int(np.searchsorted(work, (work[a - 1] if a else 0) + pairs, "right")))
+        mine = slice(*np.searchsorted(owner, [a, b]))
+        # Rare shingles: count their pairs.
+        times = n[kind[mine]]
+        at = np.repeat(start[kind[mine]] - np.append(0, np.cumsum(times)[:-1]), times) + np.arange(times.sum())
+        row, other = np.repeat(owner[mine] - a, times), holders[at] - a
+        later = other >= 0
+        common = np.bincount(row[later] * (m - a) + other[later], minlength=(b - a) * (m - a)).astype(np.float32).reshape(b - a, m - a)
+        for c in range(rare, len(n), 512):  # frequent ones: count by matrix product, some columns at a time
+            to = min(c + 512, len(n))
+            held, col = holders[start[c] : start[to]] - a, np.repeat(np.arange(to - c), n[c:to])
+            x = np.zeros((m - a, to - c), np.float32)
+            x[held[held >= 0], col[held >= 0]] = 1
+            common += x[: b - a] @ x.T
+        row, other = np.nonzero(common)
+        near = linked(common[row, other].astype(np.int64), size[a + row], size[a + other], percent)
+        row, other = row[near], other[near] + a
+        cuts = np.searchsorted(row, np.arange(b - a + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            own = label[other[cuts[k] : cuts[k + 1]]]
+            if (own != label[a + k]).any():
+                own = np.unique(np.append(own, label[a + k]))
+                label[np.isin(label, own)] = own[0]
+        a = b
+    root[live] = live[label]
     return root
 
 
+def _too_large(most: int, docs: int) -> Column:
+    """Of cells (``total, docs``): whether one task can not hold the sets, or compare all their pairs."""
+    return (F.col("total") > most) | (F.col("docs") > docs)
+
+
 def _join_blocks(
-    source: DataFrame, blocks: DataFrame, reps: DataFrame, width: int, percent: int, most: int, broadcast_rows: int
+    source: DataFrame, blocks: DataFrame, reps: DataFrame, width: int, percent: int, most: int, docs: int, broadcast_rows: int
 ) -> DataFrame:
     """Edges ``u, v`` that connect exactly the documents linked inside each block."""
     sized = blocks.join(reps.select(F.col("id").alias("node"), "n").dropDuplicates(["node"]), "node")
     weight = materialize(sized.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("docs")), "weights")
-    fits = blocks.join(weight.where(F.col("total") <= most).select("component"), "component", "left_semi")
+    fits = blocks.join(weight.where(~_too_large(most, docs)).select("component"), "component", "left_semi")
     edges = _join_cells(_with_sets(source, fits, width, broadcast_rows), percent)
-    large = weight.where(F.col("total") > most).select("component")
+    large = weight.where(_too_large(most, docs)).select("component")
     if not large.isEmpty():
         held = materialize(_with_sets(source, blocks.join(large, "component", "left_semi"), width, broadcast_rows), "large")
-        edges = edges.union(_voronoi(held, percent, most))
+        edges = edges.union(_voronoi(held, percent, most, docs))
     return materialize(edges, "links")
 
 
@@ -357,15 +386,15 @@ def _join_cells(held: DataFrame, percent: int) -> DataFrame:
     return held.repartition(n, "cell").sortWithinPartitions("cell", "id").mapInArrow(run, "u long, v long")
 
 
-def _voronoi(held: DataFrame, percent: int, most: int, pivots: int = 32, rounds: int = 8, far: float = 0.85) -> DataFrame:
+def _voronoi(held: DataFrame, percent: int, most: int, docs: int, pivots: int = 32, rounds: int = 8, far: float = 0.85) -> DataFrame:
     """Split large cells around pivot documents until each fits, and join all of them exactly."""
     radius, edges = 1 - percent / 100, None
     for depth in range(rounds):
         cells = materialize(held.groupBy("cell").agg(F.count("*").alias("docs"), F.sum(F.octet_length("set") / 8).alias("total")), "cells")
-        ready = held.join(cells.where(F.col("total") <= most).select("cell"), "cell", "left_semi")
+        ready = held.join(cells.where(~_too_large(most, docs)).select("cell"), "cell", "left_semi")
         more = _join_cells(ready, percent)
         edges = more if edges is None else edges.union(more)
-        large = materialize(cells.where(F.col("total") > most), "large-cells")
+        large = materialize(cells.where(_too_large(most, docs)), "large-cells")
         if large.isEmpty():
             return edges
         held = materialize(held.join(large.select("cell"), "cell", "left_semi"), "large")
@@ -377,9 +406,9 @@ def _voronoi(held: DataFrame, percent: int, most: int, pivots: int = 32, rounds:
             .groupBy("parent").agg(F.max(F.col("now") / F.col("total")).alias("share"), F.sum(F.col("now") / F.col("total")).alias("copies"))
         )
         stuck = materialize(shrunk.where("share > 0.9 OR copies > 8").select(F.col("parent").alias("cell")), "stuck")
-        edges = edges.union(_join_slices(held.join(stuck, "cell", "left_semi"), percent, most))
+        edges = edges.union(_join_slices(held.join(stuck, "cell", "left_semi"), percent, most, docs))
         held = parted.join(stuck.select(F.col("cell").alias("parent")), "parent", "left_anti").select("cell", "id", "set")
-    return edges.union(_join_slices(held, percent, most))
+    return edges.union(_join_slices(held, percent, most, docs))
 
 
 def _split(held: DataFrame, large: DataFrame, radius: float, pivots: int, depth: int, far: float) -> DataFrame:
@@ -429,10 +458,11 @@ def _window(by: str, *order):
     return Window.partitionBy(by).orderBy(*order)
 
 
-def _join_slices(held: DataFrame, percent: int, most: int) -> DataFrame:
+def _join_slices(held: DataFrame, percent: int, most: int, docs: int) -> DataFrame:
     """Cells that pivots don't split: every pair of their slices by hash is one cell of half a task each."""
-    sizes = held.groupBy("cell").agg(F.sum(F.octet_length("set") / 8).alias("total"))
-    sliced = held.join(sizes.select("cell", F.ceil(F.col("total") * 2 / most).cast("int").alias("n")), "cell").withColumn(
+    sizes = held.groupBy("cell").agg(F.sum(F.octet_length("set") / 8).alias("total"), F.count("*").alias("docs"))
+    slices = F.ceil(F.greatest(F.col("total") / most, F.col("docs") / docs) * 2).cast("int")
+    sliced = held.join(sizes.select("cell", slices.alias("n")), "cell").withColumn(
         "k", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
     )
     pairs = F.transform(
