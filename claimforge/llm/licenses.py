@@ -1,10 +1,11 @@
 """License scans by conditional compression.
 
-A block of lines that may state a license is compressed alone and then with each
-template as zstandard's raw dictionary; the templates are ranked by how much they
-shorten it. Going down that ranking, a template wins when the wording agrees: the
-differences are the words of the template that the block lacks and those it has
-in between. Short statements must have every word, long notices nearly all.
+At each cue, the text that a template may take around it is compressed alone and then
+with the template as zstandard's raw dictionary; templates that save too little of their
+own size are left out, the others are ranked by what they save. Of those whose wording
+around the cue agrees the one with most words wins, the first in the ranking if several
+have as many. The differences are the words of the template that the text lacks and those
+it has in between. Short statements must have every word, long notices nearly all.
 """
 
 from __future__ import annotations
@@ -59,6 +60,9 @@ NOTICES = {
 }
 CUE = re.compile(r"licen[cs]ed? |(?:released|distributed) under|licen[cs]es?\b|permission (?:is hereby|to use)|free software|SPDX-License-Identifier", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+_BLANK = re.compile(r"\n[^\S\n]*\n")
+# Code points around a template's share of the text: for marks of comments, and words cut by the edges.
+MARGIN = 16
 
 
 def templates() -> list[tuple[str, str]]:
@@ -81,7 +85,12 @@ class Scanner:
         self.given = [
             zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(t.encode(), raw), **plain) for _, t, _ in self.known
         ]
-        self.longest = max(len(t) for _, t, _ in self.known) * 3 // 2
+        self.own = [len(self.alone.compress(t.encode())) for _, t, _ in self.known]
+        # By what a cue reads: the templates that have it, with their text before and after its start.
+        self.having: dict[str, list[tuple[int, int, int]]] = {}
+        for k, (_, t, _) in enumerate(self.known):
+            for cue in CUE.finditer(t):
+                self.having.setdefault(cue[0].strip().lower(), []).append((k, cue.start(), len(t) - cue.start()))
 
     def find(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """``(start, end, license, missing words, extra words)`` in code points, left to right without overlap."""
@@ -89,56 +98,57 @@ class Scanner:
         for cue in CUE.finditer(text):
             if cue.start() < done:
                 continue
-            begin = max(text.rfind("\n", 0, cue.start()) + 1, done)
-            found = self._block(text, begin, cue.end())
-            if found:
+            if found := self._around(text, cue, done):
                 out.append(found)
                 done = found[1]
         return out
 
-    def _block(self, text: str, begin: int, cue_end: int) -> tuple | None:
-        """The best license of the lines from ``begin`` on: one line or, for long notices, up to a blank line."""
-        line_end = _line_end(text, cue_end)
-        ends, at = [line_end], line_end
-        while at < len(text) and at - begin < self.longest:
-            to = _line_end(text, at + 1)
-            if not text[at:to].strip():
-                break
-            at = to
-        if at > line_end:
-            ends.append(at)
-        for end in ends:
-            block = text[begin:end]
-            if won := self._judge(block):
-                kind, missing, extra, a, b = won
-                return begin + a, begin + b, kind, missing, extra
-        return None
-
-    def _judge(self, block: str) -> tuple | None:
-        data = block.encode()
-        size = len(self.alone.compress(data))
-        gains = [1 - len(c.compress(data)) / size for c in self.given]
+    def _around(self, text: str, cue: re.Match, done: int) -> tuple | None:
+        """The best license whose wording holds the cue: each template is judged on as much text as it may take, up to blank lines."""
+        sizes: dict[tuple[int, int], int] = {}
+        ranked = []
+        for k, before, after in self.having.get(cue[0].strip().lower(), ()):
+            begin, end = max(done, cue.start() - before * 3 // 2 - MARGIN), min(len(text), cue.start() + after * 3 // 2 + MARGIN)
+            for blank in _BLANK.finditer(text, begin, cue.start()):
+                begin = blank.end()
+            if blank := _BLANK.search(text, cue.end(), end):
+                end = blank.start()
+            data = text[begin:end].encode()
+            if (begin, end) not in sizes:
+                sizes[begin, end] = len(self.alone.compress(data))
+            saved = sizes[begin, end] - len(self.given[k].compress(data))
+            if saved >= self.least_gain * self.own[k]:
+                ranked.append((-saved, k, begin, end))
+        best, most = None, 0
+        for _, k, begin, end in sorted(ranked):
+            if found := self._confirm(k, text[begin:end], cue.start() - begin):
+                missing, extra, first, last = found
+                if (same := len(self.known[k][2]) - missing) > most:  # a statement may be a part of another
+                    best, most = (begin + first, begin + last, self.known[k][0], missing, extra), same
+        return best
+
+    def _confirm(self, k: int, block: str, cue: int) -> tuple | None:
+        """``(missing, extra, start, end)`` if the block words a template around the cue."""
+        theirs = self.known[k][2]
         spots = [(m[0], m.start(), m.end()) for m in _WORD.finditer(block.lower())]
         mine = [w for w, _, _ in spots]
-        for k in sorted(range(len(gains)), key=lambda k: (-gains[k], k)):
-            if gains[k] < self.least_gain:
-                break
-            kind, _, theirs = self.known[k]
-            same = [m for m in difflib.SequenceMatcher(None, theirs, mine, autojunk=False).get_matching_blocks() if m.size]
-            if not same:
-                continue
-            missing = len(theirs) - sum(m.size for m in same)
-            first, last = same[0].b, same[-1].b + same[-1].size
-            extra = last - first - sum(m.size for m in same)
-            most = self.most_missing * len(theirs) if len(theirs) >= self.long_words else 0
-            if missing <= most and extra <= most:
-                return kind, missing, extra, spots[first][1], spots[last - 1][2]
-        return None
-
-
-def _line_end(text: str, at: int) -> int:
-    end = text.find("\n", at)
-    return len(text) if end < 0 else end
+        if len(theirs) < self.long_words:  # every word, one after the other
+            for i in range(len(mine) - len(theirs) + 1):
+                if mine[i : i + len(theirs)] == theirs and spots[i][1] <= cue < spots[i + len(theirs) - 1][2]:
+                    return 0, 0, spots[i][1], spots[i + len(theirs) - 1][2]
+            return None
+        same = [m for m in difflib.SequenceMatcher(None, theirs, mine, autojunk=False).get_matching_blocks() if m.size]
+        most, found = self.most_missing * len(theirs), []
+        # Words of the text around it may match the template's missing first or last ones.
+        for i in range(len(same)):
+            hits = 0
+            for m in same[i:]:
+                hits += m.size
+                first, last = same[i].b, m.b + m.size
+                missing, extra = len(theirs) - hits, last - first - hits
+                if missing <= most and extra <= most and spots[first][1] <= cue < spots[last - 1][2]:
+                    found.append((missing + extra, missing, extra, spots[first][1], spots[last - 1][2]))
+        return min(found)[1:] if found else None
 
 
 @functools.lru_cache(maxsize=2)
