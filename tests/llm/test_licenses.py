@@ -1,5 +1,6 @@
-"""op3: statements inside long lines."""
+"""op3: statements inside long lines, and several on one line."""
 
+import itertools
 import random
 
 import pytest
@@ -26,6 +27,18 @@ def test_statements_inside_long_lines(size):
         assert [(f[2], f[0]) for f in found] == [(kind, len(before))], template
 
 
+def test_two_licenses_on_one_line():
+    known = licenses.templates()
+    for (one, first), (two, second) in itertools.product(known, known[::3]):
+        found = SCANNER.find(f"{first} {second}")
+        assert [f[2] for f in found] == [one, two], (first, second)
+
+
+def test_two_licenses_below_a_cue():
+    found = SCANNER.find("It has a license of its own,\nsee there. Licensed under the MIT License.\nLicensed under the GNU Affero General Public License, version 3.")
+    assert [f[2] for f in found] == ["MIT", "AGPL-3.0"]
+
+
 def test_notices_nearly_as_known():
     for kind, template in licenses.NOTICES.items():
         words = template.split()
