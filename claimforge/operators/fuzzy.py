@@ -54,25 +54,16 @@ def keyed(rows: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", most: int = 500) -> DataFrame:
-    """Pairs of rows of one group that may be alike: ``left_id < right_id``.
+    """All pairs of rows of one group: ``left_id < right_id``.
 
-    Groups of at most ``most`` rows give all their pairs, as the likeness of such groups
-    is defined. Larger ones are blocked: by tokens that at most ``most`` rows of the group
-    have, by the first two of a row's commoner tokens, and by the first three letters of the
-    key. A pair of a large group that shares none of these is not compared.
+    A group is dealt to slices of about ``most`` rows by hash of the identity, and each slice
+    meets each under a key of its own, so a large group is not one task.
     """
-    sized = rows.join(rows.groupBy(by).agg(F.count("*").alias("_n")), by).select(by, identity, "key", "_n")
-    side = lambda df, s: df.select(by, F.col(identity).alias(s), *([F.col("_b")] if "_b" in df.columns else []))
-    small = sized.where(F.col("_n") <= most)
-    pairs = side(small, "left_id").join(side(small, "right_id"), by).where("left_id < right_id").select(by, "left_id", "right_id")
-    large = sized.where(F.col("_n") > most)
-    tokens = large.select(by, identity, F.explode(F.array_distinct(F.split("key", " "))).alias("_b")).where("_b <> ''")
-    rare = tokens.join(tokens.groupBy(by, "_b").agg(F.count("*").alias("_k")), [by, "_b"])
-    common = rare.where(F.col("_k") > most).groupBy(by, identity).agg(F.concat_ws(" ", F.slice(F.sort_array(F.collect_set("_b")), 1, 2)).alias("_b"))
-    blocks = rare.where(F.col("_k") <= most).select(by, identity, "_b").union(common.select(by, identity, "_b"))
-    blocks = blocks.union(large.select(by, identity, F.concat(F.lit("^"), F.substring("key", 1, 3))))
-    more = side(blocks, "left_id").join(side(blocks, "right_id"), [by, "_b"]).where("left_id < right_id").select(by, "left_id", "right_id")
-    return pairs.union(more.distinct())
+    sized = rows.join(rows.groupBy(by).agg(F.ceil(F.count("*") / most).cast("int").alias("_n")), by)
+    sliced = sized.select(by, identity, F.pmod(F.xxhash64(identity), F.col("_n")).cast("int").alias("_k"), F.sequence(F.lit(0), F.col("_n") - 1).alias("_all"))
+    left = sliced.select(by, F.col(identity).alias("left_id"), F.col("_k").alias("_i"), F.explode("_all").alias("_j"))
+    right = sliced.select(by, F.col(identity).alias("right_id"), F.explode("_all").alias("_i"), F.col("_k").alias("_j"))
+    return left.join(right, [by, "_i", "_j"]).where("left_id < right_id").select(by, "left_id", "right_id")
 
 
 def score_pairs(pairs: DataFrame, rows: DataFrame, identity: str = "row_id", threshold: float = 85.0) -> DataFrame:
