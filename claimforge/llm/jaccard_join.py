@@ -1,24 +1,28 @@
 """Exact n-gram Jaccard self-join as a metric-space join.
 
-Jaccard distance is a metric, and two sets within ``radius`` of each other obey the
-triangle inequality around any pivot. The join goes through regions of three kinds:
-
-1. The first pivots are single shingles. Documents far from all others are at
-   distance 1 from any pivot document, so those cannot part a corpus; but a set is
-   nearer to a shingle it holds than to one it lacks. With all shingles ranked alike
-   (common ones last), sets within the radius share one of their first
-   ``n - ceil(t n) + 1``, so each document lies in the regions of those.
-2. Within regions, distances to 64 fixed pivots (the classes of shingles by hash)
-   bound the symmetric difference from below by the triangle inequality; pairs
-   beyond it are dropped. What is left joins documents into blocks: no link crosses
-   two blocks.
-3. A block that is too large for a task, by shingles or by documents, is dealt to the Voronoi cells of pivot
-   documents. A document also enters each cell whose pivot is at most twice the
-   radius farther than its own; documents far from all pivots form a cell of their
-   own, which near ones enter by the same window. Cells are split again until they
-   fit; a cell that pivots don't split is joined in pairs of slices.
-
-Cells are joined exactly, and their results meet in connected components.
+Jaccard distance is a metric, so two sets within ``radius`` of each other obey the
+triangle inequality around any pivot. Every run goes through these regions:
+
+1. A bounded sample of documents, thinned until no two are within twice the radius,
+   are the first pivots. Each set within ``near`` of a pivot belongs to the Voronoi
+   cell of its nearest one; the others form the far region.
+2. A set also enters the cell of each later pivot that is at most twice the radius
+   farther than its own, and the far region if it is more than ``near - radius`` from
+   its pivot. So two linked sets meet in the later one of their two cells.
+3. The far region is parted by a second metric, the difference of the logarithms of
+   set sizes, which is at most ``-log(threshold)`` for linked sets: Voronoi cells of
+   sampled sizes, with windows by the same rule.
+4. In a far cell all distances to pivots are nearly 1, where no triangle inequality
+   parts anything. There, sets that can link share one of their first ranked shingles,
+   distances to 64 fixed pivots (the classes of shingles by hash) drop pairs, and
+   what is left joins sets into sub-cells that no link crosses.
+5. A cell too large for a task, by shingles or by documents, gets pivots of its own
+   and is parted again by rules 1 and 2. One that pivots don't part is dense: all sets
+   that link with one pivot are one component already, and only the other sets are
+   compared, with each other and with those, in slices.
+
+Cells are joined exactly, and their results meet in connected components. Shingles are
+compared by 64-bit hashes of their words.
 """
 
 from __future__ import annotations
@@ -28,12 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimforge.llm import arrow
 from claimforge.llm.pretokens import mix, span_hashes
-from claimforge.llm.sampling import at_least
+from claimforge.llm.sampling import at_least, sample_ids
 from claimforge.operators.components import connected_components
 from claimforge.session import materialize
 
@@ -87,16 +91,83 @@ def linked(common: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np
     return 100 * common >= percent * (n + m - common)
 
 
+class Pivots:
+    """Pivot sets by shingle, to take what many sets have in common with each of them."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(p) for p in sets], np.int64)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        self.kinds, kind = np.unique(flat, return_inverse=True)
+        self.owner = np.repeat(np.arange(len(sets)), self.size)[np.argsort(kind, kind="stable")]
+        self.start = np.append(0, np.cumsum(np.bincount(kind, minlength=len(self.kinds))))
+
+    def common(self, sets: list[np.ndarray], most: int = 2_000_000) -> np.ndarray:
+        """Sizes of intersections, sets by pivots. ``most`` bounds what is counted at a time."""
+        k = len(self.size)
+        out = np.zeros(len(sets) * k, np.int64)
+        if not k or not sets:
+            return out.reshape(len(sets), k)
+        flat = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(self.kinds, flat), len(self.kinds) - 1)
+        hit = self.kinds[at] == flat
+        row, at = row[hit], at[hit]
+        times = self.start[at + 1] - self.start[at]
+        done = np.cumsum(times)
+        a = 0
+        while a < len(at):
+            b = max(a + 1, int(np.searchsorted(done, (done[a - 1] if a else 0) + most, "right")))
+            n = times[a:b]
+            pick = np.repeat(self.start[at[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out += np.bincount(np.repeat(row[a:b], n) * k + self.owner[pick], minlength=len(out))
+            a = b
+        return out.reshape(len(sets), k)
+
+    def distances(self, sets: list[np.ndarray]) -> np.ndarray:
+        common = self.common(sets)
+        n = np.array([len(x) for x in sets], np.int64)[:, None]
+        return 1 - common / np.maximum(n + self.size - common, 1)
+
+
+def thinned(sets: list[np.ndarray], apart: float, most: int) -> list[int]:
+    """Places of up to ``most`` sets, each farther than ``apart`` from those before it."""
+    d = Pivots(sets).distances(sets)
+    kept: list[int] = []
+    for k in range(len(sets)):
+        if len(kept) < most and (d[k, kept] > apart).all():
+            kept.append(k)
+    return kept
+
+
+def voronoi(distance: np.ndarray, radius: float, near: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of each row of a matrix of distances to pivots: ``row, cell``, a row's own cell first.
+
+    A row belongs to its nearest pivot, or to a far cell (numbered last) beyond ``near``. It
+    enters later cells where the triangle inequality allows a partner within ``radius``.
+    """
+    m, k = distance.shape
+    if not k:
+        return np.arange(m), np.zeros(m, np.int64)
+    own, least = distance.argmin(axis=1), distance.min(axis=1)
+    window = (distance <= least[:, None] + 2 * radius + 1e-9) & (np.arange(k) >= own[:, None])
+    if near is not None:
+        window &= (least <= near)[:, None]
+        window = np.column_stack([window, least > near - radius - 1e-9])
+    return np.nonzero(window)
+
+
 def jaccard_components(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    width: int = 4,
-    percent: int = 85,
+    width: int = 5,
+    percent: int = 80,
     ranked_shingles: int = 50_000,
     small_region: int = 16,
-    block_shingles: int = 2_000_000,
-    block_docs: int = 20_000,
+    pivots: int = 256,
+    near: float = 0.45,
+    cell_shingles: int = 2_000_000,
+    cell_docs: int = 2_000,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per row ``n_shingles`` and ``component_id``: the least id reachable over links, its own included.
@@ -104,19 +175,23 @@ def jaccard_components(
     Documents link when their sets' Jaccard similarity is at least ``percent`` / 100.
     Null and empty texts have no shingles and no links; their component is their own
     id. Rows that repeat an id count as one document with the links of each, rows with a null id
-    have a null component and link nothing, other columns are ignored. Only the order of shingles depends on
-    ``ranked_shingles`` (the commonest known, which rank last), not the result.
+    have a null component and link nothing, other columns are ignored. Which documents are
+    pivots (at most ``pivots``, of a sample of twice as many), which are ``near`` them, and how
+    many of the commonest shingles are known (``ranked_shingles``) changes no result.
     """
     source = arrow.in_small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     common = _common_shingles(source, width, percent, ranked_shingles)
-    sets = materialize(_ranked_sets(source, width, percent, common), "sets")
+    chosen, sizes = first_pivots(source, width, percent, pivots)
+    sets = materialize(dealt_sets(source, width, percent, common, chosen, sizes, near), "sets")
     able = sets.where("n > 0 AND id IS NOT NULL")
     same = materialize(able.groupBy("print").agg(F.min("id").alias("rep")), "prints")
     reps = able.join(same.select("print", F.col("rep").alias("id")), ["print", "id"], "left_semi")
     pairs = materialize(_candidates(reps, percent, small_region), "pairs")
-    edges = materialize(_near(pairs, reps, percent), "near")
-    blocks = materialize(connected_components(edges), "blocks")
-    links = _join_blocks(source, blocks, reps, width, percent, block_shingles, block_docs, broadcast_rows)
+    blocks = connected_components(materialize(_near(pairs, reps, percent), "near"))
+    blocks = blocks.select(F.col("node").alias("id"), F.concat(F.lit("far/"), "component").alias("cell"))
+    cells = reps.select("id", F.explode("cells").alias("k")).select("id", F.col("k").cast("string").alias("cell"))
+    cells = materialize(cells.union(blocks).distinct(), "cells")
+    links = _join_regions(source, cells, reps, width, percent, cell_shingles, cell_docs, near, broadcast_rows)
     roots = materialize(connected_components(links), "roots")
     least = (
         same.join(roots, F.col("rep") == F.col("node"), "left")
@@ -137,6 +212,32 @@ def jaccard_components(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
+def first_pivots(source: DataFrame, width: int, percent: int, most: int, longest: int = 16_384) -> tuple[list[np.ndarray], np.ndarray]:
+    """Pivot sets for the first cells, and logarithms of sizes for those of the far region.
+
+    From ``2 * most`` documents of least id hash; a set of more than ``longest`` shingles gives
+    only its size, so the driver holds a bounded number of bytes.
+    """
+    ids = sample_ids(source, "id", 2 * most)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for _, s in _sets_of(batch.column(1), width)]
+            raw = [s.tobytes() if len(s) <= longest else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(raw, pa.binary())], ["id", "n", "set"])
+
+    rows = source.where(F.col("id").isin(ids)).mapInArrow(run, "id long, n long, set binary").where("n > 0")
+    found = rows.dropDuplicates(["id"]).orderBy("id").limit(2 * most).collect()
+    radius = 1 - percent / 100
+    sets = list({bytes(r.set): np.frombuffer(bytes(r.set), np.uint64) for r in found if r.set is not None}.values())
+    chosen = [sets[k] for k in thinned(sets, 2 * radius, most)]
+    sizes: list[float] = []
+    for size in sorted({float(np.log(r.n)) for r in found}):
+        if not sizes or size - sizes[-1] >= np.log(4):
+            sizes.append(size)
+    return chosen, np.array(sizes)
+
+
 def _common_shingles(source: DataFrame, width: int, percent: int, most: int) -> dict[int, int]:
     """Document counts, over all documents, of up to ``most`` of the commonest shingles among the first by hash."""
 
@@ -152,48 +253,70 @@ def _common_shingles(source: DataFrame, width: int, percent: int, most: int) ->
     return {r.s & 0xFFFFFFFFFFFFFFFF: r.n for r in top}
 
 
-def _ranked_sets(source: DataFrame, width: int, percent: int, common: dict[int, int]) -> DataFrame:
-    """Per row: id, set size, a print of the set, its first shingles by (count, hash), counts by class."""
+def dealt_sets(
+    source: DataFrame, width: int, percent: int, common: dict[int, int], chosen: list[np.ndarray], sizes: np.ndarray, near: float
+) -> DataFrame:
+    """Per row: id, set size, a print of the set, its Voronoi cells, own first, and its cells in the far region.
+
+    Sets in the far region have their first shingles by (count, hash) and counts by class as well.
+    """
     keys = np.array(sorted(common), np.uint64)
     counts = np.array([common[k] for k in keys.tolist()], np.int64)
-    shared = source.sparkSession.sparkContext.broadcast((keys, counts))
+    shared = source.sparkSession.sparkContext.broadcast((keys, counts, chosen))
+    radius, ratio = 1 - percent / 100, -np.log(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = shared.value
+        keys, counts, chosen = shared.value
+        pivots, k = Pivots(chosen), len(chosen)
         for batch in batches:
-            prints, first, classes, sizes = [], [], [], []
-            for _, s in _sets_of(batch.column(1), width):
-                sizes.append(len(s))
-                prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
-                    rank = np.where(keys[at] == s, counts[at], 0)
-                    s = s[np.argsort(rank, kind="stable")] if rank.any() else s
-                first.append(s[: _first_ranked(len(s), percent)].view(np.int64))
-                by = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES)
-                classes.append(np.minimum(by, 255).astype(np.uint8).tobytes())
-            cuts = np.append(0, np.cumsum([len(f) for f in first]))
-            flat = np.concatenate(first) if first else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64())), pa.array(classes, pa.binary()),
-                ],
-                ["id", "n", "print", "first", "classes"],
-            )
-
-    return source.mapInArrow(run, "id long, n long, print binary, first array<long>, classes binary")
+            for a, b, data, ends in arrow.slices(batch.column(1), 1 << 20):
+                sets = shingle_sets(data, ends, width)
+                n = np.array([len(s) for s in sets], np.int64)
+                row, cell = voronoi(pivots.distances(sets), radius, near)
+                is_far = np.isin(np.arange(len(sets)), row[cell == k]) & (n > 0)
+                row, cell = row[cell < k], cell[cell < k]
+                apart = np.abs(np.log(np.maximum(n, 1))[:, None] - sizes)
+                by_size, region = voronoi(apart, ratio)
+                by_size, region = by_size[is_far[by_size]], region[is_far[by_size]]
+                prints, first, classes = [], [], []
+                for s, ranked in zip(sets, is_far.tolist()):
+                    prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                    by = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES) if ranked else np.zeros(CLASSES, np.int64)
+                    classes.append(np.minimum(by, 255).astype(np.uint8).tobytes())
+                    if ranked and len(keys):
+                        at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+                        rank = np.where(keys[at] == s, counts[at], 0)
+                        s = s[np.argsort(rank, kind="stable")] if rank.any() else s
+                    first.append(s[: _first_ranked(len(s), percent) if ranked else 0].view(np.int64))
+                lists = [_lists(row, cell, len(sets), pa.int32()), _lists(by_size, region, len(sets), pa.int32())]
+                owner = np.repeat(np.arange(len(sets)), [len(f) for f in first])
+                lists.append(_lists(owner, np.concatenate(first), len(sets), pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), pa.array(n), pa.array(prints, pa.binary()), *lists, pa.array(classes, pa.binary())],
+                    ["id", "n", "print", "cells", "regions", "first", "classes"],
+                )
+
+    kinds = "id long, n long, print binary, cells array<int>, regions array<int>, first array<long>, classes binary"
+    return source.mapInArrow(run, kinds)
+
+
+def _lists(row: np.ndarray, value: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
+    """One list per row out of values in the order of their rows."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), pa.array(value, kind))
 
 
 def _candidates(reps: DataFrame, percent: int, small: int) -> DataFrame:
-    """Pairs of documents in the same region: ``u, v, sure``.
+    """Pairs of documents of a far cell that share a first shingle: ``u, v, sure``.
 
-    Small regions give all pairs that sizes and ranks allow. Larger ones give the
+    The sets of a cell with one shingle are a region here. Small regions give all pairs that sizes and ranks allow. Larger ones give the
     chain of documents by size, cut where sizes differ too much: it holds the region
     together without its pairs, and ``sure`` keeps it from the distance test.
     """
     n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = reps.select("id", F.col("n").cast("int").alias("n"), F.posexplode("first").alias("at", "s"))
+    rows = (
+        reps.select("id", F.col("n").cast("int").alias("n"), "first", F.explode("regions").alias("region"))
+        .select("id", "n", "region", F.posexplode("first").alias("at", "s")).withColumn("s", F.col("s").bitwiseXOR(F.xxhash64("region")))
+    )
 
     def pairs(s: np.ndarray, doc: np.ndarray, n: np.ndarray, at: np.ndarray, chain: bool) -> tuple[np.ndarray, ...]:
         begin = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
@@ -244,9 +367,10 @@ def _pairs_batch(u: np.ndarray, v: np.ndarray, sure: np.ndarray) -> pa.RecordBat
 
 def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs whose distances to the class pivots allow a link."""
-    side = lambda c: reps.select(
+    # An id with several texts is in here with each of them.
+    side = lambda c: reps.where(F.size("first") > 0).select(
         F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("classes").alias(f"classes_{c}")
-    ).dropDuplicates([c])
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,24 +451,24 @@ def _too_large(most: int, docs: int) -> Column:
     return (F.col("total") > most) | (F.col("docs") > docs)
 
 
-def _join_blocks(
-    source: DataFrame, blocks: DataFrame, reps: DataFrame, width: int, percent: int, most: int, docs: int, broadcast_rows: int
+def _join_regions(
+    source: DataFrame, cells: DataFrame, reps: DataFrame, width: int, percent: int, most: int, docs: int, near: float, broadcast_rows: int
 ) -> DataFrame:
-    """Edges ``u, v`` that connect exactly the documents linked inside each block."""
-    sized = blocks.join(reps.select(F.col("id").alias("node"), "n").dropDuplicates(["node"]), "node")
-    weight = materialize(sized.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("docs")), "weights")
-    fits = blocks.join(weight.where(~_too_large(most, docs)).select("component"), "component", "left_semi")
+    """Edges ``u, v`` that connect exactly the documents linked inside each of ``cells (id, cell)``."""
+    sized = cells.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id")
+    weight = materialize(sized.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).where("docs > 1"), "weights")
+    fits = cells.join(weight.where(~_too_large(most, docs)).select("cell"), "cell", "left_semi")
     edges = _join_cells(_with_sets(source, fits, width, broadcast_rows), percent)
-    large = weight.where(_too_large(most, docs)).select("component")
+    large = weight.where(_too_large(most, docs))
     if not large.isEmpty():
-        held = materialize(_with_sets(source, blocks.join(large, "component", "left_semi"), width, broadcast_rows), "large")
-        edges = edges.union(_voronoi(held, percent, most, docs))
+        held = materialize(_with_sets(source, cells.join(large.select("cell"), "cell", "left_semi"), width, broadcast_rows), "large")
+        edges = edges.union(_part(held, percent, most, docs, near))
     return materialize(edges, "links")
 
 
 def _with_sets(source: DataFrame, cells: DataFrame, width: int, broadcast_rows: int) -> DataFrame:
-    """``cell, id, set`` (sorted hashes as bytes) of the documents in ``cells (node, component)``."""
-    wanted = cells.select(F.col("node").alias("id"), F.col("component").cast("string").alias("cell"))
+    """``cell, id, set`` (sorted hashes as bytes) of the documents in ``cells (id, cell)``."""
+    wanted = cells.select("id", "cell")
     if wanted.count() <= broadcast_rows:
         wanted = F.broadcast(wanted)
 
@@ -386,91 +510,131 @@ def _join_cells(held: DataFrame, percent: int) -> DataFrame:
     return held.repartition(n, "cell").sortWithinPartitions("cell", "id").mapInArrow(run, "u long, v long")
 
 
-def _voronoi(held: DataFrame, percent: int, most: int, docs: int, pivots: int = 32, rounds: int = 8, far: float = 0.85) -> DataFrame:
-    """Split large cells around pivot documents until each fits, and join all of them exactly."""
-    radius, edges = 1 - percent / 100, None
+def _part(held: DataFrame, percent: int, most: int, docs: int, near: float, pivots: int = 32, rounds: int = 8) -> DataFrame:
+    """Part large cells ``cell, id, set`` around pivots of their own until each fits, and join all of them exactly."""
+    edges = None
+    add = lambda more: more if edges is None else edges.union(more)
     for depth in range(rounds):
-        cells = materialize(held.groupBy("cell").agg(F.count("*").alias("docs"), F.sum(F.octet_length("set") / 8).alias("total")), "cells")
-        ready = held.join(cells.where(~_too_large(most, docs)).select("cell"), "cell", "left_semi")
-        more = _join_cells(ready, percent)
-        edges = more if edges is None else edges.union(more)
-        large = materialize(cells.where(_too_large(most, docs)), "large-cells")
+        cells = held.groupBy("cell").agg(F.count("*").alias("docs"), F.sum(F.octet_length("set") / 8).alias("total"))
+        cells = materialize(cells.where("docs > 1"), "cells")
+        ready = cells.where(~_too_large(most, docs)).select("cell")
+        edges = add(_join_cells(held.join(ready, "cell", "left_semi"), percent))
+        large = cells.where(_too_large(most, docs))
         if large.isEmpty():
             return edges
-        held = materialize(held.join(large.select("cell"), "cell", "left_semi"), "large")
         edges = materialize(edges, "cell-links")
-        parted = materialize(_split(held, large, radius, pivots, depth, far), "parted")
+        parted = materialize(_split(held.join(large.select("cell"), "cell", "left_semi"), large, percent, most, docs, near, pivots, depth), "parted")
+        size = F.octet_length("set")
         shrunk = (
-            parted.groupBy("cell", "parent").agg(F.sum(F.octet_length("set") / 8).alias("now"))
-            .join(large.select(F.col("cell").alias("parent"), "total"), "parent")
-            .groupBy("parent").agg(F.max(F.col("now") / F.col("total")).alias("share"), F.sum(F.col("now") / F.col("total")).alias("copies"))
+            parted.groupBy("parent", "cell").agg(F.sum(size).alias("now"), F.sum(F.when(F.col("own"), size).otherwise(0)).alias("own"))
+            .groupBy("parent").agg(F.max("now").alias("largest"), F.sum("now").alias("now"), F.sum("own").alias("was"))
         )
-        stuck = materialize(shrunk.where("share > 0.9 OR copies > 8").select(F.col("parent").alias("cell")), "stuck")
-        edges = edges.union(_join_slices(held.join(stuck, "cell", "left_semi"), percent, most, docs))
-        held = parted.join(stuck.select(F.col("cell").alias("parent")), "parent", "left_anti").select("cell", "id", "set")
-    return edges.union(_join_slices(held, percent, most, docs))
-
-
-def _split(held: DataFrame, large: DataFrame, radius: float, pivots: int, depth: int, far: float) -> DataFrame:
-    """Deal each large cell's documents to its pivots' cells and windows: ``parent, cell, id, set``."""
-    spark = held.sparkSession
-    hashed = F.pmod(F.xxhash64("id", F.lit(depth)), F.col("docs"))
-    near = held.join(large.select("cell", "docs"), "cell").where(hashed < 4 * pivots)
-    order = F.row_number().over(_window("cell", F.xxhash64("id", F.lit(depth)), "id"))
-    chosen = near.withColumn("k", order).where(F.col("k") <= pivots)
-    # A bounded number of pivots for each cell of more than ``most`` shingles.
-    known: dict[str, list[np.ndarray]] = {}
-    for r in chosen.select("cell", "set").toLocalIterator():
-        known.setdefault(r.cell, []).append(np.frombuffer(bytes(r.set), np.uint64))
-    shared = spark.sparkContext.broadcast(known)
+        stuck = materialize(shrunk.where("largest > 0.9 * was OR now > 8 * was").select("parent"), "stuck")
+        dense = parted.where("own").join(stuck, "parent", "left_semi").select(F.col("parent").alias("cell"), "id", "set", "links")
+        edges = edges.union(_join_dense(dense, percent, most, docs))
+        held = parted.join(stuck, "parent", "left_anti").select("cell", "id", "set")
+    return add(_join_dense(held.withColumn("links", F.lit(0).cast("long")), percent, most, docs))
+
+
+def _split(
+    held: DataFrame, large: DataFrame, percent: int, most: int, docs: int, near: float, pivots: int, depth: int
+) -> DataFrame:
+    """Deal each large cell's documents to the Voronoi cells and windows of its pivots.
+
+    Rows ``parent, cell, id, set, own, links``: one for each cell, of which one is ``own``;
+    ``links`` has a bit for each candidate pivot that the document links with. Candidates are
+    up to ``pivots`` documents of least hash, as far as they have ``most`` shingles together. A
+    cell is dealt to several tasks, each of which gets the candidates; none passes the driver.
+    """
+    n = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    radius = 1 - percent / 100
+    tasks = F.ceil(F.greatest(F.col("total") / most, F.col("docs") / docs)).cast("int")
+    large = large.select("cell", "docs", tasks.alias("tasks"))
+    mixed = F.xxhash64("id", F.lit(depth))
+    few = held.join(large, "cell").where(F.pmod(mixed, F.col("docs")) < 4 * pivots)  # about that many rows a cell
+    order = Window.partitionBy("cell").orderBy(mixed, "id", "set")
+    few = few.withColumns({"k": F.row_number().over(order), "sum": F.sum(F.octet_length("set") / 8).over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    few = few.where((F.col("k") <= pivots) & ((F.col("sum") <= most) | (F.col("k") == 1)))
+    leading = few.select("cell", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), "k", "id", "set")
+    own = held.join(large, "cell").select(
+        "cell", F.pmod(F.xxhash64("id", "set"), F.col("tasks")).cast("int").alias("task"), F.lit(None).cast("int").alias("k"), "id", "set"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        now, leads, known, chosen = None, [], None, []
         for batch in batches:
-            parents, cells, ids, raws = [], [], [], []
-            for cell, number, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                mine = np.frombuffer(raw, np.uint64)
-                d = []
-                for p in known[cell]:
-                    at = np.minimum(np.searchsorted(p, mine), len(p) - 1)
-                    common = int((p[at] == mine).sum())
-                    d.append(1 - common / (len(p) + len(mine) - common))
-                d = np.array(d)
-                names = [] if d.min() > far else np.flatnonzero(d <= d.min() + 2 * radius + 1e-9).tolist()
-                if d.min() > far - radius - 1e-9:
-                    names.append("far")
-                for k in names:
-                    parents.append(cell)
-                    cells.append(f"{cell}/{k}")
-                    ids.append(number)
-                    raws.append(raw)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parents, pa.string()), pa.array(cells, pa.string()), pa.array(ids, pa.int64()), pa.array(raws, pa.binary())],
-                ["parent", "cell", "id", "set"],
-            )
-
-    return held.select("cell", "id", "set").mapInArrow(run, "parent string, cell string, id long, set binary")
-
-
-def _window(by: str, *order):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(by).orderBy(*order)
-
-
-def _join_slices(held: DataFrame, percent: int, most: int, docs: int) -> DataFrame:
-    """Cells that pivots don't split: every pair of their slices by hash is one cell of half a task each."""
-    sizes = held.groupBy("cell").agg(F.sum(F.octet_length("set") / 8).alias("total"), F.count("*").alias("docs"))
-    slices = F.ceil(F.greatest(F.col("total") / most, F.col("docs") / docs) * 2).cast("int")
-    sliced = held.join(sizes.select("cell", slices.alias("n")), "cell").withColumn(
-        "k", F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
+            cells, tasks, ks, ids, raws = (c.to_pylist() for c in batch.columns)
+            at = 0
+            while at < len(cells):
+                if (cells[at], tasks[at]) != now:
+                    now, leads, known = (cells[at], tasks[at]), [], None
+                if ks[at] is not None:
+                    leads.append(np.frombuffer(raws[at], np.uint64))
+                    at += 1
+                    continue
+                if known is None:
+                    known, chosen = Pivots(leads), thinned(leads, 2 * radius, len(leads))
+                to, size = at, 0
+                while to < len(cells) and (cells[to], tasks[to]) == now and (to == at or size < 8 << 20):
+                    size += len(raws[to])
+                    to += 1
+                yield _dealt(now[0], ids[at:to], raws[at:to], known, chosen, percent, near)
+                at = to
+
+    return (
+        leading.union(own).repartition(n, "cell", "task").sortWithinPartitions("cell", "task", F.col("k").asc_nulls_last())
+        .mapInArrow(run, "parent string, cell string, id long, set binary, own boolean, links long")
+    )
+
+
+def _dealt(parent: str, ids: list[int], raws: list[bytes], known: Pivots, chosen: list[int], percent: int, near: float) -> pa.RecordBatch:
+    sets = [np.frombuffer(r, np.uint64) for r in raws]
+    common = known.common(sets)
+    n = np.array([len(s) for s in sets], np.int64)[:, None]
+    row, cell = voronoi((1 - common / (n + known.size - common))[:, chosen], 1 - percent / 100, near)
+    links = (linked(common, n, known.size, percent).astype(np.int64) << np.arange(len(known.size))).sum(axis=1)
+    row_list = row.tolist()
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([parent] * len(row), pa.string()), pa.array([f"{parent}/{c}" for c in cell.tolist()], pa.string()),
+            pa.array([ids[r] for r in row_list], pa.int64()), pa.array([raws[r] for r in row_list], pa.binary()),
+            pa.array(np.append(True, row[1:] != row[:-1])[: len(row)]), pa.array(links[row]),
+        ],
+        ["parent", "cell", "id", "set", "own", "links"],
+    )
+
+
+def _join_dense(held: DataFrame, percent: int, most: int, docs: int) -> DataFrame:
+    """Edges of cells ``cell, id, set, links`` that pivots don't part.
+
+    The documents that link with the best pivot, the core, are linked through it. Slices of
+    the others meet each other and slices of the core, two of half a task each in a cell.
+    """
+    bit = F.explode(F.sequence(F.lit(0), F.lit(62)))
+    bits = held.where("links <> 0").select("cell", "links", bit.alias("bit")).where("(shiftright(links, bit) & 1) = 1")
+    best = bits.groupBy("cell", "bit").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max_by("bit", F.struct("n", "bit")).alias("bit"))
+    rows = held.join(best, "cell", "left").withColumn("core", F.coalesce(F.expr("(shiftright(links, bit) & 1) = 1"), F.lit(False)))
+    rows = materialize(rows.select("cell", "id", "set", "core"), "dense")
+    share = lambda of: F.ceil(
+        2 * F.greatest(F.sum(F.when(of, F.octet_length("set") / 8)) / most, F.count(F.when(of, 1)) / docs)
     )
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("n") - 1),
-        lambda j: F.concat_ws("/", "cell", F.lit("slices"), F.least("k", j).cast("string"), F.greatest("k", j).cast("string")),
+    sizes = rows.groupBy("cell").agg(
+        F.coalesce(share(~F.col("core")), F.lit(0)).cast("int").alias("others"), F.coalesce(share(F.col("core")), F.lit(0)).cast("int").alias("cores"),
+        F.min(F.when(F.col("core"), F.col("id"))).alias("root"),
+    )
+    sizes = materialize(sizes, "slices")
+    star = rows.where("core").join(sizes, "cell").where("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v"))
+    sliced = rows.join(sizes.where("others > 0"), "cell").withColumn(
+        "k", F.pmod(F.xxhash64("id", "set"), F.when(F.col("core"), F.col("cores")).otherwise(F.col("others"))).cast("int")
     )
-    return _join_cells(sliced.select(F.explode(pairs).alias("cell"), "id", "set"), percent)
+    count = lambda n: F.filter(F.sequence(F.lit(0), n), lambda j: j < n)  # noqa: E731  0 to n - 1, nothing for n = 0
+    name = lambda kind, i, j: F.concat_ws("/", "cell", F.lit(kind), i.cast("string"), j.cast("string"))
+    k, others, cores = F.col("k"), F.col("others"), F.col("cores")
+    among = F.transform(F.filter(count(others), lambda j: (j != k) | ((others == 1) & (cores == 0))), lambda j: name("others", F.least(k, j), F.greatest(k, j)))
+    across = F.transform(count(cores), lambda j: name("core", k, j))
+    met = F.when(F.col("core"), F.transform(count(others), lambda i: name("core", i, k))).otherwise(F.concat(among, across))
+    return star.union(_join_cells(sliced.select(F.explode(met).alias("cell"), "id", "set"), percent))
 
 
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), width=4, percent=85)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from claimforge.llm import jaccard_join
 
@@ -44,11 +45,69 @@ def test_roots_within_is_exact(pairs):
         assert Counter(enumerate(jaccard_join.roots_within(sets_of(texts), 85, pairs).tolist())) == want
 
 
-def test_blocks_of_many_documents_are_split(documents, monkeypatch):
+def test_voronoi_windows_lose_no_link():
+    rng = random.Random(11)
+    sets = [np.unique(np.array(rng.sample(range(40), rng.randint(1, 30)), np.uint64)) for _ in range(300)]
+    near = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b))
+    for limit in (None, 0.3, 0.45):
+        chosen = [sets[k] for k in jaccard_join.thinned(sets[:40], 0.3, 40)]
+        row, cell = jaccard_join.voronoi(jaccard_join.Pivots(chosen).distances(sets), 0.15, limit)
+        of = [set(cell[row == k].tolist()) for k in range(len(sets))]
+        own = [int(cell[row == k][0]) for k in range(len(sets))]
+        for a in range(len(sets)):
+            for b in range(a):
+                if near(sets[a], sets[b]):
+                    assert max(own[a], own[b]) in of[a] & of[b]
+
+
+@pytest.mark.parametrize("most", [1, 50, 2_000_000])
+def test_distances_to_pivots(most):
+    rng = random.Random(12)
+    sets = [np.unique(np.array([rng.randrange(30) for _ in range(rng.randint(0, 25))], np.uint64)) for _ in range(60)]
+    got = jaccard_join.Pivots(sets[:20]).common(sets, most)
+    assert got.tolist() == [[len(np.intersect1d(a, p)) for p in sets[:20]] for a in sets]
+
+
+def test_every_run_has_cells_and_windows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    chosen, sizes = jaccard_join.first_pivots(docs, 4, 85, 32)
+    out = jaccard_join.dealt_sets(docs, 4, 85, {}, chosen, sizes, 0.45)
+    cells = out.select("id", F.posexplode("cells").alias("at", "cell")).collect()
+    regions = out.select("id", F.posexplode("regions").alias("at", "region")).collect()
+    assert len({r.cell for r in cells}) > 20 and len({r.region for r in regions}) > 2
+    assert any(r.at for r in regions)
+    # Who has no cell lies in the far region, and some lie in both.
+    assert {r.id for r in cells} | {r.id for r in regions} == {r.id for r in out.where("n > 0").select("id").collect()}
+
+
+@pytest.mark.parametrize("limits", [{"cell_docs": 100}, {"cell_docs": 40, "pivots": 3}])
+def test_large_cells_are_parted(documents, monkeypatch, limits):
     rows = [(k, f"a b c d e f g h i w{k // 2}" + " z" * (k % 2)) for k in range(300)]
+    rows += [(1000 + k, " ".join(f"v{j}" for j in range(60)) + f" x{k} y{k} z{k // 3}") for k in range(150)]
     asked = []
-    split = jaccard_join._voronoi
-    monkeypatch.setattr(jaccard_join, "_voronoi", lambda *a, **k: asked.append(1) or split(*a, **k))
-    out = jaccard_join.jaccard_components(documents(rows), block_docs=100).collect()
+    part = jaccard_join._part
+    monkeypatch.setattr(jaccard_join, "_part", lambda *a, **k: asked.append(1) or part(*a, **k))
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, **limits).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
     assert asked
+
+
+def test_dense_cells_without_a_core(documents):
+    """Copies of which no two link, and some that do."""
+    base = [f"v{j}" for j in range(40)]
+    rows = []
+    for k in range(60):
+        mine = list(base)
+        mine[k % 38] = f"o{k}"
+        mine[(k * 7 + 5) % 38] = f"p{k}"
+        rows.append((k, " ".join(mine)))
+    rows += [(100, rows[5][1] + " end"), (101, rows[17][1] + " end")]
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, cell_docs=10, pivots=4).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+
+
+def test_one_id_with_a_long_and_a_short_text(documents):
+    near = " ".join(f"w{k}" for k in range(30))
+    rows = [(5, " ".join(f"q{k}" for k in range(90))), (5, near), (9, near + " more")]
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85).collect()
+    assert {r.component_id for r in out} == {5}

@@ -87,10 +87,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"block_shingles": 150, "small_region": 2, "ranked_shingles": 3, "broadcast_rows": 0}])
+@pytest.mark.parametrize("limits", [{}, {"cell_shingles": 150, "small_region": 2, "ranked_shingles": 3, "broadcast_rows": 0}, {"cell_docs": 3, "pivots": 2}, {"pivots": 0}])
 def test_near(documents, limits):
     rows = near_rows()
-    out = jaccard_join.jaccard_components(documents(rows), **limits).collect()
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, **limits).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
 
 
@@ -106,7 +106,7 @@ def test_near_of_nothing(nothing):
 
 def test_cells_that_pivots_do_not_split(spark, documents):
     rows = [(i, f"x{i} " + " ".join(f"w{k}" for k in range(30))) for i in range(40)]
-    out = jaccard_join.jaccard_components(documents(rows), block_shingles=200)
+    out = jaccard_join.jaccard_components(documents(rows), cell_shingles=200)
     assert {r.component_id for r in out.collect()} == {0}
 
 
