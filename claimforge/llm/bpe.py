@@ -3,7 +3,7 @@
 Frequent words with their ids are compiled into a minimal acyclic transducer: the
 automaton shares prefixes and suffixes, and the numbers on its edges add up to the
 word's place in the id table. It is written once, shipped as a file and memory-mapped
-by every worker. Words outside it are merged pair by pair by rank. The lexicon only
+by every worker. Words outside it are merged pair by pair by rank, many words side by side. The lexicon only
 saves time: every word's ids are those of the merges.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import heapq
 import io
 import json
 import os
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimforge.llm import arrow, pretokens
-from claimforge.llm.sampling import sample_ids
-from claimforge.session import shared_folder
+from claimforge.llm.sampling import at_least
+from claimforge.session import materialize, shared_folder
 
 
 class Merges:
@@ -51,26 +52,68 @@ class Merges:
         self.length = np.array([len(self.bytes_of.get(i, b"")) for i in range(n)], np.int64)
         self.first = np.cumsum(self.length) - self.length
         self.all_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(n)), np.uint8)
+        self.of_byte = np.array([-1 if i is None else i for i in self.single], np.int64)
+        table = np.array(sorted((a * n + b, rank, made) for (a, b), (rank, made) in self.pairs.items()), np.int64).reshape(-1, 3)
+        self.pair_keys, self.pair_ranks, self.pair_ids = table.T.copy() if len(table) else np.array([[-2], [1], [0]])
 
     def ids(self, word: bytes) -> list[int]:
-        """Merge the neighbouring pair of least rank, leftmost first, until none is left."""
-        parts, pairs = [self.single[b] for b in word], self.pairs
-        none = (len(pairs), 0)
-        while len(parts) > 1:
-            ranked = [pairs.get(p, none) for p in zip(parts, parts[1:])]
-            best = min(ranked)
-            if best is none:
-                break
-            made, k, n = [], 0, len(parts)
-            while k < n:
-                if k + 1 < n and ranked[k] == best:
-                    made.append(best[1])
-                    k += 2
-                else:
-                    made.append(parts[k])
-                    k += 1
-            parts = made
-        return parts
+        """Merge the neighbouring pair of least rank, leftmost first, until none is left: n log n steps for n bytes."""
+        parts = [self.single[b] for b in word]
+        n, pairs = len(parts), self.pairs
+        before, after, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
+        heap = [(pairs[p][0], k, p) for k, p in enumerate(zip(parts, parts[1:])) if p in pairs]
+        heapq.heapify(heap)
+        while heap:
+            _, k, pair = heapq.heappop(heap)
+            right = after[k]
+            if not alive[k] or right == n or (parts[k], parts[right]) != pair:
+                continue  # one of the two has been merged since
+            parts[k], alive[right] = pairs[pair][1], False
+            after[k] = after[right]
+            if after[k] < n:
+                before[after[k]] = k
+            for left, other in ((before[k], k), (k, after[k])):
+                if left >= 0 and other < n and (made := (parts[left], parts[other])) in pairs:
+                    heapq.heappush(heap, (pairs[made][0], left, made))
+        return [p for p, a in zip(parts, alive) if a]
+
+    def ids_of_all(self, words: list[bytes], longest: int = 64) -> list[bytes]:
+        """Ids of many words as little-endian 32-bit numbers: short words are merged side by side, a merge of each in every step."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        out = [b""] * len(words)
+        for k in np.flatnonzero(size > longest).tolist():
+            out[k] = array("i", self.ids(words[k])).tobytes()
+        short = np.flatnonzero((size > 0) & (size <= longest))
+        if not len(short):
+            return out
+        part = self.of_byte[np.frombuffer(b"".join([words[k] for k in short.tolist()]), np.uint8)]
+        word = np.repeat(np.arange(len(short)), size[short])
+        ready: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(part):
+            key = np.append(part[:-1] * len(self.length) + part[1:], -1)
+            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+            last = np.append(word[1:] != word[:-1], True)
+            rank = np.where((self.pair_keys[at] == key) & ~last, self.pair_ranks[at], len(self.pair_keys))
+            first = np.flatnonzero(np.append(True, last[:-1]))
+            least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(part))))
+            live = least < len(self.pair_keys)
+            ready.append((word[~live], part[~live]))
+            hit = live & (rank == least)
+            # Of equal pairs that overlap, the first, the third and so on.
+            run = np.flatnonzero(hit & ~np.append(False, hit[:-1]))
+            if len(run):
+                spot = np.flatnonzero(hit)
+                hit[spot[(spot - run[np.searchsorted(run, spot, "right") - 1]) % 2 == 1]] = False
+            part = np.where(hit, self.pair_ids[at], part)
+            left = live & ~np.append(False, hit[:-1])
+            part, word = part[left], word[left]
+        word, part = (np.concatenate(x) for x in zip(*ready))
+        by = np.argsort(word, kind="stable")
+        raw = part[by].astype("<i4").tobytes()
+        cut = (4 * np.append(0, np.cumsum(np.bincount(word, minlength=len(short))))).tolist()
+        for k, x, y in zip(short.tolist(), cut, cut[1:]):
+            out[k] = raw[x:y]
+        return out
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of all ids, one after the other."""
@@ -173,20 +216,17 @@ class Encoder:
             size = np.fromiter(map(len, words), np.int64, len(words))
             data = np.frombuffer(b"".join(words), np.uint8)
             row = self.lexicon.rows(data, np.cumsum(size) - size, size)
-            raw, cut = self.lexicon.table.tobytes(), (self.lexicon.bounds * 4).tolist()
-            for k, r in enumerate(row.tolist()):
-                if r >= 0:
-                    out[k] = raw[cut[r] : cut[r + 1]]
+            held = np.flatnonzero(row >= 0)
+            raw, bounds = memoryview(self.lexicon.table).cast("B"), self.lexicon.bounds
+            for k, a, b in zip(held.tolist(), (4 * bounds[row[held]]).tolist(), (4 * bounds[row[held] + 1]).tolist()):
+                out[k] = bytes(raw[a:b])
         known = self.known
-        for k, word in enumerate(words):
-            if out[k] is None:
-                ids = known.get(word)
-                if ids is None:
-                    if len(known) >= self.most_words:
-                        known.clear()
-                    ids = known[word] = array("i", self.merges.ids(word)).tobytes()
-                out[k] = ids
-        return out
+        new = [w for w, ids in zip(words, out) if ids is None and w not in known]
+        if len(known) + len(new) > self.most_words:
+            known.clear()
+            new = [w for w, ids in zip(words, out) if ids is None]
+        known.update(zip(new, self.merges.ids_of_all(new)))
+        return [known[w] if ids is None else ids for w, ids in zip(words, out)]
 
 
 @functools.lru_cache(maxsize=1)
@@ -195,34 +235,34 @@ def _encoder(tokenizer_path: str, lexicon_files: tuple[tuple[str, str], ...], mo
     return Encoder(tokenizer_path, lexicon, most_words)
 
 
-def build_lexicon(
-    docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, words: int, sample_docs: int
-) -> tuple[tuple[str, str], ...]:
-    """Compile the most frequent ``words`` of ``sample_docs`` documents (of least id hash), ship the files.
+def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str, words: int) -> tuple[tuple[str, str], ...]:
+    """Compile the most frequent pre-tokens of all documents, at most ``words``, and ship the files.
 
-    The sample bounds the driver's work; it has no effect on any id. Without
-    documents there is no lexicon.
+    Which words it holds has no effect on any id. Words are counted over whole texts; the
+    driver gets those above the count that leaves at most ``words``.
     """
     spark = docs.sparkSession
-    chosen = sample_ids(docs, id_col, sample_docs)
-    rows = arrow.in_small_batches(docs).where(F.col(id_col).isin(chosen)).select(F.coalesce(text_col, F.lit("")).alias("t"))
+    rows = arrow.in_small_batches(docs.select(F.coalesce(text_col, F.lit("")).alias("t")))
+
+    def table(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["w", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
         for batch in batches:
-            for _, _, data, _ in arrow.slices(batch.column(0), 1 << 20):
-                points = pretokens.code_points(data)
-                first = pretokens.starts(points, np.zeros(1, np.int64))
-                if len(first):
-                    one, group = pretokens.distinct(points, first)
-                    bounds = np.append(first, len(points))
-                    for k, n in zip(one.tolist(), np.bincount(group).tolist()):
-                        seen["".join(map(chr, points[bounds[k] : bounds[k + 1]])).encode()] += n
-        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["w", "n"])
-
-    top = rows.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w")
+            for _, _, data, ends in arrow.slices(batch.column(0), 1 << 20):
+                found, n = pretokens.counted(data, ends)
+                for word, k in zip(found, n):
+                    seen[word] += k
+                if len(seen) > 500_000:
+                    yield table(seen)
+                    seen.clear()
+        yield table(seen)
+
+    counts = materialize(rows.mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    top = counts.where(F.col("n") >= at_least(counts, "n", 2, words)).select("w")
     merges = Merges(tokenizer_path)
-    lexicon = Lexicon.compile((bytes(r[0]), merges.ids(bytes(r[0]))) for r in top.limit(words).collect())
+    lexicon = Lexicon.compile((bytes(r[0]), merges.ids(bytes(r[0]))) for r in top.collect())
     folder = shared_folder(spark, "lexicon")
     mark = folder.rpartition("-")[2]
     fs, root = pafs.FileSystem.from_uri(folder)
@@ -245,7 +285,6 @@ def bpe_round_trip(
     id_col: str = "doc_id",
     text_col: str = "text",
     lexicon_words: int = 20_000,
-    lexicon_sample: int = 2048,
     most_words: int = 200_000,
     chunk_bytes: int = 1 << 19,
     with_ids: bool = False,
@@ -256,7 +295,7 @@ def bpe_round_trip(
     one row, repeated ones too, a null id stays null, and columns other than id and
     text are ignored. Special strings inside texts become their own id.
     """
-    files = build_lexicon(docs, tokenizer_path, id_col, text_col, lexicon_words, lexicon_sample)
+    files = build_lexicon(docs, tokenizer_path, text_col, lexicon_words)
     kind = T.LongType()
     names = [(id_col, kind), ("n_tokens", kind), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
     names += [("ids", T.ArrayType(T.IntegerType()))] if with_ids else []

@@ -2,9 +2,9 @@
 
 Each language has a codeword of +1 and -1; for every bit a binary classifier over
 hashed character n-grams tells which of two sets of languages a text belongs to.
-Decoding adds up an exponential loss over the bits, weighted by each classifier's
-accuracy on the training sample, and takes the nearest codeword; a small lead over
-the second nearest marks the text as ambiguous.
+Decoding adds up an exponential loss over the bits, weighted by the least margin with
+which a classifier tells any language of the training sample, and takes the nearest
+codeword; a small lead over the second nearest marks the text as ambiguous.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from claimforge.llm import arrow
 from claimforge.llm.pretokens import mix
-from claimforge.llm.sampling import sample_ids
+from claimforge.llm.sampling import sample_ids_by
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -52,7 +52,7 @@ class Model:
     languages: list[str]
     codes: np.ndarray  # languages x bits, +1 or -1
     weights: np.ndarray  # features x bits: log odds
-    trust: np.ndarray  # bits: from accuracy on the sample
+    trust: np.ndarray  # bits: from the least margin of any language
     hash_bits: int
     scale: float = 2.0
 
@@ -69,7 +69,10 @@ class Model:
 
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
-    """All distinct splits of up to 5 languages; for more, the best of 64 random codes of 10 log2(n) bits."""
+    """All distinct splits of up to 5 languages; for more, the best of 64 random codes of 10 log2(n) bits.
+
+    Every bit has languages on both sides; a draw with a bit that hasn't gets one turned over.
+    """
     if n == 1:
         return np.ones((1, 1))
     if n <= 5:
@@ -78,8 +81,10 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     rng, best, most = np.random.default_rng(seed), None, -1
     for _ in range(64):
         code = rng.choice([-1, 1], size=(n, int(np.ceil(10 * np.log2(n)))))
+        flat = np.flatnonzero(np.abs(code.sum(axis=0)) == n)
+        code[rng.integers(n, size=len(flat)), flat] *= -1
         apart = min(int((code[i] != code[j]).sum()) for i in range(n) for j in range(i))
-        if apart > most and (np.abs(code.sum(axis=0)) < n).all():
+        if apart > most:
             best, most = code, apart
     return best
 
@@ -87,15 +92,15 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
 def train(
     docs: DataFrame, is_train: Column, id_col: str, text_col: str, lang_col: str, sample_docs: int = 4096, hash_bits: int = 15
 ) -> Model | None:
-    """Fit on the labelled training rows of at most ``sample_docs`` ids, those of least hash.
+    """Fit on the labelled training rows of at most ``sample_docs`` ids: an equal share of each language, those of least hash.
 
     ``sample_docs`` is the bound of the training sample; its texts are used whole, rows
-    without a text are passed over.
+    without a text are passed over. A rare language is in it with all it has, up to its share.
     N-gram counts per language are summed by Spark; the driver gets one row per
     language and hash bucket. None if no row has a label and a text.
     """
     able = docs.where(is_train & F.col(lang_col).isNotNull())
-    chosen = sample_ids(able, id_col, sample_docs)
+    chosen = sample_ids_by(able, id_col, lang_col, sample_docs)
     sample = arrow.in_small_batches(able).where(F.col(id_col).isin(chosen) & F.col(text_col).isNotNull()).select(F.col(lang_col), F.col(text_col))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

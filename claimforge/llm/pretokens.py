@@ -107,6 +107,20 @@ def distinct(points: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndar
     return one, group
 
 
+def counted(data: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], list[int]]:
+    """Distinct pre-tokens of the texts in ``data`` and how often each occurs."""
+    points = code_points(data)
+    lead = np.flatnonzero((data & 0xC0) != 0x80)
+    texts = np.searchsorted(lead, ends[:-1])
+    first = starts(points, texts[texts < len(points)])
+    if not len(first):
+        return [], []
+    one, group = distinct(points, first)
+    byte_first, bounds, raw = np.append(lead, len(data)), np.append(first, len(points)), data.tobytes()
+    words = [raw[a:b] for a, b in zip(byte_first[bounds[one]].tolist(), byte_first[bounds[one + 1]].tolist())]
+    return words, np.bincount(group).tolist()
+
+
 def encode(
     data: np.ndarray, ends: np.ndarray, special: dict[str, int], ids_of: Callable[[list[bytes]], list[bytes]]
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -117,13 +131,17 @@ def encode(
     """
     texts = np.asarray(ends[:-1])
     raw = data.tobytes()
-    cuts: list[tuple[int, int, int]] = []
+    found: list[tuple[int, int, int]] = []
     for word, number in special.items():
         mark, at = word.encode(), -1
         while (at := raw.find(mark, at + 1)) >= 0:
             k = int(np.searchsorted(ends, at, "right")) - 1
-            if at + len(mark) <= ends[k + 1] and (not cuts or at >= cuts[-1][1] or number != cuts[-1][2]):
-                cuts.append((at, at + len(mark), number))
+            if at + len(mark) <= ends[k + 1]:
+                found.append((at, -at - len(mark), number))
+    cuts: list[tuple[int, int, int]] = []
+    for at, end, number in sorted(found):  # leftmost first, of those that begin together the longest
+        if not cuts or at >= cuts[-1][1]:
+            cuts.append((at, -end, number))
     points = code_points(data)
     lead = np.flatnonzero((data & 0xC0) != 0x80)  # byte place of each code point
     place = lambda b: np.searchsorted(lead, b)

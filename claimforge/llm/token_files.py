@@ -77,29 +77,40 @@ def encode_column(
 
 
 def train_dictionary(
-    docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str, sample_docs: int, size: int
+    docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str, sample_docs: int, size: int,
+    piece_bytes: int = 16 << 10, most_pieces: int = 4,
 ) -> bytes:
     """A zstandard dictionary over the id arrays of ``sample_docs`` documents (those of least id hash).
 
-    With too little to learn from, an empty dictionary. The dictionary only affects file size.
+    An array is cut into pieces of ``piece_bytes``, of which at most ``most_pieces`` spread over
+    the whole array are taken, so the driver holds a bounded number of bytes. Of rows that repeat
+    an id the least text counts. With too little to learn from, an empty dictionary. The
+    dictionary only affects file size: all documents are encoded whole.
     """
     chosen = sample_ids(docs, id_col, sample_docs)
-    rows = docs.where(F.col(id_col).isin(chosen)).select(F.coalesce(text_col, F.lit("")).alias("t"))
+    rows = docs.where(F.col(id_col).isin(chosen)).groupBy(id_col).agg(F.min(F.coalesce(text_col, F.lit(""))).alias("t")).select("t")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _kind(tokenizer_path)
         for batch in batches:
             for _, _, ids, to in encode_column(batch.column(0), tokenizer_path, end_id):
-                parts = [ids[x:y].astype(kind).tobytes()[: 64 << 10] for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
+                whole = [ids[x:y].astype(kind).tobytes() for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
+                parts = [w[p : p + piece_bytes] for w in whole for p in _spread(len(w), piece_bytes, most_pieces)]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], ["ids"])
 
-    samples = [bytes(r[0]) for r in rows.mapInArrow(arrays, "ids binary").limit(2 * sample_docs).collect()]
+    samples = [bytes(r[0]) for r in rows.mapInArrow(arrays, "ids binary").collect()]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
         return b""
 
 
+def _spread(size: int, step: int, most: int) -> list[int]:
+    """Where at most ``most`` pieces of ``step`` begin, from the first to the last."""
+    starts = range(0, size, step)
+    return list(starts) if len(starts) <= most else [starts[k * (len(starts) - 1) // (most - 1)] for k in range(most)]
+
+
 def _kind(tokenizer_path: str) -> str:
     return "<u2" if _tokenizer(tokenizer_path)[0].get_vocab_size() <= 1 << 16 else "<u4"
 

@@ -1,7 +1,9 @@
 """op2 and op9 against the tokenizers library."""
 
 import hashlib
+import random
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -103,3 +105,39 @@ def test_token_files(awkward):
 def test_no_documents(nothing):
     assert bpe.bpe_round_trip(nothing, PATH).count() == 0
     assert token_files.read_shards(*token_files.write_shards(nothing, PATH)).count() == 0
+
+
+def test_merging_side_by_side():
+    merges, rng = bpe.Merges(PATH), random.Random(1)
+    words = ["".join(rng.choice("abcdeetioanrsé .,!'ss  aaa12") for _ in range(rng.randint(1, 100))).encode() for _ in range(1_000)]
+    words += [b"a" * k for k in range(1, 70)] + ["²é".encode() * 9, b"\xff\xc3"]
+    assert merges.ids_of_all(words) == merges.ids_of_all(words, 0)
+    assert merges.ids_of_all([]) == [] and merges.ids_of_all([b""]) == [b""]
+
+
+def test_a_word_of_many_letters():
+    rng = random.Random(2)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    begin = time.monotonic()
+    got = bpe.Merges(PATH).ids(word.encode())
+    assert time.monotonic() - begin < 30
+    assert got == LIBRARY.encode(word, add_special_tokens=False).ids
+
+
+def test_several_special_strings():
+    special = {"<b>": 2, "<a>": 1, "<a><": 3}
+    text = "x<a>y<b>z<a><b>".encode()
+    got, to = pretokens.encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]), special, lambda ws: [bytes([w[0], 0, 0, 0]) for w in ws])
+    assert got.tolist() == [ord("x"), 1, ord("y"), 2, ord("z"), 3, ord("b"), ord(">")] and to.tolist() == [0, 8]
+
+
+def test_counted_pre_tokens():
+    many = ["it's a cat, a cat", "", "a cat  ²é"]
+    ends = np.append(0, np.cumsum([len(t.encode()) for t in many]))
+    words, n = pretokens.counted(np.frombuffer("".join(many).encode(), np.uint8), ends)
+    assert Counter(dict(zip(words, n))) == Counter(w.encode() for t in many for w in PATTERN.findall(t))
+
+
+def test_pieces_for_the_dictionary_are_spread():
+    assert token_files._spread(0, 10, 4) == [] and token_files._spread(35, 10, 4) == [0, 10, 20, 30]
+    assert token_files._spread(1_000, 10, 4) == [0, 330, 660, 990]
