@@ -70,7 +70,8 @@ def write_archives(
 
     Of rows with equal payloads of at least ``least_bytes`` bytes, those with the
     largest id become responses (one, unless rows repeat that id) and the others
-    revisits; smaller payloads are all responses. Null html is an empty payload, a
+    revisits; smaller payloads are all responses. A revisit names the response's record in
+    ``WARC-Refers-To``, unless several rows with the largest id are responses of the payload. Null html is an empty payload, a
     null url an empty target, null ids count as smaller than any; other columns are
     ignored and an empty table gives no file. The table of repeated payloads is
     broadcast only up to ``broadcast_rows`` rows, beyond which it is joined by shuffle.
@@ -82,14 +83,16 @@ def write_archives(
         F.coalesce(html_col, F.lit("")).alias("html"),
     ).withColumn("payload_key", F.sha2("html", 256))
     repeated = materialize(
-        rows.where(F.octet_length("html") >= least_bytes).groupBy("payload_key")
-        .agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1").select("payload_key", "keep"),
+        rows.where(F.octet_length("html") >= least_bytes).groupBy("payload_key", "id").count()
+       .groupBy("payload_key").agg(F.max("id").alias("keep"), F.max_by("count", "id").alias("answers"), F.sum("count").alias("n"))
+        .where("n > 1").select("payload_key", "keep", (F.col("answers") == 1).alias("single")),
         "payloads",
     )
     if repeated.count() <= broadcast_rows:
         repeated = F.broadcast(repeated)
     planned = rows.join(repeated, "payload_key", "left").select(
-        "id", "url", "html", F.coalesce(F.col("keep") != F.col("id"), F.col("keep").isNotNull()).alias("revisit")
+        "id", "url", "html", F.coalesce(F.col("keep") != F.col("id"), F.col("keep").isNotNull()).alias("revisit"),
+        F.when(F.col("single"), F.col("payload_key")).alias("answer"),
     )
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(root)
@@ -102,11 +105,12 @@ def write_archives(
         mark = f"{folder}/{task.partitionId()}/{task.taskAttemptId()}"
         out, at, n, files = None, 0, 0, []
         for batch in batches:
-            for number, url, html, revisit in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, url, html, revisit, answer in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     files.append(f"{root}/part-{task.partitionId():06d}-{len(files):04d}-{task.taskAttemptId()}.warc.gz")
                     out, at = fs.open_output_stream(files[-1], compression=None), 0
-                for raw in capture(number, url, html.encode(), revisit, f"{mark}/{n}", date):
+                answer = answer and _record_id(folder, answer)
+                for raw in capture(number, url, html.encode(), revisit, f"{mark}/{n}", date, answer):
                     packed = gzip.compress(raw, 3, mtime=0)
                     out.write(packed)
                     at += len(packed)
@@ -121,9 +125,15 @@ def write_archives(
     return materialize(planned.mapInArrow(write, "path string"), "warc-files"), folder
 
 
-def capture(number: int | None, url: str, payload: bytes, revisit: bool, mark: str, date: str) -> Iterator[bytes]:
-    """The three records of one capture."""
-    ids = [str(uuid.uuid5(uuid.NAMESPACE_URL, f"{mark}/{k}")) for k in ("request", "answer", "metadata")]
+def _record_id(*parts: str) -> str:
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, "/".join(parts)))
+
+
+def capture(number: int | None, url: str, payload: bytes, revisit: bool, mark: str, date: str, answer: str | None = None) -> Iterator[bytes]:
+    """The three records of one capture. ``answer`` is the record id that the payload's response has or gets."""
+    ids = [_record_id(mark, k) for k in ("request", "answer", "metadata")]
+    if answer and not revisit:
+        ids[1] = answer
     target = quote(url, safe="!#$%&'()*+,/:;=?@[]~")
     common = {"WARC-Date": date, "WARC-Target-URI": target}
     joined = common | {"WARC-Concurrent-To": f"<urn:uuid:{ids[1]}>"}
@@ -132,18 +142,19 @@ def capture(number: int | None, url: str, payload: bytes, revisit: bool, mark: s
     ask = f"GET {path} HTTP/1.1\r\nHost: {parts.netloc}\r\n\r\n".encode()
     yield record("request", ids[0], joined | {"Content-Type": "application/http;msgtype=request"}, ask)
     head = _HTTP + b"Content-Length: %d\r\n\r\n" % len(payload)
-    answer = common | {"Content-Type": "application/http;msgtype=response", "WARC-Payload-Digest": f"sha1:{digest(payload)}"}
+    named = common | {"Content-Type": "application/http;msgtype=response", "WARC-Payload-Digest": f"sha1:{digest(payload)}"}
     if revisit:
-        yield record("revisit", ids[1], answer | {"WARC-Profile": PROFILE}, head)
+        refers = {"WARC-Refers-To": f"<urn:uuid:{answer}>"} if answer else {}
+        yield record("revisit", ids[1], named | {"WARC-Profile": PROFILE} | refers, head)
     else:
-        yield record("response", ids[1], answer, head + payload)
+        yield record("response", ids[1], named, head + payload)
     about = f"page-id: {'' if number is None else number}\r\n".encode()
     yield record("metadata", ids[2], joined | {"Content-Type": "application/warc-fields"}, about)
 
 
 _RECORD = (
     "record_id string, type string, concurrent_to string, uri string, payload_digest string, "
-    "payload_bytes long, payload binary, page_id long, request_line string"
+    "payload_bytes long, payload binary, page_id long, request_line string, refers_to string"
 )
 
 
@@ -181,12 +192,13 @@ def _row(headers: dict[str, str], block: bytes, with_payload: bool) -> tuple:
     elif kind == "request":
         line = block.split(b"\r\n", 1)[0].decode()
     size = None if payload is None else len(payload)
-    plain = [headers.get(k, "").removeprefix("<urn:uuid:").removesuffix(">") or None for k in ("warc-record-id", "warc-concurrent-to")]
-    return plain[0], kind, plain[1], headers.get("warc-target-uri"), named, size, payload if with_payload else None, number, line
+    names = ("warc-record-id", "warc-concurrent-to", "warc-refers-to")
+    own, joined, refers = (headers.get(k, "").removeprefix("<urn:uuid:").removesuffix(">") or None for k in names)
+    return own, kind, joined, headers.get("warc-target-uri"), named, size, payload if with_payload else None, number, line, refers
 
 
 def _records(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (*[pa.string()] * 5, pa.int64(), pa.binary(), pa.int64(), pa.string())
+    kinds = (*[pa.string()] * 5, pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.string())
     names = [c.split()[0] for c in _RECORD.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
@@ -205,35 +217,38 @@ def transactions(records: DataFrame) -> DataFrame:
         records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id"))
         .agg(
             of(kind == "request", part("record_id", "request_line")).alias("request"),
-            of(kind.isin("response", "revisit"), part("record_id", "type", "uri", "payload_digest", "payload_bytes", "payload")).alias("answer"),
+            of(kind.isin("response", "revisit"), part("record_id", "type", "uri", "payload_digest", "payload_bytes", "payload", "refers_to")).alias("answer"),
             of(kind == "metadata", part("record_id", "page_id")).alias("metadata"),
         )
         .where(F.col("answer").isNotNull())
     )
 
 
-def capture_table(files: DataFrame, folder: str) -> DataFrame:
+def capture_table(files: DataFrame, folder: str, broadcast_rows: int = 200_000) -> DataFrame:
     """Per capture: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
 
-    A revisit has the payload length of the response with its digest and refers to
-    that response's page (the largest id if several responses share the payload).
+    A revisit has the payload length and the page of the response that its
+    ``WARC-Refers-To`` names. One without that header refers to the response with its
+    digest (the largest id if several share the payload). The table of responses referred
+    to is broadcast only up to ``broadcast_rows`` rows.
     """
     rows = materialize(
         transactions(read_archives(files, folder)).select(
-            "metadata.page_id", "answer.payload_bytes", "answer.payload_digest", F.col("answer.type").alias("record_type")
+            "metadata.page_id", "answer.record_id", "answer.payload_bytes", "answer.payload_digest", F.col("answer.type").alias("record_type"),
+            F.when(F.col("answer.type") == "revisit", F.coalesce("answer.refers_to", "answer.payload_digest")).alias("wanted"),
         ),
         "captures",
     )
-    answers = (
-        rows.where("record_type = 'response'").groupBy("payload_digest")
-        .agg(F.max("page_id").alias("keep"), F.max("payload_bytes").alias("size"))
-    )
-    revisits = rows.where("record_type = 'revisit'").select("page_id", "payload_digest", "record_type")
-    resolved = revisits.join(answers, "payload_digest", "left").select(
-        "page_id", F.col("size").alias("payload_bytes"), "payload_digest", "record_type", F.col("keep").alias("refers_to")
-    )
+    revisits = rows.where("record_type = 'revisit'").select("page_id", "payload_digest", "record_type", "wanted")
+    wanted = revisits.select("wanted").distinct()
+    names = F.explode(F.array("record_id", "payload_digest")).alias("wanted")
+    answers = rows.where("record_type = 'response'").select(names, "page_id", "payload_bytes").join(wanted, "wanted", "left_semi")
+    answers = materialize(answers.groupBy("wanted").agg(F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("payload_bytes")), "answers")
+    if answers.count() <= broadcast_rows:
+        answers = F.broadcast(answers)
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     own = rows.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
-    return own.unionByName(resolved)
+    return own.select(columns).union(revisits.join(answers, "wanted", "left").select(columns))
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """op5 and op6: round trips."""
 
+import gzip
 from collections import Counter
 
 import duckdb
 import pyarrow as pa
+import pyarrow.fs as pafs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -69,3 +71,17 @@ def test_least_bytes_and_repeats(spark):
     out = Counter((r.page_id, r.record_type) for r in warc.capture_table(*warc.write_archives(pages, least_bytes=2)).collect())
     assert out == Counter({(1, "revisit"): 1, (2, "response"): 2, (3, "response"): 1, (4, "response"): 1})
     assert warc.capture_table(*warc.write_archives(pages.limit(0))).count() == 0
+
+
+def test_revisits_name_the_record_of_their_response(spark):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string").repartition(3)
+    files, folder = warc.write_archives(pages)
+    rows = warc.read_archives(files, folder).collect()
+    page_of = {r.concurrent_to: r.page_id for r in rows if r.type == "metadata"}
+    refers = {page_of[r.record_id]: page_of[r.refers_to] for r in rows if r.type == "revisit"}
+    assert refers == {1: 2, None: 2, 3: 4}
+    assert len({r.record_id for r in rows}) == len(rows)
+    # What the header says holds, not the digest.
+    fs, _ = pafs.FileSystem.from_uri(folder)
+    raw = b"".join(gzip.decompress(fs.open_input_stream(f.path, compression=None).read()) for f in files.collect())
+    assert raw.count(b"WARC-Refers-To: <urn:uuid:") == 3
