@@ -49,15 +49,15 @@ def test_grace_compares_contents():
         assert groups == {b"a": [0, 2], b"b": [1], b"c": [3]}
 
 
-def shingles(text):
+def shingles(text, width=4):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
         return frozenset()
-    return frozenset(zip(*(words[k:] for k in range(4)))) if len(words) > 3 else frozenset([tuple(words)])
+    return frozenset(zip(*(words[k:] for k in range(width)))) if len(words) >= width else frozenset([tuple(words)])
 
 
-def brute_components(rows):
-    sets = [(i, shingles(t)) for i, t in rows]
+def brute_components(rows, width=4, percent=85):
+    sets = [(i, shingles(t, width)) for i, t in rows]
     root = {i: i for i, _ in sets if i is not None}
 
     def find(x):
@@ -67,7 +67,7 @@ def brute_components(rows):
 
     for a, (i, s) in enumerate(sets):
         for j, u in sets[:a]:
-            if s and u and None not in (i, j) and 100 * len(s & u) >= 85 * len(s | u):
+            if s and u and None not in (i, j) and 100 * len(s & u) >= percent * len(s | u):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
     return Counter((i, len(s), None if i is None else find(i)) for i, s in sets)
@@ -143,6 +143,26 @@ def test_main_path_is_native(spark, awkward):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def ten_words(text):
+    words = plain_words(text)
+    return [tuple(words[k : k + 10]) for k in range(max(1, len(words) - 9))] if words else []
+
+
+def has(words, window):
+    return any(tuple(words[k : k + len(window)]) == window for k in range(len(words)))
+
+
+@pytest.mark.parametrize("width, percent", [(5, 80), (3, 60), (1, 100)])
+def test_near_at_other_thresholds(documents, width, percent):
+    rows = near_rows()
+    out = jaccard_join.jaccard_components(documents(rows), width=width, percent=percent, pivots=8).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows, width, percent)
+
+
 def test_pipeline(spark, tmp_path, documents):
     rows = near_rows() + [(900, "zz a b c d e f g h i j zz"), (901, "123"), (902, "clean text that stays as it is")]
     data = [(i, t, "en", "s", None) for i, t in rows]
@@ -154,9 +174,10 @@ def test_pipeline(spark, tmp_path, documents):
     for i, t in left:
         by_text[WHITE.sub("", t)].append((-len(t), i is None, i or 0, t))
     left = [(None if m[1] else m[2], m[3]) for m in map(min, by_text.values())]
-    comp = {i: c for i, _, c in brute_components(left)}
+    comp = {i: c for i, _, c in brute_components(left, 5, 80)}
     left = [(i, t) for i, t in left if i is None or comp[i] == i]
-    held = {i for i, _, n, *_ in (tuple(r) for r in decontaminate.contamination(documents(left), items(spark, BENCH)).collect()) if n}
+    windows = {w for i, t in BENCH if i is not None for w in ten_words(t)}
+    held = {i for i, t in left if any(has(plain_words(t), w) for w in windows)}
     left = [(i, t) for i, t in left if i not in held]
     assert got == Counter((i, hashlib.sha256(t.encode()).hexdigest()) for i, t in left)
     assert 902 in {i for i, _ in got} and not {900, 901} & {i for i, _ in got}
