@@ -18,6 +18,10 @@ JUNK_LABELS = (
     "official form", r"form\s*204", "list of creditors", "creditor matrix", "claim amount",
 )
 
+# What ends companies' names, and what joins the names of two people.
+COMPANY_SUFFIX = r"(?i)\b(llc|l\.l\.c\.|inc\.?|corp\.?|corporation|ltd\.?|lp|llp|co\.)\b"
+JOINT_NAME = r"(?i)(\band\b|&)"
+
 # Our own default rules: (kind, pattern, replacement), in order.
 NAME_RULES = (
     ("token_replace", r"\s+&\s+", " and "),
@@ -47,9 +51,9 @@ def holds_any(text: Column, words: Iterable[str]) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def company_name(name: Column, rules: Iterable[tuple[str, str, str]] = NAME_RULES) -> Column:
-    """A comparable form: rules in order, then only word characters, upper case, single blanks."""
-    out = F.substring(F.coalesce(F.trim(name), F.lit("")), 1, 500)
+def company_name(name: Column, rules: Iterable[tuple[str, str, str]] = NAME_RULES, most: int = 500) -> Column:
+    """A comparable form of a name's first ``most`` characters: rules in order, then only word characters, upper case, single blanks."""
+    out = F.left(F.coalesce(F.trim(name), F.lit("")), F.lit(most))
     for kind, pattern, replacement in rules:
         if kind == "alias":
             out = F.when(F.upper(out) == pattern.upper(), F.lit(replacement)).otherwise(out)
@@ -67,8 +71,8 @@ def entity_type(name: Column) -> Column:
     """Company by suffix; individual for joint names of three words or two capitalised words; else company."""
     parts = F.split(F.trim(name), r"\s+")
     return (
-        F.when(name.rlike(r"(?i)\b(llc|l\.l\.c\.|inc\.?|corp\.?|corporation|ltd\.?|lp|llp|co\.)\b"), "company")
-        .when(name.rlike(r"(?i)(\band\b|&)") & (F.size(parts) >= 3), "individual")
+        F.when(name.rlike(COMPANY_SUFFIX), "company")
+        .when(name.rlike(JOINT_NAME) & (F.size(parts) >= 3), "individual")
         .when((F.size(parts) >= 2) & F.get(parts, F.lit(0)).rlike("^[A-Z]") & F.get(parts, F.lit(1)).rlike("^[A-Z]"), "individual")
         .otherwise("company")
     )

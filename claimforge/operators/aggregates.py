@@ -66,13 +66,21 @@ def repeat_exposure(links: DataFrame, creditors: DataFrame, filings: DataFrame,
     return every.select("creditor_id", (n >= threshold).alias("is_repeat"), n.alias("filing_count"), total.alias("total_claims"), text.alias("message"))
 
 
-def pipeline_status(creditors: DataFrame, links: DataFrame, jobs: DataFrame, synced: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Each creditor's stage: synced, enriched, pending, failed or new. Every side is aggregated to its key first."""
-    flags = jobs.where("job_type = 'zoom_info_enrich'").groupBy("filing_id").agg(
+STAGE_LABELS = {"synced": "Synced", "enriched": "Enriched", "pending": "Pending Enrichment", "failed": "Enrichment Failed", "new": "New"}
+
+
+def pipeline_status(
+    creditors: DataFrame, links: DataFrame, jobs: DataFrame, synced: DataFrame, contacts: DataFrame, job_type: str = "company_lookup", labels: dict[str, str] = STAGE_LABELS
+) -> DataFrame:
+    """Each creditor's stage: synced, enriched, pending, failed or new. Every side is aggregated to its key first.
+
+    ``job_type`` is that of the jobs that look a creditor up, ``labels`` name the stages.
+    """
+    flags = jobs.where(F.col("job_type") == job_type).groupBy("filing_id").agg(
         F.bool_or(F.col("status").isin("queued", "running", "retrying")).alias("pending"), F.bool_or(F.col("status") == "failed").alias("failed")
     )
     by_creditor = (
-        linking.creditor_filing_links(creditors, links).join(flags, "filing_id")
+        linking.both_links(creditors, links).join(flags, "filing_id")  # pairs that come twice change no flag
         .groupBy("creditor_id").agg(F.bool_or("pending").alias("pending"), F.bool_or("failed").alias("failed"))
     )
     mark = lambda df, c: df.select("creditor_id").distinct().withColumn(c, F.lit(True))
@@ -81,27 +89,27 @@ def pipeline_status(creditors: DataFrame, links: DataFrame, jobs: DataFrame, syn
         .join(mark(contacts, "enriched"), "creditor_id", "left").join(by_creditor, "creditor_id", "left")
     )
     status = (
-        F.when(F.col("synced"), "Salesforce Synced").when(F.col("enriched"), "ZoomInfo Enriched").when(F.col("pending"), "Pending Enrichment")
-        .when(F.col("failed"), "Enrichment Failed").otherwise("New")
+        F.when(F.col("synced"), labels["synced"]).when(F.col("enriched"), labels["enriched"]).when(F.col("pending"), labels["pending"])
+        .when(F.col("failed"), labels["failed"]).otherwise(labels["new"])
     )
     return joined.select("creditor_id", status.alias("status"))
 
 
-PROFILE = "https://app.zoominfo.com/#/company/{id}/overview"
+PROFILE = "https://example.org/company/{id}/overview"
 
 
-def _report_columns() -> list[Column]:
+def _report_columns(profile: str) -> list[Column]:
     return [
         names.shown_name(F.col("original_name"), F.col("name")).alias("creditor"),
         places.address_city(F.col("address")).alias("city"),
         places.address_state(F.col("address"), F.col("state")).alias("state"),
         money.dollars(F.col("claim_amount")).alias("claim"),
         "status",
-        places.filled_template(F.col("company_id"), PROFILE).alias("profile_url"),
+        places.filled_template(F.col("company_id"), profile).alias("profile_url"),
     ]
 
 
-def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str) -> DataFrame:
+def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
     """One row per company creditor and filing, if either was created since ``since``."""
     since = F.lit(since).cast("date")
     able = creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name"))).withColumnRenamed("created_on", "_made")
@@ -110,18 +118,18 @@ def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, stat
         .join(filings.select("filing_id", "debtor_name", "case_number", "filing_date", "state", "created_on"), "filing_id")
         .where((F.col("_made") >= since) | (F.col("created_on") >= since)).join(status, "creditor_id")
     )
-    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(), F.col("company_tier").alias("tier"))
+    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(profile), F.col("company_tier").alias("tier"))
 
 
-def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str) -> DataFrame:
+def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
     """One row per company creditor, with the state of its newest filing; creditors without filings too."""
     since = F.lit(since).cast("date")
     able = creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name")))
-    newest = linking.latest_filing(linking.creditor_filing_links(creditors, links), filings).select(
+    newest = linking.latest_filing(linking.both_links(creditors, links), filings).select(
         "creditor_id", F.col("created_on").alias("_newest"), "state"
     )
     joined = able.join(newest, "creditor_id", "left").where((F.col("created_on") >= since) | (F.col("_newest") >= since))
-    return joined.join(status, "creditor_id").select("creditor_id", *_report_columns())
+    return joined.join(status, "creditor_id").select("creditor_id", *_report_columns(profile))
 
 
 def report_envelope(rows: DataFrame) -> DataFrame:
@@ -162,14 +170,14 @@ def report_messages(rows: DataFrame, most: int = 40) -> DataFrame:
     return one.union(header).union(both.where(F.col("total") > most).select("case_number", "text"))
 
 
-def pipeline_summary(filings: DataFrame, creditors: DataFrame, jobs: DataFrame, reviews: DataFrame, queue: DataFrame, since: str) -> DataFrame:
+def pipeline_summary(filings: DataFrame, creditors: DataFrame, jobs: DataFrame, reviews: DataFrame, queue: DataFrame, since: str, poll_type: str = "docket_poll") -> DataFrame:
     """One row of counts; each table is scanned once. Reviews are counted whatever their status."""
     day = F.lit(since).cast("date")
     done = lambda t, s: F.count_if((F.col("job_type") == t) & (F.col("status") == s) & (F.col("created_at") >= F.lit(since).cast("timestamp")))
     parts = [
         filings.agg(F.count_if(F.col("created_on") >= day).alias("new_filings")),
         creditors.agg(F.count_if(F.col("created_on") >= day).alias("new_creditors")),
-        jobs.agg(done("pacer_poll", "completed").alias("polls_completed"), done("pacer_poll", "failed").alias("polls_failed")),
+        jobs.agg(done(poll_type, "completed").alias("polls_completed"), done(poll_type, "failed").alias("polls_failed")),
         reviews.agg(F.count("*").alias("reviews")),
         queue.agg(F.count_if(F.col("status") == "monitoring").alias("monitoring"), F.count_if(F.col("status") == "pending_approval").alias("pending_approval")),
     ]

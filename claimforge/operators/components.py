@@ -2,13 +2,19 @@
 
 The two contractions are those of Kiveris et al., "Connected Components in
 MapReduce and Beyond" (2014). Each round is two joins with small rows; the
-number of rounds grows with the logarithm of the longest path.
+number of rounds grows with the logarithm of the longest path. A table of few edges
+is solved by one task, whose memory that bound limits, without any rounds.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from claimforge.session import materialize
 
@@ -34,12 +40,35 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 50) -> DataFrame:
+def _of_few(edges: DataFrame) -> DataFrame:
+    """The components of an edge table ``(u, v)`` that one task can hold."""
+    kind = edges.schema["u"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict = {}
+
+        def root(x):
+            while up[x] != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = root(up.setdefault(u, u)), root(up.setdefault(v, v))
+                up[max(a, b)] = min(a, b)
+        nodes, of = list(up), to_arrow_type(kind)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, of), pa.array(map(root, nodes), of)], ["node", "component"])
+
+    return edges.coalesce(1).mapInArrow(run, T.StructType([T.StructField("node", kind), T.StructField("component", kind)]))
+
+
+def connected_components(edges: DataFrame, left: str = "u", right: str = "v", max_rounds: int = 50, few: int = 20_000) -> DataFrame:
     """Rows ``(node, component)`` for every node that has an edge to another node.
 
     ``component`` is the least node of the connected component. Self loops and
     rows with a null end are ignored, repeated edges count once; an empty table
-    gives an empty result. Each round's edges are written to the shared folder.
+    gives an empty result. Each round's edges are written to the shared folder; up to ``few``
+    edges need no rounds.
     """
     now = materialize(
         edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
@@ -47,6 +76,8 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v", ma
         .distinct(),
         "edges",
     )
+    if now.count() <= few:
+        return _of_few(now)
     was = None
     for _ in range(max_rounds):
         now = materialize(_star(_star(now, True), False), "edges")

@@ -23,35 +23,79 @@ EXCLUDED = (
 )
 BUSINESS = ("llc", "inc", "corp", "corporation", "ltd", "lp", "holdings", "company", r"co\.", "group", "enterprises")
 
-AMOUNT = r"(\$\s*[0-9,]+(?:\.[0-9]+)?)"
+# Words of claims schedules that a feed item may name.
+SCHEDULE_WORDS = ("schedule f", "schedule e/f", "unsecured claims", "list of creditors", "creditor matrix", "form 204", "20 largest")
+# Patterns of petitions, in the order in which they are tried.
+FORM_PATTERNS = {
+    "debtor_name": (r"Debtor\s+1[:\s]+(.+?)(?:\n|$)", r"Name of debtor[:\s]+(.+?)(?:\n|$)", r"Debtor(?:'s)?\s+name[:\s]+(.+?)(?:\n|$)"),
+    "city": (r"City[:\s]+([A-Za-z .'-]+)",),
+    "state": (r"State[:\s]+([A-Z]{2})\b", r"\b([A-Z]{2})\s+\d{5}"),
+    "court_district": (r"(United States Bankruptcy Court.+?District of [^\n]+)", r"(District of [^\n]+)"),
+    "industry_code": (r"NAICS[:\s]+(\d{6})", r"Nature of business[:\s]+.*?(\d{6})"),
+}
+DOLLAR_RANGES = (r"\$\s*([\d,]+(?:\.\d+)?)\s*(?:to|-|–)\s*\$?\s*([\d,]+(?:\.\d+)?)", r"\$\s*([\d,]+(?:\.\d+)?)\s*or\s+more", r"less\s+than\s+\$?\s*([\d,]+(?:\.\d+)?)")
+CREDITOR_RANGES = (r"(\d+)\s*(?:to|-|–)\s*(\d+)\s*creditors?", r"(\d+)\s*or\s+more\s*creditors?", r"less\s+than\s+(\d+)\s*creditors?")
+# Fixed value: the upper end of "or more" dollars.
+OR_MORE_DOLLARS = 1_000_000
+# Patterns of feed items and of creditor lists.
+CASE_NUMBER = r"(?i)(\d{2}-\d{4,6}(?:-[a-z0-9]+)*)"
+COURT_HOST = r"ecf\.([a-z]+)\.uscourts\.gov"
+DOCUMENT_URLS = (r"(?i)href=['\"]([^'\" ]*doc1[^'\" ]+)['\"]", r"(?i)(https://ecf\.[^' ]+/doc1/[^' ]+)")
+CHAPTER = r"chapter[:\s]+(\d+)"
+LINE_NUMBER = r"^(\d+)\.?\s+"
+AMOUNT = r"(\$\s*[\d,]+(?:\.\d+)?)"
+AMOUNT_ONLY = r"^[$\d.,\s]+$"
+
 
+def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hint_col: str | None = None) -> DataFrame:
+    """The kind with the most anchors; ties go to the earlier kind, none is unknown. Null text is unknown.
 
-def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The kind with the most anchors; ties go to the earlier kind, none is unknown. Null text is unknown."""
+    A row whose ``hint_col`` names a known kind gets that kind, with the score of its anchors.
+    """
     low = F.lower(F.coalesce(text_col, F.lit("")))
     scores = [
         F.struct(sum((low.rlike(p).cast("int") for p in patterns), F.lit(0)).alias("score"), F.lit(-k).alias("rank"), F.lit(kind).alias("kind"))
         for k, (kind, patterns) in enumerate(ANCHORS.items())
     ]
-    best = docs.select(id_col, F.array_max(F.array(*scores)).alias("b"))
+    scored = F.array(*scores)
+    hint = F.lower(F.trim(hint_col)) if hint_col else F.lit(None).cast("string")
+    hinted = F.get(F.filter(scored, lambda s: s["kind"] == hint), F.lit(0))
+    if hint_col:
+        best = docs.select(id_col, F.coalesce(hinted, F.array_max(scored)).alias("b"), hinted.isNotNull().alias("given"))
+        return best.select(id_col, F.when((F.col("b.score") > 0) | F.col("given"), F.col("b.kind")).otherwise("unknown").alias("kind"), F.col("b.score").alias("score"))
+    best = docs.select(id_col, F.array_max(scored).alias("b"))
     return best.select(id_col, F.when(F.col("b.score") > 0, F.col("b.kind")).otherwise("unknown").alias("kind"), F.col("b.score").alias("score"))
 
 
-def form_fields(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text") -> DataFrame:
-    """Labelled fields of petitions. Ranges are looked for within 800 characters after their label, else everywhere."""
+def _ends(section: Column, patterns: tuple[str, ...], most: Column, number) -> tuple[Column, Column]:
+    """Least and most of the first pattern found: a range, ``or more`` (up to ``most``), ``less than``."""
+    low, high = (places.found(section, f"(?i){patterns[0]}", g) for g in (1, 2))
+    more, less = (places.found(section, f"(?i){p}") for p in patterns[1:])
+    ranged, open_ = low.isNotNull(), low.isNull() & more.isNotNull()
+    return F.when(ranged, number(low)).when(open_, number(more)), F.when(ranged, number(high)).when(open_, most).otherwise(number(less))
+
+
+def form_fields(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text", reach: int = 800, before: int = 200, after: int = 400) -> DataFrame:
+    """Labelled fields of petitions; null where a field is missing.
+
+    Dollar ranges are looked for within ``reach`` characters from their label, the creditor count
+    from ``before`` to ``after`` characters around the first word creditor; without a label in the whole text.
+    """
     text = F.coalesce(text_col, F.lit(""))
-    field = lambda *ps: F.coalesce(*(F.nullif(F.trim(places.found(text, p)), F.lit("")) for p in ps))
-    at = F.locate("estimated assets", F.lower(text))
-    section = F.when(at > 0, F.substring(text, at, F.lit(800))).otherwise(text)
-    span = r"(?i)\$\s*([0-9,]+(?:\.[0-9]+)?)\s*(?:to|-)\s*\$?\s*([0-9,]+(?:\.[0-9]+)?)"
-    number = lambda c: F.replace(c, F.lit(","), F.lit("")).try_cast(money.MONEY)
-    return docs.select(
-        id_col,
-        field(r"(?i)Debtor\s+1[:\s]+([^\n]+)", r"(?i)Name of debtor[:\s]+([^\n]+)", r"(?i)Debtor(?:'s)?\s+name[:\s]+([^\n]+)").alias("debtor_name"),
-        field(r"(?i)State[:\s]+([A-Z]{2})\b").alias("state"),
-        number(places.found(section, span, 1)).alias("least_assets"), number(places.found(section, span, 2)).alias("most_assets"),
-        places.found(text, r"(?i)([0-9]+)\s*(?:to|-)\s*[0-9]+\s*creditors?").try_cast("int").alias("least_creditors"),
-    )
+    field = lambda c: F.coalesce(*(F.nullif(F.trim(places.found(text, f"(?i){p}")), F.lit("")) for p in FORM_PATTERNS[c])).alias(c)
+    dollars = lambda c: F.replace(c, F.lit(","), F.lit("")).try_cast(money.MONEY)
+
+    def near(label: str, back: int, ahead: int) -> Column:
+        at = F.locate(label, F.lower(text))
+        begin = F.greatest(at - back, F.lit(1))
+        return F.when(at > 0, F.substring(text, begin, at + ahead - begin)).otherwise(text)
+
+    ranges = []
+    for what in ("assets", "liabilities"):
+        least, most = _ends(near(f"estimated {what}", 0, reach), DOLLAR_RANGES, F.lit(OR_MORE_DOLLARS).cast(money.MONEY), dollars)
+        ranges += [least.alias(f"least_{what}"), most.alias(f"most_{what}")]
+    least, most = _ends(near("creditor", before, after), CREDITOR_RANGES, F.lit(None).cast("int"), lambda c: c.try_cast("int"))
+    return docs.select(id_col, *map(field, FORM_PATTERNS), *ranges, least.alias("least_creditors"), most.alias("most_creditors"))
 
 
 def _header(line: Column) -> Column:
@@ -60,8 +104,8 @@ def _header(line: Column) -> Column:
 
 def _block(lines: Column, raw: Column) -> Column:
     """A block's fields: number, name, address from the next two lines, first amount, entity."""
-    number = places.found(F.get(lines, F.lit(0)), r"^([0-9]+)\.?\s+")
-    name = F.trim(F.regexp_replace(F.get(lines, F.lit(0)), r"^[0-9]+\.?\s+", ""))
+    number = places.found(F.get(lines, F.lit(0)), LINE_NUMBER)
+    name = F.trim(F.regexp_replace(F.get(lines, F.lit(0)), LINE_NUMBER, ""))
     address = F.when(F.size(lines) > 1, F.concat_ws(", ", F.slice(lines, 2, 2)))
     amount = money.safe_numeric(F.regexp_extract(raw, AMOUNT, 1))
     return F.struct(
@@ -85,7 +129,7 @@ def numbered_creditors(docs: DataFrame, id_col: str = "filing_id", text_col: str
     lines = docs.select(id_col, F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("at", "line")).withColumn("line", F.trim("line"))
     w = Window.partitionBy(id_col).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     blocks = (
-        lines.where("line <> ''").withColumn("block", F.sum(F.col("line").rlike(r"^[0-9]+\.\s+").cast("int")).over(w)).where("block > 0")
+        lines.where("line <> ''").withColumn("block", F.sum(F.col("line").rlike(r"^\d+\.\s+").cast("int")).over(w)).where("block > 0")
         .groupBy(id_col, "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x.line).alias("lines"))
     )
     able = blocks.where((F.length(F.get("lines", F.lit(0))) >= 3) & ~_header(F.get("lines", F.lit(0))))
@@ -101,7 +145,7 @@ def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "table
         .select(id_col, "table", F.posexplode(F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))).alias("row", "cells"))
         .withColumn("cells", F.transform("cells", lambda c: F.trim(F.coalesce(c, F.lit("")))))
     )
-    is_amount = lambda c: c.rlike(r"^[$0-9.,\s]+$")
+    is_amount = lambda c: c.rlike(AMOUNT_ONLY)
     name_at = F.array_position(F.transform("cells", lambda c: (c != "") & ~names.is_junk_name(c)), F.lit(True)).cast("int")
     rest = F.slice("cells", F.col("k") + 1, F.size("cells"))
     named = rows.withColumn("k", name_at).where("k > 0").withColumn("rest", F.filter(rest, lambda c: c != ""))
@@ -149,27 +193,36 @@ def document_links(pages: DataFrame, pattern: str = LINK_TEXT) -> DataFrame:
     return hit.select("page_id", url.alias("document_url"), "r.text")
 
 
-def feed_events(items: DataFrame) -> DataFrame:
-    """Docket feed items: case, chapter, court, debtor, flags, signal score and whether they qualify."""
+def feed_events(items: DataFrame, most_content: int = 32768, most_clean: int = 12000, schedule_words: tuple[str, ...] = SCHEDULE_WORDS) -> DataFrame:
+    """Docket feed items: case, chapter, court, debtor, flags, signal score and whether they qualify.
+
+    ``items`` has ``event_id, published_at`` and any of ``title, link, content, contentSnippet, description, guid, id,
+    isoDate, pubDate, event_number``; of alternate spellings the first that isn't null counts. The feed's own rule reads at most
+    ``most_content`` characters of the content and ``most_clean`` of its text without tags.
+    """
     squeeze = lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
-    title = squeeze(F.coalesce("title", F.lit("")))
-    content = F.substring(F.coalesce("content", F.lit("")), 1, 32768)
-    clean = F.substring(squeeze(F.regexp_replace(content, "<[^>]+>", " ")), 1, 12000)
-    base = items.select("event_id", "published_at", title.alias("t"), content.alias("c"), clean.alias("x"), F.coalesce("link", F.lit("")).alias("l"), "guid")
-    case = places.found(F.col("t"), r"(?i)([0-9]{2}-[0-9]{4,6}(?:-[a-z0-9]+)*)")
-    base = base.withColumn("case_number", case).withColumn("guid", F.coalesce("guid", "l")).withColumn(
+    either = lambda *cs: F.coalesce(*(F.col(f"`{c}`").cast("string") for c in cs if c in items.columns), F.lit(None).cast("string"))
+    title = squeeze(F.coalesce(either("title"), F.lit("")))
+    content = F.left(F.coalesce(either("content", "contentSnippet", "description"), F.lit("")), F.lit(most_content))
+    clean = F.left(squeeze(F.regexp_replace(content, "<[^>]+>", " ")), F.lit(most_clean))
+    base = items.select(
+        "event_id", "published_at", title.alias("t"), content.alias("c"), clean.alias("x"), F.coalesce(either("link"), F.lit("")).alias("l"),
+        *(c for c in ("event_number",) if c in items.columns), either("guid", "id").alias("guid"), F.left(F.coalesce(either("isoDate", "pubDate"), F.lit("")), F.lit(10)).alias("filing_date"),
+    )
+    base = base.withColumn("case_number", places.found(F.col("t"), CASE_NUMBER)).withColumn("guid", F.coalesce("guid", "l")).withColumn(
         "debtor", squeeze(F.when(F.col("case_number").isNotNull(), F.replace("t", F.col("case_number"), F.lit(""))).otherwise(F.col("t")))
     )
     business = F.lower("debtor").rlike("|".join(BUSINESS))
     has = lambda p: F.lower("x").rlike(p)
-    signal = F.when(has("voluntary petition"), 40).otherwise(0) + F.when(has("petition filed"), 30).otherwise(0) + F.when(has(r"chapter\s*11"), 20).otherwise(0)
+    worth = lambda hit, points: F.when(hit, points).otherwise(0)
+    signal = worth(has("voluntary petition"), 40) + worth(has("petition filed"), 30) + worth(has(r"chapter\s*11"), 20) + worth(names.holds_any(F.col("x"), schedule_words), 15)
     excluded = has("|".join(EXCLUDED))
     person = F.col("debtor").rlike("^[A-Z][a-z]+ [A-Z][a-z]+") & ~business
-    court = F.lower(places.found(F.lower("l"), r"ecf\.([a-z]+)\.uscourts\.gov"))
+    court = F.lower(places.found(F.lower("l"), COURT_HOST))
     qualified = (signal >= 40) & ~person & F.col("case_number").isNotNull() & F.col("guid").isNotNull() & ~excluded
     return base.select(
-        "event_id", "published_at", "case_number", F.nullif("debtor", F.lit("")).alias("debtor_name"), places.found(F.lower("x"), r"chapter[:\s]+([0-9]+)").alias("chapter"),
-        court.alias("court_id"), places.found(F.col("c"), r"(?i)href=['\"]([^'\" ]*doc1[^'\" ]+)['\"]").alias("document_url"),
+        "event_id", "published_at", *(c for c in ("event_number",) if c in items.columns), "case_number", F.nullif("debtor", F.lit("")).alias("debtor_name"), places.found(F.lower("x"), CHAPTER).alias("chapter"),
+        court.alias("court_id"), "filing_date", F.coalesce(*(places.found(F.col("c"), p) for p in DOCUMENT_URLS)).alias("document_url"),
         F.concat_ws(":", F.coalesce(court, F.lit("")), F.coalesce("case_number", F.lit("")), F.coalesce("guid", F.lit(""))).alias("unique_key"),
         F.when(excluded, 0).otherwise(signal).alias("signal_score"), business.alias("is_business"), person.alias("is_person"), qualified.alias("is_qualified"),
     )

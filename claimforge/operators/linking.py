@@ -10,9 +10,14 @@ from claimforge.functions import names, places
 
 def creditor_filing_links(creditors: DataFrame, links: DataFrame) -> DataFrame:
     """Both ways in which a creditor is tied to a filing, each pair once."""
+    return both_links(creditors, links).distinct()
+
+
+def both_links(creditors: DataFrame, links: DataFrame) -> DataFrame:
+    """The same where pairs may come twice, for uses on which that has no effect."""
     own = creditors.where("source_filing_id IS NOT NULL").select("creditor_id", F.col("source_filing_id").alias("filing_id"))
     direct = links.join(creditors.select("creditor_id"), "creditor_id").select("creditor_id", "filing_id")
-    return direct.union(own).distinct()
+    return direct.union(own)
 
 
 def active_target_states(states: DataFrame, override: list[str] | None = None) -> DataFrame:
@@ -55,13 +60,17 @@ def territory_reps(rows: DataFrame, territories: DataFrame, state: str, default:
 
 
 def latest_filing(links: DataFrame, filings: DataFrame) -> DataFrame:
-    """Each creditor's newest filing; of equal dates the larger id. One aggregation, no sort."""
-    rank = F.struct("created_on", "filing_id")
-    return (
-        links.join(filings.select("filing_id", "created_on", "state"), "filing_id")
-        .groupBy("creditor_id").agg(F.max_by(F.struct("filing_id", "created_on", "state"), rank).alias("f"))
-        .select("creditor_id", "f.*")
+    """Each creditor's newest filing; of equal dates the larger id, an unknown date is oldest.
+
+    Date and id (not negative) make one decimal, so the aggregation hashes and never sorts.
+    """
+    step = F.lit(str(10**19)).cast("decimal(20,0)")
+    day = (F.coalesce(F.unix_date("created_on"), F.lit(-900_000)) + 1_000_000).cast("decimal(12,0)")
+    newest = (
+        links.join(filings.select("filing_id", (day * step + F.col("filing_id").cast("decimal(20,0)")).cast("decimal(38,0)").alias("_rank")), "filing_id")
+        .groupBy("creditor_id").agg(F.max("_rank").alias("_rank")).select("creditor_id", (F.col("_rank") % step).cast("long").alias("filing_id"))
     )
+    return newest.join(filings.select("filing_id", "created_on", "state"), "filing_id").select("creditor_id", "filing_id", "created_on", "state")
 
 
 def company_creditors(creditors: DataFrame, links: DataFrame, filings: DataFrame) -> DataFrame:

@@ -1,17 +1,18 @@
 """Upserts as set operations: one batch against a stored table, both keyed.
 
-Parquet has no update in place: a merge yields the whole new table, and
-``write_version`` stores it beside the old one and moves a pointer.
+Parquet has no update in place: a merge yields the whole new table, ``write_version``
+stores it beside the old one and then adds it to a log, and ``read_version`` reads the
+newest version that the log names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimforge.functions import names
+from claimforge.functions import money, names
 from claimforge.operators import linking
 
 MONEY = "decimal(15,2)"
@@ -50,14 +51,26 @@ def upsert(store: DataFrame, batch: DataFrame, keys: list[str], policy: Mapping[
 
 
 def write_version(df: DataFrame, path: str) -> str:
-    """Store ``df`` as the next version under ``path``; readers follow the newest complete one."""
+    """Store ``df`` as the next version under ``path`` and return its folder.
+
+    The log gets the version only when all of it is written, so readers never see a part.
+    Of two writers the one that began later is the newer; neither sees what the other adds.
+    """
     import time
 
-    version = f"{path}/v{time.time_ns()}"
+    began = time.time_ns()
+    version = f"{path}/v{began}"
     df.write.parquet(version)
+    df.sparkSession.createDataFrame([(began, version)], "began long, version string").coalesce(1).write.mode("append").parquet(f"{path}/log")
     return version
 
 
+def read_version(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version under ``path``."""
+    newest = spark.read.schema("began long, version string").parquet(f"{path}/log").agg(F.max_by("version", "began")).first()[0]
+    return spark.read.parquet(newest)
+
+
 def merge_creditors(store: DataFrame, batch: DataFrame, additive: bool = True) -> DataFrame:
     """Creditor rows of many filings into the global table, by lower-case name and address.
 
@@ -115,13 +128,13 @@ def filings_from_feed(rows: DataFrame) -> DataFrame:
     return last_per_key(rows, ["case_number"], ["filed", "line_number", "part_id", "debtor"])
 
 
-def upsert_docket(rows: DataFrame) -> DataFrame:
-    """Docket entries by filing and number: the later row wins, the last known path stays."""
+def upsert_docket(rows: DataFrame, most_title: int = 500) -> DataFrame:
+    """Docket entries by filing and number: the later row wins, the last known path stays. Titles have at most ``most_title`` characters."""
     order = F.struct("filed_on", "document_id", "source_id")
     return rows.where(F.trim("document_number") != "").groupBy("filing_id", "document_number").agg(
         F.max_by(F.struct("description", "filed_on", "page_count"), order).alias("r"),
         F.max_by("path", F.when(F.col("path").isNotNull(), order)).alias("path"),
-    ).select("filing_id", "document_number", F.left("r.description", F.lit(500)).alias("title"), "r.filed_on", "r.page_count", "path")
+    ).select("filing_id", "document_number", F.left("r.description", F.lit(most_title)).alias("title"), "r.filed_on", "r.page_count", "path")
 
 
 def upsert_documents(store: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -190,8 +203,30 @@ def config_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return joined.select(key, kind.alias("change"), "old_row", "new_row")
 
 
+def write_back(creditors: DataFrame, contacts: DataFrame, results: DataFrame, floor: str = "full", errors: tuple[str, ...] = ("error", "limit")) -> tuple[DataFrame, DataFrame]:
+    """Lookup results ``creditor_id, status, company_id, name, revenue, employees`` (revenue in thousands, one row a creditor).
+
+    A status of ``errors`` is ``failed``, any but ``floor`` is ``no_match``; both write nothing. A match sets
+    the company, the canonical name and the tier by size where known, and replaces the creditor's
+    contacts by one row for the company. Returns creditors with their ``outcome``, and contacts.
+    """
+    outcome = F.when(F.col("status").isin(*errors), "failed").when(F.col("status").eqNullSafe(floor), "matched").otherwise("no_match")
+    got = results.select(
+        "creditor_id", outcome.alias("outcome"), F.nullif(F.trim("company_id"), F.lit("")).alias("_id"), F.nullif(F.trim("name"), F.lit("")).alias("_name"),
+        money.tier_by_constants(F.col("revenue"), F.col("employees")).alias("_tier"),
+    )
+    hit = F.col("outcome") == "matched"
+    new = {"company_id": "_id", "company_tier": "_tier"}
+    out = creditors.join(got, "creditor_id", "left").select(
+        *(F.when(hit, F.coalesce(new[c], c)).otherwise(F.col(c)).alias(c) if c in new else c for c in creditors.columns),
+        F.when(hit, F.col("_name")).alias("canonical_name"), "outcome",
+    )
+    rows = got.where(hit).select("creditor_id", F.col("_id").alias("company_id"), F.col("_name").alias("full_name"), F.lit("company").alias("kind"))
+    return out, replace_groups(contacts, rows, "creditor_id")
+
+
 def apply_enrichment(creditors: DataFrame, results: DataFrame, least_score: float = 0.7) -> DataFrame:
-    """Vendor results per creditor: an error fails, a low score is no match and writes nothing, a match sets the company."""
+    """Scored results per creditor: an error fails, a low score is no match and writes nothing, a match sets the company."""
     outcome = F.when(F.col("error").isNotNull(), "failed").when(F.coalesce("score", F.lit(0.0)) < least_score, "no_match").otherwise("matched")
     one = results.withColumn("outcome", outcome).groupBy("creditor_id").agg(
         F.max_by(F.struct("outcome", "new_id"), F.struct("score", "new_id")).alias("r")

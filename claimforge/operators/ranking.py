@@ -13,8 +13,15 @@ NO_LIST = (
 )
 
 
-def poll_candidates(filings: DataFrame, checks: DataFrame, limit: int) -> DataFrame:
-    """Filings to poll next: never checked first, then longest unchecked. The limit is the feature."""
+def poll_candidates(filings: DataFrame, checks: DataFrame, limit: int | None, targets: DataFrame | None = None) -> DataFrame:
+    """Filings to poll next: never checked first, then longest unchecked. The limit is the feature; none, or one below 1, fails.
+
+    With ``targets (state)`` only filings of those states.
+    """
+    if limit is None or limit < 1:
+        raise ValueError("poll candidates need a limit of at least 1, given or configured")
+    if targets is not None:
+        filings = filings.join(targets.select("state").distinct(), "state", "left_semi")
     last = checks.groupBy("filing_id").agg(F.max("checked_on").alias("last_check"))
     return (
         filings.where(F.trim("case_number") != "").join(last, "filing_id", "left")
@@ -27,11 +34,15 @@ def pick_document(docs: DataFrame) -> DataFrame:
     number = F.split_part("document_number", F.lit("."), F.lit(1)).try_cast("int")
     pages = F.when(F.col("page_count") > 0, F.col("page_count"))
     far = F.lit(2**31 - 1)
-    rank = F.struct(
-        F.coalesce(F.when(number > 0, number), far).alias("a"), F.coalesce(pages, far).alias("b"), F.col("document_id"), F.col("source_id"), F.col("filed_on")
-    )
-    return docs.groupBy("filing_id").agg(F.min_by("document_id", rank).alias("document_id"), F.min(rank).alias("r")).select(
-        "filing_id", "document_id", F.col("r.a").alias("number_rank"), F.col("r.b").alias("page_rank")
+    # Both ranks make one number, and with the id (not negative) a decimal of 125 bits: the aggregation hashes and never sorts.
+    both = F.coalesce(F.when(number > 0, number), far).cast("long") * F.lit(2**31) + F.coalesce(pages, far).cast("long")
+    step = F.lit(str(2**63)).cast("decimal(19,0)")
+    least = docs.groupBy("filing_id").agg(F.min((both.cast("decimal(19,0)") * step + F.col("document_id").cast("decimal(19,0)")).cast("decimal(38,0)")).alias("r"))
+    document = (F.col("r") % step).cast("long")
+    ranks = F.col("r").cast("decimal(38,0)") - document.cast("decimal(19,0)")
+    pair = F.round(ranks / step).cast("long")
+    return least.select(
+        "filing_id", document.alias("document_id"), F.shiftright(pair, 31).cast("int").alias("number_rank"), pair.bitwiseAND(F.lit(2**31 - 1)).cast("int").alias("page_rank")
     )
 
 
@@ -44,14 +55,26 @@ def document_candidates(docs: DataFrame) -> DataFrame:
     )
 
 
+def handoff(docs: DataFrame, queue: DataFrame) -> DataFrame:
+    """The latest document of each filing beside its latest queue entry ``(filing_id, queue_id, created_at)``."""
+    last = queue.groupBy("filing_id").agg(F.max_by("queue_id", F.struct("created_at", "queue_id")).alias("queue_id"))
+    return latest_document(docs).join(last, "filing_id", "full")
+
+
 def latest_document(docs: DataFrame) -> DataFrame:
     able = docs.where(F.coalesce(F.trim("path"), F.lit("")) != "")
     rank = F.struct("filed_on", "document_id", "source_id")
     return able.groupBy("filing_id").agg(F.max_by("path", rank).alias("path"), F.max("filed_on").alias("filed_on"))
 
 
-def best_candidates(candidates: DataFrame, creditors: DataFrame, geo_bonus: float = 0.5, least_lead: float = 0.05) -> DataFrame:
-    """The best company per creditor: confidence plus a bonus for the state; a small lead is ambiguous."""
+def best_candidates(
+    candidates: DataFrame, creditors: DataFrame, geo_bonus: float = 0.5, least_lead: float = 0.05, failures: DataFrame | None = None
+) -> DataFrame:
+    """The best company per creditor: confidence plus a bonus for the state; a small lead is ambiguous.
+
+    ``failures (creditor_id, http_status)`` are lookups that failed: 429 makes the status
+    ``rate_limited``, any other ``error``; such a creditor has no company.
+    """
     state = F.upper(F.left(F.coalesce("home_state", F.lit("")), F.lit(2)))
     here = (state != "") & F.contains(F.upper(F.coalesce("headquarters", F.lit(""))), state)
     score = F.coalesce("confidence", F.lit(0.5)) + F.when(here, geo_bonus).otherwise(0.0)
@@ -63,7 +86,12 @@ def best_candidates(candidates: DataFrame, creditors: DataFrame, geo_bonus: floa
         "creditor_id", F.when(close, "ambiguous").otherwise("matched").alias("match_status"),
         F.when(~close, F.col("candidate_id")).alias("company_id"), F.round("score", 6).alias("score"),
     )
-    return creditors.select("creditor_id").join(best, "creditor_id", "left").withColumn("match_status", F.coalesce("match_status", F.lit("no_match")))
+    out = creditors.select("creditor_id").join(best, "creditor_id", "left").withColumn("match_status", F.coalesce("match_status", F.lit("no_match")))
+    if failures is None:
+        return out
+    bad = failures.groupBy("creditor_id").agg(F.when(F.bool_or(F.col("http_status") == 429), "rate_limited").otherwise("error").alias("_bad"))
+    none = lambda c: F.when(F.col("_bad").isNull(), F.col(c)).alias(c)
+    return out.join(bad, "creditor_id", "left").select("creditor_id", F.coalesce("_bad", "match_status").alias("match_status"), none("company_id"), none("score"))
 
 
 def top_contacts(contacts: DataFrame, k: int = 3) -> DataFrame:
@@ -94,8 +122,8 @@ def fail_stale(jobs: DataFrame, now: str, hours: int = 24) -> DataFrame:
     )
 
 
-def drain_order(jobs: DataFrame) -> DataFrame:
-    kinds = ("document_parse", "zoom_info_enrich", "salesforce_push")
+def drain_order(jobs: DataFrame, kinds: tuple[str, ...] = ("document_parse", "company_lookup", "account_push")) -> DataFrame:
+    """Queued jobs by kind, in the order of ``kinds``, then by age."""
     rank = F.array_position(F.array(*map(F.lit, kinds)), F.col("job_type"))
     return jobs.where((F.col("status") == "queued") & F.col("job_type").isin(*kinds)).withColumn("rank", rank).orderBy("rank", "created_at", "job_id")
 

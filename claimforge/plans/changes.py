@@ -13,12 +13,12 @@ from claimforge.streaming import feeds as streams
 
 BATCH_SQL = """SELECT filing_id, creditor_id, part_id, line_number, (creditor_id % 3 + 1) * 1000000000 + filing_id * 10 + line_number AS arrival, name AS creditor_name, address, amount,
     CASE WHEN part_id % 4 = 0 THEN 'orig ' || CAST(part_id AS STRING) END AS original_name, CASE WHEN part_id % 2 = 0 THEN CAST(part_id % 100 AS DOUBLE) / 100 END AS confidence,
-    CASE part_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'individual' END AS entity_type FROM claims JOIN (SELECT creditor_id, name, address FROM creditors) c USING (creditor_id) WHERE filing_id % 10 = 0"""
+    CASE part_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'individual' END AS entity_type FROM claims JOIN (SELECT creditor_id, name, address FROM creditors) c USING (creditor_id)"""
 
 
 def _batch(t):
     return (
-        t.claims.where("filing_id % 10 = 0").join(t.creditors.select("creditor_id", F.col("name").alias("creditor_name"), "address"), "creditor_id")
+        t.claims.join(t.creditors.select("creditor_id", F.col("name").alias("creditor_name"), "address"), "creditor_id")
         .select(
             "filing_id", F.struct(((F.col("creditor_id") % 3 + 1) * 1000000000 + F.col("filing_id") * 10 + F.col("line_number")).alias("a"), "part_id", "amount").alias("arrival"),
             "creditor_name", "address", F.col("amount").alias("claim_amount"),
@@ -229,6 +229,25 @@ def _(t):
     return t.metas.where("valid_rows > 0 AND NOT flagged").select("doc_id").join(t.metas.where("ocr").select("doc_id"), "doc_id", "left_anti")
 
 
+@query(
+    "u23b_written_back",
+    """WITH r AS (SELECT creditor_id, CASE WHEN creditor_id % 9 = 0 THEN 'failed' WHEN creditor_id % 4 > 0 THEN 'matched' ELSE 'no_match' END AS outcome, revenue, employees FROM firmographics WHERE creditor_id % 7 > 0)
+      SELECT creditor_id, CASE WHEN outcome = 'matched' THEN 'v' || CAST(creditor_id AS STRING) ELSE company_id END AS company_id, CAST(CASE WHEN outcome = 'matched' THEN coalesce(CASE WHEN revenue IS NULL AND employees IS NULL THEN NULL
+        WHEN coalesce(revenue >= 1000000, false) OR coalesce(employees >= 5000, false) THEN 1 WHEN coalesce(revenue >= 100000, false) OR coalesce(employees >= 500, false) THEN 2 ELSE 3 END, company_tier) ELSE company_tier END AS INT) AS company_tier,
+        CASE WHEN outcome = 'matched' THEN 'Name ' || CAST(creditor_id AS STRING) END AS canonical_name, outcome, CASE WHEN outcome = 'matched' THEN 'company' WHEN creditor_id % 2 = 0 THEN 'person' END AS contact
+      FROM creditors LEFT JOIN r USING (creditor_id)""",
+)
+def _(t):
+    status = F.when(F.col("creditor_id") % 9 == 0, "limit").when(F.col("creditor_id") % 4 > 0, "full").when(F.col("creditor_id") % 8 == 0, "part")
+    number = F.col("creditor_id").cast("string")
+    results = t.firmographics.where("creditor_id % 7 > 0").select(
+        "creditor_id", status.alias("status"), F.concat(F.lit("v"), number).alias("company_id"), F.concat(F.lit("Name "), number).alias("name"), "revenue", "employees"
+    )
+    contacts = t.creditors.where("creditor_id % 2 = 0").select("creditor_id", "company_id", F.col("name").alias("full_name"), F.lit("person").alias("kind"))
+    out, contacts = merging.write_back(t.creditors, contacts, results)
+    return out.select("creditor_id", "company_id", "company_tier", "canonical_name", "outcome").join(contacts.select("creditor_id", F.col("kind").alias("contact")), "creditor_id", "left")
+
+
 @query(
     "u23_applied_enrichment",
     """WITH r AS (SELECT creditor_id, candidate_id, confidence, CASE WHEN name_key % 20 = 0 THEN 'failed' WHEN confidence * 10 < 0.7 THEN 'no_match' ELSE 'matched' END AS outcome FROM candidates),
@@ -258,7 +277,9 @@ def _(t):
 
     rows = t.feed.where("case_number <> ''").select("case_number", "debtor", "filed", "line_number", "part_id")
     path = shared_folder(t.spark, "filings")
-    return t.spark.read.parquet(merging.write_version(merging.filings_from_feed(rows).select("case_number", "debtor", "filed"), path))
+    merging.write_version(merging.filings_from_feed(rows.limit(0)).select("case_number", "debtor", "filed"), path)
+    merging.write_version(merging.filings_from_feed(rows).select("case_number", "debtor", "filed"), path)
+    return merging.read_version(t.spark, path)
 
 
 T1_SQL = "SELECT doc_id, CASE WHEN a > 0 AND a >= b AND a >= c THEN 'form_201' WHEN b > 0 AND b >= c THEN 'creditor_matrix' WHEN c > 0 THEN 'schedule' ELSE 'unknown' END AS kind, greatest(a, b, c) AS score FROM (SELECT doc_id, {} AS a, {} AS b, {} AS c FROM x)"
@@ -276,11 +297,41 @@ def _(t):
 
 
 @query(
-    "t2_form_fields",
-    r"""SELECT filing_id, nullif(trim(regexp_extract(text, '(?i)Debtor(?:''s)?\s+name[:\s]+([^\n]+)', 1)), '') AS debtor_name, nullif(regexp_extract(text, '(?i)State[:\s]+([A-Z]{2})\b', 1), '') AS state,
-      TRY_CAST(replace(nullif(regexp_extract(text, '\$\s*([0-9,]+(?:\.[0-9]+)?)\s*(?:to|-)\s*\$?\s*([0-9,]+(?:\.[0-9]+)?)', 1), ''), ',', '') AS DECIMAL(15,2)) AS least_assets,
-      TRY_CAST(replace(nullif(regexp_extract(text, '\$\s*([0-9,]+(?:\.[0-9]+)?)\s*(?:to|-)\s*\$?\s*([0-9,]+(?:\.[0-9]+)?)', 2), ''), ',', '') AS DECIMAL(15,2)) AS most_assets, CAST(NULL AS INT) AS least_creditors FROM petitions""",
+    "t1b_hinted_kinds",
+    "SELECT filing_id, CASE WHEN filing_id % 5 = 0 THEN 'schedule' WHEN filing_id % 5 = 1 THEN 'form_201' ELSE 'creditor_matrix' END AS kind FROM notices",
 )
+def _(t):
+    hint = F.when(F.col("filing_id") % 5 == 0, "Schedule ").when(F.col("filing_id") % 5 == 1, "form_201").when(F.col("filing_id") % 5 == 2, "no kind")
+    return extraction.classify(t.notices.withColumn("hint", hint), "filing_id", hint_col="hint").select("filing_id", "kind")
+
+
+def _form_sql() -> str:
+    """The fields by DuckDB's own functions."""
+    first = lambda c: "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(text, '(?i){p.replace(chr(39), chr(39) * 2)}', 1)), '')" for p in extraction.FORM_PATTERNS[c]) + f") AS {c}"
+
+    def ends(section: str, patterns: tuple[str, ...], most: str, kind: str) -> tuple[str, str]:
+        found = [f"nullif(regexp_extract({section}, '(?i){p}', {g}), '')" for p, g in zip((patterns[0], *patterns), (1, 2, 1, 1))]
+        low, high, more, less = (f"TRY_CAST(replace({x}, ',', '') AS {kind})" for x in found)
+        return (
+            f"CASE WHEN {found[0]} IS NOT NULL THEN {low} WHEN {found[2]} IS NOT NULL THEN {more} END",
+            f"CASE WHEN {found[0]} IS NOT NULL THEN {high} WHEN {found[2]} IS NOT NULL THEN CAST({most} AS {kind}) ELSE {less} END",
+        )
+
+    out = [first(c) for c in extraction.FORM_PATTERNS]
+    for what in ("assets", "liabilities"):
+        least, most = ends(what, extraction.DOLLAR_RANGES, "1000000", "DECIMAL(15,2)")
+        out += [f"{least} AS least_{what}", f"{most} AS most_{what}"]
+    least, most = ends("near_creditors", extraction.CREDITOR_RANGES, "NULL", "INT")
+    section = lambda label: f"CASE WHEN contains(lower(text), '{label}') THEN substr(text, strpos(lower(text), '{label}'), 800) ELSE text END"
+    at = "strpos(lower(text), 'creditor')"
+    near = f"CASE WHEN {at} > 0 THEN substr(text, greatest({at} - 200, 1), {at} + 400 - greatest({at} - 200, 1)) ELSE text END"
+    return (
+        f"WITH s AS (SELECT filing_id, text, {section('estimated assets')} AS assets, {section('estimated liabilities')} AS liabilities, {near} AS near_creditors FROM petitions) "
+        f"SELECT filing_id, {', '.join(out)}, {least} AS least_creditors, {most} AS most_creditors FROM s"
+    )
+
+
+@query("t2_form_fields", _form_sql())
 def _(t):
     return extraction.form_fields(t.petitions)
 
@@ -349,17 +400,18 @@ def _(t):
 @query(
     "t9_feed_events",
     r"""WITH b AS (SELECT event_id, trim(regexp_replace(coalesce(title, ''), '\s+', ' ', 'g')) AS t, coalesce(content, '') AS c, trim(regexp_replace(regexp_replace(coalesce(content, ''), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS x,
-       coalesce(link, '') AS l, coalesce(guid, link, '') AS g FROM rss),
+       coalesce(link, '') AS l, coalesce(guid, link, '') AS g, strftime(published_at, '%Y-%m-%dT%H') AS iso FROM rss),
       k AS (SELECT *, nullif(regexp_extract(t, '(?i)([0-9]{2}-[0-9]{4,6}(?:-[a-z0-9]+)*)', 1), '') AS case_number FROM b),
       d AS (SELECT *, trim(regexp_replace(CASE WHEN case_number IS NOT NULL THEN replace(t, case_number, '') ELSE t END, '\s+', ' ', 'g')) AS debtor, nullif(lower(regexp_extract(lower(l), 'ecf\.([a-z]+)\.uscourts\.gov', 1)), '') AS court_id FROM k),
       f AS (SELECT *, regexp_matches(lower(debtor), 'llc|inc|corp|corporation|ltd|lp|holdings|company|co\.|group|enterprises') AS is_business, regexp_matches(lower(x), 'proof of claim|meeting of creditors') AS excluded,
-       CASE WHEN contains(lower(x), 'voluntary petition') THEN 40 ELSE 0 END + CASE WHEN contains(lower(x), 'petition filed') THEN 30 ELSE 0 END + CASE WHEN regexp_matches(lower(x), 'chapter\s*11') THEN 20 ELSE 0 END AS signal FROM d)
-      SELECT event_id, case_number, nullif(debtor, '') AS debtor_name, nullif(regexp_extract(lower(x), 'chapter[:\s]+([0-9]+)', 1), '') AS chapter, court_id, nullif(regexp_extract(c, '(?i)href=[''"]([^''" ]*doc1[^''" ]+)[''"]', 1), '') AS document_url,
+       CASE WHEN contains(lower(x), 'voluntary petition') THEN 40 ELSE 0 END + CASE WHEN contains(lower(x), 'petition filed') THEN 30 ELSE 0 END + CASE WHEN regexp_matches(lower(x), 'chapter\s*11') THEN 20 ELSE 0 END + CASE WHEN regexp_matches(lower(x), 'schedule f|schedule e/f|unsecured claims|list of creditors|creditor matrix|form 204|20 largest') THEN 15 ELSE 0 END AS signal FROM d)
+      SELECT event_id, case_number, nullif(debtor, '') AS debtor_name, nullif(regexp_extract(lower(x), 'chapter[:\s]+([0-9]+)', 1), '') AS chapter, court_id, coalesce(nullif(regexp_extract(c, '(?i)href=[''"]([^''" ]*doc1[^''" ]+)[''"]', 1), ''), nullif(regexp_extract(c, '(?i)(https://ecf\.[^'' ]+/doc1/[^'' ]+)', 1), '')) AS document_url, left(iso, 10) AS filing_date,
        coalesce(court_id, '') || ':' || coalesce(case_number, '') || ':' || g AS unique_key, CASE WHEN excluded THEN 0 ELSE signal END AS signal_score, is_business, regexp_matches(debtor, '^[A-Z][a-z]+ [A-Z][a-z]+') AND NOT is_business AS is_person,
        signal >= 40 AND NOT (regexp_matches(debtor, '^[A-Z][a-z]+ [A-Z][a-z]+') AND NOT is_business) AND case_number IS NOT NULL AND NOT excluded AS is_qualified FROM f""",
 )
 def _(t):
-    return extraction.feed_events(t.rss).drop("published_at")
+    items = t.rss.withColumn("isoDate", F.date_format("published_at", "yyyy-MM-dd'T'HH")).withColumn("pubDate", F.lit("never")).withColumn("description", F.lit("never"))
+    return extraction.feed_events(items).drop("published_at")
 
 
 @query(
@@ -386,6 +438,20 @@ def _(t):
     return feeds.expand_import(t.supplier.select(F.col("s_suppkey").alias("import_id"), body.alias("body")), "struct<name:string>").select("import_id", "row.name")
 
 
+@query("s5_import_rejects", "SELECT s_suppkey AS import_id, 'no rows' AS rejected_for FROM supplier WHERE s_suppkey % 5 < 3")
+def _(t):
+    k = F.col("s_suppkey") % 5
+    body = F.when(k == 0, "{}").when(k == 1, '{"rows":[]}').when(k > 2, F.to_json(F.struct(F.array(F.struct(F.col("s_name").alias("name"))).alias("rows"))))
+    return feeds.import_rejects(t.supplier.select(F.col("s_suppkey").alias("import_id"), body.alias("body")), "struct<name:string>")
+
+
+@query("c18_claim_amounts", "SELECT filing_id, part_id, line_number, TRY_CAST(nullif(regexp_replace(loss, '[^0-9.]', '', 'g'), '') AS DECIMAL(15,2)) AS amount FROM (SELECT case_key AS filing_id, part_id, line_number, loss FROM feed)")
+def _(t):
+    from claimforge.functions import money
+
+    return t.feed.select(F.col("case_key").alias("filing_id"), "part_id", "line_number", money.safe_numeric(F.col("loss")).alias("amount"))
+
+
 @query("t11_document_cache", "SELECT doc_id, content_sha256 IN (SELECT content_sha256 FROM metas WHERE doc_id % 4 = 0) AS cached FROM metas")
 def _(t):
     known = t.metas.where("doc_id % 4 = 0").select("content_sha256").distinct().withColumn("hit", F.lit(True))
@@ -393,20 +459,20 @@ def _(t):
 
 
 def _fuzzy_rows(t):
-    """Claim rows with names that vary by spelling, thirty or so to a filing."""
+    """Claim rows with names that vary by spelling, thirty or so to a filing, of which there are more in larger tables."""
     spell = F.when(F.col("part_id") % 3 == 0, " Corp").when(F.col("part_id") % 3 == 1, " Corporation").otherwise("")
     return (
-        t.claims.where("filing_id % 7 = 0").join(t.supplier.select(F.col("s_suppkey").alias("creditor_id"), "s_name"), "creditor_id")
+        t.claims.join(t.supplier.select(F.col("s_suppkey").alias("creditor_id"), "s_name"), "creditor_id")
         .groupBy("filing_id", "creditor_id", "part_id").agg(F.max("amount").alias("claim_amount"), F.max("line_number").alias("line_number"), F.max("s_name").alias("s_name"))
         .select(
-            (F.col("filing_id") * 1000000000 + F.col("creditor_id") * 100000 + F.col("part_id")).alias("row_id"), (F.col("filing_id") % 250).alias("filing_id"), F.concat("s_name", spell).alias("name"),
+            (F.col("filing_id") * 1000000000 + F.col("creditor_id") * 100000 + F.col("part_id")).alias("row_id"), F.floor(F.col("filing_id") / 8).alias("filing_id"), F.concat("s_name", spell).alias("name"),
             F.concat((F.col("creditor_id") % 9).cast("string"), F.lit(" Main St")).alias("address"), "claim_amount", (F.col("part_id") % 7 / 10).alias("confidence"), "line_number",
         )
     )
 
 
-FUZZY_SQL = r"""SELECT filing_id * 1000000000 + creditor_id * 100000 + part_id AS row_id, filing_id % 250 AS filing_id, s_name || CASE part_id % 3 WHEN 0 THEN ' Corp' WHEN 1 THEN ' Corporation' ELSE '' END AS name,
-  CAST(creditor_id % 9 AS STRING) || ' Main St' AS address FROM claims JOIN supplier ON creditor_id = s_suppkey WHERE filing_id % 7 = 0 GROUP BY filing_id, creditor_id, part_id, s_name"""
+FUZZY_SQL = r"""SELECT filing_id * 1000000000 + creditor_id * 100000 + part_id AS row_id, CAST(floor(filing_id / 8) AS BIGINT) AS filing_id, s_name || CASE part_id % 3 WHEN 0 THEN ' Corp' WHEN 1 THEN ' Corporation' ELSE '' END AS name,
+  CAST(creditor_id % 9 AS STRING) || ' Main St' AS address FROM claims JOIN supplier ON creditor_id = s_suppkey GROUP BY filing_id, creditor_id, part_id, s_name"""
 
 
 @query(
@@ -422,6 +488,26 @@ def _(t):
     return both.where(fuzzy.token_jaccard(F.col("a"), F.col("b")) >= 0.99).select("left_id", "right_id")
 
 
+@query("j16_candidate_pairs", f"SELECT a.filing_id, a.row_id AS left_id, b.row_id AS right_id FROM ({FUZZY_SQL}) a JOIN ({FUZZY_SQL}) b ON a.filing_id = b.filing_id AND a.row_id < b.row_id")
+def _(t):
+    return fuzzy.candidate_pairs(_fuzzy_rows(t))
+
+
+@query("d2_scored_pairs")
+def _(t):
+    rows = fuzzy.keyed(_fuzzy_rows(t))
+    return fuzzy.score_pairs(fuzzy.candidate_pairs(rows), rows).select("left_id", "right_id", "score")
+
+
+@query("n9_token_scores")
+def _(t):
+    """Each creditor's key against that of the creditor with the next id, whatever the score."""
+    keys = t.creditors.select("creditor_id", fuzzy.names.dedup_key(F.col("name"), F.col("address")).alias("key"))
+    after = keys.select((F.col("creditor_id") - 1).alias("row_id"), F.col("creditor_id").alias("other"), F.col("key").alias("b"))
+    both = keys.select(F.col("creditor_id").alias("row_id"), F.col("key").alias("a")).join(after, "row_id")
+    return both.select("row_id", "other", fuzzy.token_set_scores("a", "b").alias("score"))
+
+
 @query(
     "d3_clusters",
     """WITH RECURSIVE e AS (SELECT s_suppkey AS a, (s_suppkey * 7 + 3) % 60 AS b FROM supplier WHERE s_suppkey % 4 > 0), s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
@@ -437,10 +523,10 @@ def _(t):
 @query(
     "d4_merged_clusters",
     """SELECT filing_id, creditor_id AS cluster_id, CAST(sum(amount) AS DECIMAL(15,2)) AS claim_amount, count(*) AS n_rows, array_to_string(list_sort(list(DISTINCT line_number)), ',') AS line_numbers, max(CAST(part_id % 7 AS DOUBLE)) AS confidence
-      FROM claims WHERE filing_id % 3 = 0 GROUP BY filing_id, creditor_id""",
+      FROM claims GROUP BY filing_id, creditor_id""",
 )
 def _(t):
-    rows = t.claims.where("filing_id % 3 = 0").select(
+    rows = t.claims.select(
         "filing_id", F.col("creditor_id").alias("cluster_id"), F.col("part_id").alias("row_id"), F.concat(F.lit("n"), F.col("part_id").cast("string")).alias("name"),
         F.lit("a").alias("address"), F.col("amount").alias("claim_amount"), (F.col("part_id") % 7).cast("double").alias("confidence"), "line_number",
     )
@@ -558,8 +644,8 @@ def _(t):
     "FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 23 HOUR AS b FROM events), (SELECT unnest(range(24)) AS k) GROUP BY ALL",
 )
 def _(t):
-    rows = t.events.select(F.col("event_type").alias("job_type"), F.when(F.col("value").between(50, 80), "failed").otherwise("ok").alias("status"), F.col("ts").cast("timestamp").alias("created_at"))
-    return streams.job_counts(rows, "24 hours", "1 hour").withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    out = streams.run_available(streams.job_counts(_job_stream(t), "24 hours", "1 hour"), "sliding-jobs", "complete")
+    return out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
@@ -569,8 +655,8 @@ def _(t):
       SELECT worker, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS started, count(*) AS n FROM s GROUP BY worker, k""",
 )
 def _(t):
-    rows = t.events.select(F.col("event_type").alias("worker"), F.col("ts").cast("timestamp").alias("created_at"))
-    return streams.worker_sessions(rows).select("worker", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
+    out = streams.run_available(streams.worker_sessions(_job_stream(t)), "sessions", "complete")
+    return out.select("worker", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
 
 
 @query("i5_feed_stream", "SELECT DISTINCT ':24-' || (user_id + 10000) || ':g' || (event_id % 500) AS unique_key, '24-' || (user_id + 10000) AS case_number, true AS is_qualified FROM events")
@@ -583,11 +669,14 @@ def _(t):
     return streams.run_available(streams.feed_event_stream(items, "40 days"), "feed").select("unique_key", "case_number", "is_qualified")
 
 
-@query("i8_exposure_stream", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id")
+@query("i8_exposure_stream", "SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS total FROM events GROUP BY user_id")
 def _(t):
+    from claimforge.session import shared_folder
+
     raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
-    sums = raw.groupBy("user_id").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
-    return streams.run_available(sums, "exposure", "complete").select("user_id", "n", "total")
+    claims = raw.select(F.col("event_id").alias("filing_id"), F.col("user_id").alias("creditor_id"), F.col("value").cast("decimal(15,2)").alias("amount"))
+    out = streams.exposure_store(claims, shared_folder(t.spark, "exposure"))
+    return out.select(F.col("creditor_id").alias("user_id"), F.col("filing_count").alias("n"), F.col("total_claims").alias("total"))
 
 
 @query("s1_claim_feed", "SELECT count(*) AS n, count(DISTINCT nullif(case_number, '')) AS cases, count(DISTINCT debtor) AS debtors FROM feed")

@@ -16,7 +16,7 @@ def ingest_feed(rows: DataFrame, states: list[str], jobs: DataFrame) -> dict[str
     checked = materialize(feeds.validate_claims(rows), "checked")
     good = feeds.keep_states(checked.where("rejected_for IS NULL"), states)
     filings = merging.filings_from_feed(good.select("case_number", "debtor", "filed", "line_number", "part_id"))
-    due = ranking.enqueueable(filings.select(F.col("case_number").alias("filing_id"), F.lit("zoom_info_enrich").alias("job_type")), jobs)
+    due = ranking.enqueueable(filings.select(F.col("case_number").alias("filing_id"), F.lit("company_lookup").alias("job_type")), jobs)
     return {"filings": filings, "creditors": aggregates.combine_claims(good), "rejects": checked.where("rejected_for IS NOT NULL"), "jobs": due}
 
 
@@ -77,7 +77,7 @@ def _(t):
 
 @query("u22_applied_corrections")
 def _(t):
-    rows = t.claims.where("filing_id % 40 = 0").join(t.supplier.select(F.col("s_suppkey").alias("creditor_id"), F.col("s_name").alias("name")), "creditor_id")
+    rows = t.claims.join(t.supplier.select(F.col("s_suppkey").alias("creditor_id"), F.col("s_name").alias("name")), "creditor_id")
     corrected = rows.select(
         F.col("filing_id").alias("doc_id"), F.xxhash64("filing_id", "creditor_id", "part_id", "line_number").alias("row_id"), "name", F.lit("1 Main St").alias("address"),
         F.col("amount").alias("claim_amount"), F.lit(0.9).alias("confidence"), "line_number",

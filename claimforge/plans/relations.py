@@ -222,9 +222,9 @@ def _(t):
     return t.creditors.join(repeat, "creditor_id").select("creditor_id", reason.alias("reason"))
 
 
-STATUS_SQL = f"""SELECT creditor_id, CASE WHEN creditor_id % 8 = 0 THEN 'Salesforce Synced' WHEN creditor_id % 8 = 1 THEN 'ZoomInfo Enriched' WHEN pending THEN 'Pending Enrichment' WHEN failed THEN 'Enrichment Failed' ELSE 'New' END AS status
+STATUS_SQL = f"""SELECT creditor_id, CASE WHEN creditor_id % 8 = 0 THEN 'Synced' WHEN creditor_id % 8 = 1 THEN 'Enriched' WHEN pending THEN 'Pending Enrichment' WHEN failed THEN 'Enrichment Failed' ELSE 'New' END AS status
   FROM creditors LEFT JOIN (SELECT creditor_id, bool_or(status IN ('queued', 'running', 'retrying')) AS pending, bool_or(status = 'failed') AS failed
-  FROM {LINKS_SQL} l JOIN jobs USING (filing_id) WHERE job_type = 'zoom_info_enrich' GROUP BY creditor_id) s USING (creditor_id)"""
+  FROM {LINKS_SQL} l JOIN jobs USING (filing_id) WHERE job_type = 'company_lookup' GROUP BY creditor_id) s USING (creditor_id)"""
 
 
 def _status(t):
@@ -236,7 +236,7 @@ def _(t):
     return _status(t)
 
 
-URL_SQL = "CASE WHEN coalesce(trim(company_id), '') = '' THEN '' ELSE 'https://app.zoominfo.com/#/company/' || trim(company_id) || '/overview' END"
+URL_SQL = "CASE WHEN coalesce(trim(company_id), '') = '' THEN '' ELSE 'https://example.org/company/' || trim(company_id) || '/overview' END"
 SHOWN_SQL = f"coalesce(nullif(trim(original_name), ''), name) AS creditor, {CITY_SQL} AS city, {STATE_SQL % 'f.state'} AS state, {DOLLARS_SQL.format('claim_amount')} AS claim, status, {URL_SQL} AS profile_url"
 A8_SQL = f"""SELECT c.creditor_id, f.filing_id, debtor_name, case_number, filing_date, {SHOWN_SQL}, company_tier AS tier FROM creditors c JOIN {LINKS_SQL} l ON c.creditor_id = l.creditor_id
   JOIN filings f ON f.filing_id = l.filing_id JOIN ({STATUS_SQL}) s ON s.creditor_id = c.creditor_id WHERE is_company AND NOT {JUNK_SQL} AND (c.created_on >= DATE '{{0}}' OR f.created_on >= DATE '{{0}}')"""
@@ -306,7 +306,7 @@ def _(t):
 @query(
     "a7_pipeline_summary",
     """SELECT (SELECT count(*) FROM filings WHERE created_on >= DATE '2001-01-01') AS new_filings, (SELECT count(*) FROM creditors WHERE created_on >= DATE '2001-01-01') AS new_creditors,
-      (SELECT count(*) FROM jobs WHERE job_type = 'pacer_poll' AND status = 'completed') AS polls_completed, (SELECT count(*) FROM jobs WHERE job_type = 'pacer_poll' AND status = 'failed') AS polls_failed,
+      (SELECT count(*) FROM jobs WHERE job_type = 'docket_poll' AND status = 'completed') AS polls_completed, (SELECT count(*) FROM jobs WHERE job_type = 'docket_poll' AND status = 'failed') AS polls_failed,
       (SELECT count(*) FROM metas) AS reviews, (SELECT count(*) FROM docket_docs WHERE description = 'Petition') AS monitoring, (SELECT count(*) FROM docket_docs WHERE description = 'Notice of hearing') AS pending_approval""",
 )
 def _(t):
@@ -321,9 +321,15 @@ BEST_SQL = """WITH s AS (SELECT k.*, home_state, coalesce(confidence, 0.5) + CAS
     CASE WHEN NOT coalesce(score - second < 0.05, false) THEN candidate_id END AS company_id, round(CAST(score AS DOUBLE), 6) AS score FROM (SELECT creditor_id FROM creditors) c LEFT JOIN b USING (creditor_id)"""
 
 
-@query("w5_best_candidates", BEST_SQL)
+@query(
+    "w5_best_candidates",
+    f"SELECT creditor_id, CASE WHEN creditor_id % 9 = 4 THEN 'rate_limited' WHEN creditor_id % 11 = 3 THEN 'error' ELSE match_status END AS match_status, CASE WHEN creditor_id % 9 <> 4 AND creditor_id % 11 <> 3 THEN company_id END AS company_id, "
+    f"CASE WHEN creditor_id % 9 <> 4 AND creditor_id % 11 <> 3 THEN score END AS score FROM ({BEST_SQL})",
+)
 def _(t):
-    return ranking.best_candidates(t.candidates, t.creditors)
+    limited = t.creditors.where("creditor_id % 9 = 4").select("creditor_id", F.lit(429).alias("http_status"))
+    broken = t.creditors.where("creditor_id % 11 = 3").select("creditor_id", F.lit(500).alias("http_status"))
+    return ranking.best_candidates(t.candidates, t.creditors, failures=limited.union(broken))
 
 
 @query(
@@ -392,19 +398,19 @@ def _(t):
 @query(
     "a16_run_outcomes",
     "SELECT filing_id, count(*) FILTER (WHERE status = 'completed') AS done, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status NOT IN ('completed', 'failed')) AS open, "
-    "count(*) FILTER (WHERE status = 'completed') = 0 AND count(*) FILTER (WHERE status = 'failed') > 0 AS run_failed FROM jobs WHERE job_type = 'zoom_info_enrich' GROUP BY filing_id",
+    "count(*) FILTER (WHERE status = 'completed') = 0 AND count(*) FILTER (WHERE status = 'failed') > 0 AS run_failed FROM jobs WHERE job_type = 'company_lookup' GROUP BY filing_id",
 )
 def _(t):
-    return aggregates.run_outcomes(t.jobs.where("job_type = 'zoom_info_enrich'"))
+    return aggregates.run_outcomes(t.jobs.where("job_type = 'company_lookup'"))
 
 
 @query(
     "a17_push_outcomes",
     "SELECT filing_id, count(*) FILTER (WHERE status = 'completed') AS done, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status NOT IN ('completed', 'failed')) AS open, "
-    "count(*) FILTER (WHERE status = 'completed') = 0 AND count(*) FILTER (WHERE status = 'failed') > 0 AS run_failed FROM jobs WHERE job_type = 'salesforce_push' GROUP BY filing_id",
+    "count(*) FILTER (WHERE status = 'completed') = 0 AND count(*) FILTER (WHERE status = 'failed') > 0 AS run_failed FROM jobs WHERE job_type = 'account_push' GROUP BY filing_id",
 )
 def _(t):
-    return aggregates.run_outcomes(t.jobs.where("job_type = 'salesforce_push'"))
+    return aggregates.run_outcomes(t.jobs.where("job_type = 'account_push'"))
 
 
 @query("a18_contact_titles", "SELECT DISTINCT p_type AS title FROM part WHERE p_size % 3 + 1 >= 2")
@@ -436,19 +442,22 @@ def _(t):
 
 @query(
     "w1_poll_candidates",
-    "SELECT filing_id, case_number FROM filings LEFT JOIN (SELECT filing_id, max(CAST(created_at AS DATE)) AS last_check FROM jobs GROUP BY 1) USING (filing_id) WHERE trim(case_number) <> '' ORDER BY last_check NULLS FIRST, created_on, filing_id LIMIT 50",
+    "SELECT filing_id, case_number FROM filings LEFT JOIN (SELECT filing_id, max(CAST(created_at AS DATE)) AS last_check FROM jobs GROUP BY 1) USING (filing_id) "
+    "WHERE trim(case_number) <> '' AND state IN (SELECT state FROM target_states WHERE active) ORDER BY last_check NULLS FIRST, created_on, filing_id LIMIT 50",
 )
 def _(t):
     checks = t.jobs.select("filing_id", F.to_date("created_at").alias("checked_on"))
-    return ranking.poll_candidates(t.filings, checks, 50).select("filing_id", "case_number")
+    return ranking.poll_candidates(t.filings, checks, 50, linking.active_target_states(t.target_states)).select("filing_id", "case_number")
 
 
 @query(
     "w2_latest_documents",
-    "SELECT filing_id, arg_max(path, (filed_on, document_id, source_id)) AS path, max(filed_on) AS filed_on FROM docket_docs WHERE coalesce(path, '') <> '' GROUP BY filing_id",
+    "WITH d AS (SELECT filing_id, arg_max(path, (filed_on, document_id, source_id)) AS path, max(filed_on) AS filed_on FROM docket_docs WHERE coalesce(path, '') <> '' GROUP BY filing_id), "
+    "q AS (SELECT filing_id, job_id AS queue_id FROM jobs QUALIFY row_number() OVER (PARTITION BY filing_id ORDER BY created_at DESC, job_id DESC) = 1) "
+    "SELECT filing_id, path, filed_on, queue_id FROM d FULL JOIN q USING (filing_id)",
 )
 def _(t):
-    return ranking.latest_document(t.docket_docs)
+    return ranking.handoff(t.docket_docs, t.jobs.select("filing_id", F.col("job_id").alias("queue_id"), "created_at"))
 
 
 @query(
@@ -500,7 +509,7 @@ def _(t):
 
 @query(
     "w9_drain_order",
-    "SELECT job_id, CAST(CASE job_type WHEN 'document_parse' THEN 1 WHEN 'zoom_info_enrich' THEN 2 ELSE 3 END AS BIGINT) AS rank FROM jobs WHERE status = 'queued' AND job_type <> 'pacer_poll'",
+    "SELECT job_id, CAST(CASE job_type WHEN 'document_parse' THEN 1 WHEN 'company_lookup' THEN 2 ELSE 3 END AS BIGINT) AS rank FROM jobs WHERE status = 'queued' AND job_type <> 'docket_poll'",
 )
 def _(t):
     return ranking.drain_order(t.jobs).select("job_id", F.col("rank").cast("long").alias("rank"))

@@ -54,7 +54,7 @@ VIEWS = {
           CASE WHEN l_partkey % 10 > 0 THEN CAST(l_extendedprice AS DECIMAL(15,2)) END AS amount, l_returnflag AS flag,
           CAST(l_shipdate AS DATE) AS claim_date
         FROM lineitem""",
-    "links": "SELECT DISTINCT l_orderkey AS filing_id, l_suppkey AS creditor_id FROM lineitem WHERE l_linenumber <= 5",
+    "links": "SELECT DISTINCT l_orderkey AS filing_id, l_suppkey AS creditor_id FROM lineitem",
     "feed": """
         SELECT l_orderkey AS case_key, l_partkey AS part_id, CAST(l_linenumber AS INT) AS line_number,
           CASE WHEN l_partkey % 50 = 0 THEN '' ELSE '2:20' || CAST(l_orderkey % 30 AS STRING) || 'bk' || CAST(l_orderkey AS STRING) END AS case_number,
@@ -66,8 +66,8 @@ VIEWS = {
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "jobs": """
         SELECT event_id AS job_id, user_id * 7 AS filing_id,
-          CASE event_type WHEN 'view' THEN 'document_parse' WHEN 'signup' THEN 'zoom_info_enrich' WHEN 'purchase' THEN 'salesforce_push'
-            WHEN 'error' THEN 'zoom_info_enrich' ELSE 'pacer_poll' END AS job_type,
+          CASE event_type WHEN 'view' THEN 'document_parse' WHEN 'signup' THEN 'company_lookup' WHEN 'purchase' THEN 'account_push'
+            WHEN 'error' THEN 'company_lookup' ELSE 'docket_poll' END AS job_type,
           CASE WHEN value < 20 THEN 'queued' WHEN value < 40 THEN 'running' WHEN value < 50 THEN 'retrying' WHEN value < 80 THEN 'failed' ELSE 'completed' END AS status,
           CASE WHEN event_id % 4 = 0 THEN 'err ' || CAST(event_id AS STRING) END AS message,
           CASE event_type WHEN 'view' THEN 'a' WHEN 'error' THEN 'b' ELSE 'c' END AS worker, CAST(ts AS TIMESTAMP) AS created_at, value AS seconds
@@ -86,7 +86,7 @@ VIEWS = {
         SELECT l_suppkey AS creditor_id, l_orderkey AS candidate_id, CAST(l_linenumber AS INT) AS place,
           CAST(round(l_discount * 10) / 10 AS DOUBLE) AS confidence, l_partkey AS name_key,
           CASE WHEN l_partkey % 4 = 0 THEN 'Austin, TX' WHEN l_partkey % 4 = 1 THEN 'ny' END AS headquarters
-        FROM lineitem WHERE l_orderkey % 50 = 0""",
+        FROM lineitem""",
     "courts": f"""
         SELECT lower({_state('n_nationkey')}) || 'bk' AS court_id, {_state('n_nationkey')} AS state, n_nationkey % 6 <> 5 AS active FROM nation""",
     "target_states": f"SELECT {_state('n_nationkey')} AS state, n_nationkey % 3 <> 2 AS active FROM nation",
@@ -112,10 +112,14 @@ VIEWS = {
             || min(s_name) || chr(10) || CAST(count(*) AS STRING) || ' Oak Ave' || chr(10) || 'Total $' || CAST(min(l_partkey) AS STRING) AS string_lines
           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey) n""",
     "petitions": """
-        SELECT o_orderkey AS filing_id, 'Official Form 201' || chr(10) || 'Debtor name: ' || c_name || chr(10) || 'State: ' || substr('TXNYCA', CAST(o_orderkey % 3 * 2 + 1 AS INT), 2)
-          || chr(10) || CASE WHEN o_orderkey % 4 > 0 THEN 'Estimated number of creditors: ' || CAST(o_orderkey % 50 AS STRING) || '-' || CAST(o_orderkey % 50 + 49 AS STRING) ELSE '' END
-          || chr(10) || CASE WHEN o_orderkey % 3 > 0 THEN 'Estimated assets: $' || CAST(o_orderkey % 90 + 1 AS STRING) || ',000 - $' || CAST(o_orderkey % 90 + 100 AS STRING) || ',000' ELSE '' END
-          || chr(10) || 'NAICS code: ' || CAST(1000 + o_orderkey % 9000 AS STRING) AS text
+        SELECT o_orderkey AS filing_id, 'Official Form 201' || chr(10) || CASE o_orderkey % 3 WHEN 0 THEN 'United States Bankruptcy Court, Northern District of Texas' WHEN 1 THEN 'District of Utah' ELSE '' END
+          || chr(10) || CASE WHEN o_orderkey % 4 = 1 THEN 'Debtor 1: ' ELSE 'Debtor name: ' END || c_name || chr(10) || 'City: San Jose 5'
+          || chr(10) || CASE WHEN o_orderkey % 5 > 0 THEN 'State: ' || substr('TXNYCA', CAST(o_orderkey % 3 * 2 + 1 AS INT), 2) ELSE 'Reno, NV 89501' END
+          || chr(10) || CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderkey % 50 AS STRING) || '-' || CAST(o_orderkey % 50 + 49 AS STRING) || ' creditors' WHEN 1 THEN '100 or more creditors' WHEN 2 THEN 'less than 50 creditors' ELSE '' END
+          || chr(10) || CASE o_orderkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'Estimated assets: $' || CAST(o_orderkey % 90 + 1 AS STRING) || ',000 or more' WHEN 2 THEN 'Estimated assets: less than $5,000'
+            ELSE 'Estimated assets: $' || CAST(o_orderkey % 90 + 1 AS STRING) || ',000 to $' || CAST(o_orderkey % 90 + 100 AS STRING) || ',000.50' END
+          || chr(10) || repeat('x ', 450) || chr(10) || CASE WHEN o_orderkey % 6 > 0 THEN 'Estimated liabilities: $' || CAST(o_orderkey % 80 + 2 AS STRING) || ',000 - $900,000' ELSE '' END
+          || chr(10) || CASE WHEN o_orderkey % 2 = 0 THEN 'NAICS: ' || CAST(100000 + o_orderkey % 9000 AS STRING) ELSE 'Nature of business: retail 445' || CAST(100 + o_orderkey % 900 AS STRING) END AS text
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "rss": """
         SELECT event_id, CASE event_type WHEN 'view' THEN '24-' || CAST(10000 + user_id AS STRING) || ' Acme Holdings LLC' WHEN 'signup' THEN '24-' || CAST(20000 + event_id % 90 AS STRING) || ' John Smith'

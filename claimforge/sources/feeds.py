@@ -48,6 +48,12 @@ def expand_import(rows: DataFrame, row_schema: str) -> DataFrame:
     return rows.select("import_id", F.explode_outer(F.when(F.size(items) > 0, items)).alias("row"))
 
 
+def import_rejects(rows: DataFrame, row_schema: str) -> DataFrame:
+    """The imports that :func:`expand_import` finds no rows in: ``import_id, rejected_for``."""
+    empty = expand_import(rows, row_schema).where("row IS NULL").select("import_id").distinct()
+    return empty.select("import_id", F.lit("no rows").alias("rejected_for"))
+
+
 def discovered(rows: DataFrame, until: str) -> DataFrame:
     """Cases with a number and a date that is not in the future; chapter and title get defaults."""
     return rows.where((F.coalesce(F.trim("case_number"), F.lit("")) != "") & (F.col("filing_date") <= F.lit(until).cast("date"))).select(

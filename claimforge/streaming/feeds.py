@@ -6,14 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from claimforge.operators import extraction
+from claimforge.operators import aggregates, extraction, merging
 from claimforge.session import shared_folder
 
 
 def feed_event_stream(items: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Items of a stream, each unique key once within the delay that late items may have."""
+    """Items of a stream, each unique key once within the delay that late items may have.
+
+    If items have an ``event_number``, each case, court and number is there once as well; items that lack one of the three
+    are told apart by their unique key alone.
+    """
     events = extraction.feed_events(items.withWatermark("published_at", delay))
-    return events.dropDuplicatesWithinWatermark(["unique_key"])
+    once = events.dropDuplicatesWithinWatermark(["unique_key"])
+    if "event_number" not in items.columns:
+        return once
+    whole = F.col("case_number").isNotNull() & F.col("court_id").isNotNull() & F.col("event_number").isNotNull()
+    second = F.when(whole, F.concat_ws(":", "court_id", "case_number", "event_number")).otherwise(F.concat(F.lit("key "), F.col("unique_key")))
+    return once.withColumn("_second", second).dropDuplicatesWithinWatermark(["_second"]).drop("_second", "event_number")
 
 
 def job_counts(events: DataFrame, every: str = "1 hour", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
@@ -58,5 +67,25 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
 
 
+def exposure_store(claims: DataFrame, path: str) -> DataFrame:
+    """Claims ``filing_id, creditor_id, amount`` of a stream merged batch by batch into a stored exposure, which is returned.
+
+    The versioned store under ``path`` has a row for each creditor and filing, the larger amount if a claim comes again, so a
+    repeated batch changes nothing. Exposure is that table by creditor.
+    """
+    spark = claims.sparkSession
+    least = lambda rows: rows.groupBy("creditor_id", "filing_id").agg(F.max("amount").alias("amount"))
+    merging.write_version(spark.createDataFrame([], claims.schema).select("creditor_id", "filing_id", "amount"), path)
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merging.write_version(least(merging.read_version(spark, path).union(batch.select("creditor_id", "filing_id", "amount"))), path)
+
+    query = (
+        claims.writeStream.option("checkpointLocation", shared_folder(spark, "exposure-progress")).foreachBatch(merge).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return aggregates.exposure_by_filing(merging.read_version(spark, path))
+
+
 def file_stream(spark: SparkSession, schema: StructType, path: str, files_per_batch: int = 4) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)

@@ -91,6 +91,8 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 1)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
+    got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long"), few=0).collect()}
+    assert got == {k: 0 for k in range(41)} | {100: 100, 101: 100}
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
@@ -140,7 +142,7 @@ def test_config_changes(spark):
 
 
 def test_claim_feed(spark, tmp_path):
-    head = "Date Added,Date Filed,Impacted Business,BKwire Zone,City,State,Case Number,Corporate Bankruptcy,Loss\n"
+    head = "Date Added,Date Filed,Impacted Business,Feed Zone,City,State,Case Number,Corporate Bankruptcy,Loss\n"
     (tmp_path / "a.csv").write_text("﻿" + head + 'x,2026-08-03,HIDALGO COUNTY,z,Edinburg,TX,7:2026bk70239,"AGD, L.P.","$3,524"\nx,,A,z,,,1,D,$\n', encoding="utf-8")
     rows = sorted(feeds.read_claim_feed(spark, f"{tmp_path}/a.csv").collect(), key=lambda r: r.line_number)
     assert [r.line_number for r in rows] == [2, 3] and rows[0]["Corporate Bankruptcy"] == "AGD, L.P." and "Date Added" in rows[0]
