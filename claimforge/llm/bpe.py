@@ -254,7 +254,7 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str, words: in
                 found, n = pretokens.counted(data, ends)
                 for word, k in zip(found, n):
                     seen[word] += k
-                if len(seen) > 500_000:
+                if len(seen) > 200_000:
                     yield table(seen)
                     seen.clear()
         yield table(seen)
