@@ -2,7 +2,7 @@
 
 Intermediate tables go to the folder that the cluster names in
 ``spark.checkpoint.dir``, which the driver and all executors share. Only where
-that setting is absent (unit tests) a local folder is made.
+that setting is absent on a local master (unit tests) a local folder is made.
 """
 
 from __future__ import annotations
@@ -21,7 +21,11 @@ def _own_folder() -> str:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder, as a URI without trailing slash."""
-    root = spark.conf.get("spark.checkpoint.dir", "") or _own_folder()
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
