@@ -23,7 +23,7 @@ EXCLUDED = (
 )
 BUSINESS = ("llc", "inc", "corp", "corporation", "ltd", "lp", "holdings", "company", r"co\.", "group", "enterprises")
 
-# Words of claims schedules that a feed item may name.
+# Our own default words of claims schedules that a feed item may name; a deployment passes its table.
 SCHEDULE_WORDS = ("schedule f", "schedule e/f", "unsecured claims", "list of creditors", "creditor matrix", "form 204", "20 largest")
 # Patterns of petitions, in the order in which they are tried.
 FORM_PATTERNS = {
