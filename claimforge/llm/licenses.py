@@ -1,20 +1,26 @@
 """License scans by conditional compression.
 
-At each cue, the text that a template may take around it is compressed alone and then
-with the template as zstandard's raw dictionary; templates that save too little of their
-own size are left out, the others are ranked by what they save. Of those whose wording
-around the cue agrees the one with most words wins, the first in the ranking if several
-have as many. The differences are the words of the template that the text lacks and those
-it has in between. Short statements must have every word, long notices nearly all.
+Candidate blocks are stretches of words that hold an anchor of a template: a few words of
+it in a row. A block is compressed alone and then with the template as zstandard's raw
+dictionary; templates that save too little of their own size are left out, the others are
+ranked by what they save, and confirmed by the exact differences in wording: the words of the
+template that the text lacks and those it has in between. Short statements must have every
+word, long notices nearly all. A long notice has more anchors, side by side, than it may
+have differences, so no text that would be confirmed lacks all of them. Of confirmed
+places that overlap the one with most of its template's words wins, then the one with
+fewest differences, then the higher rank.
 """
 
 from __future__ import annotations
 
-import difflib
+import bisect
+import collections
 import functools
 import re
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -40,6 +46,9 @@ NAMES = {
     "CC-BY-NC-4.0": "CC BY-NC 4.0",
     "CC-BY-ND-4.0": "CC BY-ND 4.0",
     "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0",
+    "ISC": "ISC License",
+    "Zlib": "zlib License",
+    "Unlicense": "Unlicense",
 }
 # Statements around a name, and notices of licenses in full.
 STATEMENTS = ("Licensed under the {}.", "Licensed under {}.", "Released under the {}.", "This work is licensed under the {}.")
@@ -53,102 +62,148 @@ NOTICES = {
     "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
     "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "GPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-    "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+    "this software to the public domain worldwide.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+    "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+    "non-commercial, and by any means.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+    "any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+    "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this "
+    "software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+    "product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must "
+    "be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or "
+    "altered from any source distribution.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
+    "the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution.",
 }
-CUE = re.compile(r"licen[cs]ed? |(?:released|distributed) under|licen[cs]es?\b|permission (?:is hereby|to use)|free software|SPDX-License-Identifier", re.IGNORECASE)
-_WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+# The clause that the longer of two notices adds, and the notice of a family of licenses.
+THIRD_CLAUSE = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission."
+)
+FAMILY = (
+    "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published "
+    "by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
+MEMBERS = {
+    "GPL-2.0": ("program", "", "2"),
+    "GPL-3.0": ("program", "", "3"),
+    "LGPL-2.1": ("library", "Lesser ", "2.1"),
+    "LGPL-3.0": ("program", "Lesser ", "3"),
+    "AGPL-3.0": ("program", "Affero ", "3"),
+}
+_WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 _BLANK = re.compile(r"\n[^\S\n]*\n")
-# Code points around a template's share of the text: for marks of comments, and words cut by the edges.
-MARGIN = 16
+# Most words of an anchor.
+ANCHOR = 4
+
+
+def notices() -> list[tuple[str, str]]:
+    longer = ("BSD-3-Clause", f"{NOTICES['BSD-2-Clause']} {THIRD_CLAUSE}")
+    return [*NOTICES.items(), longer, *((k, FAMILY.format(*v)) for k, v in MEMBERS.items())]
 
 
 def templates() -> list[tuple[str, str]]:
     out = [(k, s.format(n)) for k, n in NAMES.items() for s in STATEMENTS]
     out += [(k, f"SPDX-License-Identifier: {k}") for k in NAMES]
-    return out + list(NOTICES.items())
+    return out + notices()
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
+
+
+def wording(theirs: list[str], mine: list[str]) -> tuple[int, int, int, int]:
+    """``(missing, extra, begin, end)``: the stretch of ``mine`` that differs from ``theirs`` in fewest words, the shortest if several do."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(theirs))}
+    codes = np.array([number.get(w, -1) for w in mine], np.int64)
+    # Row i holds, for each end, the fewest differences of the first i words, above how far the stretch begins before the text's end.
+    one = np.int64(1) << 32
+    ends = np.arange(len(mine) + 1, dtype=np.int64)
+    row = len(mine) - ends
+    for w in theirs:
+        step = row + one
+        step[1:] = np.minimum(step[1:], np.where(codes == number[w], row[:-1], step[1:]))
+        row = np.minimum.accumulate(step - ends * one) + ends * one
+    end = int(np.argmin(row))
+    cost, begin = int(row[end] >> 32), len(mine) - int(row[end] & (one - 1))
+    missing = (cost + len(theirs) - (end - begin)) // 2
+    return missing, cost - missing, begin, end
 
 
 class Scanner:
     def __init__(self, least_gain: float, long_words: int, most_missing: float):
-        self.known = [(k, t, words(t)) for k, t in templates()]
-        self.least_gain, self.long_words, self.most_missing = least_gain, long_words, most_missing
+        self.known = [(k, words(t)) for k, t in templates()]
+        self.least_gain = least_gain
         raw = zstandard.DICT_TYPE_RAWCONTENT
         plain = {"level": 3, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.alone = zstandard.ZstdCompressor(**plain)
-        self.given = [
-            zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(t.encode(), raw), **plain) for _, t, _ in self.known
-        ]
-        self.own = [len(self.alone.compress(t.encode())) for _, t, _ in self.known]
-        # By what a cue reads: the templates that have it, with their text before and after its start.
-        self.having: dict[str, list[tuple[int, int, int]]] = {}
-        for k, (_, t, _) in enumerate(self.known):
-            for cue in CUE.finditer(t):
-                self.having.setdefault(cue[0].strip().lower(), []).append((k, cue.start(), len(t) - cue.start()))
+        blocks = [" ".join(w).encode() for _, w in self.known]
+        self.given = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(b, raw), **plain) for b in blocks]
+        self.own = [len(self.alone.compress(b)) for b in blocks]
+        self.slack = [int(most_missing * len(w)) if len(w) >= long_words else 0 for _, w in self.known]
+        # By width: anchors, with the templates that have them and where. Each difference spoils one of those side by side.
+        self.anchors: dict[int, dict[tuple, list[tuple[int, int]]]] = {}
+        for k, (_, w) in enumerate(self.known):
+            spoilt = 2 * self.slack[k]
+            width = max(1, min(ANCHOR, len(w) // (spoilt + 1)))
+            for p in range(0, len(w) - width + 1 if spoilt else 1, width):
+                self.anchors.setdefault(width, {}).setdefault(tuple(w[p : p + width]), []).append((k, p))
 
     def find(self, text: str) -> list[tuple[int, int, str, int, int]]:
         """``(start, end, license, missing words, extra words)`` in code points, left to right without overlap."""
-        out, done = [], 0
-        for cue in CUE.finditer(text):
-            if cue.start() < done:
+        mine = words(text)
+        places: dict[int, set[int]] = {}
+        for width, known in self.anchors.items():
+            rows = lambda n=width: zip(*(islice(mine, j, None) for j in range(n)))
+            if known.keys().isdisjoint(rows()):
                 continue
-            if found := self._around(text, cue, done):
-                out.append(found)
-                done = found[1]
+            for i, row in enumerate(rows()):
+                for k, p in known.get(row, ()):
+                    places.setdefault(k, set()).add(i - p)
+        if not places:
+            return []
+        spots = [m.span() for m in _WORD.finditer(text)]
+        found = []
+        for k, starts in places.items():
+            reach = -len(mine) - 1
+            for at in sorted(starts):  # a window takes up all starts within the slack
+                if at > reach:
+                    reach = at + self.slack[k]
+                    if hit := self._judge(k, at, mine):
+                        found.append(hit)
+        out: list[tuple[int, int, str, int, int]] = []
+        for same, differ, _, begin, end, k, missing in sorted(found):
+            start, stop = spots[begin][0], spots[end - 1][1]
+            if not self.slack[k] and _BLANK.search(text, start, stop):
+                continue
+            i = bisect.bisect(out, (start,))
+            if (i == 0 or out[i - 1][1] <= start) and (i == len(out) or stop <= out[i][0]):
+                out.insert(i, (start, stop, self.known[k][0], missing, differ - missing))
         return out
 
-    def _around(self, text: str, cue: re.Match, done: int) -> tuple | None:
-        """The best license whose wording holds the cue: each template is judged on as much text as it may take, up to blank lines."""
-        sizes: dict[tuple[int, int], int] = {}
-        ranked = []
-        for k, before, after in self.having.get(cue[0].strip().lower(), ()):
-            begin, end = max(done, cue.start() - before * 3 // 2 - MARGIN), min(len(text), cue.start() + after * 3 // 2 + MARGIN)
-            for blank in _BLANK.finditer(text, begin, cue.start()):
-                begin = blank.end()
-            if blank := _BLANK.search(text, cue.end(), end):
-                end = blank.start()
-            data = text[begin:end].encode()
-            if (begin, end) not in sizes:
-                sizes[begin, end] = len(self.alone.compress(data))
-            saved = sizes[begin, end] - len(self.given[k].compress(data))
-            if saved >= self.least_gain * self.own[k]:
-                ranked.append((-saved, k, begin, end))
-        best, most = None, 0
-        for _, k, begin, end in sorted(ranked):
-            if found := self._confirm(k, text[begin:end], cue.start() - begin):
-                missing, extra, first, last = found
-                if (same := len(self.known[k][2]) - missing) > most:  # a statement may be a part of another
-                    best, most = (begin + first, begin + last, self.known[k][0], missing, extra), same
-        return best
-
-    def _confirm(self, k: int, block: str, cue: int) -> tuple | None:
-        """``(missing, extra, start, end)`` if the block words a template around the cue."""
-        theirs = self.known[k][2]
-        spots = [(m[0], m.start(), m.end()) for m in _WORD.finditer(block.lower())]
-        mine = [w for w, _, _ in spots]
-        if len(theirs) < self.long_words:  # every word, one after the other
-            for i in range(len(mine) - len(theirs) + 1):
-                if mine[i : i + len(theirs)] == theirs and spots[i][1] <= cue < spots[i + len(theirs) - 1][2]:
-                    return 0, 0, spots[i][1], spots[i + len(theirs) - 1][2]
+    def _judge(self, k: int, at: int, mine: list[str]) -> tuple | None:
+        """``(-same words, differences, -bytes saved, begin, end, k, missing)`` if the window words the template."""
+        theirs, slack = self.known[k][1], self.slack[k]
+        first = max(0, at - slack)
+        window = mine[first : max(0, at + len(theirs) + 2 * slack)]
+        block = " ".join(window).encode()
+        saved = len(self.alone.compress(block)) - len(self.given[k].compress(block))
+        if saved < self.least_gain * self.own[k]:
+            return None
+        if not slack:
+            return (-len(theirs), 0, -saved, first, first + len(theirs), k, 0) if window == theirs else None
+        if (collections.Counter(theirs) - collections.Counter(window)).total() > slack:
+            return None
+        missing, extra, begin, end = wording(theirs, window)
+        if missing > slack or extra > slack:
             return None
-        same = [m for m in difflib.SequenceMatcher(None, theirs, mine, autojunk=False).get_matching_blocks() if m.size]
-        most, found = self.most_missing * len(theirs), []
-        # Words of the text around it may match the template's missing first or last ones.
-        for i in range(len(same)):
-            hits = 0
-            for m in same[i:]:
-                hits += m.size
-                first, last = same[i].b, m.b + m.size
-                missing, extra = len(theirs) - hits, last - first - hits
-                if missing <= most and extra <= most and spots[first][1] <= cue < spots[last - 1][2]:
-                    found.append((missing + extra, missing, extra, spots[first][1], spots[last - 1][2]))
-        return min(found)[1:] if found else None
+        return missing - len(theirs), missing + extra, -saved, first + begin, first + end, k, missing
 
 
 @functools.lru_cache(maxsize=2)

@@ -40,9 +40,72 @@ def test_two_licenses_below_a_cue():
 
 
 def test_notices_nearly_as_known():
-    for kind, template in licenses.NOTICES.items():
+    for kind, template in licenses.notices():
         words = template.split()
         del words[len(words) // 2]
         words.insert(len(words) // 3, "surely")
         found = SCANNER.find("of the software and " + " ".join(words) + " the license of the boats")
         assert [f[2:] for f in found] == [(kind, 1, 1)], template
+
+
+def test_wording_agrees_with_all_stretches():
+    rng = random.Random(3)
+    for _ in range(60):
+        theirs = [rng.choice("abcde") for _ in range(rng.randint(1, 9))]
+        mine = [rng.choice("abcdefg") for _ in range(rng.randint(0, 14))]
+        best = min(_differences(theirs, mine[i:j]) for i in range(len(mine) + 1) for j in range(i, len(mine) + 1))
+        missing, extra, begin, end = licenses.wording(theirs, mine)
+        assert missing + extra == best == _differences(theirs, mine[begin:end])
+
+
+def _differences(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] if x == y else len(a) + len(b)))
+        row = new
+    return row[-1]
+
+
+def test_notices_with_as_many_differences_as_allowed_agree_with_every_window():
+    rng = random.Random(7)
+    for kind, template in licenses.notices():
+        theirs = licenses.words(template)
+        most = int(0.1 * len(theirs))
+        for _ in range(4):
+            mine = list(theirs)
+            for i in sorted(rng.sample(range(1, len(mine) - 1), most), reverse=True):
+                del mine[i]
+            for _ in range(most):
+                mine.insert(rng.randrange(1, len(mine)), f"w{rng.randrange(99)}")
+            text = prose(rng, 300) + " ".join(mine) + " " + prose(rng, 300)
+            missing, extra, begin, end = licenses.wording(theirs, licenses.words(text))
+            if missing <= most and extra <= most:  # it is found, or one that agrees in more words, or in as many with fewer differences
+                sizes = {k: len(w) for k, w in SCANNER.known if len(w) >= 20}
+                found = [(f[3] - sizes[f[2]], f[3] + f[4]) for f in SCANNER.find(text) if f[2] in sizes]
+                assert found and min(found) <= (missing - len(theirs), missing + extra), (kind, text)
+
+
+def test_kinds_of_one_family_are_told_apart():
+    for kind, template in licenses.notices():
+        shown = "/*\n * " + template.upper().replace(". ", ".\n *\n * ") + "\n */"
+        found = SCANNER.find(prose(random.Random(1), 50) + shown)
+        assert [(f[2], f[3], f[4]) for f in found] == [(kind, 0, 0)], kind
+
+
+def test_nothing_in_texts_about_licenses():
+    for text in ("", " ", "free software and its license", "Permission is hereby granted.", "licensed under the\n\nMIT License", "İ" * 50 + " software license"):
+        assert SCANNER.find(text) == []
+
+
+@pytest.mark.parametrize("cue", ["Licensed under the MIT ", "copies of the Software ", "Permission is hereby granted, "])
+def test_many_anchors_take_linear_time(cue):
+    import time
+
+    took = []
+    for n in (2_000, 8_000):
+        start = time.perf_counter()
+        assert SCANNER.find(cue * n) == []
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0] + 0.5 and took[1] < 20
