@@ -98,38 +98,37 @@ def pipeline_status(
 PROFILE = "https://example.org/company/{id}/overview"
 
 
-def _report_columns(profile: str) -> list[Column]:
-    return [
-        names.shown_name(F.col("original_name"), F.col("name")).alias("creditor"),
-        places.address_city(F.col("address")).alias("city"),
-        places.address_state(F.col("address"), F.col("state")).alias("state"),
-        money.dollars(F.col("claim_amount")).alias("claim"),
-        "status",
-        places.filled_template(F.col("company_id"), profile).alias("profile_url"),
-    ]
+def _report_creditors(creditors: DataFrame, profile: str) -> DataFrame:
+    """The creditors that reports show, with all that a creditor alone decides: texts are parsed once for each, not for each of its filings."""
+    return creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name"))).select(
+        "creditor_id", names.shown_name(F.col("original_name"), F.col("name")).alias("creditor"), places.address_city(F.col("address")).alias("city"),
+        places.found(F.col("address"), places.ADDRESS_STATE).alias("_home"), money.dollars(F.col("claim_amount")).alias("claim"),
+        places.filled_template(F.col("company_id"), profile).alias("profile_url"), F.col("company_tier").alias("tier"), F.col("created_on").alias("_made"),
+    )
+
+
+def _report_columns() -> list[Column | str]:
+    state = F.upper(F.coalesce("_home", F.nullif(F.trim("state"), F.lit("")))).alias("state")
+    return ["creditor", "city", state, "claim", "status", "profile_url"]
 
 
 def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
     """One row per company creditor and filing, if either was created since ``since``."""
     since = F.lit(since).cast("date")
-    able = creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name"))).withColumnRenamed("created_on", "_made")
     joined = (
-        able.join(linking.creditor_filing_links(creditors, links), "creditor_id")
+        _report_creditors(creditors, profile).join(linking.creditor_filing_links(creditors, links), "creditor_id")
         .join(filings.select("filing_id", "debtor_name", "case_number", "filing_date", "state", "created_on"), "filing_id")
         .where((F.col("_made") >= since) | (F.col("created_on") >= since)).join(status, "creditor_id")
     )
-    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(profile), F.col("company_tier").alias("tier"))
+    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(), "tier")
 
 
 def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
     """One row per company creditor, with the state of its newest filing; creditors without filings too."""
     since = F.lit(since).cast("date")
-    able = creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name")))
-    newest = linking.latest_filing(linking.both_links(creditors, links), filings).select(
-        "creditor_id", F.col("created_on").alias("_newest"), "state"
-    )
-    joined = able.join(newest, "creditor_id", "left").where((F.col("created_on") >= since) | (F.col("_newest") >= since))
-    return joined.join(status, "creditor_id").select("creditor_id", *_report_columns(profile))
+    newest = linking.latest_filing(linking.both_links(creditors, links), filings).select("creditor_id", F.col("created_on").alias("_newest"), "state")
+    joined = _report_creditors(creditors, profile).join(newest, "creditor_id", "left").where((F.col("_made") >= since) | (F.col("_newest") >= since))
+    return joined.join(status, "creditor_id").select("creditor_id", *_report_columns())
 
 
 def report_envelope(rows: DataFrame) -> DataFrame:

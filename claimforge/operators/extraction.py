@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,18 +50,28 @@ AMOUNT = r"(\$\s*[\d,]+(?:\.\d+)?)"
 AMOUNT_ONLY = r"^[$\d.,\s]+$"
 
 
+def _words(pattern: str) -> list[str]:
+    """The words that every match of a pattern holds, longest first; the patterns are words with blanks, boundaries and classes between."""
+    return sorted(re.findall(r"[a-z0-9]+", re.sub(r"\\.|\[[^]]*\]", " ", pattern)), key=len, reverse=True)
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hint_col: str | None = None) -> DataFrame:
     """The kind with the most anchors; ties go to the earlier kind, none is unknown. Null text is unknown.
 
     A row whose ``hint_col`` names a known kind gets that kind, with the score of its anchors.
     """
-    low = F.lower(F.coalesce(text_col, F.lit("")))
+    docs = docs.select(id_col, F.lower(F.coalesce(text_col, F.lit(""))).alias("_low"), *([F.col(hint_col).alias("_hint")] if hint_col else []))
+    low = F.col("_low")
+
+    def holds(pattern: str) -> Column:  # a text that lacks a word of the pattern needs no regular expression
+        return functools.reduce(lambda a, w: a & F.contains(low, F.lit(w)), _words(pattern), F.lit(True)) & low.rlike(pattern)
+
     scores = [
-        F.struct(sum((low.rlike(p).cast("int") for p in patterns), F.lit(0)).alias("score"), F.lit(-k).alias("rank"), F.lit(kind).alias("kind"))
+        F.struct(sum((holds(p).cast("int") for p in patterns), F.lit(0)).alias("score"), F.lit(-k).alias("rank"), F.lit(kind).alias("kind"))
         for k, (kind, patterns) in enumerate(ANCHORS.items())
     ]
     scored = F.array(*scores)
-    hint = F.lower(F.trim(hint_col)) if hint_col else F.lit(None).cast("string")
+    hint = F.lower(F.trim("_hint")) if hint_col else F.lit(None).cast("string")
     hinted = F.get(F.filter(scored, lambda s: s["kind"] == hint), F.lit(0))
     if hint_col:
         best = docs.select(id_col, F.coalesce(hinted, F.array_max(scored)).alias("b"), hinted.isNotNull().alias("given"))
