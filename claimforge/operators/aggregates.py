@@ -187,11 +187,19 @@ def pipeline_summary(filings: DataFrame, creditors: DataFrame, jobs: DataFrame,
 
 
 def match_outcomes(rows: DataFrame, by: str) -> DataFrame:
-    """Staged results per job: counts by outcome."""
+    """Staged results per job: counts by outcome.
+
+    ``rows`` has ``match_status, company_id`` and, where known, ``cache_hit`` and ``contacts_saved``; null or absent they count as false and 0.
+    """
     status = F.col("match_status")
+    known = lambda c, none: F.coalesce(c, F.lit(none)) if c in rows.columns else F.lit(none)
+    saved = known("contacts_saved", 0)
+    has_company = F.coalesce(F.trim(F.col("company_id").cast("string")), F.lit("")) != ""
+    alone = ("matched", "no_match", "ambiguous", "error", "rate_limited", "skipped_individual")
     return rows.groupBy(by).agg(
-        F.count("*").alias("total"), *(F.count_if(status == s).alias(s) for s in ("matched", "no_match", "ambiguous", "error", "rate_limited")),
-        F.count_if(F.col("company_id").isNotNull()).alias("with_company"),
+        F.count("*").alias("total"), *(F.count_if(status == s).alias(s) for s in alone),
+        F.count_if(has_company | status.isin("matched", "cached", "dry_run")).alias("with_company"), F.count_if(known("cache_hit", False)).alias("cache_hits"),
+        F.count_if(status.isin("no_contact_found", "no_match") & (saved == 0)).alias("no_contact"), F.sum(saved).cast("long").alias("contacts_saved"),
     )
 
 
@@ -214,24 +222,33 @@ def document_results(docs: DataFrame, by: str = "filing_id") -> DataFrame:
 
 
 def matrix_validation(docs: DataFrame) -> DataFrame:
-    """Share of valid rows per document, its level and whether someone must look at it."""
+    """Share of valid rows per document, its level and whether someone must look at it.
+
+    ``docs`` has ``doc_id, valid_rows, total_rows, ocr`` and, where known, ``ocr_confidence``.
+    """
     valid, total = F.sum("valid_rows"), F.sum("total_rows")
     share = F.when(total > 0, F.round(F.least(valid / total, F.lit(1.0)), 4)).otherwise(0.0)
     level = F.when(share >= 0.95, "high").when(share >= 0.8, "medium").otherwise("low")
     review = (share < 0.85) | (valid == 0) | (F.bool_or("ocr") & (share < 0.9))
-    missing = F.array_compact(F.array(F.when(total == 0, "rows"), F.when(valid < total, "creditor_name")))
+    if "ocr_confidence" in docs.columns:
+        review = review | F.coalesce(F.bool_or(F.col("ocr") & (F.col("ocr_confidence") < 0.9)), F.lit(False))
+    missing = F.array_compact(F.array(F.when(total == 0, "creditors"), F.when(valid < total, "creditor_name"), F.when((valid == 0) & (total > 0), "creditor_name_quality")))
     return docs.groupBy("doc_id").agg(
         share.alias("share"), level.alias("level"), review.alias("needs_review"), F.concat_ws(",", missing).alias("missing")
     )
 
 
-def form_validation(rows: DataFrame, fields: list[str], name_field: str) -> DataFrame:
+def form_validation(rows: DataFrame, fields: list[str], name_field: str, id_col: str = "filing_id") -> DataFrame:
+    """Share of known fields, its level, and whether someone must look: for a weak form, one without a name, or (with ``ocr``) a read one below 0.9."""
     missing = F.array_compact(F.array(*(F.when(F.coalesce(F.col(f).cast("string"), F.lit("")) == "", f) for f in fields)))
     n = F.size(missing)
     share = F.round((len(fields) - n) / F.lit(len(fields)), 4)
+    review = (share < 0.85) | F.array_contains(missing, name_field)
+    if "ocr" in rows.columns:
+        review = review | (F.col("ocr") & (share < 0.9))
     return rows.select(
-        "filing_id", share.alias("share"), F.when(n == 0, "high").when(n <= 2, "medium").otherwise("low").alias("level"),
-        F.concat_ws(",", missing).alias("missing"), ((share < 0.85) | F.array_contains(missing, name_field)).alias("needs_review"),
+        id_col, share.alias("share"), F.when(n == 0, "high").when(n <= 2, "medium").otherwise("low").alias("level"),
+        F.concat_ws(",", missing).alias("missing"), review.alias("needs_review"),
     )
 
 

@@ -170,12 +170,17 @@ def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "table
     )
 
 
-def schedule_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
-    """The same for schedule tables, whose heading may stand in the second row below a title."""
+def untitled(tables: DataFrame, col: str = "tables") -> DataFrame:
+    """Schedule tables without the title that may stand in a row above the heading."""
     titled = F.transform(
         col, lambda t: F.when(F.size(t) > 1, F.when(F.lower(F.concat_ws(" ", F.get(t, F.lit(0)))).rlike("^schedule"), F.slice(t, 2, 10_000_000)).otherwise(t)).otherwise(t)
     )
-    return table_creditors(tables.withColumn(col, titled), id_col, col)
+    return tables.withColumn(col, titled)
+
+
+def schedule_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
+    """The creditors of schedule tables."""
+    return table_creditors(untitled(tables, col), id_col, col)
 
 
 def extract_creditors(docs: DataFrame, tables: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -256,6 +261,27 @@ def company_responses(rows: DataFrame, col: str = "body") -> DataFrame:
     )
 
 
+def contact_responses(rows: DataFrame, col: str = "body") -> DataFrame:
+    """Vendor bodies of people to one row per contact with a name; no engagement is 0.
+
+    A body that reports an error or carries a message, and one whose ``http_status`` (if rows have it) is 429, gives no rows.
+    """
+    text = lambda v, *ks: F.coalesce(*(F.try_variant_get(v, f"$.{k}", "string") for k in ks))
+    able = rows.where("coalesce(http_status, 0) <> 429") if "http_status" in rows.columns else rows
+    able = able.select("creditor_id", F.try_parse_json(col).alias("b")).where(text("b", "error", "message").isNull())
+    data = F.coalesce(F.try_variant_get("b", "$.data", "variant"), F.try_variant_get("b", "$.results", "variant"), F.col("b"))
+    items = F.coalesce(F.try_variant_get(data, "$", "array<variant>"), F.when(data.isNotNull(), F.array(data)))
+    got = able.select("creditor_id", F.posexplode(items).alias("place", "v"))
+    got = got.withColumn("v", F.coalesce(F.try_variant_get("v", "$.attributes", "variant"), "v"))
+    both = F.concat_ws(" ", text("v", "firstName", "first_name"), text("v", "lastName", "last_name"))
+    engagement = F.coalesce(*(F.try_variant_get("v", f"$.{k}", "double") for k in ("engagementScore", "contactAccuracyScore", "score")), F.lit(0.0))
+    named = got.withColumn("full_name", F.coalesce(text("v", "fullName", "name"), F.nullif(F.trim(both), F.lit("")), F.lit("Unknown")))
+    return named.where("full_name <> 'Unknown'").select(
+        "creditor_id", "place", "full_name", text("v", "jobTitle", "title", "primaryTitle").alias("title"), text("v", "email", "emailAddress").alias("email"),
+        text("v", "phone", "directPhone", "mobilePhone").alias("phone"), engagement.alias("engagement"),
+    )
+
+
 def docket_entries(rows: DataFrame, col: str = "payload") -> DataFrame:
     """JSON payloads of arrays of objects, or of arrays of them, to one row per object; anything else is dropped."""
     outer = F.try_variant_get(F.try_parse_json(col), "$", "array<variant>")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimforge.functions import money, names
@@ -77,7 +77,8 @@ def merge_creditors(store: DataFrame, batch: DataFrame, additive: bool = True) -
     Blank and junk names are skipped. A key that exists, or comes again in the batch, adds
     its claim with nulls as 0; a key that comes once keeps a null claim. The first known
     original name, confidence and source filing stay. ``additive=False`` takes only the
-    newest row of each key and filing, so that a repeated batch changes nothing.
+    newest row of each key and filing, so that a repeated batch changes nothing. If both tables
+    have an ``audit``, the audits of a key are merged as in ``merge_audits``.
     """
     shown = F.trim(F.coalesce("creditor_name", F.lit("")))
     able = batch.where((shown != "") & ~names.is_junk_name(shown)).withColumn("name", shown).withColumn("address", F.nullif(F.trim("address"), F.lit("")))
@@ -85,6 +86,7 @@ def merge_creditors(store: DataFrame, batch: DataFrame, additive: bool = True) -
     able = able.select(*key, "*")
     if not additive:
         able = last_per_key(able, ["name_key", "address_key", "filing_id"], ["arrival"])
+    audited = "audit" in store.columns and "audit" in batch.columns
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("arrival")))
     new = able.groupBy("name_key", "address_key").agg(
         F.min_by("name", "arrival").alias("name"), first("address").alias("address"),
@@ -95,7 +97,11 @@ def merge_creditors(store: DataFrame, batch: DataFrame, additive: bool = True) -
     old = store.select(
         F.lower(F.trim("name")).alias("name_key"), F.lower(F.trim(F.coalesce("address", F.lit("")))).alias("address_key"),
         F.struct("name", "address", "claim_amount", "original_name", "confidence", "source_filing_id", "is_company").alias("o"),
+        *(["audit"] if audited else []),
     )
+    if audited:
+        old = old.withColumnRenamed("audit", "_audit")
+        new = new.join(batch_audits(able), ["name_key", "address_key"], "left")
     joined = old.join(new, ["name_key", "address_key"], "full")
     zero = F.lit(0).cast(MONEY)
     hit, came = F.col("o").isNotNull(), F.col("n").isNotNull()
@@ -108,9 +114,31 @@ def merge_creditors(store: DataFrame, batch: DataFrame, additive: bool = True) -
         "name_key", "address_key", F.when(hit, F.col("o.name")).otherwise(F.col("name")).alias("name"),
         F.when(hit, F.col("o.address")).otherwise(F.col("address")).alias("address"), total.cast(MONEY).alias("claim_amount"),
         keep("original_name"), keep("confidence"), keep("source_filing_id"), keep("is_company"),
+        *([merge_audits(F.col("_audit"), F.col("audit")).alias("audit")] if audited else []),
     )
 
 
+def batch_audits(rows: DataFrame) -> DataFrame:
+    """The audits of rows ``name_key, address_key, arrival, audit`` as one for each key that has any.
+
+    Names and line numbers are made distinct before they are gathered. The last known group id stays; one audit alone keeps its count.
+    """
+    key = ["name_key", "address_key"]
+    have = rows.where("audit IS NOT NULL")
+    group = F.max_by("audit.dedup_group_id", F.when(F.col("audit.dedup_group_id").isNotNull(), F.col("arrival")))
+    one = have.groupBy(*key).agg(F.count("*").alias("_n"), group.alias("_group"), F.max("audit.duplicate_count").alias("_count"))
+
+    def union(field: str) -> DataFrame:
+        each = have.select(*key, F.explode(f"audit.{field}").alias("x")).where("x IS NOT NULL").distinct()
+        return each.groupBy(*key).agg(F.array_sort(F.collect_list("x")).alias(field))
+
+    all_ = one.join(union("merged_names"), key, "left").join(union("source_line_numbers"), key, "left")
+    names_, lines = F.coalesce("merged_names", F.array().cast("array<string>")), F.coalesce("source_line_numbers", F.array().cast("array<int>"))
+    count = F.when(F.col("_n") == 1, F.col("_count")).otherwise(F.greatest(F.lit(1), F.size(names_)))
+    audit = F.struct(F.col("_group").alias("dedup_group_id"), names_.alias("merged_names"), lines.alias("source_line_numbers"), count.alias("duplicate_count"))
+    return all_.select(*key, audit.alias("audit"))
+
+
 def merge_audits(left: Column, right: Column) -> Column:
     """Union of two audits: names and line numbers, the newer group id, at least one duplicate."""
     none, no_lines = F.array().cast("array<string>"), F.array().cast("array<int>")
@@ -162,15 +190,34 @@ def resolve_reviews(reviews: DataFrame, resolved: DataFrame) -> tuple[DataFrame,
     return out, clear
 
 
-def dedupe_store(creditors: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keep the oldest creditor of each natural key and point links to it; links that clash count once."""
+def dedupe_store(
+    creditors: DataFrame, links: DataFrame, contacts: DataFrame | None = None, accounts: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame | None]:
+    """Keep the oldest creditor of each natural key and point links, contacts and accounts to it.
+
+    Links that clash count once. Of accounts ``creditor_id, account_id, ...`` that clash the keeper's own stays, else that of
+    the least creditor. Rows of creditors that the table lacks stay as they are.
+    """
     key = [F.lower(F.trim("name")).alias("nk"), F.lower(F.trim(F.coalesce("address", F.lit("")))).alias("ak")]
     keyed = creditors.select("*", *key)
     keepers = keyed.groupBy("nk", "ak").agg(F.min_by("creditor_id", F.struct("created_on", "creditor_id")).alias("keeper"))
     moves = keyed.join(keepers, ["nk", "ak"]).select("creditor_id", "keeper")
     kept = creditors.join(moves.where("creditor_id = keeper").select("creditor_id"), "creditor_id", "left_semi")
-    moved = links.join(moves, "creditor_id").select("filing_id", F.col("keeper").alias("creditor_id")).distinct()
-    return kept, moved
+
+    def moved(rows: DataFrame) -> DataFrame:
+        return rows.join(moves, "creditor_id", "left").withColumn("keeper", F.coalesce("keeper", "creditor_id"))
+
+    def pointed(rows: DataFrame, columns: list[str]) -> DataFrame:
+        return rows.select(*(F.col("keeper").alias(c) if c == "creditor_id" else F.col(c) for c in columns))
+
+    out = pointed(moved(links.select("filing_id", "creditor_id")), ["filing_id", "creditor_id"]).distinct()
+    if contacts is not None:
+        contacts = pointed(moved(contacts), contacts.columns)
+    if accounts is not None:
+        columns = accounts.columns
+        own = Window.partitionBy("keeper", "account_id").orderBy(F.col("creditor_id") != F.col("keeper"), "creditor_id")
+        accounts = pointed(moved(accounts).withColumn("_k", F.row_number().over(own)).where("_k = 1"), columns)
+    return kept, out, contacts, accounts
 
 
 def purge_orphan_junk(creditors: DataFrame, *uses: DataFrame) -> DataFrame:

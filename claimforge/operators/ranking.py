@@ -100,6 +100,14 @@ def top_contacts(contacts: DataFrame, k: int = 3) -> DataFrame:
     return named.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
 
+def contact_outcomes(lookups: DataFrame, saved: DataFrame) -> DataFrame:
+    """Each lookup ``creditor_id, match_status, http_status`` with its saved contacts; a match without one found no contact."""
+    n = saved.groupBy("creditor_id").agg(F.count("*").alias("_n"))
+    count = F.coalesce("_n", F.lit(0))
+    status = F.when(F.col("http_status") == 429, "rate_limited").when((count == 0) & (F.col("match_status") == "matched"), "no_contact_found").otherwise(F.col("match_status"))
+    return lookups.join(n, "creditor_id", "left").select("creditor_id", status.alias("match_status"), count.cast("int").alias("contacts_saved"))
+
+
 def claimable_jobs(jobs: DataFrame) -> DataFrame:
     """The oldest queued job of each type whose filing has no running one of the type."""
     running = jobs.where("status = 'running'").select("filing_id", "job_type").distinct()
@@ -146,15 +154,23 @@ def budgeted(rows: DataFrame, budget: int, cost: str = "cost", order: str = "fil
 
 
 def call_audit(calls: DataFrame, per_minute: int = 5, per_hour: int = 50, gap_seconds: int = 15) -> DataFrame:
-    """Calls in the trailing minute and hour and the gap before each, against the limits."""
-    at = F.unix_micros("called_at")
-    w = Window.partitionBy("account").orderBy("us")
-    minute, hour = w.rangeBetween(-59_999_999, 0), w.rangeBetween(-3_599_999_999, 0)
-    order = Window.partitionBy("account").orderBy("us", "call_id")
-    out = calls.withColumn("us", at).select(
-        "call_id", "account", F.count("*").over(minute).alias("last_minute"), F.count("*").over(hour).alias("last_hour"),
-        (F.col("us") - F.lag("us").over(order)).alias("gap_us"),
-    )
+    """Calls in the trailing minute and hour and the gap before each, against the limits.
+
+    The windows are those of an account and hour, with the calls of the hour before beside them, so a busy
+    account is many tasks. Only the last call of each hour is ordered by account, for the gaps after empty hours.
+    """
+    span = 3_600_000_000
+    own = calls.select("call_id", "account", F.unix_micros("called_at").alias("us")).withColumn("hour", F.floor(F.col("us") / span))
+    last = own.groupBy("account", "hour").agg(F.max("us").alias("end"))
+    before = last.select("account", "hour", F.lag("end").over(Window.partitionBy("account").orderBy("hour")).alias("before"))
+    copies = own.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("later")).withColumn("hour", F.col("hour") + F.col("later"))
+    w = Window.partitionBy("account", "hour").orderBy("us")
+    minute, hour = w.rangeBetween(-59_999_999, 0), w.rangeBetween(-span + 1, 0)
+    order = Window.partitionBy("account", "hour").orderBy("us", "call_id")
+    counted = copies.select(
+        "call_id", "account", "hour", "later", "us", F.count("*").over(minute).alias("last_minute"), F.count("*").over(hour).alias("last_hour"), F.lag("us").over(order).alias("near")
+    ).where("later = 0")
+    out = counted.join(before, ["account", "hour"]).select("call_id", "account", "last_minute", "last_hour", (F.col("us") - F.coalesce("near", "before")).alias("gap_us"))
     bad = (F.col("last_minute") > per_minute) | (F.col("last_hour") > per_hour) | F.coalesce(F.col("gap_us") < gap_seconds * 1_000_000, F.lit(False))
     return out.withColumn("violates", bad)
 

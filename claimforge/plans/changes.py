@@ -16,7 +16,7 @@ BATCH_SQL = """SELECT filing_id, creditor_id, part_id, line_number, (creditor_id
     CASE part_id % 3 WHEN 0 THEN 'company' WHEN 1 THEN 'individual' END AS entity_type FROM claims JOIN (SELECT creditor_id, name, address FROM creditors) c USING (creditor_id)"""
 
 
-def _batch(t):
+def _batch(t, *more):
     return (
         t.claims.join(t.creditors.select("creditor_id", F.col("name").alias("creditor_name"), "address"), "creditor_id")
         .select(
@@ -24,7 +24,7 @@ def _batch(t):
             "creditor_name", "address", F.col("amount").alias("claim_amount"),
             F.when(F.col("part_id") % 4 == 0, F.concat(F.lit("orig "), F.col("part_id").cast("string"))).alias("original_name"),
             F.when(F.col("part_id") % 2 == 0, (F.col("part_id") % 100).cast("double") / 100).alias("confidence"),
-            F.when(F.col("part_id") % 3 == 0, "company").when(F.col("part_id") % 3 == 1, "individual").alias("entity_type"),
+            F.when(F.col("part_id") % 3 == 0, "company").when(F.col("part_id") % 3 == 1, "individual").alias("entity_type"), *more,
         )
     )
 
@@ -56,6 +56,32 @@ def _(t):
     return merging.merge_creditors(_store(t).limit(0), _batch(t), additive=False).agg(F.count("*").alias("n"))
 
 
+AUDITED = "part_id % 10 < 3"
+
+
+@query(
+    "u1c_merged_audits",
+    f"""WITH b AS (SELECT lower(trim(creditor_name)) AS nk, lower(coalesce(nullif(trim(address), ''), '')) AS ak, (arrival, part_id, amount) AS o, * FROM ({BATCH_SQL}) WHERE {AUDITED} AND NOT {JUNK_SQL.replace('(name)', '(creditor_name)')}),
+      n AS (SELECT nk, ak, count(*) AS n, arg_max('g' || CAST(filing_id AS STRING), o) AS g, list_distinct(flatten(list(['part ' || CAST(part_id % 6 AS STRING), 'shared']))) AS names, list_distinct(list(line_number)) AS lines FROM b GROUP BY nk, ak),
+      s AS (SELECT lower(trim(name)) AS nk, lower(trim(coalesce(address, ''))) AS ak, creditor_id % 4 = 0 AS audited FROM creditors WHERE creditor_id % 2 = 0),
+      j AS (SELECT nk, ak, coalesce(audited, false) AS a, n, g, CASE WHEN audited THEN list_distinct(coalesce(names, []) || ['old', 'shared']) ELSE names END AS names, CASE WHEN audited THEN list_distinct(coalesce(lines, []) || [99]) ELSE lines END AS lines
+        FROM s FULL JOIN n USING (nk, ak))
+      SELECT nk AS name_key, ak AS address_key, coalesce(g, CASE WHEN a THEN 'stored' END) AS group_id, array_to_string(list_sort(names), '|') AS names, array_to_string(list_sort(lines), ',') AS lines,
+        CAST(CASE WHEN a AND n IS NULL THEN 2 WHEN NOT a AND n = 1 THEN 5 ELSE greatest(1, len(names)) END AS INT) AS duplicate_count FROM j WHERE a OR n IS NOT NULL""",
+)
+def _(t):
+    audit = lambda group, names, lines, n: F.struct(group.alias("dedup_group_id"), F.array(*names).alias("merged_names"), F.array(lines).alias("source_line_numbers"), F.lit(n).alias("duplicate_count"))
+    old = audit(F.lit("stored"), (F.lit("old"), F.lit("shared")), F.lit(99), 2)
+    store = t.creditors.where("creditor_id % 2 = 0").select(
+        "name", "address", "claim_amount", "original_name", F.lit(None).cast("double").alias("confidence"), "source_filing_id", "is_company", F.when(F.col("creditor_id") % 4 == 0, old).alias("audit")
+    )
+    new = audit(F.concat(F.lit("g"), F.col("filing_id").cast("string")), (F.concat(F.lit("part "), (F.col("arrival.part_id") % 6).cast("string")), F.lit("shared")), F.col("line_number"), 5)
+    batch = _batch(t, "line_number").withColumn("audit", F.when(F.col("arrival.part_id") % 10 < 3, new))
+    out = merging.merge_creditors(store, batch).where("audit IS NOT NULL")
+    lines = F.concat_ws(",", F.col("audit.source_line_numbers").cast("array<string>"))
+    return out.select("name_key", "address_key", F.col("audit.dedup_group_id").alias("group_id"), F.concat_ws("|", "audit.merged_names").alias("names"), lines.alias("lines"), "audit.duplicate_count")
+
+
 @query("u2_safe_numbers", "SELECT p_partkey, CAST(regexp_replace('-$' || CAST(p_size AS STRING) || '.5x', '[^0-9.]', '', 'g') AS DECIMAL(15,2)) AS amount FROM part")
 def _(t):
     from claimforge.functions import money
@@ -190,6 +216,20 @@ def _(t):
     return merging.dedupe_store(rows, t.links)[1]
 
 
+@query(
+    "u16b_moved_accounts",
+    f"""WITH c AS ({DUP_SQL}), k AS (SELECT creditor_id, first_value(creditor_id) OVER (PARTITION BY name, coalesce(address, '') ORDER BY created_on, creditor_id) AS keeper FROM c),
+      a AS (SELECT DISTINCT creditor_id, part_id % 50 AS account_id FROM claims), m AS (SELECT keeper, creditor_id, account_id FROM a JOIN k USING (creditor_id))
+      SELECT keeper AS creditor_id, account_id, coalesce(max(creditor_id) FILTER (WHERE creditor_id = keeper), min(creditor_id)) AS made_for FROM m GROUP BY keeper, account_id""",
+)
+def _(t):
+    rows = t.creditors.select(
+        "creditor_id", F.concat(F.lit("N"), (F.col("creditor_id") % 40).cast("string")).alias("name"), F.when(F.col("creditor_id") % 3 == 0, "A ").alias("address"), "created_on"
+    )
+    accounts = t.claims.select("creditor_id", (F.col("part_id") % 50).alias("account_id"), F.col("creditor_id").alias("made_for")).distinct()
+    return merging.dedupe_store(rows, t.links, t.links, accounts)[3]
+
+
 @query(
     "u17_purged_creditors",
     f"SELECT creditor_id FROM creditors WHERE NOT ({JUNK_SQL} AND source_filing_id IS NULL AND creditor_id NOT IN (SELECT creditor_id FROM claims WHERE part_id < 100) AND creditor_id NOT IN (SELECT creditor_id FROM firmographics WHERE employees > 6000))",
@@ -216,9 +256,9 @@ def _(t):
     return merging.set_company_ids(t.creditors, wanted).select("creditor_id", "company_id")
 
 
-@query("u20_config_changes", "SELECT n_nationkey AS k, CASE WHEN n_nationkey % 4 = 0 THEN 'INSERT' WHEN n_nationkey % 5 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS change FROM nation WHERE n_nationkey % 4 = 0 OR n_nationkey % 5 = 0 OR n_nationkey % 3 = 0")
+@query("u20_config_changes", "SELECT account_id AS k, CASE WHEN account_id % 4 = 0 THEN 'INSERT' WHEN account_id % 5 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS change FROM accounts WHERE account_id % 4 = 0 OR account_id % 5 = 0 OR account_id % 3 = 0")
 def _(t):
-    base = t.nation.select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("v"))
+    base = t.accounts.select(F.col("account_id").alias("k"), F.col("account_name").alias("v"))
     old = base.where("k % 4 > 0")
     new = base.where("k % 4 = 0 OR k % 5 > 0").withColumn("v", F.when(F.col("k") % 3 == 0, F.concat("v", F.lit("!"))).otherwise(F.col("v")))
     return merging.config_changes(old, new, "k").select("k", "change")
@@ -264,10 +304,10 @@ def _(t):
     return merging.apply_enrichment(t.creditors, rows)
 
 
-@query("x2_merged_audits", "SELECT n_nationkey AS k, n_name || '|' || upper(n_name) || 'Z' AS names, CAST(2 AS INT) AS duplicate_count FROM nation")
+@query("x2_merged_audits", "SELECT account_id AS k, account_name || '|' || account_name || 'Z' AS names, CAST(2 AS INT) AS duplicate_count FROM accounts")
 def _(t):
     audit = lambda name: F.struct(F.lit("g").alias("dedup_group_id"), F.array(name).alias("merged_names"), F.array(F.lit(1)).alias("source_line_numbers"), F.lit(1).alias("duplicate_count"))
-    both = t.nation.select(F.col("n_nationkey").alias("k"), audit(F.col("n_name")).alias("a"), audit(F.concat(F.upper("n_name"), F.lit("Z"))).alias("b"))
+    both = t.accounts.select(F.col("account_id").alias("k"), audit(F.col("account_name")).alias("a"), audit(F.concat("account_name", F.lit("Z"))).alias("b"))
     return both.select("k", merging.merge_audits(F.col("a"), F.col("b")).alias("m")).select("k", F.concat_ws("|", "m.merged_names").alias("names"), "m.duplicate_count")
 
 
@@ -286,6 +326,9 @@ T1_SQL = "SELECT doc_id, CASE WHEN a > 0 AND a >= b AND a >= c THEN 'form_201' W
 _COUNT = lambda ps: " + ".join(f"CAST(regexp_matches(lower(text), '{p}') AS INT)" for p in ps)
 
 
+T1_KINDS_SQL = "WITH x AS (SELECT doc_id, coalesce(text, '') AS text FROM documents) " + T1_SQL.format(*(_COUNT(extraction.ANCHORS[k]) for k in ("form_201", "creditor_matrix", "schedule")))
+
+
 @query(
     "t1_document_kinds",
     "WITH x AS (SELECT filing_id AS doc_id, text FROM petitions UNION ALL SELECT filing_id, text FROM notices UNION ALL SELECT doc_id, coalesce(text, '') FROM documents) "
@@ -305,7 +348,7 @@ def _(t):
     return extraction.classify(t.notices.withColumn("hint", hint), "filing_id", hint_col="hint").select("filing_id", "kind")
 
 
-def _form_sql() -> str:
+def form_sql() -> str:
     """The fields by DuckDB's own functions."""
     first = lambda c: "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(text, '(?i){p.replace(chr(39), chr(39) * 2)}', 1)), '')" for p in extraction.FORM_PATTERNS[c]) + f") AS {c}"
 
@@ -331,7 +374,7 @@ def _form_sql() -> str:
     )
 
 
-@query("t2_form_fields", _form_sql())
+@query("t2_form_fields", form_sql())
 def _(t):
     return extraction.form_fields(t.petitions)
 
@@ -424,6 +467,44 @@ def _(t):
     return extraction.company_responses(t.candidates.select("creditor_id", body.alias("body"))).select("creditor_id", "place", "company_id", "revenue", "confidence")
 
 
+CONTACT_SQL = """SELECT l_suppkey AS creditor_id, l_orderkey * 10 + l_linenumber AS contact_id, CASE l_partkey % 3 WHEN 0 THEN 'Ann ' || l_partkey WHEN 1 THEN 'Bo Li' ELSE 'Full ' || l_partkey END AS full_name,
+  'title' || (l_partkey % 9) AS title, CASE WHEN l_partkey % 3 = 0 THEN CAST(l_partkey % 50 AS DOUBLE) WHEN l_partkey % 3 = 1 THEN 0 ELSE CAST(l_partkey % 70 AS DOUBLE) END AS engagement
+  FROM lineitem WHERE l_partkey % 7 > 1 AND l_suppkey % 10 <> 3"""
+
+
+def _contact_bodies(t):
+    """One body for each line of an order, in different shapes and spellings, some with an error or without a name."""
+    k, text = F.col("part_id"), F.col("part_id").cast("string")
+    title = F.concat(F.lit("title"), (k % 9).cast("string"))
+    inner = F.struct(F.lit("Ann").alias("firstName"), text.alias("last_name"), (k % 50).cast("string").alias("engagementScore"), title.alias("jobTitle"))
+    flat = F.to_json(F.struct(F.lit("Bo").alias("first_name"), F.lit("Li").alias("lastName"), F.lit("").alias("score"), title.alias("primaryTitle")))
+    full = F.struct(F.concat(F.lit("Full "), text).alias("fullName"), (k % 70).alias("contactAccuracyScore"), title.alias("title"))
+    body = F.when(k % 3 == 0, F.to_json(F.struct(F.array(F.struct(inner.alias("attributes"))).alias("data")))).when(k % 3 == 1, flat).otherwise(F.to_json(F.struct(full.alias("results"))))
+    body = F.when(k % 7 == 0, '{"message": "no such person"}').when(k % 7 == 1, '{"data": [{"title": "nobody"}]}').otherwise(body)
+    status = F.when(F.col("creditor_id") % 10 == 3, 429).otherwise(200)
+    return t.claims.select("creditor_id", (F.col("filing_id") * 10 + F.col("line_number")).alias("contact_id"), body.alias("body"), status.alias("http_status"))
+
+
+@query("t10b_contact_responses", f"SELECT contact_id AS creditor_id, CAST(0 AS INT) AS place, full_name, title, engagement FROM ({CONTACT_SQL})")
+def _(t):
+    return extraction.contact_responses(_contact_bodies(t).withColumn("creditor_id", F.col("contact_id"))).select("creditor_id", "place", "full_name", "title", "engagement")
+
+
+@query(
+    "w4b_contact_outcomes",
+    f"""WITH n AS (SELECT creditor_id, least(count(*), 3) AS n FROM ({CONTACT_SQL}) GROUP BY creditor_id)
+      SELECT creditor_id, CASE WHEN creditor_id % 10 = 3 THEN 'rate_limited' WHEN n IS NULL AND creditor_id % 4 > 0 THEN 'no_contact_found' WHEN creditor_id % 4 > 0 THEN 'matched' ELSE 'no_match' END AS match_status,
+        CAST(coalesce(n, 0) AS INT) AS contacts_saved FROM creditors LEFT JOIN n USING (creditor_id)""",
+)
+def _(t):
+    from claimforge.operators import ranking
+
+    status = F.when(F.col("creditor_id") % 4 > 0, "matched").otherwise("no_match")
+    lookups = t.creditors.select("creditor_id", status.alias("match_status"), F.when(F.col("creditor_id") % 10 == 3, 429).otherwise(200).alias("http_status"))
+    found = extraction.contact_responses(_contact_bodies(t)).withColumn("contact_id", F.struct("full_name", "place"))
+    return ranking.contact_outcomes(lookups, ranking.top_contacts(found))
+
+
 @query("s4_docket_payloads", "SELECT filing_id, CAST(0 AS INT) AS place, document_number AS docket_number, filed_on FROM docket_docs")
 def _(t):
     entry = F.struct(F.col("document_number").alias("number"), F.date_format("filed_on", "yyyy-MM-dd").alias("date_filed"))

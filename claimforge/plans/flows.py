@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimforge.functions import names
 from claimforge.operators import aggregates, extraction, fuzzy, merging, ranking
 from claimforge.plans.registry import query
 from claimforge.session import materialize
@@ -20,16 +21,35 @@ def ingest_feed(rows: DataFrame, states: list[str], jobs: DataFrame) -> dict[str
     return {"filings": filings, "creditors": aggregates.combine_claims(good), "rejects": checked.where("rejected_for IS NOT NULL"), "jobs": due}
 
 
-def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame) -> dict[str, DataFrame]:
-    """Texts ``doc_id, text`` to creditors and validation, skipping content in ``known (content_sha256)``.
+FORM_VALUES = ("debtor_name", "city", "state", "court_district", "industry_code", "estimated_assets", "estimated_liabilities", "estimated_creditor_count")
 
-    Hash, cache lookup, kind, extraction with its fallbacks, fuzzy dedup inside the document, then the share of usable rows.
+
+def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame, pages: DataFrame | None = None, store: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Texts ``doc_id, text`` (and where known ``filing_id, hint``) to forms, creditors and validation, skipping content in ``known (content_sha256)``.
+
+    Hash, cache lookup, mode by ``pages (doc_id, text)``, kind, then by kind: forms to their fields; lists and schedules
+    to creditors with the fallbacks, fuzzy dedup inside the document and the share of usable rows. What is neither, has
+    too many pages or fails its validation is in ``reviews (doc_id, reason)``. With ``store`` the creditors of lists that
+    passed and have a filing are merged into it as ``store``.
     """
     hashed = docs.withColumn("content_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)).join(known, "content_sha256", "left_anti")
+    if pages is None:
+        hashed = hashed.withColumn("mode", F.lit("structured"))
+    else:
+        hashed = hashed.join(aggregates.parse_mode(pages).select("doc_id", "mode"), "doc_id", "left").fillna("structured", ["mode"])
     hashed = materialize(hashed, "to-parse")
-    kinds = extraction.classify(hashed)
-    matrix = hashed.join(kinds.where("kind = 'creditor_matrix'").select("doc_id"), "doc_id", "left_semi")
-    found = extraction.extract_creditors(matrix, tables).select(
+    able = hashed.where("mode <> 'rejected'")
+    kinds = extraction.classify(able, hint_col="hint" if "hint" in docs.columns else None)
+    of = lambda rows, *which: rows.join(kinds.where(F.col("kind").isin(*which)).select("doc_id"), "doc_id", "left_semi")
+
+    fields = extraction.form_fields(of(able, "form_201"), "doc_id")
+    ranges = [F.coalesce(f"least_{a}", f"most_{a}").alias(b) for a, b in (("assets", "estimated_assets"), ("liabilities", "estimated_liabilities"), ("creditors", "estimated_creditor_count"))]
+    ocr = able.select("doc_id", (F.col("mode") == "ocr").alias("ocr"))
+    checked_forms = aggregates.form_validation(fields.select("*", *ranges).join(ocr, "doc_id"), list(FORM_VALUES), "debtor_name", "doc_id")
+
+    lists = of(able, "creditor_matrix", "schedule")
+    plain = of(tables, "creditor_matrix").union(of(extraction.untitled(tables), "schedule").select(tables.columns))
+    found = extraction.extract_creditors(lists, plain).select(
         "doc_id", F.xxhash64("doc_id", "source", "place", "name").alias("row_id"), "name", "address", "claim_amount",
         F.lit(None).cast("double").alias("confidence"), F.col("place").alias("line_number"),
     )
@@ -37,12 +57,24 @@ def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame) -> dic
     creditors = fuzzy.deduplicate(found, "doc_id")
     counts = creditors.groupBy("doc_id").agg(F.count_if(F.col("name") != "").alias("valid_rows"), F.count("*").alias("total_rows"))
     zero = F.lit(0).cast("long")
-    validation = aggregates.matrix_validation(
-        matrix.select("doc_id").join(counts, "doc_id", "left").select(
-            "doc_id", F.coalesce("valid_rows", zero).alias("valid_rows"), F.coalesce("total_rows", zero).alias("total_rows"), F.lit(False).alias("ocr")
+    checked_lists = aggregates.matrix_validation(
+        lists.select("doc_id").join(ocr, "doc_id").join(counts, "doc_id", "left").select(
+            "doc_id", F.coalesce("valid_rows", zero).alias("valid_rows"), F.coalesce("total_rows", zero).alias("total_rows"), "ocr"
         )
     )
-    return {"kinds": kinds, "creditors": creditors, "validation": validation, "reviews": validation.where("needs_review")}
+    validation = checked_lists.unionByName(checked_forms.select(checked_lists.columns))
+    failed = validation.where("needs_review").select("doc_id", F.coalesce(F.nullif("missing", F.lit("")), F.lit("low_confidence")).alias("reason"))
+    neither = kinds.where(~F.col("kind").isin("form_201", "creditor_matrix", "schedule")).select("doc_id", F.lit("unknown_filing_type").alias("reason"))
+    large = hashed.where("mode = 'rejected'").select("doc_id", F.lit("too_many_pages").alias("reason"))
+    out = {"kinds": kinds, "forms": fields, "creditors": creditors, "validation": validation, "reviews": failed.union(neither).union(large)}
+    if store is not None:
+        good = checked_lists.where("NOT needs_review").select("doc_id", F.col("share").alias("_share")).join(docs.where("filing_id IS NOT NULL").select("doc_id", "filing_id"), "doc_id")
+        batch = creditors.join(good, "doc_id").select(
+            "filing_id", F.struct("doc_id", "cluster_id").alias("arrival"), F.col("name").alias("creditor_name"), "address", "claim_amount",
+            F.lit(None).cast("string").alias("original_name"), F.coalesce("confidence", "_share").alias("confidence"), names.entity_type(F.col("name")).alias("entity_type"),
+        )
+        out["store"] = merging.merge_creditors(store, batch)
+    return out
 
 
 def apply_corrections(corrected: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,6 +107,25 @@ def _(t):
     return parse_documents(docs, none.select(F.sha2("text", 256).alias("content_sha256")), tables)["creditors"]
 
 
+def _review_sql() -> str:
+    from claimforge.plans.changes import T1_KINDS_SQL, form_sql
+
+    shown = {"estimated_assets": "assets", "estimated_liabilities": "liabilities", "estimated_creditor_count": "creditors"}
+    value = lambda c: f"coalesce(least_{shown[c]}, most_{shown[c]})" if c in shown else c
+    miss = ", ".join(f"CASE WHEN {value(c)} IS NULL THEN '{c}' END" for c in FORM_VALUES)
+    return f"""WITH m AS (SELECT filing_id, list_filter([{miss}], lambda x: x IS NOT NULL) AS miss FROM ({form_sql()}))
+      SELECT 2 * filing_id AS doc_id, array_to_string(miss, ',') AS reason FROM m WHERE (8 - len(miss)) / 8 < 0.85 OR list_contains(miss, 'debtor_name')
+      UNION ALL SELECT 2 * doc_id + 1, 'unknown_filing_type' FROM ({T1_KINDS_SQL}) WHERE kind IN ('unknown', 'sofa')"""
+
+
+@query("t12b_review_queue", _review_sql())
+def _(t):
+    docs = t.petitions.select((2 * F.col("filing_id")).alias("doc_id"), "text").union(t.documents.select((2 * F.col("doc_id") + 1).alias("doc_id"), "text"))
+    none = docs.limit(0)
+    tables = none.select("doc_id", F.array(F.array(F.array(F.lit("")))).alias("tables"))
+    return parse_documents(docs, none.select(F.sha2("text", 256).alias("content_sha256")), tables)["reviews"]
+
+
 @query("u22_applied_corrections")
 def _(t):
     rows = t.claims.join(t.supplier.select(F.col("s_suppkey").alias("creditor_id"), F.col("s_name").alias("name")), "creditor_id")

@@ -334,11 +334,19 @@ def _(t):
 
 @query(
     "a10_match_outcomes",
-    f"SELECT creditor_id % 10 AS job_id, count(*) AS total, count(*) FILTER (WHERE match_status = 'matched') AS matched, count(*) FILTER (WHERE match_status = 'no_match') AS no_match, "
-    f"count(*) FILTER (WHERE match_status = 'ambiguous') AS ambiguous, CAST(0 AS BIGINT) AS error, CAST(0 AS BIGINT) AS rate_limited, count(company_id) AS with_company FROM ({BEST_SQL}) GROUP BY 1",
-)
-def _(t):
-    staged = ranking.best_candidates(t.candidates, t.creditors).withColumn("job_id", F.col("creditor_id") % 10)
+    f"""WITH x AS (SELECT creditor_id, company_id, CASE WHEN creditor_id % 17 = 5 THEN 'skipped_individual' WHEN creditor_id % 19 = 7 THEN 'no_contact_found' WHEN creditor_id % 23 = 9 THEN 'cached' ELSE match_status END AS s,
+        creditor_id % 6 = 0 AS hit, CASE WHEN creditor_id % 4 > 1 THEN creditor_id % 4 ELSE 0 END AS saved FROM ({BEST_SQL}))
+      SELECT creditor_id % 10 AS job_id, count(*) AS total, count(*) FILTER (WHERE s = 'matched') AS matched, count(*) FILTER (WHERE s = 'no_match') AS no_match, count(*) FILTER (WHERE s = 'ambiguous') AS ambiguous,
+        count(*) FILTER (WHERE s = 'error') AS error, count(*) FILTER (WHERE s = 'rate_limited') AS rate_limited, count(*) FILTER (WHERE s = 'skipped_individual') AS skipped_individual,
+        count(*) FILTER (WHERE company_id IS NOT NULL OR s IN ('matched', 'cached', 'dry_run')) AS with_company, count(*) FILTER (WHERE hit) AS cache_hits,
+        count(*) FILTER (WHERE s IN ('no_contact_found', 'no_match') AND saved = 0) AS no_contact, CAST(sum(saved) AS BIGINT) AS contacts_saved FROM x GROUP BY 1""",
+)
+def _(t):
+    k = F.col("creditor_id")
+    status = F.when(k % 17 == 5, "skipped_individual").when(k % 19 == 7, "no_contact_found").when(k % 23 == 9, "cached").otherwise(F.col("match_status"))
+    staged = ranking.best_candidates(t.candidates, t.creditors).withColumns(
+        {"match_status": status, "job_id": k % 10, "cache_hit": k % 6 == 0, "contacts_saved": F.when(k % 4 > 1, k % 4)}
+    )
     return aggregates.match_outcomes(staged, "job_id")
 
 
@@ -356,7 +364,7 @@ def _(t):
     """WITH s AS (SELECT doc_id, sum(valid_rows) AS v, sum(total_rows) AS n, bool_or(ocr) AS o FROM metas GROUP BY doc_id),
       x AS (SELECT *, CASE WHEN n > 0 THEN round(least(v / n, 1.0), 4) ELSE 0.0 END AS share FROM s)
       SELECT doc_id, CAST(share AS DOUBLE) AS share, CASE WHEN share >= 0.95 THEN 'high' WHEN share >= 0.8 THEN 'medium' ELSE 'low' END AS level,
-        share < 0.85 OR v = 0 OR (o AND share < 0.9) AS needs_review, concat_ws(',', CASE WHEN n = 0 THEN 'rows' END, CASE WHEN v < n THEN 'creditor_name' END) AS missing FROM x""",
+        share < 0.85 OR v = 0 OR (o AND share < 0.9) AS needs_review, concat_ws(',', CASE WHEN n = 0 THEN 'creditors' END, CASE WHEN v < n THEN 'creditor_name' END, CASE WHEN v = 0 AND n > 0 THEN 'creditor_name_quality' END) AS missing FROM x""",
 )
 def _(t):
     return aggregates.matrix_validation(t.metas)

@@ -253,12 +253,12 @@ def _(t):
 
 @query(
     "c15_typed_config",
-    "SELECT coalesce(max(CASE WHEN n_nationkey = 3 THEN n_name END), 'x') AS name_3, coalesce(max(CASE WHEN n_nationkey = 4 THEN TRY_CAST(n_name AS INT) END), 7) AS number_4, "
-    "coalesce(max(CASE WHEN n_nationkey = 99 THEN 1 END) = 1, true) AS flag_99 FROM nation",
+    "SELECT coalesce(max(CASE WHEN account_id = 3 THEN account_name END), 'x') AS name_3, coalesce(max(CASE WHEN account_id = 4 THEN TRY_CAST(account_name AS INT) END), 7) AS number_4, "
+    "coalesce(max(CASE WHEN account_id = -1 THEN 1 END) = 1, true) AS flag_99 FROM accounts",
 )
 def _(t):
-    rows = t.nation.select(F.concat(F.lit("k"), F.col("n_nationkey").cast("string")).alias("key"), F.col("n_name").alias("value"))
-    out = incremental.typed_config(rows, {"k3": ("text", "x"), "k4": ("int", 7), "k99": ("bool", True)})
+    rows = t.accounts.select(F.concat(F.lit("k"), F.col("account_id").cast("string")).alias("key"), F.col("account_name").alias("value"))
+    out = incremental.typed_config(rows, {"k3": ("text", "x"), "k4": ("int", 7), "k-1": ("bool", True)})
     return out.toDF("name_3", "number_4", "flag_99")
 
 

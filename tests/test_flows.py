@@ -181,3 +181,61 @@ def test_second_key_of_feed_items(spark):
     spark.createDataFrame([(*r[:5], None, r[5]) for r in rows], kind).withColumn("published_at", F.lit("2024-01-01").cast("timestamp")).write.parquet(path)
     out = streams.run_available(streams.feed_event_stream(streams.file_stream(spark, spark.read.parquet(path).schema, path)), "events")
     assert sorted(r.unique_key.rpartition(":")[2] for r in out.collect()) in (["a", "c", "d", "e"], ["b", "c", "d", "e"])
+
+
+FORM = (
+    "Official Form 201\nDistrict of Utah\nDebtor name: Acme LLC\nCity: Reno\nState: NV\nNAICS: 445110\nEstimated assets: $1,000 to $2,000\n"
+    "Estimated liabilities: $3,000 or more\n10-49 creditors"
+)
+
+
+def test_parsed_documents_of_every_kind(spark):
+    """A form, a weak form, a schedule, an empty list, a text with too many pages and one of no kind."""
+    texts = {1: FORM, 2: "Official Form 201\nDebtor name: Beta Inc", 3: "Schedule E/F", 4: "List of Creditors", 5: MATRIX, 6: "hello", 7: MATRIX + "\n"}
+    docs = spark.createDataFrame([(k, v, 70 + k if k != 3 else None) for k, v in texts.items()], "doc_id long, text string, filing_id long")
+    table = [[["Schedule E/F: Creditors", ""], ["Creditor", "Amount"], ["Omega LLC", "$7"]]]
+    tables = spark.createDataFrame([(3, table)], "doc_id long, tables array<array<array<string>>>")
+    known = spark.createDataFrame([], "content_sha256 string")
+    pages = spark.createDataFrame([(k, "x" * 60) for k in texts] + [(7, "x")] * 500, "doc_id long, text string")
+    kind = "name string, address string, claim_amount decimal(15,2), original_name string, confidence double, source_filing_id long, is_company boolean"
+    store = spark.createDataFrame([("beta tools llc", "5 Oak Ave, Troy, NY 12180", Decimal(10), None, None, 1, True)], kind)
+    out = flows.parse_documents(docs, known, tables, pages, store)
+    assert {r.doc_id: r.reason for r in out["reviews"].collect()} == {
+        2: "city,state,court_district,industry_code,estimated_assets,estimated_liabilities,estimated_creditor_count", 4: "creditors", 6: "unknown_filing_type", 7: "too_many_pages"
+    }
+    assert {(r.doc_id, r.name) for r in out["creditors"].collect()} == {(3, "Omega LLC"), (5, "Acme Corporation"), (5, "Beta Tools LLC")}
+    assert {r.doc_id: (r.debtor_name, r.least_creditors) for r in out["forms"].collect()} == {1: ("Acme LLC", 10), 2: ("Beta Inc", None)}
+    merged = {r.name_key: (r.claim_amount, r.source_filing_id) for r in out["store"].collect()}
+    assert merged == {"beta tools llc": (Decimal("15.00"), 1), "acme corporation": (Decimal("1500.00"), 75)}  # the schedule has no filing
+
+
+def test_call_audit_against_brute_force(spark):
+    """Ties, gaps of some hours and calls just on the limits of a minute and an hour."""
+    seconds = [0, 0, 14, 15, 59, 60, 75, 3599, 3600, 3601, 7199, 7200, 20_000, 20_000, 23_600]
+    rows = [(k, a, s) for a in (1, 2) for k, s in enumerate(seconds[:: a], 100 * a)]
+    calls = spark.createDataFrame(rows, "call_id long, account long, s long").withColumn("called_at", F.timestamp_seconds("s")).drop("s")
+    got = {r.call_id: (r.last_minute, r.last_hour, r.gap_us) for r in ranking.call_audit(calls).collect()}
+    want = {}
+    for k, a, s in rows:
+        mine = sorted((t, i) for i, b, t in rows if b == a)
+        at = mine.index((s, k))
+        want[k] = (sum(s - 60 < t <= s for t, _ in mine), sum(s - 3600 < t <= s for t, _ in mine), (s - mine[at - 1][0]) * 1_000_000 if at else None)
+    assert got == want
+
+
+def test_deduped_store_moves_contacts_and_accounts(spark):
+    creditors = spark.createDataFrame([(1, "A", None, 2), (2, "a ", "", 1), (3, "b", None, 1)], "creditor_id long, name string, address string, created_on int")
+    links = spark.createDataFrame([(9, 1), (9, 2), (8, 3)], "filing_id long, creditor_id long")
+    contacts = spark.createDataFrame([(1, "x"), (2, "y"), (7, "z")], "creditor_id long, full_name string")
+    accounts = spark.createDataFrame([(1, 50, "one"), (2, 50, "two"), (1, 51, "one"), (3, 50, "b")], "creditor_id long, account_id long, note string")
+    kept, moved, contacts, accounts = merging.dedupe_store(creditors, links, contacts, accounts)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert [r.creditor_id for r in kept.orderBy("creditor_id").collect()] == [2, 3]
+    assert rows(moved) == [(8, 3), (9, 2)] and rows(contacts) == [(2, "x"), (2, "y"), (7, "z")]
+    assert rows(accounts) == [(2, 50, "two"), (2, 51, "one"), (3, 50, "b")]
+
+
+def test_contact_bodies_of_odd_shapes(spark):
+    bodies = ['{"name":"A","score":"2"}', '{"results":[{"first_name":"B"},{"title":"x"}]}', '{"error":"e","name":"C"}', "[1]", "not json", None, "{}"]
+    rows = spark.createDataFrame(list(enumerate(bodies)), "creditor_id int, body string")
+    assert sorted((r.creditor_id, r.place, r.full_name, r.engagement) for r in extraction.contact_responses(rows).collect()) == [(0, 0, "A", 2.0), (1, 0, "B", 0.0)]
