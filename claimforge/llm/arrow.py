@@ -15,7 +15,8 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     """``df``, of which Python tasks get at most ``BATCH_ROWS`` rows at a time.
 
     Spark has one setting for this a session; it is lowered, never raised. Texts
-    are far longer than the rows that its default of 10,000 was made for.
+    are far longer than the rows that its default of 10,000 was made for. Spark's own bound
+    in bytes (``spark.sql.execution.arrow.maxBytesPerBatch``, 64 MB) holds beside it.
     """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:

@@ -12,11 +12,12 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from re import _constants as sre
 from re import _parser as sre_parser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -233,6 +234,11 @@ def _scanner(rules: tuple[Rule, ...]) -> Scanner:
     return Scanner(rules)
 
 
+def _places(data: bytes) -> np.ndarray:
+    """For each place between bytes the code points before it."""
+    return np.append(0, np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80))
+
+
 def scan_secrets(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -255,8 +261,8 @@ def scan_secrets(
             for text in batch.column(1).to_pylist():
                 data = text.encode()
                 found = spans(data)
-                place: Callable[[int], int] = (lambda p: p) if len(data) == len(text) else (lambda p: len(data[:p].decode()))  # noqa: B023
-                named = [(k, f"{kinds[k]}:{place(a)}:{place(b)}") for a, k, b in found]
+                place = _places(data) if found and len(data) != len(text) else range(len(data) + 1)
+                named = [(k, f"{kinds[k]}:{place[a]}:{place[b]}") for a, k, b in found]
                 for k in range(len(rules)):
                     out[k].append(sum(x == k for x, _ in named))
                 base = ",".join(s for k, s in named if k < len(rules))

@@ -1,12 +1,18 @@
 """op1, op3 and op7."""
 
+import hashlib
+import math
 import re
+import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from claimforge.llm import languages, licenses, secrets
+from claimforge.llm.pretokens import mix
 
 SCANNER = secrets.Scanner((*secrets.BASE_RULES, *secrets.MORE_RULES))
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -41,6 +47,31 @@ def test_secret_table(documents, nothing):
     assert secrets.scan_secrets(nothing).count() == 0
 
 
+def test_secret_query_against_brute_force(spark):
+    """Every row and span of the table, by Python's own regular expressions."""
+    sf = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in secrets.op1_secret_scan(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    names = [r.kind for r in secrets.BASE_RULES]
+    more = [(r.kind, re.compile(r.pattern), r.least) for r in secrets.MORE_RULES]
+    for d in docs:
+        text, r = d.text or "", rows[d.doc_id]
+        base = brute(text)
+        joined = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in base)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == j for _, k, _ in base) for j in range(3)]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        others = [(m.start(), 3 + j, m.end()) for j, (_, p, least) in enumerate(more) for m in p.finditer(text) if len(m[0]) >= least]
+        kinds = names + [k for k, _, _ in more]
+        assert r.spans == ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(base + others))
+
+
+def test_places_of_many_spans_in_one_long_text(documents):
+    line = "é password=abcdefgh1\n"
+    r = secrets.scan_secrets(documents([(1, line * 20_000)])).first()
+    assert r.n_assign == 20_000 and r.spans.endswith(f"assign:{19_999 * len(line) + 2}:{20_000 * len(line) - 1}")
+
+
 def test_licenses(documents, nothing):
     mit = licenses.NOTICES["MIT"].replace(". ", ".\n")
     docs = documents(
@@ -88,3 +119,46 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "lang")
     out = languages.op7_language_id(spark, "/root/testdata/sf0.001").where("held_out").join(labels, "doc_id").collect()
     assert sum(r.lang_pred == r.lang for r in out) >= 0.95 * len(out)
+
+
+def grams(text: str, bits: int = 15) -> list[int]:
+    """Hashed two- and three-byte grams of a text, letter by letter."""
+    fold = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()]
+    codes = [(fold[i] * 257 + fold[i + 1]) + (2 << 40) for i in range(len(fold) - 1)]
+    codes += [((fold[i] * 257 + fold[i + 1]) * 257 + fold[i + 2]) + (3 << 40) for i in range(len(fold) - 2)]
+    return (mix(np.array(codes, np.uint64)) >> np.uint64(64 - bits)).tolist()
+
+
+def test_language_query_against_a_plain_model(spark):
+    """The same classifiers and decoding with dictionaries and loops, for every row of the table."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts = defaultdict(Counter)
+    for d in docs:
+        if d.lang is not None and d.text is not None and zlib.crc32(str(d.doc_id).encode()) % 4 != 2:
+            counts[d.lang].update(grams(d.text))
+    langs, size = sorted(counts), 1 << 15
+    code = languages.codewords(len(langs)).tolist()
+    share = [lambda f, c=counts[x], n=sum(counts[x].values()) + size / 2: (c[f] + 0.5) / n for x in langs]
+
+    def weight(f, b, known={}):  # noqa: B006
+        if (f, b) not in known:
+            side = lambda sign: [share[k](f) for k in range(len(langs)) if code[k][b] == sign]
+            yes, no = side(1), side(-1)
+            known[f, b] = math.log(sum(yes) / len(yes)) - math.log(sum(no) / len(no))
+        return known[f, b]
+
+    bits = range(len(code[0]))
+    margin = lambda c, b: sum(n * weight(f, b) for f, n in c.items()) / max(sum(c.values()), 1)
+    trust = [1 / (1 + math.exp(-8 * min(margin(counts[x], b) * code[k][b] for k, x in enumerate(langs)))) for b in bits]
+    got = {r.doc_id: r for r in languages.op7_language_id(spark, sf).collect()}
+    for d in docs:
+        r = got[d.doc_id]
+        if not any(c.isalpha() for c in d.text or ""):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        m = [margin(Counter(grams(d.text)), b) for b in bits]
+        loss = [sum(trust[b] * math.exp(-2 * m[b] * code[k][b]) for b in bits) / len(bits) for k in range(len(langs))]
+        parts = [math.exp(-x) for x in loss]
+        best = max(range(len(langs)), key=parts.__getitem__)
+        assert r.lang_pred == langs[best] and abs(r.score - parts[best] / sum(parts)) < 1e-4
