@@ -42,7 +42,7 @@ def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame, pages:
     kinds = extraction.classify(able, hint_col="hint" if "hint" in docs.columns else None)
     of = lambda rows, *which: rows.join(kinds.where(F.col("kind").isin(*which)).select("doc_id"), "doc_id", "left_semi")
 
-    fields = extraction.form_fields(of(able, "form_201"), "doc_id")
+    fields = materialize(extraction.form_fields(of(able, "form_201"), "doc_id"), "forms")  # validation reads each field several times
     ranges = [F.coalesce(f"least_{a}", f"most_{a}").alias(b) for a, b in (("assets", "estimated_assets"), ("liabilities", "estimated_liabilities"), ("creditors", "estimated_creditor_count"))]
     ocr = able.select("doc_id", (F.col("mode") == "ocr").alias("ocr"))
     checked_forms = aggregates.form_validation(fields.select("*", *ranges).join(ocr, "doc_id"), list(FORM_VALUES), "debtor_name", "doc_id")
