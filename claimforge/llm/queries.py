@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimforge.llm import bpe, chats, decontaminate, exact_dedup, jaccard_join, languages, licenses, secrets, token_files, warc
+from claimforge.llm import bpe, chats, decontaminate, exact_dedup, jaccard_join, languages, licenses, resampling, secrets, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_bpe": bpe.op9_bpe,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_resample": resampling.op11_resample,
     }
 
 
@@ -30,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat_format": chats.OP5_SQL,
         "op6_warc": warc.OP6_SQL,
         "op10_decontaminate": decontaminate.OP10_SQL,
+        "op11_resample": resampling.OP11_SQL,
     }
