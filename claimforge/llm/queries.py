@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimforge.llm import bpe, chats, decontaminate, exact_dedup, jaccard_join, languages, licenses, line_quality, resampling, secrets, token_files, warc
+from claimforge.llm import bpe, chats, decontaminate, exact_dedup, jaccard_join, languages, licenses, line_quality, merkle, resampling, secrets, token_files, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontaminate": decontaminate.op10_decontaminate,
         "op11_resample": resampling.op11_resample,
         "op12_line_quality": line_quality.op12_line_quality,
+        "op13_merkle": merkle.op13_merkle,
     }
 
 
@@ -34,4 +35,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_decontaminate": decontaminate.OP10_SQL,
         "op11_resample": resampling.OP11_SQL,
         "op12_line_quality": line_quality.OP12_SQL,
+        "op13_merkle": merkle.OP13_SQL,
     }
