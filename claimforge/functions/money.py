@@ -17,6 +17,11 @@ def safe_numeric(text: Column) -> Column:
     return _number(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9.]", ""))
 
 
+def claim_amount(text: Column) -> Column:
+    """Digits and dots only; a dot may stand first or last. Null unless a number is left."""
+    return _number(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9.]", ""), r"^([0-9]+\.?[0-9]*|\.[0-9]+)$")
+
+
 def loss_amount(text: Column) -> Column:
     """Digits, dot and minus; null where that is no number."""
     return _number(F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9.-]", ""), r"^-?[0-9]+(\.[0-9]+)?$")

@@ -30,14 +30,14 @@ NAME_RULES = (
 )
 
 
-def is_junk_name(name: Column, least_length: int = 3, most_digits: int = 3) -> Column:
-    """Whether a name is a label, a heading or a line number. Null for null."""
+def is_junk_name(name: Column, least_length: int = 3, most_digits: int = 3, whole_heads: bool = False) -> Column:
+    """Whether a name is a label, a heading or a line number. Null for null. ``whole_heads``: a heading ends with its last word."""
     shown = F.trim(name)
     low = F.lower(shown)
     return (
         (F.length(shown) < max(1, least_length))
         | low.isin(*JUNK_WORDS)
-        | low.rlike(f"^({'|'.join(JUNK_HEADS)})")
+        | low.rlike(f"^({'|'.join(JUNK_HEADS)})" + (r"\b" if whole_heads else ""))
         | low.rlike(f"({'|'.join(JUNK_LABELS)})")
         | shown.rlike(f"^[0-9]{{1,{most_digits}}}$")
     )

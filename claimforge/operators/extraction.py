@@ -38,8 +38,6 @@ FORM_PATTERNS = {
 }
 DOLLAR_RANGES = (r"\$\s*([\d,]+(?:\.\d+)?)\s*(?:to|-|–)\s*\$?\s*([\d,]+(?:\.\d+)?)", r"\$\s*([\d,]+(?:\.\d+)?)\s*or\s+more", r"less\s+than\s+\$?\s*([\d,]+(?:\.\d+)?)")
 CREDITOR_RANGES = (r"(\d+)\s*(?:to|-|–)\s*(\d+)\s*creditors?", r"(\d+)\s*or\s+more\s*creditors?", r"less\s+than\s+(\d+)\s*creditors?")
-# Fixed value: the upper end of "or more" dollars.
-OR_MORE_DOLLARS = 1_000_000
 # Patterns of feed items and of creditor lists.
 CASE_NUMBER = r"(?i)(\d{2}-\d{4,6}(?:-[a-z0-9]+)*)"
 COURT_HOST = r"ecf\.([a-z]+)\.uscourts\.gov"
@@ -48,6 +46,16 @@ CHAPTER = r"chapter[:\s]+(\d+)"
 LINE_NUMBER = r"^(\d+)\.?\s+"
 AMOUNT = r"(\$\s*[\d,]+(?:\.\d+)?)"
 AMOUNT_ONLY = r"^[$\d.,\s]+$"
+# Words in the first row of a table of unsecured claims.
+SCHEDULE_HEADS = ("schedule e", "schedule f", "206e", "206f", "unsecured", "nature of claim", "creditors holding")
+# What ends a line, and what white space is, in texts of any origin.
+LINE_END = r"\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029]"
+_EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+
+
+def _bare(text: Column) -> Column:
+    """``text`` without white space of any kind at its ends."""
+    return F.regexp_replace(text, _EDGES, "")
 
 
 def _words(pattern: str) -> list[str]:
@@ -80,114 +88,166 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hi
     return best.select(id_col, F.when(F.col("b.score") > 0, F.col("b.kind")).otherwise("unknown").alias("kind"), F.col("b.score").alias("score"))
 
 
-def _ends(section: Column, patterns: tuple[str, ...], most: Column, number) -> tuple[Column, Column]:
-    """Least and most of the first pattern found: a range, ``or more`` (up to ``most``), ``less than``."""
+def _ends(section: Column, patterns: tuple[str, ...], number) -> tuple[Column, Column, Column]:
+    """Least and most of the first pattern found, and whether one was: a range, ``or more`` without an upper end, ``less than`` without a lower."""
     low, high = (places.found(section, f"(?i){patterns[0]}", g) for g in (1, 2))
     more, less = (places.found(section, f"(?i){p}") for p in patterns[1:])
     ranged, open_ = low.isNotNull(), low.isNull() & more.isNotNull()
-    return F.when(ranged, number(low)).when(open_, number(more)), F.when(ranged, number(high)).when(open_, most).otherwise(number(less))
+    most = F.when(ranged, number(high)).when(~open_, number(less))
+    return F.when(ranged, number(low)).when(open_, number(more)), most, ranged | open_ | less.isNotNull()
 
 
-def form_fields(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text", reach: int = 800, before: int = 200, after: int = 400) -> DataFrame:
-    """Labelled fields of petitions; null where a field is missing.
+def form_fields(
+    docs: DataFrame, id_col: str = "filing_id", text_col: str = "text", reach: int = 800, before: int = 200, after: int = 400, tables: DataFrame | None = None,
+) -> DataFrame:
+    """Labelled fields of petitions; null where a field is missing, and where a range is open.
 
     Dollar ranges are looked for within ``reach`` characters from their label, the creditor count
-    from ``before`` to ``after`` characters around the first word creditor; without a label in the whole text.
-    """
-    text = F.coalesce(text_col, F.lit(""))
-    field = lambda c: F.coalesce(*(F.nullif(F.trim(places.found(text, f"(?i){p}")), F.lit("")) for p in FORM_PATTERNS[c])).alias(c)
+    from ``before`` to ``after`` characters around the first word creditor; without a label in the whole text. A dollar range that the
+    text lacks is looked for in ``tables`` (``id_col, tables``; one row a document), read row by row.
+    """
+    rows = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("_text"))
+    if tables is None:
+        rows = rows.withColumn("_cells", F.lit(None).cast("string"))
+    else:
+        cells = F.transform(F.flatten("tables"), lambda r: F.concat_ws(" ", F.transform(r, lambda c: F.coalesce(c, F.lit("")))))
+        rows = rows.join(tables.where(F.size(F.flatten("tables")) > 0).select(id_col, F.concat_ws("\n", cells).alias("_cells")), id_col, "left")
+    text = F.col("_text")
+    field = lambda c: F.coalesce(*(F.nullif(_bare(places.found(text, f"(?imd){p}")), F.lit("")) for p in FORM_PATTERNS[c])).alias(c)
     dollars = lambda c: F.replace(c, F.lit(","), F.lit("")).try_cast(money.MONEY)
 
-    def near(label: str, back: int, ahead: int) -> Column:
+    def near(text: Column, label: str, back: int, ahead: int) -> Column:
         at = F.locate(label, F.lower(text))
         begin = F.greatest(at - back, F.lit(1))
         return F.when(at > 0, F.substring(text, begin, at + ahead - begin)).otherwise(text)
 
     ranges = []
     for what in ("assets", "liabilities"):
-        least, most = _ends(near(f"estimated {what}", 0, reach), DOLLAR_RANGES, F.lit(OR_MORE_DOLLARS).cast(money.MONEY), dollars)
-        ranges += [least.alias(f"least_{what}"), most.alias(f"most_{what}")]
-    least, most = _ends(near("creditor", before, after), CREDITOR_RANGES, F.lit(None).cast("int"), lambda c: c.try_cast("int"))
-    return docs.select(id_col, *map(field, FORM_PATTERNS), *ranges, least.alias("least_creditors"), most.alias("most_creditors"))
+        least, most, met = _ends(near(text, f"estimated {what}", 0, reach), DOLLAR_RANGES, dollars)
+        least_of, most_of, _ = _ends(near(F.col("_cells"), what, 0, reach), DOLLAR_RANGES, dollars)
+        ranges += [F.when(met, a).otherwise(b).alias(f"{side}_{what}") for side, a, b in (("least", least, least_of), ("most", most, most_of))]
+    least, most, _ = _ends(near(text, "creditor", before, after), CREDITOR_RANGES, lambda c: c.try_cast("int"))
+    return rows.select(id_col, *map(field, FORM_PATTERNS), *ranges, least.alias("least_creditors"), most.alias("most_creditors"))
 
 
 def _header(line: Column) -> Column:
     return F.lower(line).rlike(f"^({'|'.join(names.JUNK_HEADS)})\\b")
 
 
-def _block(lines: Column, raw: Column) -> Column:
-    """A block's fields: number, name, address from the next two lines, first amount, entity."""
-    number = places.found(F.get(lines, F.lit(0)), LINE_NUMBER)
-    name = F.trim(F.regexp_replace(F.get(lines, F.lit(0)), LINE_NUMBER, ""))
-    address = F.when(F.size(lines) > 1, F.concat_ws(", ", F.slice(lines, 2, 2)))
-    amount = money.safe_numeric(F.regexp_extract(raw, AMOUNT, 1))
+def _junk(cell: Column) -> Column:
+    return names.is_junk_name(cell, whole_heads=True)
+
+
+def _block(first: Column, address: Column, amount: Column) -> Column:
+    """A block's fields: number and name from its first line, address, amount, entity."""
+    number = places.found(first, LINE_NUMBER)
+    name = _bare(F.regexp_replace(first, LINE_NUMBER, ""))
     return F.struct(
-        number.try_cast("int").alias("line_number"), name.alias("name"), address.alias("address"), amount.alias("claim_amount"),
-        names.entity_type(name).alias("entity_type"),
+        number.try_cast("int").alias("line_number"), name.alias("name"), F.nullif(address, F.lit("")).alias("address"),
+        money.claim_amount(amount).alias("claim_amount"), names.entity_type(name).alias("entity_type"),
     )
 
 
 def creditor_blocks(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text") -> DataFrame:
     """Creditors of texts whose blocks are set apart by blank lines."""
     raw = docs.select(id_col, F.posexplode(F.split(F.coalesce(text_col, F.lit("")), r"\n{2,}")).alias("block", "raw"))
-    lines = F.filter(F.transform(F.split("raw", "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("raw", LINE_END), _bare), lambda x: x != "")
     able = raw.withColumn("lines", lines).where((F.size("lines") > 0) & (F.length(F.get("lines", F.lit(0))) >= 3) & ~_header(F.get("lines", F.lit(0))))
-    rows = able.select(id_col, "block", "raw", F.size("lines").alias("n"), _block(F.col("lines"), F.col("raw")).alias("r"))
+    address = F.concat_ws(", ", F.slice("lines", 2, 2))
+    r = _block(F.get("lines", F.lit(0)), address, F.regexp_extract("raw", AMOUNT, 1))
+    rows = able.select(id_col, "block", "raw", F.size("lines").alias("n"), r.alias("r"))
     keep = F.col("r.line_number").isNotNull() | (F.col("n") >= 2) | F.contains("raw", F.lit("$"))
-    return rows.where(keep & ~names.is_junk_name(F.col("r.name"))).select(id_col, "block", "r.*")
+    return rows.where(keep & ~_junk(F.col("r.name"))).select(id_col, "block", "r.*")
 
 
-def numbered_creditors(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text") -> DataFrame:
-    """Creditors of texts without blank lines: a block begins at each ``N. `` line. Lines before the first are left out."""
-    lines = docs.select(id_col, F.posexplode(F.split(F.coalesce(text_col, F.lit("")), "\n")).alias("at", "line")).withColumn("line", F.trim("line"))
-    w = Window.partitionBy(id_col).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = (
-        lines.where("line <> ''").withColumn("block", F.sum(F.col("line").rlike(r"^\d+\.\s+").cast("int")).over(w)).where("block > 0")
-        .groupBy(id_col, "block").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x.line).alias("lines"))
-    )
-    able = blocks.where((F.length(F.get("lines", F.lit(0))) >= 3) & ~_header(F.get("lines", F.lit(0))))
-    rows = able.select(id_col, F.col("block").cast("int").alias("block"), _block(F.col("lines"), F.concat_ws("\n", "lines")).alias("r"))
-    return rows.where((F.col("r.name") != "") & ~names.is_junk_name(F.col("r.name"))).select(id_col, "block", "r.*")
-
+def numbered_creditors(docs: DataFrame, id_col: str = "filing_id", text_col: str = "text", range_lines: int = 20_000) -> DataFrame:
+    """Creditors of texts without blank lines: a block begins at each ``N. `` line. Lines before the first are left out.
 
-def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
-    """Creditors of extracted tables ``array<array<array<string>>>`` that have a creditor or name heading."""
-    heads = F.lower(F.concat_ws(" ", F.transform(F.get("t", F.lit(0)), lambda c: F.coalesce(c, F.lit("")))))
+    Block numbers are counts of such lines: in each range of ``range_lines`` lines of a document, and over its
+    ranges before, so that a very long document is many tasks. A block is the first three of its lines and its first amount, whatever its length.
+    """
+    starts = lambda x: F.coalesce(x.rlike(r"^\d+\.\s+"), F.lit(False))
+
+    def placed(lines: Column) -> Column:
+        at = lambda i: F.get(lines, i)
+
+        def row(x: Column, i: Column) -> Column:
+            role = F.when(starts(x), 0).when(starts(at(i - 1)), 1).when(starts(at(i - 2)), 2)
+            more = F.when(~starts(at(i + 1)), at(i + 1))  # an amount may stand on the line after its sign
+            amount = F.regexp_extract(F.concat_ws("\n", x, more), AMOUNT, 1)
+            return F.struct(i.alias("at"), x.alias("line"), role.alias("role"), F.nullif(amount, F.lit("")).alias("amount"))
+
+        return F.transform(lines, row)
+
+    bare = F.filter(F.transform(F.split(F.coalesce(text_col, F.lit("")), LINE_END), _bare), lambda x: x != "")
+    lines = docs.select(F.col(id_col).alias("_id"), F.explode(F.transform(F.array(bare), placed)[0]).alias("l")).select("_id", "l.*")
+    lines = lines.withColumn("range", F.floor(F.col("at") / range_lines)).withColumn("start", (F.coalesce("role", F.lit(1)) == 0).cast("long"))
+    before = Window.partitionBy("_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = lines.groupBy("_id", "range").agg(F.sum("start").alias("starts"))
+    ranges = ranges.select(F.col("_id").alias("_its"), F.col("range").alias("_range"), F.coalesce(F.sum("starts").over(before), F.lit(0)).alias("blocks"))
+    inside = Window.partitionBy("_id", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.withColumn("block", F.sum("start").over(inside)).join(ranges, F.col("_id").eqNullSafe(F.col("_its")) & (F.col("range") == F.col("_range")))
+    counted = counted.withColumn("block", F.col("block") + F.col("blocks")).where("block > 0")
+    line = lambda k: F.max(F.when(F.col("role") == k, F.col("line"))).alias(f"line{k}")
+    first_amount = F.min_by("amount", F.when(F.col("amount").isNotNull(), F.col("at")))
+    blocks = counted.groupBy("_id", "block").agg(line(0), line(1), line(2), first_amount.alias("amount"))
+    able = blocks.where((F.length("line0") >= 3) & ~_header(F.col("line0")))
+    r = _block(F.col("line0"), F.concat_ws(", ", "line1", "line2"), F.col("amount"))
+    rows = able.select(F.col("_id").alias(id_col), F.col("block").cast("int").alias("block"), r.alias("r"))
+    return rows.where((F.col("r.name") != "") & ~_junk(F.col("r.name"))).select(id_col, "block", "r.*")
+
+
+def _heading(t: Column) -> Column:
+    return F.lower(F.concat_ws(" ", F.transform(F.get(t, F.lit(0)), lambda c: F.coalesce(c, F.lit("")))))
+
+
+def _table_rows(tables: DataFrame, id_col: str, col: str, headed: Column) -> DataFrame:
+    """Creditors in the rows after the first of the tables that are ``headed``; a row is counted from 1.
+
+    The name is a row's first cell that is no label or number of a line, the address the next such cell that is no
+    amount, the claim the last amount of all its cells, those before the name included.
+    """
     rows = (
-        tables.select(id_col, F.posexplode(col).alias("table", "t")).where(heads.rlike("creditor|name"))
-        .select(id_col, "table", F.posexplode(F.slice("t", F.lit(2), F.greatest(F.size("t") - 1, F.lit(0)))).alias("row", "cells"))
-        .withColumn("cells", F.transform("cells", lambda c: F.trim(F.coalesce(c, F.lit("")))))
+        tables.select(id_col, F.posexplode(col).alias("table", "t")).where(headed & (F.size("t") > 1))
+        .select(id_col, "table", F.posexplode(F.slice("t", F.lit(2), F.size("t") - 1)).alias("row", "cells"))
+        .withColumn("cells", F.transform("cells", lambda c: _bare(F.coalesce(c, F.lit("")))))
     )
-    is_amount = lambda c: c.rlike(AMOUNT_ONLY)
-    name_at = F.array_position(F.transform("cells", lambda c: (c != "") & ~names.is_junk_name(c)), F.lit(True)).cast("int")
-    rest = F.slice("cells", F.col("k") + 1, F.size("cells"))
-    named = rows.withColumn("k", name_at).where("k > 0").withColumn("rest", F.filter(rest, lambda c: c != ""))
+    is_amount = lambda c: c.rlike(AMOUNT_ONLY) & money.claim_amount(c).isNotNull()
+    shown = F.transform("cells", lambda c: (c != "") & ~_junk(c))
+    named = rows.withColumn("k", F.array_position(shown, F.lit(True)).cast("int")).where("k > 0")
     name = F.element_at("cells", F.col("k"))
-    amounts = F.filter("rest", is_amount)
+    after = F.slice("cells", F.col("k") + 1, F.size("cells"))
+    addresses = F.filter(after, lambda c: (c != "") & ~_junk(c) & ~is_amount(c))
+    amounts = F.filter("cells", is_amount)
     return named.select(
-        id_col, "table", (F.col("row") + 1).alias("row"), name.alias("name"), F.get(F.filter("rest", lambda c: ~is_amount(c)), F.lit(0)).alias("address"),
-        money.safe_numeric(F.try_element_at(amounts, F.lit(-1))).alias("claim_amount"), names.entity_type(name).alias("entity_type"),
+        id_col, "table", (F.col("row") + 1).alias("row"), name.alias("name"), F.get(addresses, F.lit(0)).alias("address"),
+        money.claim_amount(F.try_element_at(amounts, F.lit(-1))).alias("claim_amount"), names.entity_type(name).alias("entity_type"),
     )
 
 
-def untitled(tables: DataFrame, col: str = "tables") -> DataFrame:
-    """Schedule tables without the title that may stand in a row above the heading."""
-    titled = F.transform(
-        col, lambda t: F.when(F.size(t) > 1, F.when(F.lower(F.concat_ws(" ", F.get(t, F.lit(0)))).rlike("^schedule"), F.slice(t, 2, 10_000_000)).otherwise(t)).otherwise(t)
-    )
-    return tables.withColumn(col, titled)
+def table_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
+    """Creditors of extracted tables ``array<array<array<string>>>`` that have a creditor or name heading."""
+    return _table_rows(tables, id_col, col, _heading(F.col("t")).rlike("creditor|name"))
 
 
 def schedule_creditors(tables: DataFrame, id_col: str = "doc_id", col: str = "tables") -> DataFrame:
-    """The creditors of schedule tables."""
-    return table_creditors(untitled(tables, col), id_col, col)
+    """Creditors of tables of unsecured claims, by words of the first row, be it title or heading."""
+    head = _heading(F.col("t"))
+    either = functools.reduce(lambda a, w: a | F.contains(head, F.lit(w)), SCHEDULE_HEADS, F.lit(False))
+    return _table_rows(tables, id_col, col, either | (F.contains(head, F.lit("creditor")) & head.rlike("claim|amount")))
 
 
-def extract_creditors(docs: DataFrame, tables: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Per document the first source that yields rows: tables, blocks, numbered lines."""
+def extract_creditors(docs: DataFrame, tables: DataFrame, id_col: str = "doc_id", schedules: DataFrame | None = None) -> DataFrame:
+    """Per document the first source that yields rows: tables, blocks, numbered lines.
+
+    Tables in ``schedules`` are read as tables of schedules, those in ``tables`` as lists of creditors.
+    """
     shape = [id_col, "place", "name", "address", "claim_amount", "entity_type"]
+    of_tables = table_creditors(tables, id_col)
+    if schedules is not None:
+        of_tables = of_tables.union(schedule_creditors(schedules, id_col))
     sources = [
-        table_creditors(tables, id_col).withColumn("place", F.col("row")), creditor_blocks(docs, id_col).withColumn("place", F.col("block")),
+        of_tables.withColumn("place", F.col("row")), creditor_blocks(docs, id_col).withColumn("place", F.col("block")),
         numbered_creditors(docs, id_col).withColumn("place", F.col("block")),
     ]
     out = None
@@ -211,6 +271,11 @@ def document_links(pages: DataFrame, pattern: str = LINK_TEXT) -> DataFrame:
     return hit.select("page_id", url.alias("document_url"), "r.text")
 
 
+def _without_first(text: Column, part: Column) -> Column:
+    at = F.instr(text, part)
+    return F.concat(F.left(text, at - 1), F.substring(text, at + F.length(part), F.length(text)))
+
+
 def feed_events(items: DataFrame, most_content: int = 32768, most_clean: int = 12000, schedule_words: tuple[str, ...] = SCHEDULE_WORDS) -> DataFrame:
     """Docket feed items: case, chapter, court, debtor, flags, signal score and whether they qualify.
 
@@ -228,7 +293,7 @@ def feed_events(items: DataFrame, most_content: int = 32768, most_clean: int = 1
         *(c for c in ("event_number",) if c in items.columns), either("guid", "id").alias("guid"), F.left(F.coalesce(either("isoDate", "pubDate"), F.lit("")), F.lit(10)).alias("filing_date"),
     )
     base = base.withColumn("case_number", places.found(F.col("t"), CASE_NUMBER)).withColumn("guid", F.coalesce("guid", "l")).withColumn(
-        "debtor", squeeze(F.when(F.col("case_number").isNotNull(), F.replace("t", F.col("case_number"), F.lit(""))).otherwise(F.col("t")))
+        "debtor", squeeze(F.when(F.col("case_number").isNotNull(), _without_first(F.col("t"), F.col("case_number"))).otherwise(F.col("t")))
     )
     business = F.lower("debtor").rlike("|".join(BUSINESS))
     has = lambda p: F.lower("x").rlike(p)

@@ -352,35 +352,48 @@ def form_sql() -> str:
     """The fields by DuckDB's own functions."""
     first = lambda c: "coalesce(" + ", ".join(f"nullif(trim(regexp_extract(text, '(?i){p.replace(chr(39), chr(39) * 2)}', 1)), '')" for p in extraction.FORM_PATTERNS[c]) + f") AS {c}"
 
-    def ends(section: str, patterns: tuple[str, ...], most: str, kind: str) -> tuple[str, str]:
+    def ends(section: str, patterns: tuple[str, ...], kind: str) -> tuple[str, str, str]:
         found = [f"nullif(regexp_extract({section}, '(?i){p}', {g}), '')" for p, g in zip((patterns[0], *patterns), (1, 2, 1, 1))]
         low, high, more, less = (f"TRY_CAST(replace({x}, ',', '') AS {kind})" for x in found)
         return (
             f"CASE WHEN {found[0]} IS NOT NULL THEN {low} WHEN {found[2]} IS NOT NULL THEN {more} END",
-            f"CASE WHEN {found[0]} IS NOT NULL THEN {high} WHEN {found[2]} IS NOT NULL THEN CAST({most} AS {kind}) ELSE {less} END",
+            f"CASE WHEN {found[0]} IS NOT NULL THEN {high} WHEN {found[2]} IS NULL THEN {less} END",
+            f"coalesce({found[0]}, {found[2]}, {found[3]}) IS NOT NULL",
         )
 
     out = [first(c) for c in extraction.FORM_PATTERNS]
     for what in ("assets", "liabilities"):
-        least, most = ends(what, extraction.DOLLAR_RANGES, "1000000", "DECIMAL(15,2)")
-        out += [f"{least} AS least_{what}", f"{most} AS most_{what}"]
-    least, most = ends("near_creditors", extraction.CREDITOR_RANGES, "NULL", "INT")
-    section = lambda label: f"CASE WHEN contains(lower(text), '{label}') THEN substr(text, strpos(lower(text), '{label}'), 800) ELSE text END"
+        least, most, met = ends(what, extraction.DOLLAR_RANGES, "DECIMAL(15,2)")
+        least_of, most_of, _ = ends(f"cells_{what}", extraction.DOLLAR_RANGES, "DECIMAL(15,2)")
+        out += [f"CASE WHEN {met} THEN {least} ELSE {least_of} END AS least_{what}", f"CASE WHEN {met} THEN {most} ELSE {most_of} END AS most_{what}"]
+    least, most, _ = ends("near_creditors", extraction.CREDITOR_RANGES, "INT")
+    section = lambda text, label: f"CASE WHEN contains(lower({text}), '{label}') THEN substr({text}, strpos(lower({text}), '{label}'), 800) ELSE {text} END"
     at = "strpos(lower(text), 'creditor')"
     near = f"CASE WHEN {at} > 0 THEN substr(text, greatest({at} - 200, 1), {at} + 400 - greatest({at} - 200, 1)) ELSE text END"
+    cells = "CASE WHEN filing_id % 3 = 0 THEN 'Summary ' || chr(10) || 'Total assets $' || (filing_id % 90 + 1) || ',000 or more' || chr(10) || 'Liabilities less than $8,000' END"
     return (
-        f"WITH s AS (SELECT filing_id, text, {section('estimated assets')} AS assets, {section('estimated liabilities')} AS liabilities, {near} AS near_creditors FROM petitions) "
+        f"WITH c AS (SELECT filing_id, text, {cells} AS cells FROM petitions), "
+        f"s AS (SELECT filing_id, text, {section('text', 'estimated assets')} AS assets, {section('text', 'estimated liabilities')} AS liabilities, "
+        f"{section('cells', 'assets')} AS cells_assets, {section('cells', 'liabilities')} AS cells_liabilities, {near} AS near_creditors FROM c) "
         f"SELECT filing_id, {', '.join(out)}, {least} AS least_creditors, {most} AS most_creditors FROM s"
     )
 
 
+def petition_tables(t):
+    """Tables of a third of the petitions, with ranges that some of the texts lack."""
+    row = lambda *cells: F.array(*cells)
+    assets = F.concat(F.lit("$"), (F.col("filing_id") % 90 + 1).cast("string"), F.lit(",000 or more"))
+    rows = F.array(row(F.lit("Summary"), F.lit(None).cast("string")), row(F.lit("Total assets"), assets), row(F.lit("Liabilities"), F.lit("less than $8,000")))
+    return t.petitions.where("filing_id % 3 = 0").select("filing_id", F.array(rows).alias("tables"))
+
+
 @query("t2_form_fields", form_sql())
 def _(t):
-    return extraction.form_fields(t.petitions)
+    return extraction.form_fields(t.petitions, tables=petition_tables(t))
 
 
 BLOCK_SQL = r"""WITH b AS (SELECT filing_id, unnest(regexp_split_to_array(text, '\n{2,}')) AS raw, unnest(range(len(regexp_split_to_array(text, '\n{2,}')))) AS block FROM notices),
-  l AS (SELECT *, list_filter(list_transform(string_split(raw, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM b),
+  l AS (SELECT *, list_filter(list_transform(string_split(raw, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines FROM b),
   n AS (SELECT *, TRY_CAST(nullif(regexp_extract(lines[1], '^([0-9]+)\.?\s+', 1), '') AS INT) AS line_number, trim(regexp_replace(lines[1], '^[0-9]+\.?\s+', '')) AS name FROM l
     WHERE len(lines) > 0 AND length(lines[1]) >= 3 AND NOT regexp_matches(lower(lines[1]), '^(list of creditors|creditor matrix|creditors holding|official form 204|20 largest unsecured|name of creditor|creditor\s*name)\b'))
   SELECT filing_id, CAST(block AS INT) AS block, line_number, name, CASE WHEN len(lines) > 1 THEN array_to_string(lines[2:3], ', ') END AS address,
@@ -392,7 +405,7 @@ def _(t):
     return extraction.creditor_blocks(t.notices).drop("entity_type")
 
 
-FLAT_SQL = r"""WITH b AS (SELECT filing_id, unnest(list_transform(string_split(text, chr(10)), lambda x: trim(x))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM notices),
+FLAT_SQL = r"""WITH b AS (SELECT filing_id, unnest(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g'))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM notices),
   g AS (SELECT *, sum(CAST(regexp_matches(line, '^[0-9]+\.\s+') AS INT)) OVER (PARTITION BY filing_id ORDER BY pos) AS block FROM b WHERE line <> ''),
   k AS (SELECT filing_id, block, list(line ORDER BY pos) AS lines FROM g WHERE block > 0 GROUP BY ALL)
   SELECT filing_id, CAST(block AS INT) AS block, TRY_CAST(nullif(regexp_extract(lines[1], '^([0-9]+)\.?\s+', 1), '') AS INT) AS line_number, trim(regexp_replace(lines[1], '^[0-9]+\.?\s+', '')) AS name,
@@ -405,28 +418,39 @@ def _(t):
     return extraction.numbered_creditors(t.notices).drop("entity_type")
 
 
-@query("t5_table_creditors", "SELECT creditor_id, filing_id, name, CAST(amount AS DECIMAL(15,2)) AS claim_amount FROM (SELECT l_suppkey AS creditor_id, l_orderkey AS filing_id, s_name AS name, l_partkey AS amount FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)")
+# Cells of one row a table: the name is the first that is no junk, then the rest by its place.
+_JUNK_CELL = JUNK_SQL.replace("(name)", "(x)").replace("creditor\\s*name)", "creditor\\s*name)\\b")
+_CLEAN = "regexp_replace(x, '[^0-9.]', '', 'g')"
+_IS_AMOUNT = rf"(regexp_matches(x, '^[$0-9.,\s]+$') AND regexp_matches({_CLEAN}, '^([0-9]+\.?[0-9]*|\.[0-9]+)$'))"
+
+
+def _sheet_sql(headed: str) -> str:
+    return f"""WITH c AS (SELECT doc_id, list_transform(string_split(cells, '|'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) AS c FROM sheet_rows WHERE {headed}),
+      k AS (SELECT doc_id, c, list_position(list_transform(c, lambda x: x <> '' AND NOT {_JUNK_CELL}), true) AS k FROM c),
+      r AS (SELECT doc_id, c[k] AS name, list_filter(c[k + 1:], lambda x: x <> '' AND NOT {_JUNK_CELL} AND NOT {_IS_AMOUNT})[1] AS address, list_filter(c, lambda x: {_IS_AMOUNT})[-1] AS amount FROM k WHERE k > 0)
+      SELECT doc_id, name, address, CAST(regexp_replace(amount, '[^0-9.]', '', 'g') AS DECIMAL(15,2)) AS claim_amount FROM r"""
+
+
+def sheets(t):
+    """Each row of ``sheet_rows`` as a document with one table."""
+    parts = lambda c: F.split(c, r"\|", -1)
+    return t.sheet_rows.select("doc_id", F.array(F.array(parts("head"), parts("cells"))).alias("tables"))
+
+
+@query("t5_table_creditors", _sheet_sql("regexp_matches(lower(replace(head, '|', ' ')), 'creditor|name')"))
 def _(t):
-    rows = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-    head = F.array(*map(F.lit, ("No", "Creditor Name", "Mailing Address", "Claim Amount")))
-    row = F.array(F.lit("1"), F.col("s_name"), F.lit("1 Main St"), F.concat(F.lit("$"), F.col("l_partkey").cast("string")))
-    tables = rows.select(F.struct("l_suppkey", "l_orderkey").alias("doc_id"), F.array(F.array(head, row)).alias("tables"))
-    return extraction.table_creditors(tables).select(F.col("doc_id.l_suppkey").alias("creditor_id"), F.col("doc_id.l_orderkey").alias("filing_id"), "name", "claim_amount")
+    return extraction.table_creditors(sheets(t)).select("doc_id", "name", "address", "claim_amount")
 
 
-@query("t6_schedule_creditors", "SELECT s_suppkey AS doc_id, s_name AS name, CAST(s_suppkey AS DECIMAL(15,2)) AS claim_amount FROM supplier")
+@query("t6_schedule_creditors", _sheet_sql("regexp_matches(lower(head), 'schedule e') OR (contains(lower(head), 'creditor') AND regexp_matches(lower(head), 'claim|amount'))"))
 def _(t):
-    title, head = F.array(F.lit("Schedule E/F: Creditors"), F.lit("")), F.array(*map(F.lit, ("Creditor", "Amount")))
-    row = F.array(F.col("s_name"), F.concat(F.lit("$"), F.col("s_suppkey").cast("string")))
-    return extraction.schedule_creditors(t.supplier.select(F.col("s_suppkey").alias("doc_id"), F.array(F.array(title, head, row)).alias("tables"))).select("doc_id", "name", "claim_amount")
+    return extraction.schedule_creditors(sheets(t)).select("doc_id", "name", "address", "claim_amount")
 
 
 @query("t7_extracted_creditors")
 def _(t):
     docs = t.notices.select(F.col("filing_id").alias("doc_id"), "text")
-    head = F.array(*map(F.lit, ("Creditor Name", "Claim")))
-    tables = docs.where("doc_id % 3 = 0").select("doc_id", F.array(F.array(head, F.array(F.lit("Acme Tools LLC"), F.lit("$12")))).alias("tables"))
-    return extraction.extract_creditors(docs, tables)
+    return extraction.extract_creditors(docs, sheets(t).where("doc_id % 10 = 1").select(F.floor(F.col("doc_id") / 10).alias("doc_id"), "tables"))
 
 
 @query(
@@ -445,7 +469,7 @@ def _(t):
     r"""WITH b AS (SELECT event_id, trim(regexp_replace(coalesce(title, ''), '\s+', ' ', 'g')) AS t, coalesce(content, '') AS c, trim(regexp_replace(regexp_replace(coalesce(content, ''), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS x,
        coalesce(link, '') AS l, coalesce(guid, link, '') AS g, strftime(published_at, '%Y-%m-%dT%H') AS iso FROM rss),
       k AS (SELECT *, nullif(regexp_extract(t, '(?i)([0-9]{2}-[0-9]{4,6}(?:-[a-z0-9]+)*)', 1), '') AS case_number FROM b),
-      d AS (SELECT *, trim(regexp_replace(CASE WHEN case_number IS NOT NULL THEN replace(t, case_number, '') ELSE t END, '\s+', ' ', 'g')) AS debtor, nullif(lower(regexp_extract(lower(l), 'ecf\.([a-z]+)\.uscourts\.gov', 1)), '') AS court_id FROM k),
+      d AS (SELECT *, trim(regexp_replace(CASE WHEN case_number IS NOT NULL THEN left(t, strpos(t, case_number) - 1) || substr(t, strpos(t, case_number) + length(case_number)) ELSE t END, '\s+', ' ', 'g')) AS debtor, nullif(lower(regexp_extract(lower(l), 'ecf\.([a-z]+)\.uscourts\.gov', 1)), '') AS court_id FROM k),
       f AS (SELECT *, regexp_matches(lower(debtor), 'llc|inc|corp|corporation|ltd|lp|holdings|company|co\.|group|enterprises') AS is_business, regexp_matches(lower(x), 'proof of claim|meeting of creditors') AS excluded,
        CASE WHEN contains(lower(x), 'voluntary petition') THEN 40 ELSE 0 END + CASE WHEN contains(lower(x), 'petition filed') THEN 30 ELSE 0 END + CASE WHEN regexp_matches(lower(x), 'chapter\s*11') THEN 20 ELSE 0 END + CASE WHEN regexp_matches(lower(x), 'schedule f|schedule e/f|unsecured claims|list of creditors|creditor matrix|form 204|20 largest') THEN 15 ELSE 0 END AS signal FROM d)
       SELECT event_id, case_number, nullif(debtor, '') AS debtor_name, nullif(regexp_extract(lower(x), 'chapter[:\s]+([0-9]+)', 1), '') AS chapter, court_id, coalesce(nullif(regexp_extract(c, '(?i)href=[''"]([^''" ]*doc1[^''" ]+)[''"]', 1), ''), nullif(regexp_extract(c, '(?i)(https://ecf\.[^'' ]+/doc1/[^'' ]+)', 1), '')) AS document_url, left(iso, 10) AS filing_date,

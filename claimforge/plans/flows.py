@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimforge.functions import names
 from claimforge.operators import aggregates, extraction, fuzzy, merging, ranking
+from claimforge.plans.changes import petition_tables, sheets
 from claimforge.plans.registry import query
 from claimforge.session import materialize
 from claimforge.sources import feeds
@@ -42,14 +43,14 @@ def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame, pages:
     kinds = extraction.classify(able, hint_col="hint" if "hint" in docs.columns else None)
     of = lambda rows, *which: rows.join(kinds.where(F.col("kind").isin(*which)).select("doc_id"), "doc_id", "left_semi")
 
-    fields = materialize(extraction.form_fields(of(able, "form_201"), "doc_id"), "forms")  # validation reads each field several times
+    fields = extraction.form_fields(of(able, "form_201"), "doc_id", tables=of(tables, "form_201"))
+    fields = materialize(fields, "forms")  # validation reads each field several times
     ranges = [F.coalesce(f"least_{a}", f"most_{a}").alias(b) for a, b in (("assets", "estimated_assets"), ("liabilities", "estimated_liabilities"), ("creditors", "estimated_creditor_count"))]
     ocr = able.select("doc_id", (F.col("mode") == "ocr").alias("ocr"))
     checked_forms = aggregates.form_validation(fields.select("*", *ranges).join(ocr, "doc_id"), list(FORM_VALUES), "debtor_name", "doc_id")
 
     lists = of(able, "creditor_matrix", "schedule")
-    plain = of(tables, "creditor_matrix").union(of(extraction.untitled(tables), "schedule").select(tables.columns))
-    found = extraction.extract_creditors(lists, plain).select(
+    found = extraction.extract_creditors(lists, of(tables, "creditor_matrix"), schedules=of(tables, "schedule")).select(
         "doc_id", F.xxhash64("doc_id", "source", "place", "name").alias("row_id"), "name", "address", "claim_amount",
         F.lit(None).cast("double").alias("confidence"), F.col("place").alias("line_number"),
     )
@@ -103,8 +104,9 @@ def _(t):
 def _(t):
     docs = t.notices.select(F.col("filing_id").alias("doc_id"), "text")
     none = docs.limit(0)
-    tables = none.select("doc_id", F.array(F.array(F.array(F.lit("")))).alias("tables"))
-    return parse_documents(docs, none.select(F.sha2("text", 256).alias("content_sha256")), tables)["creditors"]
+    tables = sheets(t).where("doc_id % 10 = 1").select(F.floor(F.col("doc_id") / 10).alias("doc_id"), "tables")
+    pages = t.claims.select(F.col("filing_id").alias("doc_id"), F.repeat(F.lit("x"), F.col("part_id") % 60 + 20).alias("text"))
+    return parse_documents(docs, none.select(F.sha2("text", 256).alias("content_sha256")), tables, pages)["creditors"]
 
 
 def _review_sql() -> str:
@@ -122,7 +124,7 @@ def _review_sql() -> str:
 def _(t):
     docs = t.petitions.select((2 * F.col("filing_id")).alias("doc_id"), "text").union(t.documents.select((2 * F.col("doc_id") + 1).alias("doc_id"), "text"))
     none = docs.limit(0)
-    tables = none.select("doc_id", F.array(F.array(F.array(F.lit("")))).alias("tables"))
+    tables = petition_tables(t).select((2 * F.col("filing_id")).alias("doc_id"), "tables")
     return parse_documents(docs, none.select(F.sha2("text", 256).alias("content_sha256")), tables)["reviews"]
 
 

@@ -107,8 +107,8 @@ VIEWS = {
         FROM (SELECT *, md5(coalesce(text, '')) AS sha256_of FROM documents) d""",
     "notices": """
         SELECT filing_id, string_lines AS text FROM (
-          SELECT l_orderkey AS filing_id, 'List of Creditors' || chr(10) || chr(10) || CAST(max(l_linenumber) AS STRING) || '. ' || max(s_name) || ' LLC' || chr(10)
-            || '12 Main St' || chr(10) || 'Reno, NV 89501' || chr(10) || '$1,2' || CAST(max(l_partkey) % 90 + 10 AS STRING) || '.50' || chr(10) || chr(10)
+          SELECT l_orderkey AS filing_id, 'List of Creditors' || chr(10) || chr(10) || CAST(max(l_linenumber) AS STRING) || '. ' || max(s_name) || ' LLC' || chr(9) || chr(10)
+            || chr(9) || '12 Main St' || chr(13) || chr(10) || 'Reno, NV 89501' || chr(10) || '$1,2' || CAST(max(l_partkey) % 90 + 10 AS STRING) || '.50' || chr(10) || chr(10)
             || min(s_name) || chr(10) || CAST(count(*) AS STRING) || ' Oak Ave' || chr(10) || 'Total $' || CAST(min(l_partkey) AS STRING) AS string_lines
           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey) n""",
     "petitions": """
@@ -121,6 +121,12 @@ VIEWS = {
           || chr(10) || repeat('x ', 450) || chr(10) || CASE WHEN o_orderkey % 6 > 0 THEN 'Estimated liabilities: $' || CAST(o_orderkey % 80 + 2 AS STRING) || ',000 - $900,000' ELSE '' END
           || chr(10) || CASE WHEN o_orderkey % 2 = 0 THEN 'NAICS: ' || CAST(100000 + o_orderkey % 9000 AS STRING) ELSE 'Nature of business: retail 445' || CAST(100 + o_orderkey % 900 AS STRING) END AS text
         FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "sheet_rows": """
+        SELECT l_orderkey * 10 + l_linenumber AS doc_id, CASE WHEN l_partkey % 8 = 7 THEN 'Item|Amount|Claim' WHEN l_partkey % 4 = 0 THEN 'Schedule E/F: Creditors' ELSE 'No|Creditor Name|Mailing Address|Claim Amount' END AS head,
+          CASE CAST(l_partkey % 11 AS INT) WHEN 0 THEN '1|' || s_name || '|Nature of claim|12 Main St|$9' WHEN 1 THEN s_name || ' Co|TX|5 Oak Ave' WHEN 2 THEN '$5|' || s_name || '|' || chr(9) || '7 Elm Rd' || chr(13)
+            WHEN 3 THEN s_name || '|...|1.2.3|$ 1,234.50' WHEN 4 THEN 'Contact||' || s_name || '|$7.|3' WHEN 5 THEN '12|999|  ' WHEN 6 THEN s_name WHEN 7 THEN 'Total|' || CAST(l_partkey AS STRING) || '|' || s_name
+            WHEN 8 THEN s_name || chr(10) || '|creditor name|Reno, NV 89501|9,000|$' || CAST(l_partkey AS STRING) || '.25' WHEN 9 THEN '' ELSE CAST(l_linenumber AS STRING) || '|' || s_name || ' LLC|1 Main St|$' || CAST(l_partkey AS STRING) END AS cells
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "rss": """
         SELECT event_id, CASE event_type WHEN 'view' THEN '24-' || CAST(10000 + user_id AS STRING) || ' Acme Holdings LLC' WHEN 'signup' THEN '24-' || CAST(20000 + event_id % 90 AS STRING) || ' John Smith'
             ELSE 'Docket update  ' || CAST(user_id AS STRING) END AS title,

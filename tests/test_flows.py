@@ -139,10 +139,50 @@ def test_form_fields(spark):
     got = [tuple(r)[1:] for r in sorted(out.collect())]
     d = Decimal
     assert got[0] == ("Acme LLC", "San Jose", "CA", "District of Utah", "445110", d("1000.00"), d("2000.50"), None, d("500.00"), 10, 49)
-    assert got[1] == (None, None, "NV", None, "445120", d("9.00"), d("1000000.00"), d("9.00"), d("1000000.00"), 200, None)
+    assert got[1] == (None, None, "NV", None, "445120", d("9.00"), None, d("9.00"), None, 200, None)
     assert got[2] == (None,) * 5 + (None, d("50.00"), None, d("50.00"), None, 50) and got[3] == (None,) * 11
 
 
+def test_form_ranges_from_tables(spark):
+    """Only a range that the text lacks altogether is looked for in the tables."""
+    docs = spark.createDataFrame([(1, "estimated assets $3,000,000 or more"), (2, "no ranges"), (3, "none"), (4, "no ranges")], "filing_id int, text string")
+    cells = [["Form", None], ["Total ASSETS", "$5 to $6"], ["Liabilities", "less than $8"]]
+    tables = spark.createDataFrame([(1, [cells]), (2, [cells]), (4, [[["Other", "$1 or more"]]])], "filing_id int, tables array<array<array<string>>>")
+    got = {r.filing_id: (r.least_assets, r.most_assets, r.least_liabilities, r.most_liabilities) for r in extraction.form_fields(docs, tables=tables).collect()}
+    d = Decimal
+    assert got == {1: (d(3_000_000), None, d(3_000_000), None), 2: (d(5), d(6), None, d(8)), 3: (None,) * 4, 4: (d(1), None, d(1), None)}
+
+
+def test_parsed_forms_with_tables(spark):
+    docs = spark.createDataFrame([(1, "Official Form 201\nDebtor name: Acme LLC")], "doc_id long, text string")
+    tables = spark.createDataFrame([(1, [[["Assets", "$5 or more"]]])], "doc_id long, tables array<array<array<string>>>")
+    out = flows.parse_documents(docs, spark.createDataFrame([], "content_sha256 string"), tables)
+    assert [(r.least_assets, r.most_assets) for r in out["forms"].collect()] == [(Decimal(5), None)]
+
+
+def test_white_space_of_every_kind(spark):
+    text = "List of Creditors\n\n\u00a01.\tAcme Tools LLC\t\r\n\t12 Main St\r\nReno, NV \x0b$ 1,200\n\n2. Beta Inc\u2028 5 Oak Ave"
+    docs = spark.createDataFrame([(1, text)], "filing_id int, text string")
+    want = [(1, "Acme Tools LLC", "12 Main St, Reno, NV", Decimal(1200)), (2, "Beta Inc", "5 Oak Ave", None)]
+    for rows in (extraction.creditor_blocks(docs), extraction.numbered_creditors(docs)):
+        assert sorted((r.line_number, r.name, r.address, r.claim_amount) for r in rows.collect()) == want
+
+
+def test_numbered_lines_in_many_ranges(spark):
+    """A long document whose blocks cross the ranges, with an amount on the line after its sign, against a plain reading."""
+    lines, want = ["before"], []
+    for k in range(1, 400):
+        more = k % 5
+        lines += [f"{k}. Firm {k} LLC", *[f"{k} Street {j}" for j in range(more)], *(["due $", f"{k},000"] if k % 3 == 0 else []), *([f"${k}.50"] if k % 2 else [])]
+        own = [f"{k} Street {j}" for j in range(more)] + (["due $", f"{k},000"] if k % 3 == 0 else []) + ([f"${k}.50"] if k % 2 else [])
+        amount = Decimal(k * 1000) if k % 3 == 0 else Decimal(f"{k}.50") if k % 2 else None
+        want.append((k, k, f"Firm {k} LLC", ", ".join(own[:2]) or None, amount))
+    docs = spark.createDataFrame([(1, "\n".join(lines)), (None, "1. Only Inc"), (3, None)], "filing_id int, text string")
+    got = extraction.numbered_creditors(docs, range_lines=7).collect()
+    assert sorted((r.block, r.line_number, r.name, r.address, r.claim_amount) for r in got if r.filing_id == 1) == want
+    assert [(r.block, r.name) for r in got if r.filing_id is None] == [(1, "Only Inc")]
+
+
 def test_feed_items_with_other_spellings(spark):
     rows = [(1, None, "Form 204 voluntary petition see https://ecf.nysb.uscourts.gov/doc1/55 now", "24-12345 Acme LLC", None, "i1", "2024-05-06T01:02", "l")]
     kind = "event_id int, content string, contentSnippet string, title string, guid string, id string, isoDate string, link string"

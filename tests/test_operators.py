@@ -176,6 +176,20 @@ def test_tables(spark):
     assert got == [(1, 1, "Acme LLC", "1 Main St", 1200.5)]
 
 
+def test_cells_of_tables(spark):
+    head = ["Creditor Name", "Mailing Address", "Claim Amount"]
+    rows = [
+        ["1", "Acme Tools LLC", "Nature of claim", "12 Main St", "$9"], ["Beta Co", "TX", "5 Oak Ave"], ["$5", "Gamma Inc", "\t7 Elm Rd\r"], ["Delta LLC", "...", "1.2.3", "$7."],
+        ["2", "Epsilon Corp"], ["Total", "99"],
+    ]
+    tables = spark.createDataFrame([(1, [[head, *rows]]), (2, [[["Schedule E/F: Creditors", ""], head, rows[0]]]), (3, [[["Unsecured"]]])], "doc_id int, tables array<array<array<string>>>")
+    show = lambda df: [(r.doc_id, r.row, r.name, r.address, r.claim_amount and float(r.claim_amount)) for r in df.orderBy("doc_id", "row").collect()]
+    first = [(1, 1, "Acme Tools LLC", "12 Main St", 9.0), (1, 2, "Beta Co", "5 Oak Ave", None), (1, 3, "Gamma Inc", "7 Elm Rd", 5.0), (1, 4, "Delta LLC", "...", 7.0), (1, 5, "Epsilon Corp", None, 2.0)]
+    title = (2, 2, "Acme Tools LLC", "12 Main St", 9.0)
+    assert show(extraction.table_creditors(tables)) == [*first, title]
+    assert show(extraction.schedule_creditors(tables)) == [*first, title]
+
+
 def test_texts(spark):
     blocks = "List of Creditors\n\n1. Acme LLC\n12 Main St\nReno, NV\n$1,250.50\n\nSingle line\n\nBeta Inc\n5 Oak"
     flat = "heading\n1. Acme LLC\n12 Main St\n2. Beta Inc\n$7"
