@@ -80,7 +80,7 @@ def entity_type(name: Column) -> Column:
 
 def dedup_key(name: Column, address: Column) -> Column:
     """Name and address in lower case without marks, joined by a blank."""
-    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[^\w\s]", " "), r"\s+", " "))
+    plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[^\w\s]", " "), r"(?U)\s+", " "))
     return F.trim(F.concat_ws(" ", plain(name), plain(address)))
 
 

@@ -1,7 +1,17 @@
-"""Near-duplicate creditors inside a filing: candidate pairs, scores, clusters, merging."""
+"""Near-duplicate creditors inside a filing: candidate pairs, scores, clusters, merging.
+
+The score compares keys as sets of tokens. It reaches a threshold in three ways: one set holds
+the other, nearly so, or the tokens that are not common are spelled alike. The first two
+leave one of a key's rarest tokens common, the third most pairs of letters. Both bounds follow
+from the threshold alone, so an index of rare tokens and a count of common pairs of letters, made for whole blocks
+of texts of like length as a matrix product, together lose no pair; only what they leave is scored.
+"""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +19,7 @@ from pyspark.sql import types as T
 
 from claimforge.functions import names
 from claimforge.operators.components import connected_components
+from claimforge.session import materialize
 
 MONEY = "decimal(15,2)"
 
@@ -44,9 +55,82 @@ def token_set_score(a: str, b: str) -> float:
     return 100 * best
 
 
+def _codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """All characters of the texts, and where each text begins (and the last ends)."""
+    ends = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(x) for x in texts], out=ends[1:])
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32), ends
+
+
+def _padded(codes: np.ndarray, ends: np.ndarray, rows: np.ndarray, width: int, pad: int) -> np.ndarray:
+    """The codes of each row in ``width`` places, ``pad`` after its end."""
+    at = ends[rows, None] + np.arange(width)
+    return np.where(at < ends[rows + 1, None], codes[np.minimum(at, len(codes) - 1)], codes.dtype.type(pad))
+
+
+def common_lengths(one: pd.Series, two: pd.Series) -> np.ndarray:
+    """The longest common subsequence's length for each pair of texts, all pairs a character at a time.
+
+    The bit-parallel rows of Hyyroe (2004), in as many 64-bit words as the longer first texts need; pairs of like length go together.
+    """
+    (a, a_ends), (b, b_ends) = _codes(one), _codes(two)
+    met = np.zeros(1 + max(int(a.max(initial=0)), int(b.max(initial=0))), bool)
+    met[a] = met[b] = True
+    n_known = int(np.count_nonzero(met))
+    number = np.cumsum(met, dtype=np.uint32).astype(np.uint8 if n_known < 250 else np.uint32)  # from 1
+    a, b = number[a], number[b]
+    a_size, b_size = np.diff(a_ends), np.diff(b_ends)
+    out = np.zeros(len(one), np.int64)
+    words, steps = -(-a_size // 64), -(-b_size // 16)
+    for w, k in sorted(set(zip(words.tolist(), steps.tolist()))):
+        if not w or not k:
+            continue
+        for rows in np.array_split(np.flatnonzero((words == w) & (steps == k)), -(-int(np.count_nonzero((words == w) & (steps == k))) // 4096)):
+            left = _padded(a, a_ends, rows, 64 * w, 0)
+            right = _padded(b, b_ends, rows, int(b_size[rows].max()), n_known + 1)
+            row = np.full((len(rows), w), ~np.uint64(0), np.uint64)
+            for j in range(right.shape[1]):
+                hit = np.packbits(left == right[:, j : j + 1], axis=1, bitorder="little").view(np.uint64) & row
+                carry = np.zeros(len(rows), bool)
+                for x in range(w):  # row + hit, with the carry from word to word
+                    total = row[:, x] + hit[:, x]
+                    more = total + carry
+                    carry = (total < row[:, x]) | (more < total)
+                    row[:, x] = more | (row[:, x] & ~hit[:, x])
+            out[rows] = np.bitwise_count(~row).sum(axis=1)
+    return out
+
+
 @F.pandas_udf(T.DoubleType())
-def token_set_scores(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([token_set_score(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
+def _likeness(common: pd.Series, one: pd.Series, two: pd.Series) -> pd.Series:
+    """The score from the length of the common tokens and the texts of the others of each side."""
+    n_one, n_two = one.str.len().to_numpy(np.int64), two.str.len().to_numpy(np.int64)
+    s = common.to_numpy(np.int64)
+    p = np.minimum(s, 1)
+    first, second = s + p + n_one, s + p + n_two
+    best = 1 - (n_one + n_two - 2 * common_lengths(one, two)) / np.maximum(first + second, 1)
+    shared = np.maximum(1 - (p + n_one) / np.maximum(s + first, 1), 1 - (p + n_two) / np.maximum(s + second, 1))
+    best = np.where(s > 0, np.maximum(best, shared), best)
+    return pd.Series(100 * np.where((s > 0) & ((n_one == 0) | (n_two == 0)), 1.0, best))
+
+
+def _tokens(key: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.coalesce(key, F.lit("")), r"\s+"), lambda x: x != ""))
+
+
+def _parts(left: Column, right: Column) -> Column:
+    """Of two token sets: the length of the common tokens, and the texts of the others."""
+    text = lambda words: F.array_join(F.sort_array(words), " ")
+    return F.struct(
+        F.length(text(F.array_intersect(left, right))).alias("s"), text(F.array_except(left, right)).alias("one"), text(F.array_except(right, left)).alias("two")
+    )
+
+
+def token_set_scores(a: str, b: str) -> Column:
+    """The score of two key columns, 0 where one has no token."""
+    left, right = _tokens(F.col(a)), _tokens(F.col(b))
+    parts = F.transform(F.array(_parts(left, right)), lambda x: x)[0]
+    return F.when((F.size(left) == 0) | (F.size(right) == 0), 0.0).otherwise(_likeness(parts["s"], parts["one"], parts["two"]))
 
 
 def keyed(rows: DataFrame) -> DataFrame:
@@ -72,25 +156,146 @@ def score_pairs(pairs: DataFrame, rows: DataFrame, identity: str = "row_id", thr
     From the lengths of common and of own tokens alone, in built-in functions, follows what the
     score is at most: it is exact but for what the spelling of own tokens has in common.
     """
-    tokens = F.array_distinct(F.filter(F.split("key", r"\s+"), lambda x: x != ""))
-    keys = rows.select(F.col(identity).alias("_id"), "key", tokens.alias("_t"))
+    keys = rows.select(F.col(identity).alias("_id"), _tokens(F.col("key")).alias("_t"))
     both = (
-        pairs.join(keys.withColumnsRenamed({"_id": "left_id", "key": "a", "_t": "_l"}), "left_id")
-        .join(keys.withColumnsRenamed({"_id": "right_id", "key": "b", "_t": "_r"}), "right_id")
+        pairs.join(keys.withColumnsRenamed({"_id": "left_id", "_t": "_l"}), "left_id")
+        .join(keys.withColumnsRenamed({"_id": "right_id", "_t": "_r"}), "right_id")
     )
-    size = lambda words: F.length(F.array_join(words, " "))
-    sizes = F.struct(
-        size(F.array_intersect("_l", "_r")).alias("s"), size(F.array_except("_l", "_r")).alias("one"), size(F.array_except("_r", "_l")).alias("two")
-    )
-    # A generator, so that the lengths are taken once for each pair and not again in the filter.
-    able = both.where((F.size("_l") > 0) & (F.size("_r") > 0)).select(*pairs.columns, "a", "b", F.explode(F.array(sizes)).alias("_n"))
-    s, one, two = F.col("_n.s"), F.col("_n.one"), F.col("_n.two")
+    # A generator, so that the parts are made once for each pair and not again in the filter.
+    able = both.where((F.size("_l") > 0) & (F.size("_r") > 0)).select(*pairs.columns, F.explode(F.array(_parts(F.col("_l"), F.col("_r")))).alias("_n"))
+    s, one, two = F.col("_n.s"), F.length("_n.one"), F.length("_n.two")
     p = F.least(s, F.lit(1))
     spelled = 1 - F.abs(one - two) / F.greatest(2 * (s + p) + one + two, F.lit(1))
     shared = F.when(s > 0, F.greatest(1 - (p + one) / (2 * s + p + one), 1 - (p + two) / (2 * s + p + two))).otherwise(0.0)
     most = F.when((s > 0) & ((one == 0) | (two == 0)), 1.0).otherwise(F.greatest(spelled, shared))
-    able = able.where(100 * most >= threshold - 1e-9).drop("_n")
-    return able.withColumn("score", token_set_scores("a", "b")).where(F.col("score") >= threshold).drop("a", "b")
+    able = able.where(100 * most >= threshold - 1e-9)
+    return able.withColumn("score", _likeness("_n.s", "_n.one", "_n.two")).where(F.col("score") >= threshold).drop("_n")
+
+
+def _bigrams(texts: pd.Series, dims: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: which (hashed) pairs of letters its tokens hold, how many such pairs repeat, its length, its letters by (hashed) kind."""
+    codes, ends = _codes(" " + texts + " ")
+    row = np.repeat(np.arange(len(texts)), np.diff(ends))
+    inner = np.flatnonzero(row[1:] == row[:-1])
+    held = np.zeros((len(texts), dims), np.float32)
+    held[row[inner], (codes[inner].astype(np.int64) * 31 + codes[inner + 1]) % dims] = 1
+    letters = np.zeros((len(texts), 64), np.int32)
+    np.add.at(letters, (row, codes % 64), 1)
+    n = np.diff(ends) - 2
+    return held, n + 1 - held.sum(axis=1), n, letters
+
+
+def spelled_alike(left: pd.Series, right: pd.Series, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of texts that may score ``threshold`` by the spelling of their own tokens; none that does is left out.
+
+    With t the threshold and n, m the lengths, such texts are (1 - t) * (n + m) insertions and deletions apart at
+    most. One changes three pairs of letters at most, of n + 1 and m + 1, which a matrix product counts for all pairs of
+    texts at once, and one letter, which is looked at for the pairs that are left.
+    """
+    (a, a_more, n, a_letters), (b, b_more, m, b_letters) = _bigrams(left), _bigrams(right)
+    edits = (1 - threshold / 100) * (n[:, None] + m[None, :]) + 1e-6
+    common = a @ b.T + np.minimum(a_more[:, None], b_more[None, :])
+    i, j = np.nonzero((2 * common >= n[:, None] + m[None, :] + 2 - 3 * edits) & (np.abs(n[:, None] - m[None, :]) <= edits))
+    near = np.abs(a_letters[i] - b_letters[j]).sum(axis=1) <= edits[i, j]
+    return i[near], j[near]
+
+
+def _spelled_pairs(texts: DataFrame, threshold: float, most: int) -> DataFrame:
+    """Pairs of a group whose texts may be spelled alike, from blocks of at most about ``most`` by ``most`` texts.
+
+    ``texts``: ``by, id, text``. A group is dealt to classes of lengths and slices of those; blocks are two slices whose lengths allow the threshold.
+    """
+    t, base = threshold / 100, math.log(1.125)
+    rows = texts.withColumn("n", F.length("text")).withColumn("class", F.floor(F.log("n") / base).cast("int"))
+    sizes = rows.groupBy("by", "class").agg(F.ceil(F.count("*") / most).cast("int").alias("slices"))
+    cells = F.flatten(F.collect_list(F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda k: F.struct(F.col("class").alias("c"), k.alias("k")))))
+    mine = sizes.groupBy("by").agg(cells.alias("cells"), F.map_from_entries(F.collect_list(F.struct("class", "slices"))).alias("slices"))
+    placed = rows.join(mine.withColumnRenamed("by", "_by"), F.col("by") == F.col("_by"))
+    own = F.struct(F.col("class").alias("c"), F.pmod(F.xxhash64("id"), F.element_at("slices", F.col("class"))).cast("int").alias("k"))
+    span = math.log((2 - t) / t) / base + 1  # so many classes apart lengths may be
+    near = F.filter("cells", lambda x: F.abs(x["c"] - F.col("class")) <= span)
+    each = placed.select("by", "id", "text", own.alias("own"), F.explode(near).alias("other"))
+    each = each.select("by", "id", "text", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") <= F.col("other")).alias("left"))
+    kinds = dict(texts.dtypes)
+
+    def block(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["left"]], rows[~rows["left"]]
+        if right.empty and rows["a"].iloc[0] == rows["b"].iloc[0]:  # a slice with itself
+            i, j = spelled_alike(left["text"], left["text"], threshold)
+            i, j = i[i < j], j[i < j]
+            right = left
+        else:
+            i, j = spelled_alike(left["text"], right["text"], threshold)
+        a, b = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
+        return pd.DataFrame({"by": rows["by"].iloc[:1].repeat(len(i)).to_numpy(), "left_id": np.minimum(a, b), "right_id": np.maximum(a, b)})
+
+    pack = lambda c: F.concat_ws(":", f"{c}.c", f"{c}.k").alias(c)
+    dealt = each.select("by", "id", "text", pack("a"), pack("b"), "left")
+    return dealt.groupBy("by", "a", "b").applyInPandas(block, f"by {kinds['by']}, left_id {kinds['id']}, right_id {kinds['id']}")
+
+
+def _bucket_pairs(keyed_rows: DataFrame, most: int) -> DataFrame:
+    """Pairs of different identities that share (``by``, ``bucket``) of which one has a ``probe``; a large bucket is dealt to slices."""
+    sizes = keyed_rows.groupBy("by", "bucket").agg(F.count("*").alias("n"), F.max("probe").alias("any"))
+    sizes = sizes.where("n > 1 AND any").select(F.col("by").alias("_by"), F.col("bucket").alias("_bucket"), F.ceil(F.col("n") / most).cast("int").alias("slices"))
+    sized = keyed_rows.join(sizes, (F.col("by") == F.col("_by")) & (F.col("bucket") == F.col("_bucket")))
+    mine = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    left = sized.where("probe").select("by", "bucket", F.col("id").alias("a"), mine.alias("i"), every.alias("j"))
+    right = sized.select("by", "bucket", F.col("id").alias("b"), "probe", every.alias("i"), mine.alias("j")).withColumnRenamed("probe", "both")
+    met = left.join(right, ["by", "bucket", "i", "j"]).where("a <> b AND (NOT both OR a < b)")
+    return met.select("by", F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"))
+
+
+def likely_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0, small: int = 200, most: int = 500, block: int = 2000) -> DataFrame:
+    """Pairs ``by, left_id < right_id`` of rows with different ``key``, among them all of a score of ``threshold``.
+
+    Groups of up to ``small`` rows give all pairs. In larger ones a pair has a rare token in common, which holds
+    if one key's tokens are nearly all the other's, or may be spelled alike. Of a key's tokens those count as rare that,
+    from the least frequent of its group on, are together longer than what the other key may lack. Threshold from 50 to 100.
+    """
+    t = threshold / 100
+    some = rows.where(F.col(by).isNotNull()).select(F.col(by).alias("by"), F.col(identity).alias("id"), _tokens(F.col("key")).alias("tokens")).where(F.size("tokens") > 0)
+    sized = some.join(some.groupBy("by").agg(F.count("*").alias("_n")), "by")
+    few = candidate_pairs(sized.where(F.col("_n") <= small).select("by", "id"), "by", "id")
+    many = sized.where(F.col("_n") > small)
+
+    # Of a token in over a hundredth of a group's rows the share is known, of others that it is less: at most a hundred times a row's tokens.
+    each = many.select("by", "_n", F.explode("tokens").alias("token")).groupBy("by", "token").agg(F.count("*").alias("n"), F.max("_n").alias("_n"))
+    often = each.where(F.col("n") * 100 > F.col("_n")).groupBy("by").agg(F.map_from_entries(F.collect_list(F.struct("token", "n"))).alias("often"))
+    known = many.join(often, "by", "left").withColumn("often", F.coalesce("often", F.create_map().cast("map<string,bigint>")))
+    ranked = F.sort_array(F.transform("tokens", lambda x: F.struct(F.coalesce(F.try_element_at("often", x), F.lit(0)).alias("n"), x.alias("token"))))
+    length = lambda words: F.aggregate(words, F.lit(0), lambda total, x: total + F.length(x["token"]) + 1)
+    known = known.select("by", "id", ranked.alias("ranked")).withColumn("most", (length(F.col("ranked")) - 1) * (2 * (1 - t) / (2 - t)) + 1e-9)
+    tokens = known.select("by", "id", "most", F.posexplode("ranked").alias("at", "x"), F.col("ranked"))
+    tokens = tokens.select("by", "id", F.xxhash64("x.token").alias("bucket"), (length(F.slice("ranked", F.lit(1), F.col("at"))) <= F.col("most")).alias("probe"))
+    texts = many.select("by", "id", F.array_join(F.sort_array("tokens"), " ").alias("text"))
+    found = _bucket_pairs(tokens, most).union(_spelled_pairs(texts, threshold, block)).distinct()
+    return few.select("by", "left_id", "right_id").union(found).withColumnRenamed("by", by)
+
+
+def scored_links(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0) -> tuple[DataFrame, DataFrame]:
+    """Scored pairs of the least rows of equal keys, and each row with that row as ``first_id``.
+
+    Equal keys score 100 whatever they are, save empty ones, which score 0 with every key.
+    """
+    firsts = rows.where("key <> ''").groupBy(by, "key").agg(F.min(identity).alias("first_id"))
+    firsts = materialize(firsts, "distinct-keys").withColumnRenamed("first_id", identity)
+    pairs = score_pairs(likely_pairs(firsts, by, identity, threshold), firsts, identity, threshold).select(by, "left_id", "right_id", "score")
+    members = rows.join(firsts.withColumnRenamed(identity, "first_id"), [by, "key"]).select(by, F.col(identity).alias("id"), "first_id")
+    return pairs, members
+
+
+def all_scored_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0) -> DataFrame:
+    """Every pair of rows of a group that scores ``threshold``; as many as there are."""
+    pairs, members = scored_links(rows, by, identity, threshold)
+    members = materialize(members, "members").select("id", "first_id")
+    same = members.alias("x").join(members.alias("y"), F.expr("x.first_id = y.first_id AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(100.0).alias("score"))
+    other = (
+        pairs.join(members.select(F.col("id").alias("a"), F.col("first_id").alias("left_id")), "left_id")
+        .join(members.select(F.col("id").alias("b"), F.col("first_id").alias("right_id")), "right_id").select("a", "b", "score")
+    )
+    return same.union(other).select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"), "score")
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -129,4 +334,6 @@ def dedup_stats(rows: DataFrame, by: str = "filing_id") -> DataFrame:
 def deduplicate(rows: DataFrame, by: str = "filing_id", threshold: float = 85.0) -> DataFrame:
     """All of the above. ``rows`` has ``row_id, name, address, claim_amount, confidence, line_number``."""
     with_keys = keyed(rows)
-    return merge_clusters(cluster(with_keys, score_pairs(candidate_pairs(with_keys, by), with_keys, threshold=threshold)), by)
+    pairs, members = scored_links(with_keys, by, threshold=threshold)
+    links = pairs.select("left_id", "right_id").union(members.where("id <> first_id").select("first_id", "id"))
+    return merge_clusters(cluster(with_keys, links), by)

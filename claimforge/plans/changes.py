@@ -600,8 +600,7 @@ def _(t):
 
 @query("d2_scored_pairs")
 def _(t):
-    rows = fuzzy.keyed(_fuzzy_rows(t))
-    return fuzzy.score_pairs(fuzzy.candidate_pairs(rows), rows).select("left_id", "right_id", "score")
+    return fuzzy.all_scored_pairs(fuzzy.keyed(_fuzzy_rows(t)))
 
 
 @query("n9_token_scores")
