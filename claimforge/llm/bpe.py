@@ -32,6 +32,9 @@ from claimforge.llm.sampling import at_least
 from claimforge.session import materialize, shared_folder
 
 
+SHORT = 64  # bytes of a word that is worth keeping; longer ones hardly come again, and a table of them has no bound in bytes
+
+
 class Merges:
     """Vocabulary and merge ranks of a byte-level BPE file."""
 
@@ -204,7 +207,7 @@ class Lexicon:
 
 
 class Encoder:
-    """Ids of distinct words: from the lexicon, a bounded table of words met before, or merging."""
+    """Ids of distinct words: from the lexicon, a table of at most ``most_words`` short words met before, or merging."""
 
     def __init__(self, tokenizer_path: str, lexicon: Lexicon | None, most_words: int):
         self.merges, self.lexicon, self.most_words = Merges(tokenizer_path), lexicon, most_words
@@ -222,11 +225,13 @@ class Encoder:
                 out[k] = bytes(raw[a:b])
         known = self.known
         new = [w for w, ids in zip(words, out) if ids is None and w not in known]
-        if len(known) + len(new) > self.most_words:
+        made = dict(zip(new, self.merges.ids_of_all(new)))
+        done = [ids if ids is not None else made[w] if w in made else known[w] for w, ids in zip(words, out)]
+        short = {w: ids for w, ids in made.items() if len(w) <= SHORT}
+        if len(known) + len(short) > self.most_words:
             known.clear()
-            new = [w for w, ids in zip(words, out) if ids is None]
-        known.update(zip(new, self.merges.ids_of_all(new)))
-        return [known[w] if ids is None else ids for w, ids in zip(words, out)]
+        known.update(short)
+        return done
 
 
 @functools.lru_cache(maxsize=1)
@@ -236,7 +241,7 @@ def _encoder(tokenizer_path: str, lexicon_files: tuple[tuple[str, str], ...], mo
 
 
 def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str, words: int) -> tuple[tuple[str, str], ...]:
-    """Compile the most frequent pre-tokens of all documents, at most ``words``, and ship the files.
+    """Compile the most frequent short pre-tokens of all documents, at most ``words``, and ship the files.
 
     Which words it holds has no effect on any id. Words are counted over whole texts; the
     driver gets those above the count that leaves at most ``words``.
@@ -253,7 +258,8 @@ def build_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str, words: in
             for _, _, data, ends in arrow.slices(batch.column(0), 1 << 20):
                 found, n = pretokens.counted(data, ends)
                 for word, k in zip(found, n):
-                    seen[word] += k
+                    if len(word) <= SHORT:
+                        seen[word] += k
                 if len(seen) > 200_000:
                     yield table(seen)
                     seen.clear()

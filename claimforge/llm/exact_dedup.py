@@ -196,13 +196,16 @@ _MERGED = pa.schema([
 _MERGED_SQL = "split int, slot int, text_sha256 string, keep_id long, group_size long, holds boolean, best_place long"
 
 
-def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 512) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 512, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of at most ``most``, and of about ``most_bytes`` of binary values; one row may be larger."""
     held: list[tuple] = []
+    size, binary = 0, [k for k, f in enumerate(schema) if pa.types.is_binary(f.type)]
     for row in rows:
         held.append(row)
-        if len(held) >= most:
+        size += sum(len(row[k]) for k in binary)
+        if len(held) >= most or size >= most_bytes:
             yield _batch(held, schema)
-            held = []
+            held, size = [], 0
     if held:
         yield _batch(held, schema)
 

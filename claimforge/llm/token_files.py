@@ -32,6 +32,7 @@ from claimforge.session import materialize, shared_folder
 
 MAGIC = b"CFIDS1\0\0"
 _LEVEL = 1
+_SHORT = 64  # bytes of a pre-token that is worth keeping
 
 
 @functools.lru_cache(maxsize=2)
@@ -51,16 +52,17 @@ def _known(path: str) -> dict[bytes, bytes]:
 
 
 def _ids_of(path: str, most_words: int, words: list[bytes]) -> list[bytes]:
-    """Ids of pre-tokens by the tokenizers library; those met before come from a bounded table."""
-    known = _known(path)
-    new = [w for w in words if w not in known]
-    if new:
-        if len(known) + len(new) > most_words:
-            known.clear()
-            new = words
-        made = _tokenizer(path)[0].encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update(zip(new, [array("i", e.ids).tobytes() for e in made]))
-    return [known[w] for w in words]
+    """Ids of pre-tokens by the tokenizers library; short ones met before come from a table of at most ``most_words``."""
+    known, made = _known(path), {}
+    if new := [w for w in words if w not in known]:
+        found = _tokenizer(path)[0].encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        made = dict(zip(new, [array("i", e.ids).tobytes() for e in found]))
+    done = [made[w] if w in made else known[w] for w in words]
+    short = {w: ids for w, ids in made.items() if len(w) <= _SHORT}
+    if len(known) + len(short) > most_words:
+        known.clear()
+    known.update(short)
+    return done
 
 
 def encode_column(
@@ -122,6 +124,7 @@ def write_shards(
     text_col: str = "text",
     end_id: int = 2,
     shards: int | None = None,
+    shard_bytes: int = 64 << 20,
     sample_docs: int = 512,
     dictionary_bytes: int = 64 << 10,
 ) -> tuple[DataFrame, str]:
@@ -130,8 +133,9 @@ def write_shards(
     Null texts count as empty (the end id alone), null ids sort first, rows that
     repeat an id are all written, other columns are ignored, and an empty table
     gives no shard. The shard table has ``shard, path, first_id, n_docs, n_ids,
-    bytes``; its ids ascend with ``shard``. Files are renamed into place when
-    complete and named by shard, so a repeated task overwrites its own file only.
+    bytes``; its ids ascend with ``shard``. There are as many as ``spark.sql.shuffle.partitions``, or
+    more for at most about ``shard_bytes`` of text in each. A file is named by shard and task attempt and the table names that of the
+    attempt that came to its end, so a repeated task writes beside the files of others.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "token-ids")
@@ -149,37 +153,37 @@ def write_shards(
         fs, root = pafs.FileSystem.from_uri(folder)
         kind = _kind(tokenizer_path)
         packer = zstandard.ZstdCompressor(level=_LEVEL, dict_data=_dictionary(trained))
-        numbers, ends, counts = [], [], []
-        at, part = 0, f"{root}/part-{shard:06d}.ids"
+        known, numbers, ends, counts = (array("q") for _ in range(4))
+        at, part = 0, f"{root}/part-{shard:06d}-{TaskContext.get().taskAttemptId()}.ids"
         out = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if out is None:
-                out = fs.open_output_stream(f"{part}.{TaskContext.get().taskAttemptId()}.tmp")
+                out = fs.open_output_stream(part)
                 out.write(MAGIC + bytes.fromhex(mark) + kind.encode().ljust(8))
-            numbers += batch.column(0).to_pylist()
+            known.extend(batch.column(0).is_valid().cast(pa.int64()).to_pylist())
+            numbers.extend(batch.column(0).fill_null(0).to_pylist())
             for _, _, ids, to in encode_column(batch.column(1), tokenizer_path, end_id):
                 ids = ids.astype(kind)
                 frames = [packer.compress(ids[x:y].tobytes()) for x, y in zip(to[:-1].tolist(), to[1:].tolist())]
-                ends += (at + np.cumsum([len(f) for f in frames])).tolist()
+                ends.extend((at + np.cumsum([len(f) for f in frames])).tolist())
                 at = ends[-1]
-                counts += np.diff(to).tolist()
+                counts.extend(np.diff(to).tolist())
                 out.write(b"".join(frames))
         if out is None:
             return
-        known = np.array([n is not None for n in numbers], "<i8")
-        table = np.concatenate([[len(numbers)], known, [n or 0 for n in numbers], ends, counts]).astype("<i8")
+        table = np.concatenate([[len(numbers)], known, numbers, ends, counts]).astype("<i8")
         index = zstandard.ZstdCompressor(level=3).compress(table.tobytes())
         out.write(index + struct.pack("<q", len(index)))
         out.close()
-        fs.move(f"{part}.{TaskContext.get().taskAttemptId()}.tmp", part)
-        row = [[shard], [part], [numbers[0]], [len(numbers)], [int(sum(counts))], [at]]
+        row = [[shard], [part], [numbers[0] if known[0] else None], [len(numbers)], [int(sum(counts))], [at]]
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(row, [pa.int64(), pa.string(), *[pa.int64()] * 4])], _SHARD.names
         )
 
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     ordered = (
         arrow.in_small_batches(docs).select(F.col(id_col).cast("long"), F.coalesce(text_col, F.lit("")))
         .toDF("id", "text").repartitionByRange(n, "id").sortWithinPartitions("id")

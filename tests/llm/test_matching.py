@@ -189,3 +189,11 @@ def test_stage_columns(spark, documents):
         docs = stage(spark, docs, "")
         assert docs.columns == corpus_pipeline.COLUMNS
     assert docs.agg(F.count("*")).first()[0] == 1
+
+
+def test_near_copies_of_repeated_ids(spark, documents):
+    """A text goes for its own links only, not for those of another text of its id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(3, a), (5, a + " end"), (5, b), (5, c + " more"), (2, c), (None, a + " last"), (None, "of its own and nothing else"), (9, None)]
+    got = corpus_pipeline.near_duplicates(spark, documents(rows), "")
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(3, a), (5, b), (2, c), (None, "of its own and nothing else"), (9, None)])

@@ -5,6 +5,7 @@ import random
 import struct
 import time
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -141,3 +142,33 @@ def test_counted_pre_tokens():
 def test_pieces_for_the_dictionary_are_spread():
     assert token_files._spread(0, 10, 4) == [] and token_files._spread(35, 10, 4) == [0, 10, 20, 30]
     assert token_files._spread(1_000, 10, 4) == [0, 330, 660, 990]
+
+
+def test_tables_of_words_are_bounded_in_bytes():
+    """Words that are long are encoded and forgotten; results stay the same when the tables are emptied."""
+    import random
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.choice([3, 5, 400]))).encode() for _ in range(300)]
+    words = list(dict.fromkeys(words))
+    encoder = bpe.Encoder(PATH, None, 50)
+    want = [array("i", ids_of(w.decode())).tobytes() for w in words]
+    for part in (words[:100], words, words[50:]):
+        got = encoder.ids_of(part)
+        assert got == [want[words.index(w)] for w in part]
+        assert all(len(w) <= bpe.SHORT for w in encoder.known)
+    token_files._known(PATH).clear()
+    for part in (words[:100], words, words[50:]):
+        assert token_files._ids_of(PATH, 50, part) == [want[words.index(w)] for w in part]
+        assert all(len(w) <= token_files._SHORT for w in token_files._known(PATH))
+
+
+def test_batches_of_large_values_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from claimforge.llm import exact_dedup
+
+    schema = pa.schema([("a", pa.int32()), ("content", pa.binary())])
+    rows = [(i, b"x" * 1000) for i in range(1000)] + [(0, b"y" * 9000)]
+    made = list(exact_dedup._batches(iter(rows), schema, most_bytes=4000))
+    assert sum(b.num_rows for b in made) == len(rows) and max(b.num_rows for b in made) == 4
