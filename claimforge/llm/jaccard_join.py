@@ -168,6 +168,7 @@ def jaccard_components(
     near: float = 0.45,
     cell_shingles: int = 2_000_000,
     cell_docs: int = 2_000,
+    part_docs: int = 8,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per row ``n_shingles`` and ``component_id``: the least id reachable over links, its own included.
@@ -177,7 +178,8 @@ def jaccard_components(
     id. Rows that repeat an id count as one document with the links of each, rows with a null id
     have a null component and link nothing, other columns are ignored. Which documents are
     pivots (at most ``pivots``, of a sample of twice as many), which are ``near`` them, and how
-    many of the commonest shingles are known (``ranked_shingles``) changes no result.
+    many of the commonest shingles are known (``ranked_shingles``) changes no result, nor does it from
+    how many sets on (``part_docs``) a cell or block of the far region gets pivots of its own.
     """
     source = arrow.in_small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     common = _common_shingles(source, width, percent, ranked_shingles)
@@ -191,7 +193,7 @@ def jaccard_components(
     blocks = blocks.select(F.col("node").alias("id"), F.concat(F.lit("far/"), "component").alias("cell"))
     cells = reps.select("id", F.explode("cells").alias("k")).select("id", F.col("k").cast("string").alias("cell"))
     cells = materialize(cells.union(blocks).distinct(), "cells")
-    links = _join_regions(source, cells, reps, width, percent, cell_shingles, cell_docs, near, broadcast_rows)
+    links = _join_regions(source, cells, reps, width, percent, cell_shingles, cell_docs, min(part_docs, cell_docs), near, broadcast_rows)
     roots = materialize(connected_components(links), "roots")
     least = (
         same.join(roots, F.col("rep") == F.col("node"), "left")
@@ -452,17 +454,17 @@ def _too_large(most: int, docs: int) -> Column:
 
 
 def _join_regions(
-    source: DataFrame, cells: DataFrame, reps: DataFrame, width: int, percent: int, most: int, docs: int, near: float, broadcast_rows: int
+    source: DataFrame, cells: DataFrame, reps: DataFrame, width: int, percent: int, most: int, docs: int, part: int, near: float, broadcast_rows: int
 ) -> DataFrame:
     """Edges ``u, v`` that connect exactly the documents linked inside each of ``cells (id, cell)``."""
     sized = cells.join(reps.groupBy("id").agg(F.max("n").alias("n")), "id")
     weight = materialize(sized.groupBy("cell").agg(F.sum("n").alias("total"), F.count("*").alias("docs")).where("docs > 1"), "weights")
-    fits = cells.join(weight.where(~_too_large(most, docs)).select("cell"), "cell", "left_semi")
+    fits = cells.join(weight.where(~_too_large(most, part)).select("cell"), "cell", "left_semi")
     edges = _join_cells(_with_sets(source, fits, width, broadcast_rows), percent)
-    large = weight.where(_too_large(most, docs))
+    large = weight.where(_too_large(most, part))
     if not large.isEmpty():
         held = materialize(_with_sets(source, cells.join(large.select("cell"), "cell", "left_semi"), width, broadcast_rows), "large")
-        edges = edges.union(_part(held, percent, most, docs, near))
+        edges = edges.union(_part(held, percent, most, docs, part, near))
     return materialize(edges, "links")
 
 
@@ -510,16 +512,19 @@ def _join_cells(held: DataFrame, percent: int) -> DataFrame:
     return held.repartition(n, "cell").sortWithinPartitions("cell", "id").mapInArrow(run, "u long, v long")
 
 
-def _part(held: DataFrame, percent: int, most: int, docs: int, near: float, pivots: int = 32, rounds: int = 8) -> DataFrame:
-    """Part large cells ``cell, id, set`` around pivots of their own until each fits, and join all of them exactly."""
+def _part(held: DataFrame, percent: int, most: int, docs: int, part: int, near: float, pivots: int = 32, rounds: int = 8) -> DataFrame:
+    """Part cells ``cell, id, set`` of over ``part`` documents around pivots of their own, again and again, and join all of them exactly.
+
+    A cell that its pivots don't part is joined as it is if one task can hold it, else as a dense one.
+    """
     edges = None
     add = lambda more: more if edges is None else edges.union(more)
     for depth in range(rounds):
         cells = held.groupBy("cell").agg(F.count("*").alias("docs"), F.sum(F.octet_length("set") / 8).alias("total"))
         cells = materialize(cells.where("docs > 1"), "cells")
-        ready = cells.where(~_too_large(most, docs)).select("cell")
+        ready = cells.where(~_too_large(most, part)).select("cell")
         edges = add(_join_cells(held.join(ready, "cell", "left_semi"), percent))
-        large = cells.where(_too_large(most, docs))
+        large = cells.where(_too_large(most, part))
         if large.isEmpty():
             return edges
         edges = materialize(edges, "cell-links")
@@ -530,10 +535,18 @@ def _part(held: DataFrame, percent: int, most: int, docs: int, near: float, pivo
             .groupBy("parent").agg(F.max("now").alias("largest"), F.sum("now").alias("now"), F.sum("own").alias("was"))
         )
         stuck = materialize(shrunk.where("largest > 0.9 * was OR now > 8 * was").select("parent"), "stuck")
-        dense = parted.where("own").join(stuck, "parent", "left_semi").select(F.col("parent").alias("cell"), "id", "set", "links")
-        edges = edges.union(_join_dense(dense, percent, most, docs))
+        heavy = cells.where(_too_large(most, docs)).select(F.col("cell").alias("parent"))
+        whole = parted.where("own").join(stuck, "parent", "left_semi").select("parent", F.col("parent").alias("cell"), "id", "set", "links")
+        edges = edges.union(_join_cells(whole.join(heavy, "parent", "left_anti").select("cell", "id", "set"), percent))
+        if not (dense := whole.join(heavy, "parent", "left_semi").drop("parent")).isEmpty():
+            edges = edges.union(_join_dense(dense, percent, most, docs))
         held = parted.join(stuck, "parent", "left_anti").select("cell", "id", "set")
-    return add(_join_dense(held.withColumn("links", F.lit(0).cast("long")), percent, most, docs))
+    # What is still in many cells after all rounds: whole cells where they fit, slices where not.
+    cells = held.groupBy("cell").agg(F.count("*").alias("docs"), F.sum(F.octet_length("set") / 8).alias("total"))
+    cells = materialize(cells.where("docs > 1"), "cells")
+    edges = add(_join_cells(held.join(cells.where(~_too_large(most, docs)).select("cell"), "cell", "left_semi"), percent))
+    dense = held.join(cells.where(_too_large(most, docs)).select("cell"), "cell", "left_semi")
+    return edges.union(_join_dense(dense.withColumn("links", F.lit(0).cast("long")), percent, most, docs))
 
 
 def _split(

@@ -111,3 +111,21 @@ def test_one_id_with_a_long_and_a_short_text(documents):
     rows = [(5, " ".join(f"q{k}" for k in range(90))), (5, near), (9, near + " more")]
     out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85).collect()
     assert {r.component_id for r in out} == {5}
+
+
+def test_blocks_of_the_far_region_get_pivots_of_their_own(documents, monkeypatch):
+    """A loose group of 80 near copies of which none is a pivot, and a chain that its own pivots part."""
+    rng = random.Random(5)
+    base = [f"v{j}" for j in range(70)]
+    rows = []
+    for k in range(80):
+        mine = list(base)
+        mine[rng.randrange(70)] = f"o{k}"
+        rows.append((k, " ".join(mine)))
+    chain = [f"c{j}" for j in range(200)]
+    rows += [(200 + k, " ".join(chain[k : k + 90])) for k in range(0, 100, 2)]
+    split, seen = jaccard_join._split, []
+    monkeypatch.setattr(jaccard_join, "_split", lambda *a, **k: seen.append(1) or split(*a, **k))
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, pivots=0).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+    assert seen
