@@ -112,23 +112,40 @@ def _report_columns() -> list[Column | str]:
     return ["creditor", "city", state, "claim", "status", "profile_url"]
 
 
+def _pairs(creditors: DataFrame, links: DataFrame) -> DataFrame:
+    """Creditors and filings by either tie; a pair may come twice, and a creditor need not exist."""
+    own = creditors.where("source_filing_id IS NOT NULL").select("creditor_id", F.col("source_filing_id").alias("filing_id"))
+    return links.select("creditor_id", "filing_id").union(own)
+
+
 def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
-    """One row per company creditor and filing, if either was created since ``since``."""
-    since = F.lit(since).cast("date")
-    joined = (
-        _report_creditors(creditors, profile).join(linking.creditor_filing_links(creditors, links), "creditor_id")
-        .join(filings.select("filing_id", "debtor_name", "case_number", "filing_date", "state", "created_on"), "filing_id")
-        .where((F.col("_made") >= since) | (F.col("created_on") >= since)).join(status, "creditor_id")
-    )
+    """One row per company creditor and filing, if either was created since ``since``.
+
+    New filings with all their creditors, and new creditors with their older filings, are found apart, so each
+    date is a filter of its table's scan and no table is joined whole with another.
+    """
+    day = F.lit(since).cast("date")
+    shown, pairs = _report_creditors(creditors, profile), _pairs(creditors, links)
+    filings = filings.select("filing_id", "debtor_name", "case_number", "filing_date", "state", "created_on")
+    of_new_filings = pairs.join(filings.where(F.col("created_on") >= day), "filing_id")
+    new = shown.where(F.col("_made") >= day).select("creditor_id")
+    of_new_creditors = pairs.join(new, "creditor_id", "left_semi").join(filings.where(F.coalesce(F.col("created_on") < day, F.lit(True))), "filing_id")
+    joined = of_new_filings.unionByName(of_new_creditors).distinct().join(shown, "creditor_id").join(status, "creditor_id")
     return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(), "tier")
 
 
 def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
-    """One row per company creditor, with the state of its newest filing; creditors without filings too."""
-    since = F.lit(since).cast("date")
-    newest = linking.latest_filing(linking.both_links(creditors, links), filings).select("creditor_id", F.col("created_on").alias("_newest"), "state")
-    joined = _report_creditors(creditors, profile).join(newest, "creditor_id", "left").where((F.col("_made") >= since) | (F.col("_newest") >= since))
-    return joined.join(status, "creditor_id").select("creditor_id", *_report_columns())
+    """One row per company creditor, with the state of its newest filing; creditors without filings too.
+
+    A creditor with a new filing has its newest among those; only for new creditors are older ones looked through.
+    """
+    day = F.lit(since).cast("date")
+    shown, pairs = _report_creditors(creditors, profile), _pairs(creditors, links)
+    recent = linking.latest_filing(pairs, filings.where(F.col("created_on") >= day)).select("creditor_id", "state")
+    new = shown.where(F.col("_made") >= day).select("creditor_id").join(recent, "creditor_id", "left_anti")
+    older = linking.latest_filing(pairs.join(new, "creditor_id", "left_semi"), filings).select("creditor_id", "state")
+    some = new.join(older, "creditor_id", "left").select("creditor_id", "state").union(recent)
+    return shown.join(some, "creditor_id").join(status, "creditor_id").select("creditor_id", *_report_columns())
 
 
 def report_envelope(rows: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from claimforge.operators import extraction, fuzzy, incremental, merging
 from claimforge.plans.registry import query
 from claimforge.plans.relations import LINKS_SQL
 from claimforge.plans.scalars import JUNK_SQL
+from claimforge.session import shared_folder
 from claimforge.sources import feeds
 from claimforge.streaming import feeds as streams
 
@@ -313,8 +314,6 @@ def _(t):
 
 @query("s6_written_upsert", U3_SQL)
 def _(t):
-    from claimforge.session import shared_folder
-
     rows = t.feed.where("case_number <> ''").select("case_number", "debtor", "filed", "line_number", "part_id")
     path = shared_folder(t.spark, "filings")
     merging.write_version(merging.filings_from_feed(rows.limit(0)).select("case_number", "debtor", "filed"), path)
@@ -763,6 +762,30 @@ def _(t):
     return out.select("worker", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
 
 
+ARRIVAL = "least(6, CAST(floor((day(created_at) - 1) / 5) AS INT)) + CASE WHEN job_id % 13 = 0 THEN 2 WHEN job_id % 11 = 0 THEN 1 ELSE 0 END"
+
+
+@query(
+    "i7_late_jobs",
+    f"""WITH j AS (SELECT *, {ARRIVAL} AS b FROM jobs), m AS (SELECT b, max(created_at) AS top FROM j GROUP BY b),
+      w AS (SELECT j.*, date_trunc('hour', created_at) AS h, (SELECT max(top) FROM m WHERE m.b <= j.b - 2) - INTERVAL 2 DAY AS mark FROM j)
+      SELECT h AS window_start, job_type, count(*) AS n, count(*) FILTER (status = 'failed') AS failed FROM w
+      WHERE mark IS NULL OR h + INTERVAL 1 HOUR > mark GROUP BY ALL HAVING h + INTERVAL 1 HOUR <= (SELECT max(top) FROM m) - INTERVAL 2 DAY""",
+)
+def _(t):
+    """Hourly counts in append mode over nine batches in order of arrival, with rows one and two batches late.
+
+    A row is left out if its window was over by the watermark of the batch before, which is two days behind the newest row of the batches
+    before that one; a window is written once, when the watermark has passed it.
+    """
+    path = shared_folder(t.spark, "late-jobs")
+    rows = t.jobs.withColumn("b", F.expr(ARRIVAL)).select("job_type", "status", "created_at", "b")
+    for number in range(9):  # the order of arrival is that of the files
+        rows.where(F.col("b") == number).drop("b").coalesce(1).write.mode("append").parquet(path)
+    stream = streams.file_stream(t.spark, rows.drop("b").schema, path, 1)
+    return streams.run_available(streams.job_counts(stream, delay="2 days"), "late-jobs")
+
+
 @query("i5_feed_stream", "SELECT DISTINCT ':24-' || (user_id + 10000) || ':g' || (event_id % 500) AS unique_key, '24-' || (user_id + 10000) AS case_number, true AS is_qualified FROM events")
 def _(t):
     raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
@@ -773,20 +796,42 @@ def _(t):
     return streams.run_available(streams.feed_event_stream(items, "40 days"), "feed").select("unique_key", "case_number", "is_qualified")
 
 
+def _feed_items(t, chosen: str):
+    raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir).where(chosen)
+    return raw.select(
+        "event_id", F.concat(F.lit("24-"), (F.col("user_id") + 10000).cast("string"), F.lit(" Acme LLC")).alias("title"), F.lit("Voluntary petition").alias("content"), F.lit("").alias("link"),
+        F.concat(F.lit("g"), (F.col("event_id") % 500).cast("string")).alias("guid"), F.col("ts").cast("timestamp").alias("published_at"),
+    )
+
+
+@query(
+    "i5b_feed_store",
+    """SELECT unique_key, arg_min(event_id, o) AS event_id FROM (SELECT ':24-' || (user_id + 10000) || ':g' || (event_id % 500) AS unique_key, event_id, row_number() OVER (ORDER BY ts, event_id) AS o FROM events) GROUP BY unique_key""",
+)
+def _(t):
+    """The events of two feeds, of which the second repeats keys of the first, in one store; the first feed is followed twice."""
+    path = shared_folder(t.spark, "feed-events")
+    streams.feed_event_store(_feed_items(t, "event_id % 3 = 0"), path, "one")
+    streams.feed_event_store(_feed_items(t, "event_id % 3 > 0"), path, "two")
+    return streams.feed_event_store(_feed_items(t, "event_id % 3 = 0"), path, "one").select("unique_key", "event_id")
+
+
 @query("i8_exposure_stream", "SELECT user_id, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(15,2))) AS DECIMAL(15,2)) AS total FROM events GROUP BY user_id")
 def _(t):
-    from claimforge.session import shared_folder
+    """Two streams into one store, the first of them followed twice."""
+    path = shared_folder(t.spark, "exposure")
 
-    raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
-    claims = raw.select(F.col("event_id").alias("filing_id"), F.col("user_id").alias("creditor_id"), F.col("value").cast("decimal(15,2)").alias("amount"))
-    out = streams.exposure_store(claims, shared_folder(t.spark, "exposure"))
+    def claims(chosen: str):
+        raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir).where(chosen)
+        return raw.select(F.col("event_id").alias("filing_id"), F.col("user_id").alias("creditor_id"), F.col("value").cast("decimal(15,2)").alias("amount"))
+
+    for chosen, writer in (("event_id % 2 = 0", "even"), ("event_id % 2 = 1", "odd"), ("event_id % 2 = 0", "even")):
+        out = streams.exposure_store(claims(chosen), path, writer)
     return out.select(F.col("creditor_id").alias("user_id"), F.col("filing_count").alias("n"), F.col("total_claims").alias("total"))
 
 
 @query("s1_claim_feed", "SELECT count(*) AS n, count(DISTINCT nullif(case_number, '')) AS cases, count(DISTINCT debtor) AS debtors FROM feed")
 def _(t):
-    from claimforge.session import shared_folder
-
     path = shared_folder(t.spark, "feed")
     names = {
         "filed": "Date Filed", "creditor": "Impacted Business", "city": "City", "state": "State", "case_number": "Case Number", "debtor": "Corporate Bankruptcy", "loss": "Loss",

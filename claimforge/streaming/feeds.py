@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from claimforge.operators import aggregates, extraction, merging
+from claimforge.operators import aggregates, extraction, keyed_store
 from claimforge.session import shared_folder
 
 
@@ -26,7 +26,11 @@ def feed_event_stream(items: DataFrame, delay: str = "2 days") -> DataFrame:
 
 
 def job_counts(events: DataFrame, every: str = "1 hour", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """Jobs per type and window of event time; rows later than ``delay`` are left out of closed windows."""
+    """Jobs per type and window of event time.
+
+    Written in append mode, a window appears once, when the watermark (``delay`` behind the newest row) has passed its end, and
+    later rows of it are left out. In complete mode none are.
+    """
     at: Column = F.window("created_at", every, slide) if slide else F.window("created_at", every)
     return (
         events.withWatermark("created_at", delay).groupBy(at.alias("w"), "job_type")
@@ -67,24 +71,33 @@ def run_available(stream: DataFrame, name: str, mode: str = "append") -> DataFra
     return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
 
 
-def exposure_store(claims: DataFrame, path: str) -> DataFrame:
+def _largest_claims(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("creditor_id", "filing_id").agg(F.max("amount").alias("amount"))
+
+
+def exposure_store(claims: DataFrame, path: str, writer: str = "claims") -> DataFrame:
     """Claims ``filing_id, creditor_id, amount`` of a stream merged batch by batch into a stored exposure, which is returned.
 
-    The versioned store under ``path`` has a row for each creditor and filing, the larger amount if a claim comes again, so a
-    repeated batch changes nothing. Exposure is that table by creditor.
+    The keyed store under ``path`` has a row for each creditor and filing, the larger amount if a claim comes again.
+    It outlives the stream: a second call goes on after what ``writer`` has brought, another writer adds to it.
+    Exposure is that table by creditor.
     """
-    spark = claims.sparkSession
-    least = lambda rows: rows.groupBy("creditor_id", "filing_id").agg(F.max("amount").alias("amount"))
-    merging.write_version(spark.createDataFrame([], claims.schema).select("creditor_id", "filing_id", "amount"), path)
+    rows = claims.select("creditor_id", "filing_id", "amount")
+    return aggregates.exposure_by_filing(keyed_store.follow(rows, path, ["creditor_id"], _largest_claims, writer))
 
-    def merge(batch: DataFrame, number: int) -> None:
-        merging.write_version(least(merging.read_version(spark, path).union(batch.select("creditor_id", "filing_id", "amount"))), path)
 
-    query = (
-        claims.writeStream.option("checkpointLocation", shared_folder(spark, "exposure-progress")).foreachBatch(merge).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return aggregates.exposure_by_filing(merging.read_version(spark, path))
+def feed_event_store(items: DataFrame, path: str, writer: str = "feed") -> DataFrame:
+    """The events of a stream of items merged into a stored table of events, which is returned: of a unique key the earliest stays.
+
+    Repeats of any time are found, those of other writers and earlier runs too; the stream itself keeps no state.
+    """
+
+    def earliest(rows: DataFrame) -> DataFrame:
+        rest = [c for c in rows.columns if c != "unique_key"]
+        first = rows.groupBy("unique_key").agg(F.min_by(F.struct(*rest), F.struct("published_at", "event_id")).alias("r"))
+        return first.select("unique_key", "r.*").select(rows.columns)
+
+    return keyed_store.follow(extraction.feed_events(items), path, ["unique_key"], earliest, writer)
 
 
 def file_stream(spark: SparkSession, schema: StructType, path: str, files_per_batch: int = 4) -> DataFrame:

@@ -201,17 +201,80 @@ def test_hints(spark):
     assert {r.doc_id: r.kind for r in extraction.classify(docs, hint_col="hint").collect()} == {1: "sofa", 2: "form_201", 3: "schedule"}
 
 
+CLAIM = "filing_id long, creditor_id long, amount decimal(15,2)"
+
+
+def claim_files(spark, source, parts):
+    for part in parts:
+        spark.createDataFrame(part, CLAIM).coalesce(1).write.mode("append").parquet(source)
+    return streams.file_stream(spark, spark.createDataFrame([], CLAIM).schema, source, 1)
+
+
+def exposure(rows):
+    return {r.creditor_id: (r.filing_count, r.total_claims) for r in rows.collect()}
+
+
 def test_exposure_store_of_a_stream(spark):
-    """Claims that arrive in several files, one of them again, against one pass over all."""
+    """Claims that arrive in several files, one of them again, against one pass over all; a second run and a second stream add."""
     claims = [(f, c, Decimal(10 * c + f)) for f in range(6) for c in range(3)]
-    kind = "filing_id long, creditor_id long, amount decimal(15,2)"
+    source, other, store = (shared_folder(spark, n) for n in ("claims", "claims", "exposure"))
+    stream = claim_files(spark, source, [[c for c in claims if c[0] % 3 == k] for k in range(3)] + [claims[:4]])
+    all_of = lambda rows: {c: (len(m), sum(m.values())) for c in {r[1] for r in rows} for m in [{f: a for f, d, a in rows if d == c}]}
+    assert exposure(streams.exposure_store(stream, store)) == all_of(claims)
+    more = [(90, 1, Decimal(5)), (91, 7, Decimal(6))]
+    assert exposure(streams.exposure_store(claim_files(spark, source, [more]), store)) == all_of(claims + more)
+    assert exposure(streams.exposure_store(claim_files(spark, other, [claims[:2], [(92, 0, Decimal(1))]]), store, "other")) == all_of([*claims, *more, (92, 0, Decimal(1))])
+
+
+@pytest.mark.parametrize("where", ["before", "ready", "done"])
+def test_exposure_store_that_is_killed(spark, monkeypatch, where):
+    """A run that ends in its second batch (before the merge, between merge and overwrite, before Spark notes the batch) and is begun again."""
+    from claimforge.operators import keyed_store
+
+    claims = [(f, c, Decimal(10 * c + f)) for f in range(6) for c in range(5)]
     source, store = shared_folder(spark, "claims"), shared_folder(spark, "exposure")
-    for k in range(3):
-        spark.createDataFrame([c for c in claims if c[0] % 3 == k], kind).write.mode("append").parquet(source)
-    spark.createDataFrame(claims[:4], kind).coalesce(1).write.mode("append").parquet(source)
-    stream = streams.file_stream(spark, spark.createDataFrame([], kind).schema, source, 1)
-    got = {r.creditor_id: (r.filing_count, r.total_claims) for r in streams.exposure_store(stream, store).collect()}
-    assert got == {c: (6, Decimal(sum(10 * c + f for f in range(6)))) for c in range(3)}
+    stream = claim_files(spark, source, [[c for c in claims if c[0] % 3 == k] for k in range(3)])
+    calls, merge, overwrite = [], keyed_store.merge, keyed_store._overwrite
+
+    def failing_merge(*args):
+        calls.append(1)
+        if where == "before" and len(calls) == 2:
+            raise RuntimeError("killed")
+        out = merge(*args)
+        if where == "done" and len(calls) == 2:
+            raise RuntimeError("killed")
+        return out
+
+    def failing_overwrite(*args):
+        if where == "ready" and len(calls) == 2:
+            raise RuntimeError("killed")
+        overwrite(*args)
+
+    monkeypatch.setattr(keyed_store, "merge", failing_merge)
+    monkeypatch.setattr(keyed_store, "_overwrite", failing_overwrite)
+    with pytest.raises(Exception, match="killed"):
+        streams.exposure_store(stream, store)
+    monkeypatch.undo()
+    got = exposure(streams.exposure_store(claim_files(spark, source, []), store))
+    assert got == {c: (6, Decimal(sum(10 * c + f for f in range(6)))) for c in range(5)}
+
+
+def test_store_writes_only_touched_buckets(spark):
+    from pathlib import Path
+
+    from claimforge.operators import keyed_store
+
+    path, kind = shared_folder(spark, "store"), "k long, v long"
+    newest = lambda rows: rows.groupBy("k").agg(F.max("v").alias("v"))
+    batch = lambda rows: spark.createDataFrame(rows, kind)
+    assert keyed_store.read(spark, path, batch([]).schema).count() == 0
+    assert keyed_store.merge(path, batch([(k, 1) for k in range(50)]), ["k"], newest, "w", 0, 8)
+    files = lambda: {f: f.stat().st_mtime_ns for f in Path(path.removeprefix("file:")).glob("rows/bucket=*/*.parquet")}
+    before = files()
+    assert keyed_store.merge(path, batch([(3, 2)]), ["k"], newest, "w", 1) and not keyed_store.merge(path, batch([(3, 9)]), ["k"], newest, "w", 1)
+    assert keyed_store.merge(path, batch([]), ["k"], newest, "w", 2)
+    assert len({f.parent for f in files().keys() ^ before.keys()}) == 1
+    assert sorted(map(tuple, keyed_store.read(spark, path, batch([]).schema).collect())) == [(k, 2 if k == 3 else 1) for k in range(50)]
 
 
 def test_second_key_of_feed_items(spark):
