@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimforge.functions import money, places
 
@@ -11,18 +15,55 @@ from claimforge.functions import money, places
 REQUIRED = ("Date Filed", "Impacted Business", "City", "State", "Case Number", "Corporate Bankruptcy", "Loss")
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of CSV files as text: ``file, record, text``, counted from 1 in each file without blank ones.
+
+    Quoted values may span lines, yet a file is read by as many tasks as its size asks for. A line begins a record if the
+    number of quotes before it in the file is even. Each byte range counts its quotes, and its records for either
+    state at its beginning; the sums over the ranges before (a row for each) tell which of the two holds and how many records come
+    before. Only records of several lines are put together from them. A quote that is never closed takes the rest of its file
+    into one record.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
+    )
+    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    blank = F.translate("value", "\r\ufeff", "") == ""
+    inside = Window.partitionBy("file", "block").orderBy("at")
+    before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    counted = lines.withColumns({"quotes": quotes, "blank": blank}).withColumn("odd", before == 1)
+    ranges = counted.groupBy("file", "block").agg(
+        F.sum("quotes").alias("quotes"), F.count_if(~F.col("odd") & ~F.col("blank")).alias("even_starts"), F.count_if(F.col("odd") & ~F.col("blank")).alias("odd_starts")
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.withColumn("open", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 1)
+    ranges = ranges.withColumn("starts", F.when(F.col("open"), F.col("odd_starts")).otherwise(F.col("even_starts")))
+    ranges = ranges.select("file", "block", "open", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("records"))
+    placed = counted.join(ranges, ["file", "block"]).withColumn("start", F.col("odd") == F.col("open"))
+    placed = placed.withColumn("goes_on", (F.col("quotes") % 2 == 1) == F.col("start")).where(~(F.col("start") & F.col("blank")))
+    number = F.col("records") + F.sum(F.col("start").cast("int")).over(inside)
+    placed = placed.select("file", number.cast("long").alias("record"), "block", "at", "value", (F.col("start") & ~F.col("goes_on")).alias("whole"))
+    several = placed.where(~F.col("whole")).groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("block", "at", "value"))).alias("parts"))
+    texts = placed.where("whole").select("file", "record", F.col("value").alias("text")).union(several.select("file", "record", F.array_join("parts.value", "\n")))
+    return texts.withColumn("text", F.regexp_replace("text", r"\r$", ""))
+
+
 def read_claim_feed(spark: SparkSession, path: str) -> DataFrame:
     """CSV files as text columns plus file and line number (the heading is line 1). A heading without a required column fails.
 
-    Quoted values may span lines, so a file is one task and many files run in parallel.
+    The files have one heading; a large file is many tasks (see ``csv_records``).
     """
-    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    rows = rows.toDF(*(c.lstrip("﻿").strip() for c in rows.columns))
-    if missing := [c for c in REQUIRED if c not in rows.columns]:
+    records = csv_records(spark, path)
+    heads = records.where("record = 1").select(F.ltrim(F.col("text"), F.lit("\ufeff")).alias("text")).distinct().limit(2).collect()
+    columns = [c.strip() for c in next(csv.reader(io.StringIO(heads[0].text, newline="")))] if heads else []
+    if missing := [c for c in REQUIRED if c not in columns]:
         raise ValueError(f"the feed lacks the columns {', '.join(missing)}")
-    rows = rows.select(*rows.columns, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("_at"))
-    order = Window.partitionBy("file").orderBy("_at")
-    return rows.withColumn("line_number", F.row_number().over(order) + 1).drop("_at")
+    if len(heads) > 1:
+        raise ValueError(f"the feed's files have different headings: {heads[0].text!r}, {heads[1].text!r}")
+    kind = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    row = F.from_csv("text", ", ".join(f"`{c}` string" for c in columns), {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+    rows = records.where("record > 1").select("file", F.col("record").cast("int").alias("line_number"), row.cast(kind).alias("r"))
+    return rows.select("r.*", "file", "line_number")
 
 
 def validate_claims(rows: DataFrame) -> DataFrame:
