@@ -11,6 +11,7 @@ from claimforge.plans.scalars import JUNK_SQL
 from claimforge.session import shared_folder
 from claimforge.sources import feeds
 from claimforge.streaming import feeds as streams
+from claimforge.streaming import ledger
 
 BATCH_SQL = """SELECT filing_id, creditor_id, part_id, line_number, (creditor_id % 3 + 1) * 1000000000 + filing_id * 10 + line_number AS arrival, name AS creditor_name, address, amount,
     CASE WHEN part_id % 4 = 0 THEN 'orig ' || CAST(part_id AS STRING) END AS original_name, CASE WHEN part_id % 2 = 0 THEN CAST(part_id % 100 AS DOUBLE) / 100 END AS confidence,
@@ -762,6 +763,20 @@ def _(t):
     return out.select("worker", F.date_format("started", "yyyy-MM-dd HH:mm:ss").alias("started"), "n")
 
 
+@query(
+    "i4b_streamed_ledger",
+    """WITH m AS (SELECT DISTINCT 'c' || user_id AS case_number, DATE '2023-11-20' + CAST(user_id % 60 AS INT) AS filed, CAST(ts AS DATE) AS day FROM events)
+      SELECT case_number, filed, CAST(count(*) AS INT) AS attempts, max(day) AS last_date FROM m GROUP BY case_number, filed HAVING filed >= (SELECT max(day) FROM m) - 45""",
+)
+def _(t):
+    """Misses of a stream, kept as state by case; cases filed over 45 days before the last day are gone."""
+    path = shared_folder(t.spark, "ledger")
+    raw = t.spark.readStream.schema(JOB_STREAM).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+    filed = F.date_add(F.lit("2023-11-20").cast("date"), (F.col("user_id") % 60).cast("int"))
+    misses = raw.select(F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("case_number"), filed.alias("filed"), F.date_trunc("day", F.col("ts").cast("timestamp")).alias("missed_on"))
+    return ledger.miss_ledger(misses, path)
+
+
 ARRIVAL = "least(6, CAST(floor((day(created_at) - 1) / 5) AS INT)) + CASE WHEN job_id % 13 = 0 THEN 2 WHEN job_id % 11 = 0 THEN 1 ELSE 0 END"
 
 
