@@ -638,6 +638,48 @@ def _(t):
     return out.select("filing_id", "cluster_id", "claim_amount", "n_rows", F.concat_ws(",", F.col("line_numbers").cast("array<string>")).alias("line_numbers"), "confidence")
 
 
+# Names of one token set in several spellings; clusters are the keys that have the same tokens.
+SPELLED_SQL = r"""SELECT row_id, filing_id, CASE CAST(row_id % 4 AS INT) WHEN 0 THEN upper(name) WHEN 1 THEN replace(name, '#', ' # ') WHEN 2 THEN name || '.' ELSE name END AS name, address, claim_amount, line_number, confidence
+  FROM (SELECT filing_id * 1000000000 + creditor_id * 100000 + part_id AS row_id, CAST(floor(filing_id / 8) AS BIGINT) AS filing_id, s_name || CASE part_id % 3 WHEN 0 THEN ' Corp' WHEN 1 THEN ' Corporation' ELSE '' END AS name,
+    CAST(creditor_id % 9 AS STRING) || ' Main St' AS address, max(amount) AS claim_amount, max(line_number) AS line_number, CAST(part_id % 7 AS DOUBLE) / 10 AS confidence
+    FROM claims JOIN supplier ON creditor_id = s_suppkey GROUP BY filing_id, creditor_id, part_id, s_name) b"""
+CLUSTER_SQL = rf"""k AS (SELECT *, list_sort(list_distinct(string_split(trim(regexp_replace(regexp_replace(lower(name || ' ' || address), '[^\w\s]', ' ', 'g'), '\s+', ' ', 'g')), ' '))) AS w FROM ({SPELLED_SQL})),
+  c AS (SELECT *, min(row_id) OVER (PARTITION BY filing_id, w) AS cluster_id FROM k)"""
+
+
+def _spelled_clusters(t):
+    """Pairs of equal token sets, as links of each row with the least of its filing and tokens, to clusters."""
+    rows = fuzzy.keyed(_fuzzy_rows(t).withColumn("name", F.expr("CASE CAST(row_id % 4 AS INT) WHEN 0 THEN upper(name) WHEN 1 THEN replace(name, '#', ' # ') WHEN 2 THEN name || '.' ELSE name END")))
+    pairs = fuzzy.likely_pairs(rows)
+    keys = rows.select("row_id", "key")
+    both = pairs.join(keys.toDF("left_id", "a"), "left_id").join(keys.toDF("right_id", "b"), "right_id")
+    return fuzzy.cluster(rows, both.where(fuzzy.token_jaccard(F.col("a"), F.col("b")) >= 0.99))
+
+
+@query("d3b_token_clusters", f"WITH {CLUSTER_SQL} SELECT row_id, cluster_id FROM c")
+def _(t):
+    return _spelled_clusters(t).select("row_id", "cluster_id")
+
+
+@query(
+    "d4b_merged_spellings",
+    f"""WITH {CLUSTER_SQL},
+      o AS (SELECT *, row_number() OVER (PARTITION BY filing_id, cluster_id ORDER BY confidence DESC, length(name) DESC, row_id) AS place FROM c),
+      g AS (SELECT filing_id, cluster_id, min(CASE WHEN place = 1 THEN name END) AS name, CAST(sum(claim_amount) AS DECIMAL(15,2)) AS claim_amount, max(confidence) AS confidence, count(*) AS n_rows,
+        array_to_string(list_sort(list(DISTINCT line_number)), ',') AS line_numbers, list(DISTINCT name) AS names FROM o GROUP BY filing_id, cluster_id),
+      m AS (SELECT filing_id, cluster_id, string_agg(x, '|' ORDER BY lower(x), x) AS rest FROM (SELECT filing_id, cluster_id, name, unnest(names) AS x FROM g) WHERE x <> name GROUP BY filing_id, cluster_id)
+      SELECT g.* EXCLUDE (names), CASE WHEN n_rows > 1 THEN concat_ws('|', name, rest) END AS merged_names FROM g LEFT JOIN m USING (filing_id, cluster_id)""",
+)
+def _(t):
+    out = fuzzy.merge_clusters(_spelled_clusters(t))
+    return out.select("filing_id", "cluster_id", "name", "claim_amount", "confidence", "n_rows", F.concat_ws(",", F.col("line_numbers").cast("array<string>")).alias("line_numbers"), "merged_names")
+
+
+@query("a4b_spelling_stats", f"WITH {CLUSTER_SQL} SELECT filing_id, count(*) AS original_count, count(DISTINCT cluster_id) AS deduped_count, count(*) - count(DISTINCT cluster_id) AS duplicates_removed FROM c GROUP BY filing_id")
+def _(t):
+    return fuzzy.dedup_stats(_spelled_clusters(t))
+
+
 @query("d_deduplicated_creditors")
 def _(t):
     return fuzzy.deduplicate(_fuzzy_rows(t))
