@@ -168,7 +168,7 @@ def jaccard_components(
     near: float = 0.45,
     cell_shingles: int = 2_000_000,
     cell_docs: int = 2_000,
-    part_docs: int = 8,
+    part_docs: int = 2_000,
     broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Per row ``n_shingles`` and ``component_id``: the least id reachable over links, its own included.

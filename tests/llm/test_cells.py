@@ -126,6 +126,6 @@ def test_blocks_of_the_far_region_get_pivots_of_their_own(documents, monkeypatch
     rows += [(200 + k, " ".join(chain[k : k + 90])) for k in range(0, 100, 2)]
     split, seen = jaccard_join._split, []
     monkeypatch.setattr(jaccard_join, "_split", lambda *a, **k: seen.append(1) or split(*a, **k))
-    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, pivots=0).collect()
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, pivots=0, part_docs=8).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
     assert seen
