@@ -98,16 +98,26 @@ def pipeline_status(
 PROFILE = "https://example.org/company/{id}/overview"
 
 
-def _report_creditors(creditors: DataFrame, profile: str) -> DataFrame:
-    """The creditors that reports show, with all that a creditor alone decides: texts are parsed once for each, not for each of its filings."""
-    return creditors.where(F.col("is_company") & ~names.is_junk_name(F.col("name"))).select(
+def is_shown() -> Column:
+    """Whether reports show a creditor."""
+    return F.col("is_company") & ~names.is_junk_name(F.col("name"))
+
+
+def report_facts(creditors: DataFrame, profile: str, *more: Column) -> DataFrame:
+    """All that a creditor alone decides of its report row: texts are parsed once for each, not for each of its filings."""
+    return creditors.select(
         "creditor_id", names.shown_name(F.col("original_name"), F.col("name")).alias("creditor"), places.address_city(F.col("address")).alias("city"),
         places.found(F.col("address"), places.ADDRESS_STATE).alias("_home"), money.dollars(F.col("claim_amount")).alias("claim"),
         places.filled_template(F.col("company_id"), profile).alias("profile_url"), F.col("company_tier").alias("tier"), F.col("created_on").alias("_made"),
+        *more,
     )
 
 
-def _report_columns() -> list[Column | str]:
+def _report_creditors(creditors: DataFrame, profile: str) -> DataFrame:
+    return report_facts(creditors.where(is_shown()), profile)
+
+
+def report_columns() -> list[Column | str]:
     state = F.upper(F.coalesce("_home", F.nullif(F.trim("state"), F.lit("")))).alias("state")
     return ["creditor", "city", state, "claim", "status", "profile_url"]
 
@@ -131,7 +141,7 @@ def report_rows(creditors: DataFrame, links: DataFrame, filings: DataFrame, stat
     new = shown.where(F.col("_made") >= day).select("creditor_id")
     of_new_creditors = pairs.join(new, "creditor_id", "left_semi").join(filings.where(F.coalesce(F.col("created_on") < day, F.lit(True))), "filing_id")
     joined = of_new_filings.unionByName(of_new_creditors).distinct().join(shown, "creditor_id").join(status, "creditor_id")
-    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *_report_columns(), "tier")
+    return joined.select("creditor_id", "filing_id", "debtor_name", "case_number", "filing_date", *report_columns(), "tier")
 
 
 def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, status: DataFrame, since: str, profile: str = PROFILE) -> DataFrame:
@@ -145,7 +155,7 @@ def report_flat(creditors: DataFrame, links: DataFrame, filings: DataFrame, stat
     new = shown.where(F.col("_made") >= day).select("creditor_id").join(recent, "creditor_id", "left_anti")
     older = linking.latest_filing(pairs.join(new, "creditor_id", "left_semi"), filings).select("creditor_id", "state")
     some = new.join(older, "creditor_id", "left").select("creditor_id", "state").union(recent)
-    return shown.join(some, "creditor_id").join(status, "creditor_id").select("creditor_id", *_report_columns())
+    return shown.join(some, "creditor_id").join(status, "creditor_id").select("creditor_id", *report_columns())
 
 
 def report_envelope(rows: DataFrame) -> DataFrame:

@@ -19,7 +19,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 _LOG = "writer string, number long, ready string, buckets int, at timestamp"
 
 
-def _log(spark: SparkSession, path: str) -> DataFrame:
+def notes(spark: SparkSession, path: str) -> DataFrame:
+    """What has been noted under ``path``; a row or two for each batch."""
     try:
         return spark.read.schema(_LOG).parquet(f"{path}/log")
     except AnalysisException as e:  # no batch has come yet
@@ -28,7 +29,7 @@ def _log(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], _LOG)
 
 
-def _note(spark: SparkSession, path: str, writer: str, number: int, ready: str | None, buckets: int) -> None:
+def note(spark: SparkSession, path: str, writer: str, number: int, ready: str | None = None, buckets: int = 0) -> None:
     row = spark.createDataFrame([(writer, number, ready, buckets)], "writer string, number long, ready string, buckets int")
     row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/log")
 
@@ -39,12 +40,12 @@ def _bucket(keys: list[str], buckets: int) -> Column:
 
 def _finish(spark: SparkSession, path: str, schema: StructType) -> list:
     """Overwrite from a batch that is ready but not done, if one is; the log's rows."""
-    log = _log(spark, path).collect()  # a row or two for each batch
+    log = notes(spark, path).collect()  # a row or two for each batch
     done = {(r.writer, r.number) for r in log if r.ready is None}
     for r in log:
         if r.ready is not None and (r.writer, r.number) not in done:
             _overwrite(spark, path, r, schema)
-            return _log(spark, path).collect()
+            return notes(spark, path).collect()
     return log
 
 
@@ -52,7 +53,7 @@ def _overwrite(spark: SparkSession, path: str, r, schema: StructType) -> None:
     whole = StructType([*schema.fields, StructField("bucket", IntegerType())])
     rows = spark.read.schema(whole).parquet(r.ready).repartition("bucket")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{path}/rows")
-    _note(spark, path, r.writer, r.number, None, r.buckets)
+    note(spark, path, r.writer, r.number, None, r.buckets)
 
 
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -63,6 +64,22 @@ def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(whole).parquet(f"{path}/rows").select(schema.names)
 
 
+def lookup(wanted: DataFrame, path: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """The store's rows with the ``keys`` of a row of ``wanted``; folders where none can lie are not read.
+
+    The driver gets the numbers of those folders. Keys of ``wanted`` must have the store's types, as their hash depends on them.
+    """
+    spark = wanted.sparkSession
+    log = _finish(spark, path, schema)
+    if not log:
+        return spark.createDataFrame([], schema)
+    some = wanted.select(*keys).distinct()
+    touched = [r.bucket for r in some.select(_bucket(keys, log[0].buckets).alias("bucket")).distinct().collect()]
+    whole = StructType([*schema.fields, StructField("bucket", IntegerType())])
+    rows = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched))
+    return rows.join(some, keys, "left_semi").select(schema.names)
+
+
 def merge(path: str, batch: DataFrame, keys: list[str], combine: Callable[[DataFrame], DataFrame], writer: str, number: int, buckets: int = 64) -> bool:
     """Merge batch ``number`` of ``writer`` into the store under ``path``; False if it is there already.
 
@@ -84,7 +101,7 @@ def merge(path: str, batch: DataFrame, keys: list[str], combine: Callable[[DataF
         old = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched))
     merged = combine(old.union(placed).drop("bucket")).select(batch.columns)
     merged.withColumn("bucket", _bucket(keys, buckets)).write.mode("overwrite").parquet(ready)
-    _note(spark, path, writer, number, ready, buckets)
+    note(spark, path, writer, number, ready, buckets)
     _finish(spark, path, batch.schema)
     return True
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimforge.functions import names
-from claimforge.operators import aggregates, linking, ranking
+from claimforge.operators import aggregates, linking, maintained_report, ranking
 from claimforge.plans.registry import query
 from claimforge.plans.scalars import CITY_SQL, COURT_SQL, DOLLARS_SQL, FEED_STATE_SQL, JUNK_SQL, LOSS_SQL, NAME_SQL, NORM_SQL, STATE_SQL
+from claimforge.session import shared_folder
 from claimforge.sources import feeds
 
 LINKS_SQL = """(SELECT creditor_id, filing_id FROM links JOIN (SELECT creditor_id FROM creditors) USING (creditor_id)
@@ -256,16 +257,42 @@ def _(t):
     return aggregates.report_envelope(report(t))
 
 
-@query(
-    "a9_flat_report",
-    f"""WITH n AS (SELECT creditor_id, filing_id, created_on AS newest, state FROM {LINKS_SQL} l JOIN filings USING (filing_id) QUALIFY row_number() OVER (PARTITION BY creditor_id ORDER BY created_on DESC, filing_id DESC) = 1)
-      SELECT c.creditor_id, {SHOWN_SQL} FROM creditors c LEFT JOIN n f ON f.creditor_id = c.creditor_id JOIN ({STATUS_SQL}) s ON s.creditor_id = c.creditor_id
-      WHERE is_company AND NOT {JUNK_SQL} AND (c.created_on >= DATE '2001-07-20' OR newest >= DATE '2001-07-20')""",
-)
+A9_SQL = f"""WITH n AS (SELECT creditor_id, filing_id, created_on AS newest, state FROM {LINKS_SQL} l JOIN filings USING (filing_id) QUALIFY row_number() OVER (PARTITION BY creditor_id ORDER BY created_on DESC, filing_id DESC) = 1)
+  SELECT c.creditor_id, {SHOWN_SQL} FROM creditors c LEFT JOIN n f ON f.creditor_id = c.creditor_id JOIN ({STATUS_SQL}) s ON s.creditor_id = c.creditor_id
+  WHERE is_company AND NOT {JUNK_SQL} AND (c.created_on >= DATE '2001-07-20' OR newest >= DATE '2001-07-20')"""
+
+
+@query("a9_flat_report", A9_SQL)
 def _(t):
     return aggregates.report_flat(t.creditors, t.links, t.filings, _status(t), "2001-07-20")
 
 
+def kept_reports(t) -> str:
+    """The tables as three batches of changes in a store of reports: two thirds of the ties come before their filings, and every third job is queued first."""
+    path, later = shared_folder(t.spark, "kept-reports"), F.col("created_at") - F.expr("INTERVAL 1 HOUR")
+    for k in range(3):
+        part = lambda df, key, k=k: df.where(F.col(key) % 3 == k)
+        jobs = part(t.jobs, "job_id")
+        if k == 0:
+            jobs = jobs.unionByName(part(t.jobs, "job_id", 2).withColumn("status", F.lit("queued")).withColumn("created_at", later))
+        changes = {
+            "filings": part(t.filings, "filing_id"), "creditors": part(t.creditors, "creditor_id"), "links": part(t.links, "filing_id", (k + 1) % 3), "jobs": jobs,
+            "synced": part(t.creditors, "creditor_id").where("creditor_id % 8 = 0"), "contacts": part(t.creditors, "creditor_id").where("creditor_id % 8 = 1"),
+        }
+        maintained_report.apply(t.spark, path, k, changes, buckets=8)
+    return path
+
+
+@query("a8c_maintained_report", A8_SQL.replace("{0}", SINCE))
+def _(t):
+    return maintained_report.report_rows(t.spark, kept_reports(t), SINCE)
+
+
+@query("a9c_maintained_flat", A9_SQL)
+def _(t):
+    return maintained_report.report_flat(t.spark, kept_reports(t), "2001-07-20")
+
+
 LABEL_SQL = "CASE tier WHEN 1 THEN 'Enterprise' WHEN 2 THEN 'Mid-Market' WHEN 3 THEN 'SMB' ELSE '—' END"
 A19_SQL = f"""WITH r AS ({A8_SQL}),
   l AS (SELECT *, '• ' || creditor || ' | ' || concat_ws(', ', city, state) || ' | ' || claim || ' | ' || {LABEL_SQL} || ' | ' || status AS line,
@@ -296,8 +323,6 @@ def _(t):
 
 @query("s7_exported_messages", f"SELECT case_number, length(text) AS size FROM ({A19_SQL.replace('{0}', '2001-07-01')})")
 def _(t):
-    from claimforge.session import shared_folder
-
     path = shared_folder(t.spark, "messages")
     aggregates.report_messages(report(t, "2001-07-01")).write.json(path)
     return t.spark.read.schema("case_number string, text string").json(path).select("case_number", F.length("text").cast("long").alias("size"))
