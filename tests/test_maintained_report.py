@@ -83,8 +83,8 @@ def test_each_of_five_batches(spark):
 
 
 @pytest.mark.parametrize("fails_at", [0, 2, 7])
-def test_stopped_between_any_two_steps(spark, monkeypatch, fails_at):
-    """The second of two batches stops at one of its writes, before or after the log; the next call goes on."""
+def test_stopped_at_a_note(spark, monkeypatch, fails_at):
+    """The second of two batches stops where its plan or a step of a store would be noted; the next call goes on."""
     path, batches = shared_folder(spark, "kept"), some_changes(2, seed=fails_at)
     kept.apply(spark, path, 0, frames(spark, batches[0]), buckets=2)
     steps, note = [0], keyed_store.note
