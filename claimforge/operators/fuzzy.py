@@ -4,15 +4,19 @@ The score compares keys as sets of tokens. It reaches a threshold in three ways:
 the other, nearly so, or the tokens that are not common are spelled alike. The first two
 leave one of a key's rarest tokens common, the third most pairs of letters. Both bounds follow
 from the threshold alone, so an index of rare tokens and a count of common pairs of letters, made for whole blocks
-of texts of like length as a matrix product, together lose no pair; only what they leave is scored.
+of texts of like length as a matrix product, together lose no pair; only what they leave is scored. Groups of few rows are solved
+where their rows meet, by one shuffle: neither their pairs nor their links leave the task.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -274,6 +278,195 @@ def likely_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id
     return few.select("by", "left_id", "right_id").union(found).withColumnRenamed("by", by)
 
 
+class _Texts:
+    """Token texts (distinct tokens in order, one blank between) as arrays: tokens by number, their lengths, and which characters they are."""
+
+    def __init__(self, texts: pa.Array):
+        self.texts = texts
+        words = pc.split_pattern(texts, " ")
+        coded = words.flatten().dictionary_encode()
+        size = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        size[pc.utf8_length(texts).to_numpy(zero_copy_only=False) == 0] = 0
+        row, width = np.repeat(np.arange(len(size)), np.maximum(size, 1)), max(1, int(size.max(initial=0)))
+        at = np.arange(len(row)) - np.repeat(np.cumsum(np.maximum(size, 1)) - np.maximum(size, 1), np.maximum(size, 1))
+        self.size, self.token, self.length = size, np.full((len(size), width), -1, np.int32), np.zeros((len(size), width), np.int64)
+        known = at < size[row]
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        self.token[row[known], at[known]] = code[known]
+        self.length[row[known], at[known]] = pc.utf8_length(coded.dictionary).to_numpy(zero_copy_only=False)[code[known]]
+
+    def bits(self) -> bool:
+        """Makes masks of 64 bits, a bit for a character; false if a text is too long or the letters are too many."""
+        codes, ends = _codes(pd.Series(self.texts.to_pylist(), dtype=object))
+        if int(np.diff(ends).max(initial=0)) > 64 or len(codes) == 0:
+            return False
+        met = np.zeros(int(codes.max()) + 1, bool)
+        met[codes] = True
+        self.letters = int(np.count_nonzero(met)) + 1
+        if self.letters > 200:
+            return False
+        self.codes = _padded(np.cumsum(met, dtype=np.uint8)[codes], ends, np.arange(len(self.size)), int(np.diff(ends).max()), 0)
+        self.places = np.zeros((len(self.size), self.letters), np.uint64)
+        for k in range(self.codes.shape[1]):
+            self.places[np.arange(len(self.size)), self.codes[:, k]] |= np.uint64(1) << np.uint64(k)
+        begin = np.cumsum(self.length + 1, axis=1) - self.length - 1
+        one = lambda n: np.where(n < 64, np.uint64(1) << np.minimum(n, 63).astype(np.uint64), np.uint64(0))
+        self.word, self.blank = one(begin + self.length) - one(begin), one(begin + self.length)
+        return True
+
+    def own(self, rows: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """The bits of the tokens that are not common, with the blanks between them."""
+        out, later = np.zeros(len(rows), np.uint64), np.zeros(len(rows), bool)
+        for w in range(self.token.shape[1] - 1, -1, -1):
+            mine = (self.token[rows, w] >= 0) & ~common[:, w]
+            out |= np.where(mine, self.word[rows, w], np.uint64(0)) | np.where(mine & later, self.blank[rows, w], np.uint64(0))
+            later |= mine
+        return out
+
+    def text(self, row: int, common: np.ndarray) -> str:
+        return " ".join(x for x, c in zip(self.texts[int(row)].as_py().split(" "), common) if not c)
+
+    def common_lengths(self, i: np.ndarray, j: np.ndarray, in_i: np.ndarray, in_j: np.ndarray) -> np.ndarray:
+        """As ``common_lengths`` of what is own to each of the pairs' texts."""
+        if not hasattr(self, "able"):
+            self.able = self.bits()
+        if not self.able:
+            return common_lengths(*(pd.Series([self.text(r, c) for r, c in zip(rows, common)], dtype=object) for rows, common in ((i, in_i), (j, in_j))))
+        out = np.zeros(len(i), np.int64)
+        left, right = self.own(i, in_i), self.own(j, in_j)
+        for at in range(0, len(i), 16384):
+            part = slice(at, at + 16384)
+            codes, base, held = self.codes[j[part]].T.astype(np.int64), i[part] * self.letters, self.places.ravel()
+            row, a, b = np.full(codes.shape[1], ~np.uint64(0), np.uint64), left[part], right[part]
+            for k in range(codes.shape[0]):
+                on = (b >> np.uint64(k)) & np.uint64(1)
+                if on.any():
+                    hit = row & held[base + codes[k]] & a & (np.uint64(0) - on)
+                    row = (row + hit) | (row & ~hit)
+            out[part] = np.bitwise_count(~row)
+        return out
+
+
+def _group_links(groups: pa.ListArray, jaccard: bool, threshold: float, at_once: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of lists of token texts: places ``i < j`` (among all texts of all lists) of pairs in one list that reach the threshold, and their scores."""
+    size = pc.list_value_length(groups).to_numpy(zero_copy_only=False).astype(np.int64)
+    every, ends = groups.flatten(), np.concatenate(([0], np.cumsum(size)))
+    slices = np.cumsum(size * (size - 1) // 2) // at_once
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(slices)) + 1, [len(size)]))
+    for g0, g1 in zip(cuts[:-1], cuts[1:]):
+        lo, hi = int(ends[g0]), int(ends[g1])
+        if hi - lo < 2:
+            continue
+        texts = _Texts(every.slice(lo, hi - lo))
+        after = np.repeat(ends[g0 + 1 : g1 + 1], size[g0:g1]) - 1 - np.arange(lo, hi)  # rows of the same list behind each
+        i = np.repeat(np.arange(hi - lo), after)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(after) - after, after)
+        full = (texts.size[i] > 0) & (texts.size[j] > 0)
+        i, j = i[full], j[full]
+        one, two = texts.token[i], texts.token[j]
+        in_i, in_j = np.zeros(one.shape, bool), np.zeros(two.shape, bool)
+        for w in range(two.shape[1]):
+            same = (one == two[:, w : w + 1]) & (two[:, w : w + 1] >= 0)
+            in_i |= same
+            in_j[:, w] = same.any(axis=1)
+        n = in_i.sum(axis=1)
+        if jaccard:
+            score = n / np.maximum(texts.size[i] + texts.size[j] - n, 1)
+        else:
+            joined = lambda rows, chosen, n: (texts.length[rows] * chosen).sum(axis=1) + np.maximum(n - 1, 0)
+            s, n_one, n_two = joined(i, in_i, n), joined(i, ~in_i, texts.size[i] - n), joined(j, ~in_j, texts.size[j] - n)
+            p = np.minimum(s, 1)
+            first, second = s + p + n_one, s + p + n_two
+            shared = np.where(s > 0, np.maximum(1 - (p + n_one) / np.maximum(s + first, 1), 1 - (p + n_two) / np.maximum(s + second, 1)), 0.0)
+            shared[(s > 0) & ((n_one == 0) | (n_two == 0))] = 1.0
+            able = np.flatnonzero((shared < 1) & (100 * (1 - np.abs(n_one - n_two) / (first + second)) >= threshold - 1e-9))
+            letters = texts.common_lengths(i[able], j[able], in_i[able], in_j[able])
+            score = shared
+            score[able] = np.maximum(score[able], 1 - (n_one[able] + n_two[able] - 2 * letters) / (first + second)[able])
+            score = 100 * score
+        good = score >= threshold
+        yield i[good] + lo, j[good] + lo, score[good]
+
+
+def _parted(rows: DataFrame, by: str, small: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of groups of up to ``small`` rows, and the others (null groups included) if there are any."""
+    large = materialize(rows.groupBy(by).agg(F.count("*").alias("_n")).where((F.col("_n") > small) | F.col(by).isNull()).select(F.col(by).alias("_large")), "large-groups")
+    if large.isEmpty():
+        return rows, None
+    met = F.col(by).eqNullSafe(F.col("_large"))
+    return rows.join(large, met, "left_anti"), rows.join(large, met, "left_semi")
+
+
+def _gathered(rows: DataFrame, by: str, identity: str) -> DataFrame:
+    """A row for each group with its ``members`` in the order of their identities, and their ``texts``: sorted tokens."""
+    text = F.array_join(F.sort_array(_tokens(F.col("key"))), " ").alias("_text")
+    others = [c for c in rows.columns if c not in (by, identity)]
+    member = F.struct(identity, text, *others)
+    return rows.groupBy(by).agg(F.sort_array(F.collect_list(member)).alias("members")).select(by, "members", F.col("members._text").alias("texts"))
+
+
+def small_group_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0, jaccard: bool = False) -> DataFrame:
+    """Pairs ``by, left_id < right_id, score`` of groups that each fit a task; ``jaccard``: by the share of common tokens, 0 to 1."""
+    kind = {f.name: f.dataType for f in rows.schema}
+    groups = _gathered(rows.select(by, identity, "key"), by, identity).select(by, F.col(f"members.{identity}").alias("ids"), "texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(1), batch.column(2)
+            group = np.repeat(np.arange(len(ids)), pc.list_value_length(ids).to_numpy(zero_copy_only=False))
+            flat = ids.flatten()
+            for i, j, score in _group_links(texts, jaccard, threshold):
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(group[i])), flat.take(pa.array(i)), flat.take(pa.array(j)), pa.array(score)], [by, "left_id", "right_id", "score"])
+
+    shape = T.StructType([T.StructField(by, kind[by]), T.StructField("left_id", kind[identity]), T.StructField("right_id", kind[identity]), T.StructField("score", T.DoubleType())])
+    return groups.mapInArrow(run, shape).where("left_id < right_id")
+
+
+def small_group_clusters(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0, jaccard: bool = False) -> DataFrame:
+    """Rows with ``cluster_id``, the least identity of those that links of one group reach, for groups that each fit a task."""
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def least(texts: pa.Array) -> pa.Array:
+        size = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate(([0], np.cumsum(size)))
+        label = np.arange(ends[-1])
+        for i, j, _ in _group_links(texts, jaccard, threshold):
+            while (label[i] != label[j]).any():
+                to = np.minimum(label[i], label[j])
+                np.minimum.at(label, label[i], to)
+                np.minimum.at(label, label[j], to)
+                label[i], label[j] = label[label[i]], label[label[j]]
+        while (label[label] != label).any():
+            label = label[label]
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(label - np.repeat(ends[:-1], size), pa.int32()))
+
+    groups = _gathered(rows, by, identity).select(by, "members", least("texts").alias("least"))
+    each = groups.select(by, F.col(f"members.{identity}").alias("_ids"), F.inline(F.arrays_zip("members", "least")))
+    return each.select(*(F.col(c) if c == by else F.col(f"members.{c}").alias(c) for c in rows.columns), F.get("_ids", F.col("least")).alias("cluster_id"))
+
+
+def jaccard_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 0.99, small: int = 200, most: int = 1000) -> DataFrame:
+    """All pairs of a group with that share of common tokens. Groups of more than ``small`` rows are met in slices of ``most``."""
+    few, many = _parted(rows, by, small)
+    out = small_group_pairs(few, by, identity, threshold, True).select("left_id", "right_id")
+    if many is None:
+        return out
+    keys = many.select(identity, "key")
+    both = candidate_pairs(many, by, identity, most).join(keys.toDF("left_id", "a"), "left_id").join(keys.toDF("right_id", "b"), "right_id")
+    return out.union(both.where(token_jaccard(F.col("a"), F.col("b")) >= threshold).select("left_id", "right_id"))
+
+
+def jaccard_clusters(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 0.99, small: int = 200) -> DataFrame:
+    """Rows with the least row of their cluster under links of that share of common tokens."""
+    few, many = _parted(rows, by, small)
+    out = small_group_clusters(few, by, identity, threshold, True)
+    if many is None:
+        return out
+    keys = many.select(identity, "key")
+    both = likely_pairs(many, by, identity).join(keys.toDF("left_id", "a"), "left_id").join(keys.toDF("right_id", "b"), "right_id")
+    return out.unionByName(cluster(many, both.where(token_jaccard(F.col("a"), F.col("b")) >= threshold), identity))
+
+
 def scored_links(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0) -> tuple[DataFrame, DataFrame]:
     """Scored pairs of the least rows of equal keys, and each row with that row as ``first_id``.
 
@@ -286,16 +479,20 @@ def scored_links(rows: DataFrame, by: str = "filing_id", identity: str = "row_id
     return pairs, members
 
 
-def all_scored_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0) -> DataFrame:
+def all_scored_pairs(rows: DataFrame, by: str = "filing_id", identity: str = "row_id", threshold: float = 85.0, small: int = 200) -> DataFrame:
     """Every pair of rows of a group that scores ``threshold``; as many as there are."""
-    pairs, members = scored_links(rows, by, identity, threshold)
+    few, many = _parted(rows, by, small)
+    found = small_group_pairs(few, by, identity, threshold).select("left_id", "right_id", "score")
+    if many is None:
+        return found
+    pairs, members = scored_links(many, by, identity, threshold)
     members = materialize(members, "members").select("id", "first_id")
     same = members.alias("x").join(members.alias("y"), F.expr("x.first_id = y.first_id AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.lit(100.0).alias("score"))
     other = (
         pairs.join(members.select(F.col("id").alias("a"), F.col("first_id").alias("left_id")), "left_id")
         .join(members.select(F.col("id").alias("b"), F.col("first_id").alias("right_id")), "right_id").select("a", "b", "score")
     )
-    return same.union(other).select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"), "score")
+    return found.union(same.union(other).select(F.least("a", "b").alias("left_id"), F.greatest("a", "b").alias("right_id"), "score"))
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -331,9 +528,13 @@ def dedup_stats(rows: DataFrame, by: str = "filing_id") -> DataFrame:
     )
 
 
-def deduplicate(rows: DataFrame, by: str = "filing_id", threshold: float = 85.0) -> DataFrame:
+def deduplicate(rows: DataFrame, by: str = "filing_id", threshold: float = 85.0, small: int = 200) -> DataFrame:
     """All of the above. ``rows`` has ``row_id, name, address, claim_amount, confidence, line_number``."""
-    with_keys = keyed(rows)
+    few, many = _parted(rows, by, small)
+    out = merge_clusters(small_group_clusters(keyed(few), by, threshold=threshold), by)
+    if many is None:
+        return out
+    with_keys = keyed(many)
     pairs, members = scored_links(with_keys, by, threshold=threshold)
     links = pairs.select("left_id", "right_id").union(members.where("id <> first_id").select("first_id", "id"))
-    return merge_clusters(cluster(with_keys, links), by)
+    return out.unionByName(merge_clusters(cluster(with_keys, links), by))
