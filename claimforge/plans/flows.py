@@ -40,7 +40,7 @@ def parse_documents(docs: DataFrame, known: DataFrame, tables: DataFrame, pages:
         hashed = hashed.join(aggregates.parse_mode(pages).select("doc_id", "mode"), "doc_id", "left").fillna("structured", ["mode"])
     hashed = materialize(hashed, "to-parse")
     able = hashed.where("mode <> 'rejected'")
-    kinds = extraction.classify(able, hint_col="hint" if "hint" in docs.columns else None)
+    kinds = materialize(extraction.classify(able, hint_col="hint" if "hint" in docs.columns else None), "kinds")  # each branch below picks by kind
     of = lambda rows, *which: rows.join(kinds.where(F.col("kind").isin(*which)).select("doc_id"), "doc_id", "left_semi")
 
     fields = extraction.form_fields(of(able, "form_201"), "doc_id", tables=of(tables, "form_201"))
