@@ -36,3 +36,24 @@ def test_amounts_on_the_line_after_their_sign(spark):
     docs = spark.createDataFrame([(1, "x\n1. Acme\n$\n 5.50\n2. Beta\n$\n3. Gamma\n Road\n $7\n$8")], "filing_id long, text string")
     got = [(r.block, r.name, r.address, r.claim_amount and float(r.claim_amount)) for r in extraction.numbered_creditors(docs).orderBy("block").collect()]
     assert got == [(1, "Acme", "$, 5.50", 5.5), (2, "Beta", "$", None), (3, "Gamma", "Road, $7", 7.0)]
+
+
+def test_numbered_lines_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(1, "1. Acme\nRoad")], "filing_id long, text string")
+    plan = extraction.numbered_creditors(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_junk_of_a_cell_is_told_once(spark):
+    docs = spark.createDataFrame([(1, [[["creditor name"], ["Contact", "Acme", "$5", "Reno", "$7."]]])], "doc_id long, tables array<array<array<string>>>")
+    out = extraction.table_creditors(docs)
+    assert _plan(out).count("mailing address") == 1
+    assert [(r.name, r.address, float(r.claim_amount)) for r in out.collect()] == [("Acme", "Reno", 7.0)]
+
+
+def test_sources_are_read_once(spark):
+    docs = spark.createDataFrame([(1, "Acme\nRoad\n\n1. Beta\nStreet"), (2, "1. Gamma")], "doc_id long, text string")
+    tables = spark.createDataFrame([], "doc_id long, tables array<array<array<string>>>")
+    out = extraction.extract_creditors(docs, tables)
+    assert "regexp" not in _plan(out)
+    assert sorted((r.doc_id, r.name) for r in out.collect()) == [(1, "Acme"), (1, "Beta"), (2, "Gamma")]
