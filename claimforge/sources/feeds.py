@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,19 +15,38 @@ from claimforge.functions import money, places
 REQUIRED = ("Date Filed", "Impacted Business", "City", "State", "Case Number", "Corporate Bankruptcy", "Loss")
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
+def _quotes(text: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, '"', ""))
+
+
+def _headings(spark: SparkSession, path: str, first_lines: int = 1000) -> list[str]:
+    """Up to two different first records of the files, from their first lines if all are whole there."""
+    first = lambda records: records.where("record = 1").select("file", F.ltrim(F.col("text"), F.lit("\ufeff")).alias("text"))
+    begun = first(csv_records(spark, path, first_lines)).select("text", (_quotes("text") % 2 == 1).alias("cut")).groupBy("text", "cut").agg(F.count("*").alias("n"))
+    found = begun.limit(3).collect()
+    n_files = len(spark.read.text(path).inputFiles())
+    if len(found) > 2 or any(r.cut for r in found) or sum(r.n for r in found) < n_files:  # cut, blank or different ones
+        return [r.text for r in first(csv_records(spark, path)).select("text").distinct().limit(2).collect()]
+    return [r.text for r in found]
+
+
+def csv_records(spark: SparkSession, path: str, first_lines: int | None = None) -> DataFrame:
     """The records of CSV files as text: ``file, record, text``, counted from 1 in each file without blank ones.
 
     Quoted values may span lines, yet a file is read by as many tasks as its size asks for. A line begins a record if the
     number of quotes before it in the file is even. Each byte range counts its quotes, and its records for either
     state at its beginning; the sums over the ranges before (a row for each) tell which of the two holds and how many records come
     before. Only records of several lines are put together from them. A quote that is never closed takes the rest of its file
-    into one record.
+    into one record. With ``first_lines`` only so many
+    lines of each file's first byte range are taken, so the last record may be cut.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value"
     )
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    if first_lines is not None:
+        begin = lines.where("block = 0").groupBy("file").agg(F.min("at").alias("_begin"))
+        lines = lines.join(F.broadcast(begin), "file").where((F.col("block") == 0) & (F.col("at") < F.col("_begin") + first_lines)).drop("_begin")
+    quotes = _quotes("value")
     blank = F.translate("value", "\r\ufeff", "") == ""
     inside = Window.partitionBy("file", "block").orderBy("at")
     before = F.coalesce(F.sum("quotes").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
@@ -54,12 +73,12 @@ def read_claim_feed(spark: SparkSession, path: str) -> DataFrame:
     The files have one heading; a large file is many tasks (see ``csv_records``).
     """
     records = csv_records(spark, path)
-    heads = records.where("record = 1").select(F.ltrim(F.col("text"), F.lit("\ufeff")).alias("text")).distinct().limit(2).collect()
-    columns = [c.strip() for c in next(csv.reader(io.StringIO(heads[0].text, newline="")))] if heads else []
+    heads = _headings(spark, path)
+    columns = [c.strip() for c in next(csv.reader(io.StringIO(heads[0], newline="")))] if heads else []
     if missing := [c for c in REQUIRED if c not in columns]:
         raise ValueError(f"the feed lacks the columns {', '.join(missing)}")
     if len(heads) > 1:
-        raise ValueError(f"the feed's files have different headings: {heads[0].text!r}, {heads[1].text!r}")
+        raise ValueError(f"the feed's files have different headings: {heads[0]!r}, {heads[1]!r}")
     kind = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     row = F.from_csv("text", ", ".join(f"`{c}` string" for c in columns), {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
     rows = records.where("record > 1").select("file", F.col("record").cast("int").alias("line_number"), row.cast(kind).alias("r"))

@@ -57,3 +57,15 @@ def test_sources_are_read_once(spark):
     out = extraction.extract_creditors(docs, tables)
     assert "regexp" not in _plan(out)
     assert sorted((r.doc_id, r.name) for r in out.collect()) == [(1, "Acme"), (1, "Beta"), (2, "Gamma")]
+
+
+def test_headings_come_from_first_lines(spark, tmp_path):
+    from claimforge.sources import feeds
+
+    for name, text in (("a", 'x,"y\nz"\n1,2\n'), ("b", '\n\nx,"y\nz"\n3,4\n5,6\n')):
+        (tmp_path / f"{name}.csv").write_text(text)
+    assert feeds.csv_records(spark, str(tmp_path), 3).count() == 3  # a: both records; b: a cut one
+    for n in (1, 3, 1000):  # cut ones are read whole
+        assert feeds._headings(spark, str(tmp_path), n) == ['x,"y\nz"']
+    (tmp_path / "c.csv").write_text("other\n")
+    assert sorted(feeds._headings(spark, str(tmp_path))) == ["other", 'x,"y\nz"']
