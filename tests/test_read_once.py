@@ -59,6 +59,14 @@ def test_sources_are_read_once(spark):
     assert sorted((r.doc_id, r.name) for r in out.collect()) == [(1, "Acme"), (1, "Beta"), (2, "Gamma")]
 
 
+def test_bodies_are_parsed_once(spark):
+    """Of a body's JSON, its person and the full name none is put into a filter again, also when a later step filters by the name."""
+    bodies = ['{"data":[{"attributes":{"firstName":"A","last_name":"B","score":"2","title":"x"}},{"title":"y"}]}', '{"message":"none","name":"C"}', '{"fullName":" D "}', "null", "{", None]
+    out = extraction.contact_responses(spark.createDataFrame(list(enumerate(bodies)), "creditor_id int, body string")).where("trim(full_name) <> ''")
+    assert (_plan(out).count("parseJson"), _plan(out).count("$.attributes"), _plan(out).count("$.fullName")) == (1, 1, 1)
+    assert sorted((r.creditor_id, r.place, r.full_name, r.title, r.engagement) for r in out.collect()) == [(0, 0, "A B", "x", 2.0), (2, 0, " D ", None, 0.0)]
+
+
 def test_headings_come_from_first_lines(spark, tmp_path):
     from claimforge.sources import feeds
 
