@@ -34,10 +34,15 @@ def note(spark: SparkSession, path: str, writer: str, number: int, ready: str |
     row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/log")
 
 
-def _bucket(keys: list[str], buckets: int) -> Column:
+def bucket(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def touched(rows: DataFrame, keys: list[str], buckets: int) -> list[int]:
+    """The numbers of the folders where keys of ``rows`` can lie."""
+    return [r.bucket for r in rows.select(bucket(keys, buckets).alias("bucket")).distinct().collect()]
+
+
 def _finish(spark: SparkSession, path: str, schema: StructType) -> list:
     """Overwrite from a batch that is ready but not done, if one is; the log's rows."""
     log = notes(spark, path).collect()  # a row or two for each batch
@@ -74,9 +79,8 @@ def lookup(wanted: DataFrame, path: str, schema: StructType, keys: list[str]) ->
     if not log:
         return spark.createDataFrame([], schema)
     some = wanted.select(*keys).distinct()
-    touched = [r.bucket for r in some.select(_bucket(keys, log[0].buckets).alias("bucket")).distinct().collect()]
     whole = StructType([*schema.fields, StructField("bucket", IntegerType())])
-    rows = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched))
+    rows = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched(wanted, keys, log[0].buckets)))
     return rows.join(some, keys, "left_semi").select(schema.names)
 
 
@@ -92,15 +96,14 @@ def merge(path: str, batch: DataFrame, keys: list[str], combine: Callable[[DataF
     if any((r.writer, r.number, r.ready) == (writer, number, None) for r in log):
         return False
     buckets = log[0].buckets if log else buckets
-    placed = batch.withColumn("bucket", _bucket(keys, buckets))
-    touched = [r.bucket for r in placed.select("bucket").distinct().collect()]
+    placed = batch.withColumn("bucket", bucket(keys, buckets))
     ready = f"{path}/ready/{writer}-{number}"
     old = placed.limit(0)
     if log:
         whole = StructType([*batch.schema.fields, StructField("bucket", IntegerType())])
-        old = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched))
+        old = spark.read.schema(whole).parquet(f"{path}/rows").where(F.col("bucket").isin(touched(batch, keys, buckets)))
     merged = combine(old.union(placed).drop("bucket")).select(batch.columns)
-    merged.withColumn("bucket", _bucket(keys, buckets)).write.mode("overwrite").parquet(ready)
+    merged.withColumn("bucket", bucket(keys, buckets)).write.mode("overwrite").parquet(ready)
     note(spark, path, writer, number, ready, buckets)
     _finish(spark, path, batch.schema)
     return True

@@ -114,3 +114,26 @@ def test_stream_of_changes(spark):
     assert of_store(spark, path, "2024-01-12") == of_all(spark, batches, "2024-01-12")
     plan = kept.report_rows(spark, path, "2024-01-12")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(entered), GreaterThanOrEqual(entered" in plan and "/ties" not in plan
+
+
+def test_a_batch_leaves_earlier_rows_alone(spark):
+    """Files of filings, ties and entries of earlier batches stay as they are, and each row of them is stored once outside the plans."""
+    from pathlib import Path
+
+    path, batches = shared_folder(spark, "kept"), some_changes(3, seed=4)
+    kept.apply(spark, path, 0, frames(spark, batches[0]), buckets=2)
+    files = lambda: {f: f.stat().st_mtime_ns for t in ("filings", "ties", "entries") for f in Path(path.removeprefix("file:"), t).rglob("*.parquet")}
+    before = files()
+    kept.apply(spark, path, 1, frames(spark, batches[1]), buckets=5)  # the first number of buckets counts
+    after = files()
+    assert before and all(after.get(f) == at for f, at in before.items())
+    assert {p.name for p in Path(path.removeprefix("file:")).glob("ties/batch=*/bucket=*")} <= {"bucket=0", "bucket=1"}
+    kept.apply(spark, path, 2, frames(spark, batches[2]))
+    assert of_store(spark, path, "2024-01-12") == of_all(spark, batches, "2024-01-12")
+
+
+def test_newest_filing_of_equal_and_missing_dates(spark):
+    rows = [(1, 5, "2024-01-02"), (1, 7, "2024-01-02"), (1, 9, None), (2, -3, None), (2, -8, None), (3, 2**63 - 1, "1950-01-01"), (3, -(2**63), "1950-01-01")]
+    got = kept._newest_filing(spark.createDataFrame(rows, "creditor_id long, filing_id long, created_on string").withColumn("created_on", F.to_date("created_on")))
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, 7), (2, -3), (3, 2**63 - 1)]
