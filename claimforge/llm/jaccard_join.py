@@ -14,8 +14,11 @@ triangle inequality around any pivot. Every run goes through these regions:
    sampled sizes, with windows by the same rule.
 4. In a far cell all distances to pivots are nearly 1, where no triangle inequality
    parts anything. There, sets that can link share one of their first ranked shingles,
-   distances to 64 fixed pivots (the classes of shingles by hash) drop pairs, and
-   what is left joins sets into sub-cells that no link crosses.
+   distances to 64 or more fixed pivots (the classes of shingles by hash, more of them for
+   larger sets) drop pairs, and
+   what is left joins sets into sub-cells that no link crosses. Sets that meet only in
+   crowds, as many share one of their first shingles, meet again by parts: the shingles
+   are parted by hash into more parts than two linked sets can differ in.
 5. A cell too large for a task, by shingles or by documents, gets pivots of its own
    and is parted again by rules 1 and 2. One that pivots don't part is dense: all sets
    that link with one pivot are one component already, and only the other sets are
@@ -27,6 +30,7 @@ compared by 64-bit hashes of their words.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -188,7 +192,10 @@ def jaccard_components(
     able = sets.where("n > 0 AND id IS NOT NULL")
     same = materialize(able.groupBy("print").agg(F.min("id").alias("rep")), "prints")
     reps = able.join(same.select("print", F.col("rep").alias("id")), ["print", "id"], "left_semi")
-    pairs = materialize(_candidates(reps, percent, small_region), "pairs")
+    pairs = materialize(_candidates(_first_rows(reps), percent, small_region), "pairs")
+    crowded = materialize(pairs.where("sure").select(F.explode(F.array("u", "v")).alias("id")).distinct(), "crowded")
+    parts = _part_rows(source, crowded, width, percent, common, broadcast_rows)
+    pairs = pairs.where(~F.col("sure")).union(materialize(_candidates(parts, percent, small_region), "parts"))
     blocks = connected_components(materialize(_near(pairs, reps, percent), "near"))
     blocks = blocks.select(F.col("node").alias("id"), F.concat(F.lit("far/"), "component").alias("cell"))
     cells = reps.select("id", F.explode("cells").alias("k")).select("id", F.col("k").cast("string").alias("cell"))
@@ -283,8 +290,7 @@ def dealt_sets(
                 prints, first, classes = [], [], []
                 for s, ranked in zip(sets, is_far.tolist()):
                     prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    by = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=CLASSES) if ranked else np.zeros(CLASSES, np.int64)
-                    classes.append(np.minimum(by, 255).astype(np.uint8).tobytes())
+                    classes.append(class_counts(s) if ranked else b"")
                     if ranked and len(keys):
                         at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
                         rank = np.where(keys[at] == s, counts[at], 0)
@@ -302,23 +308,119 @@ def dealt_sets(
     return source.mapInArrow(run, kinds)
 
 
+def class_counts(s: np.ndarray) -> bytes:
+    """How many shingles of a set are in each class by hash: ``CLASSES``, doubled until a class has at most 16 on average."""
+    bits = CLASSES.bit_length() - 1 + max(0, (len(s) - 1) // (16 * CLASSES)).bit_length()
+    by = np.bincount((s >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(by, 255).astype(np.uint8).tobytes()
+
+
+def class_distances(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """For pairs of sets by their ``class_counts``: in how many shingles they differ at least, by the classes of the smaller set."""
+    out = np.zeros(len(x), np.int64)
+    kinds = np.array([(len(a), len(b)) for a, b in zip(x, y)], np.int64).reshape(-1, 2)
+    for kind in np.unique(kinds, axis=0):
+        at = np.flatnonzero((kinds == kind).all(axis=1))
+        # What was cut at 255 is 255 or more as a sum, and is cut there again.
+        fewest = int(kind.min())
+        p, q = (
+            np.minimum(np.frombuffer(b"".join(c[k] for k in at.tolist()), np.uint8).reshape(len(at), fewest, -1).sum(axis=2, dtype=np.int64), 255)
+            for c in (x, y)
+        )
+        out[at] = np.abs(p - q).sum(axis=1)
+    return out
+
+
 def _lists(row: np.ndarray, value: np.ndarray, n: int, kind: pa.DataType) -> pa.ListArray:
     """One list per row out of values in the order of their rows."""
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), pa.array(value, kind))
 
 
-def _candidates(reps: DataFrame, percent: int, small: int) -> DataFrame:
-    """Pairs of documents of a far cell that share a first shingle: ``u, v, sure``.
+def _first_rows(reps: DataFrame) -> DataFrame:
+    """``s, id, n, at``: a row for each first shingle of a set, in each of its cells of the far region."""
+    return (
+        reps.select("id", F.col("n").cast("int").alias("n"), "first", F.explode("regions").alias("region"))
+        .select("id", "n", "region", F.posexplode("first").alias("at", "s"))
+        .select(F.col("s").bitwiseXOR(F.xxhash64("region")).alias("s"), "id", "n", "at")
+    )
+
+
+@functools.lru_cache(maxsize=8)
+def _size_cells(percent: int, longest: int) -> np.ndarray:
+    """Least sizes of consecutive size cells, beyond ``longest``: linked sets lie in the same cell or in neighbouring ones."""
+    least = [1]
+    while len(least) < 3 or least[-3] <= longest:
+        least.append(100 * least[-1] // percent + 1)
+    return np.array(least, np.int64)
+
+
+def part_keys(sets: list[np.ndarray], percent: int, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of which two linked sets share at least one: ``row, key``.
+
+    A set is in its own cell of sizes and in the next one. Linked sets of a cell differ in at most ``apart`` shingles,
+    so in at most that many parts; of the others the first one, in an order that depends on a part's own
+    shingles only, is among the first ``apart + 1`` of either set. Parts of many shingles that are
+    not ``common`` come first. A set with no more than ``apart`` parts that hold
+    any gives a key for that as well, and two such sets meet by it.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    if not size.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    rare = np.ones(len(flat), np.int64)
+    if len(common):
+        rare[common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat] = 0
+    least = _size_cells(percent, 1 << int(size.max()).bit_length())
+    rows, keys = [], []
+    own = np.maximum(np.searchsorted(least, size, "right") - 1, 0)
+    for cell in (own, own + 1):
+        apart = 2 * (least[cell + 1] - 1) * (100 - percent) // (100 + percent)
+        parts = apart + apart // 2 + 2
+        part = ((flat >> np.uint64(32)) * parts[owner].astype(np.uint64)) >> np.uint64(32)
+        begin = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (owner[1:] != owner[:-1])))
+        of = owner[begin]
+        name = (cell[of].astype(np.uint64) << np.uint64(32)) | part[begin]
+        key = mix(np.add.reduceat(flat, begin) ^ mix((name + np.uint64(1)) * _K))
+        order = np.lexsort((key, -np.add.reduceat(rare, begin), of))
+        place = np.arange(len(of)) - np.searchsorted(of, of)
+        taken = place <= apart[of]
+        rows.append(of[taken])
+        keys.append(key[order][taken])
+        full = np.bincount(of, minlength=len(sets))
+        thin = np.flatnonzero((full > 0) & (full <= apart))
+        rows.append(thin)
+        keys.append(mix((cell[thin].astype(np.uint64) + np.uint64(1)) * _K))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def _part_rows(source: DataFrame, crowded: DataFrame, width: int, percent: int, common: dict[int, int], broadcast_rows: int) -> DataFrame:
+    """``s, id, n, at``, as of first shingles: a row for each of the ``part_keys`` of the documents ``crowded (id)``."""
+    shared = source.sparkSession.sparkContext.broadcast(np.array(sorted(common), np.uint64))
+    if crowded.count() <= broadcast_rows:
+        crowded = F.broadcast(crowded)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            for a, _, data, ends in arrow.slices(batch.column(1), 1 << 20):
+                sets = shingle_sets(data, ends, width)
+                size = np.array([len(s) for s in sets], np.int32)
+                row, key = part_keys(sets, percent, shared.value)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(ids[a + row]), pa.array(size[row]), pa.array(np.zeros(len(row), np.int32))], ["s", "id", "n", "at"]
+                )
+
+    return source.join(crowded, "id").select("id", "text").mapInArrow(run, "s long, id long, n int, at int")
+
 
-    The sets of a cell with one shingle are a region here. Small regions give all pairs that sizes and ranks allow. Larger ones give the
+def _candidates(rows: DataFrame, percent: int, small: int) -> DataFrame:
+    """Pairs of documents of a region, the ``rows (s, id, n, at)`` of one ``s``: ``u, v, sure``.
+
+    ``at`` is the rank of a first shingle in its set. Small regions give all pairs that sizes and ranks allow. Larger ones give the
     chain of documents by size, cut where sizes differ too much: it holds the region
-    together without its pairs, and ``sure`` keeps it from the distance test.
+    together without its pairs, and ``sure`` tells that its pairs are not listed.
     """
-    n = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = (
-        reps.select("id", F.col("n").cast("int").alias("n"), "first", F.explode("regions").alias("region"))
-        .select("id", "n", "region", F.posexplode("first").alias("at", "s")).withColumn("s", F.col("s").bitwiseXOR(F.xxhash64("region")))
-    )
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def pairs(s: np.ndarray, doc: np.ndarray, n: np.ndarray, at: np.ndarray, chain: bool) -> tuple[np.ndarray, ...]:
         begin = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
@@ -377,8 +479,7 @@ def _near(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             u, v, n, m, a, b = batch.columns
-            x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16) for c in (a, b))
-            apart = np.abs(x - y).sum(axis=1)
+            apart = class_distances(a.to_pylist(), b.to_pylist())
             keep = pa.array((100 + percent) * apart <= (100 - percent) * (np.asarray(n) + np.asarray(m)))
             yield pa.RecordBatch.from_arrays([u.filter(keep), v.filter(keep)], ["u", "v"])
 

@@ -129,3 +129,59 @@ def test_blocks_of_the_far_region_get_pivots_of_their_own(documents, monkeypatch
     out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, pivots=0, part_docs=8).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
     assert seen
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_linked_sets_share_a_part(percent):
+    rng = random.Random(percent)
+    sets = [np.unique(np.array(rng.sample(range(1 << 62), rng.choice([1, 2, 3, 7, 12, 30, 90])), np.uint64) * np.uint64(3)) for _ in range(60)]
+    for s in list(sets):  # as far from it as a link allows, and equal in all but the high bits' even spread
+        keep = max(1, -(-percent * len(s) // 100))
+        sets += [s[:keep], s[-keep:], np.unique(np.append(s[: max(1, (len(s) + keep) // 2)], np.array([rng.randrange(1 << 63) for _ in range(max(0, (len(s) - keep) // 2))], np.uint64)))]
+    sets += [np.arange(k, k + 40, dtype=np.uint64) for k in range(0, 12, 2)]  # all in the first part
+    row, key = jaccard_join.part_keys(sets, percent, np.sort(np.concatenate(sets[:20])))
+    of = [set(key[row == k].tolist()) for k in range(len(sets))]
+    links = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
+                links += 1
+                assert of[a] & of[b]
+    assert links > 60 and len(key) < sum(map(len, sets)) * 2 + 4 * len(sets)
+
+
+def test_crowds_that_share_shingles_are_not_one_cell(documents, monkeypatch):
+    """Unlike documents, of which crowds share a phrase that is not known as common, are not compared with each other."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(240):
+        own = [f"w{k}x{j}" for j in range(60)]
+        for g in rng.sample(range(24), 3):  # each phrase is in some 30 documents
+            at = rng.randrange(50)
+            own[at : at + 4] = [f"p{g}a", f"p{g}b", f"p{g}c", f"p{g}d"]
+        rows.append((k, " ".join(own)))
+    rows += [(1000 + k, rows[7 * k][1] + " end") for k in range(20)]
+    met = []
+    join = jaccard_join._join_regions
+    monkeypatch.setattr(jaccard_join, "_join_regions", lambda source, cells, *a: met.append(cells.groupBy("cell").count().agg(F.max("count")).first()[0]) or join(source, cells, *a))
+    out = jaccard_join.jaccard_components(documents(rows), width=4, percent=85, pivots=0, ranked_shingles=0).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute_components(rows)
+    assert met == [2]
+
+
+def test_long_sets_are_told_apart_by_classes():
+    rng = np.random.default_rng(3)
+    some = lambda n: np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+    for n in (40, 1_000, 1_025, 4_000, 20_000):
+        s = some(n)
+        sets = [s, s[: -(-85 * len(s) // 100)], np.append(s[len(s) // 12 :], some(len(s) // 14)), some(n), some(n * 9 // 10)]
+        sets.append(np.arange(n, dtype=np.uint64))  # all in one class
+        counts = [jaccard_join.class_counts(x) for x in sets]
+        for a, x in enumerate(sets):
+            far = jaccard_join.class_distances([counts[a]] * len(sets), counts)
+            for b, y in enumerate(sets):
+                assert far[b] <= len(np.setxor1d(x, y))
+                if a != b and n > 100 and max(a, b) > 2:  # unlike sets can't link
+                    assert 185 * far[b] > 15 * (len(x) + len(y))
+    assert jaccard_join.class_distances([], []).tolist() == []
